@@ -155,8 +155,8 @@ def calendar_features(ts) -> dict[str, Column]:
 
 
 def minutes_between(start, end) -> Column:
-    return F.timestampdiff("MINUTE", _col(start), _col(end))
+    return F.timestamp_diff("MINUTE", _col(start), _col(end))
 
 
 def hours_between(start, end) -> Column:
-    return F.timestampdiff("SECOND", _col(start), _col(end)) / F.lit(3600.0)
+    return F.timestamp_diff("SECOND", _col(start), _col(end)) / F.lit(3600.0)

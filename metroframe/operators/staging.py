@@ -39,6 +39,16 @@ def dedup_latest(df: DataFrame, keys: list[str], order: list[str], tiebreak: boo
     return df.groupBy(*keys).agg(best).select(*keys, *[F.col(f"_best.{c}").alias(c) for c in payload])
 
 
+def exact_mean(value, decimals: int, divide_by: float = 1.0) -> Column:
+    """Mean of a value with a fixed number of decimals, summed as exact
+    integers and divided once: the result does not depend on the order in
+    which partial sums are combined, so reruns and other engines agree to
+    the last bit."""
+    scale = 10 ** decimals
+    v = F.col(value) if isinstance(value, str) else value
+    return F.sum(F.round(v * scale).cast("bigint")) / (F.count(v) * F.lit(float(scale) * divide_by))
+
+
 def time_bucket(ts, width: str) -> Column:
     """Start of the fixed-width window containing ``ts`` (epoch aligned)."""
     return F.window(ts, width).start

@@ -31,7 +31,7 @@ def epoch_seconds(ts) -> Column:
 
 def minutes_floor(start, end) -> Column:
     """Whole minutes from start to end (truncated)."""
-    return F.timestampdiff("MINUTE", _c(start), _c(end))
+    return F.timestamp_diff("MINUTE", _c(start), _c(end))
 
 
 # ---------------------------------------------------------------------------
@@ -45,7 +45,7 @@ def hour_spine(df: DataFrame, key: str, ts: str, out_ts: str = "event_hour") ->
     no cross join is needed."""
     bounds = df.groupBy(key).agg(F.min(ts).alias("_lo"), F.max(ts).alias("_hi"))
     hours = F.sequence(hour_trunc("_lo"), hour_trunc("_hi"), F.expr("INTERVAL 1 HOUR"))
-    return bounds.select(key, F.explode(hours).cast("timestamp_ntz").alias(out_ts))
+    return bounds.select(key, F.explode(hours).alias(out_ts))
 
 
 def day_spine(df: DataFrame, key: str, day: str, out: str = "event_date") -> DataFrame:
@@ -58,16 +58,20 @@ def day_spine(df: DataFrame, key: str, day: str, out: str = "event_date") -> Dat
 # ---------------------------------------------------------------------------
 
 def change_points(df: DataFrame, key: str, ts: str, state: list[str], max_gap_seconds: int | None = None,
-                  bucket: str = "day") -> tuple[DataFrame, DataFrame]:
+                  bucket: str = "day", carry: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Rows where a key's state differs from its previous poll (or the gap to
     the previous poll exceeds ``max_gap_seconds``).
 
     Returns (change_rows, bucket_summary). Each change row carries
     ``_end_marker``: the time at which the *previous* island ends — this
-    poll's time on a state change, the last seen poll on a gap break."""
+    poll's time on a state change, the last seen poll on a gap break — and
+    ``_prev_st``, the state before the change (null for a key's first poll).
+    ``carry`` columns of the changing row are kept."""
+    carry = carry or []
     b = F.date_trunc(bucket, F.col(ts)).cast("timestamp_ntz")
     st = F.struct(*[F.col(s) for s in state])
-    rows = df.select(F.col(key), F.col(ts), *[F.col(s) for s in state]).withColumn("_b", b).withColumn("_st", st)
+    rows = (df.select(F.col(key), F.col(ts), *[F.col(s) for s in state], *[F.col(c) for c in carry])
+            .withColumn("_b", b).withColumn("_st", st))
 
     summary = rows.groupBy(key, "_b").agg(
         F.min(ts).alias("_first_ts"), F.max(ts).alias("_last_ts"), F.max_by("_st", F.col(ts)).alias("_last_st"))
@@ -92,37 +96,43 @@ def change_points(df: DataFrame, key: str, ts: str, state: list[str], max_gap_se
     gap_break = F.coalesce(gap_break, F.lit(False))
     changed = first_ever | ~prev_st.eqNullSafe(F.col("_st")) | gap_break
     cps = (joined.filter(changed)
-           .select(key, "_b", ts, *state, "_key_last_ts",
+           .select(key, "_b", ts, *state, *carry, "_key_last_ts", prev_st.alias("_prev_st"),
                    F.when(gap_break, prev_ts).otherwise(F.col(ts)).alias("_end_marker")))
     return cps, summary
 
 
 def islands(df: DataFrame, key: str, ts: str, state: list[str], max_gap_seconds: int | None = None,
-            bucket: str = "day", start: str = "started_at", end: str = "ended_at") -> DataFrame:
-    """Maximal runs of equal state per key: (key, state…, start, end,
-    last_seen_at). ``end`` is when the run stopped (the next differing poll,
-    or the last poll before an over-long gap); null while ongoing."""
-    cps, _ = change_points(df, key, ts, state, max_gap_seconds, bucket)
+            bucket: str = "day", start: str = "started_at", end: str = "ended_at",
+            carry: list[str] | None = None, with_previous: bool = False) -> DataFrame:
+    """Maximal runs of equal state per key: (key, state…, carry…, start, end,
+    last_seen_at[, previous state]). ``end`` is when the run stopped (the
+    next differing poll, or the last poll before an over-long gap); null
+    while ongoing."""
+    carry = carry or []
+    cps, _ = change_points(df, key, ts, state, max_gap_seconds, bucket, carry)
     wl = Window.partitionBy(key, "_b").orderBy(ts)
     with_local = cps.withColumn("_next_l", F.lead("_end_marker").over(wl))
     first_per_bucket = cps.groupBy(key, "_b").agg(F.min_by("_end_marker", F.col(ts)).alias("_bucket_first"))
     wb = Window.partitionBy(key).orderBy("_b")
-    carry = first_per_bucket.select(key, "_b", F.lead("_bucket_first").over(wb).alias("_next_b"))
-    out = with_local.join(carry, [key, "_b"], "inner")
+    nxt = first_per_bucket.select(key, "_b", F.lead("_bucket_first").over(wb).alias("_next_b"))
+    out = with_local.join(nxt, [key, "_b"], "inner")
+    prev = [F.col(f"_prev_st.{s}").alias(f"previous_{s}") for s in state] if with_previous else []
     return out.select(
-        key, *state,
+        key, *state, *carry,
         F.col(ts).alias(start),
         F.coalesce("_next_l", "_next_b").alias(end),
         F.col("_key_last_ts").alias("last_seen_at"),
+        *prev,
     )
 
 
 def episodes(df: DataFrame, key: str, ts: str, flag: str, extra_state: list[str] | None = None,
-             max_gap_seconds: int | None = None, bucket: str = "day") -> DataFrame:
+             max_gap_seconds: int | None = None, bucket: str = "day", carry: list[str] | None = None) -> DataFrame:
     """Disruption episodes (F3): runs where ``flag`` is true. A change of any
-    ``extra_state`` column (severity) starts a new episode (D20)."""
+    ``extra_state`` column (severity) starts a new episode (D20); ``carry``
+    keeps attributes of the first poll (reason)."""
     state = [flag] + (extra_state or [])
-    runs = islands(df, key, ts, state, max_gap_seconds, bucket)
+    runs = islands(df, key, ts, state, max_gap_seconds, bucket, carry=carry)
     return (runs.filter(F.col(flag)).drop(flag)
             .withColumn("duration_minutes", minutes_floor("started_at", "ended_at")))
 
@@ -166,8 +176,10 @@ def lead_value(key: str, ts: str, value: str, n: int) -> Column:
 
 def split_by_day(df: DataFrame, start: str, end: str, out_day: str = "service_date") -> DataFrame:
     """One row per calendar day an interval touches, with the minutes that
-    fall in that day (G6). The interval is [start, end)."""
-    days = F.sequence(F.to_date(start), F.to_date(F.col(end) - F.expr("INTERVAL 1 MICROSECOND")))
+    fall in that day (G6). The interval is [start, end); an empty interval
+    keeps one row for its start day with 0 minutes."""
+    last_day = F.greatest(F.to_date(start), F.to_date(F.col(end) - F.expr("INTERVAL 1 MICROSECOND")))
+    days = F.sequence(F.to_date(start), last_day)
     exploded = df.withColumn(out_day, F.explode(days))
     day_start = F.col(out_day).cast("timestamp_ntz")
     day_end = F.date_add(F.col(out_day), 1).cast("timestamp_ntz")
@@ -177,7 +189,8 @@ def split_by_day(df: DataFrame, start: str, end: str, out_day: str = "service_da
 
 
 def split_by_hour(df: DataFrame, start: str, end: str, out_hour: str = "event_hour") -> DataFrame:
-    """One row per clock hour an interval [start, end) overlaps."""
-    hours = F.sequence(hour_trunc(start), hour_trunc(F.col(end) - F.expr("INTERVAL 1 MICROSECOND")),
-                       F.expr("INTERVAL 1 HOUR"))
-    return df.withColumn(out_hour, F.explode(hours).cast("timestamp_ntz"))
+    """One row per clock hour an interval [start, end) overlaps (F12); an
+    empty interval still counts in its start hour."""
+    last_hour = F.greatest(hour_trunc(start), hour_trunc(F.col(end) - F.expr("INTERVAL 1 MICROSECOND")))
+    hours = F.sequence(hour_trunc(start), last_hour, F.expr("INTERVAL 1 HOUR"))
+    return df.withColumn(out_hour, F.explode(hours))
