@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from metroframe.plans import bind_ingest, bind_marts, bind_staging, bind_timeline  # noqa: F401
+from metroframe.plans import bind_ingest, bind_marts, bind_ops, bind_staging, bind_timeline  # noqa: F401
 from metroframe.plans.registry import ORACLE, QUERIES
 
 
