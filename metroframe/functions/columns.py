@@ -83,7 +83,7 @@ def parse_timestamp(c, *formats) -> Column:
 
 
 def parse_date(c, fmt: str = "MM/dd/yyyy") -> Column:
-    return F.try_to_date(safe_str(c), F.lit(fmt))
+    return F.try_to_date(safe_str(c), fmt)
 
 
 def combine_date_time(date_col, time_col, date_fmt: str = "MM/dd/yyyy", time_fmt: str = "HH:mm:ss") -> Column:
