@@ -15,6 +15,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from metroframe.sources.raw import spread
+
 
 @dataclass(frozen=True)
 class Check:
@@ -99,9 +101,10 @@ def _kind(v: Column) -> Column:
 
 def json_leaves(lines: DataFrame, col: str, depth: int = 3) -> DataFrame:
     """(path, value) for every leaf of every JSON object record; nested
-    objects are walked to ``depth`` levels with dotted paths."""
+    objects are walked to ``depth`` levels with dotted paths (an empty
+    object yields nothing)."""
     as_map = "map<string,variant>"
-    level = lines.select(F.explode(F.from_json(F.col(col), as_map)).alias("path", "v"))
+    level = spread(lines).select(F.explode(F.from_json(F.col(col), as_map)).alias("path", "v"))
     leaves = None
     for i in range(depth):
         is_obj = F.coalesce(F.schema_of_variant("v").startswith("OBJECT"), F.lit(False))

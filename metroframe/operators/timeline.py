@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from metroframe.functions.columns import hour_trunc
+from metroframe.session import ensure_checkpoint_dir
 
 
 def _c(c) -> Column:
@@ -103,13 +104,20 @@ def change_points(df: DataFrame, key: str, ts: str, state: list[str], max_gap_se
 
 def islands(df: DataFrame, key: str, ts: str, state: list[str], max_gap_seconds: int | None = None,
             bucket: str = "day", start: str = "started_at", end: str = "ended_at",
-            carry: list[str] | None = None, with_previous: bool = False) -> DataFrame:
+            carry: list[str] | None = None, with_previous: bool = False, materialize: bool = True) -> DataFrame:
     """Maximal runs of equal state per key: (key, state…, carry…, start, end,
     last_seen_at[, previous state]). ``end`` is when the run stopped (the
     next differing poll, or the last poll before an over-long gap); null
     while ongoing."""
     carry = carry or []
     cps, _ = change_points(df, key, ts, state, max_gap_seconds, bucket, carry)
+    if materialize:
+        # Two consumers read the change points below; without a cut, Spark
+        # would rerun the whole raw pass (scan, shuffle, sort, window) for
+        # each. A reliable checkpoint in the shared checkpoint folder keeps
+        # one pass and survives executor loss.
+        ensure_checkpoint_dir(cps.sparkSession)
+        cps = cps.checkpoint(eager=True)
     wl = Window.partitionBy(key, "_b").orderBy(ts)
     with_local = cps.withColumn("_next_l", F.lead("_end_marker").over(wl))
     first_per_bucket = cps.groupBy(key, "_b").agg(F.min_by("_end_marker", F.col(ts)).alias("_bucket_first"))

@@ -8,6 +8,7 @@ from metroframe.functions import columns as C
 from metroframe.operators import staging as S
 from metroframe.plans.bind_ingest import tbl
 from metroframe.plans.registry import normalize, register
+from metroframe.sources.raw import spread
 from metroframe.sources.seeds import seed, seed_rows, values_sql
 
 LINE_ORDER = ["l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount", "l_tax",
@@ -211,7 +212,7 @@ def _mask_sql(col: str) -> str:
 
 @register("pii_mask", f"SELECT doc_id, {_mask_sql('text')} AS masked_text FROM documents")
 def pii_mask(spark, d):
-    return tbl(spark, d, "documents").select("doc_id", S.mask_text("text").alias("masked_text"))
+    return spread(tbl(spark, d, "documents")).select("doc_id", S.mask_text("text").alias("masked_text"))
 
 
 PII_SALT = "metroframe-pii"
@@ -233,4 +234,4 @@ def _reason_sql(col: str) -> str:
 
 @register("classify_reason", f"SELECT doc_id, {_reason_sql('text')} AS disruption_category FROM documents")
 def classify_reason(spark, d):
-    return tbl(spark, d, "documents").select("doc_id", S.classify_reason("text").alias("disruption_category"))
+    return spread(tbl(spark, d, "documents")).select("doc_id", S.classify_reason("text").alias("disruption_category"))

@@ -19,6 +19,19 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin rows over the session's cores before CPU-heavy row work
+    (JSON parsing, regex over long texts) when the input has fewer splits
+    than that — a small file stored as one row group is one task. On a
+    cluster reading many files the input already has thousands of splits,
+    so this adds no shuffle there. Cheap operators never call it: for them
+    the extra exchange costs more than it saves."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 # ---------------------------------------------------------------------------
 # Raw NDJSON
 # ---------------------------------------------------------------------------
@@ -27,6 +40,7 @@ def parse_json_lines(lines: DataFrame, schema: T.StructType, line_col: str = "va
                      keep_raw: bool = True) -> DataFrame:
     """Parse NDJSON text lines with an explicit schema (A1). Unknown fields
     are ignored; malformed lines give nulls (no failure)."""
+    lines = spread(lines)
     parsed = F.from_json(F.col(line_col), schema, {"mode": "PERMISSIVE"}).alias("_rec")
     cols = [parsed]
     if keep_raw:
