@@ -108,12 +108,17 @@ def city_union(spark, d):
 
 
 @register("explode_statuses", """
-SELECT user_id, date_trunc('hour', ts) AS poll_hour, event_type, ts, value FROM events""")
+SELECT event_id, event_type AS status, value FROM events WHERE value <= 400
+UNION ALL SELECT event_id, 'derived', value / 2 FROM events WHERE value <= 400
+UNION ALL SELECT event_id, NULL, NULL FROM events WHERE NOT value <= 400""")
 def explode_statuses(spark, d):
+    """Each event becomes a poll response carrying a nested status array (two
+    statuses; none above value 400), exploded back to one row per status."""
     ev = tbl(spark, d, "events")
-    polls = (ev.groupBy("user_id", C.hour_trunc("ts").alias("poll_hour"))
-             .agg(F.collect_list(F.struct("event_type", "ts", "value")).alias("statuses")))
-    return R.explode_nested(polls, "statuses", ["user_id", "poll_hour"])
+    statuses = F.when(F.col("value") <= 400, F.array(
+        F.struct(F.col("event_type").alias("status"), F.col("value").alias("value")),
+        F.struct(F.lit("derived").alias("status"), (F.col("value") / 2).alias("value"))))
+    return R.explode_nested(ev.select("event_id", statuses.alias("statuses")), "statuses", ["event_id"])
 
 
 @register("ndjson_roundtrip", """
