@@ -21,7 +21,7 @@ from metroframe.sources.raw import spread
 @dataclass(frozen=True)
 class Check:
     name: str
-    kind: str  # not_null | unique | accepted_values | range
+    kind: str  # not_null | unique | accepted_values | range | min_rows
     columns: tuple[str, ...]
     values: tuple = field(default_factory=tuple)  # accepted values, or (low, high)
 
@@ -38,6 +38,10 @@ def _check_aggs(c: Check) -> tuple[Column, Column]:
     if c.kind == "range":
         lo, hi = c.values
         return F.count(cols[0]), F.count_if(~cols[0].between(lo, hi))
+    if c.kind == "min_rows":
+        # A zero-record run still "succeeds" at ingest; this catches it.
+        n = F.count(F.lit(1))
+        return F.lit(1), F.when(n < F.lit(c.values[0]), F.lit(1)).otherwise(F.lit(0))
     raise ValueError(f"unknown check kind {c.kind}")
 
 

@@ -106,13 +106,19 @@ def write_mart(df: DataFrame, path: str, partition_col: str, cluster_cols: list[
 # Bounded and incremental reads
 # ---------------------------------------------------------------------------
 
-def incremental_lookback(df: DataFrame, ts: str, as_of, hours: int | None = None, days: int | None = None) -> DataFrame:
+def incremental_lookback(df: DataFrame, ts: str, as_of, hours: int | None = None, days: int | None = None,
+                         partition_date: str | None = None) -> DataFrame:
     """Rows with event time at or after ``as_of`` minus the lookback (A3).
     ``as_of`` is passed in (a literal or column), never read from the clock
-    inside the plan, so a rerun sees the same window."""
+    inside the plan, so a rerun sees the same window. With
+    ``partition_date`` (the raw zone's ``_ingestion_date`` partition) the
+    same bound prunes whole date folders before any file is opened."""
     width = F.make_dt_interval(F.lit(days or 0), F.lit(hours or 0), F.lit(0), F.lit(0))
     since = (F.lit(as_of).cast("timestamp_ntz") if not isinstance(as_of, Column) else as_of) - width
-    return df.filter(F.col(ts) >= since)
+    out = df.filter(F.col(ts) >= since)
+    if partition_date:
+        out = out.filter(F.col(partition_date) >= F.to_date(since))
+    return out
 
 
 def recent_top_k(df: DataFrame, ts: str, tiebreak: str, n: int, offset: int = 0) -> DataFrame:

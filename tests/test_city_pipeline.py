@@ -106,3 +106,21 @@ def test_transit_episodes_with_gap(spark):
 
 def test_work_path_is_under_checkpoint_dir(spark):
     assert work_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir").rstrip("/"))
+
+
+def test_ingest_batch_single_pass_accounting(spark, tmp_path):
+    good = dict(BASE)
+    bad = dict(BASE, unique_key=None)
+    lines = spark.createDataFrame([(json.dumps(good),), (json.dumps(bad),), (json.dumps(good),)], "value string")
+    log = P.ingest_batch(P.raw_requests(lines), str(tmp_path / "raw311"), "run-7", "2024-03-15 15:00:00", "nyc_311")
+    assert (log["records_read"], log["records_written"], log["records_rejected"], log["status"]) == (3, 2, 1, "partial")
+    q = spark.read.parquet(str(tmp_path / "raw311" / "_route=quarantine"))
+    row = q.collect()[0]
+    assert row.validation_errors == ["missing unique_key"] and json.loads(row.raw_json)["unique_key"] is None
+
+
+def test_min_rows_expectation(spark):
+    from metroframe.operators import quality as Q
+    empty = spark.createDataFrame([], "a int")
+    r = Q.expectations(empty, [Q.Check("enough", "min_rows", (), (1,))]).collect()[0]
+    assert r.failed_rows == 1 and not r.success
