@@ -57,7 +57,7 @@ def raw_json_scan(spark, d):
 
 
 @register("seed_lookup", """
-SELECT n_nationkey, n_name, r_name FROM nation LEFT JOIN region ON n_regionkey = r_regionkey""")
+SELECT n_nationkey::BIGINT AS n_nationkey, n_name, r_name FROM nation LEFT JOIN region ON n_regionkey = r_regionkey""")
 def seed_lookup(spark, d):
     from metroframe.operators.staging import lookup
     n, r = tbl(spark, d, "nation"), tbl(spark, d, "region")
@@ -96,8 +96,8 @@ def unpack_arrays(spark, d):
 
 
 @register("city_union", """
-SELECT event_id, ts, city, CASE city WHEN 'nyc' THEN 40.7128 ELSE 51.5074 END AS latitude,
-       CASE city WHEN 'nyc' THEN -74.006 ELSE -0.1278 END AS longitude
+SELECT event_id, ts, city, CASE city WHEN 'nyc' THEN 40.7128 ELSE 51.5074 END::DOUBLE AS latitude,
+       CASE city WHEN 'nyc' THEN -74.006 ELSE -0.1278 END::DOUBLE AS longitude
 FROM (SELECT event_id, ts, 'nyc' AS city FROM events WHERE user_id % 2 = 0
       UNION ALL SELECT event_id, ts, 'london' AS city FROM events WHERE user_id % 2 = 1)""")
 def city_union(spark, d):

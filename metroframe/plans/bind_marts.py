@@ -128,8 +128,8 @@ def rolling_7d_30d(spark, d):
 
 
 @register("unhealthy_days_30d", with_ctes(EV, AO, AD) + f"""
-SELECT city, event_date, max_aqi, sum(CASE WHEN max_aqi > {BAD_AIR_AQI} THEN 1 ELSE 0 END) OVER (PARTITION BY city
-  ORDER BY event_date RANGE BETWEEN INTERVAL 29 DAY PRECEDING AND CURRENT ROW) AS unhealthy_days_30d FROM ad""")
+SELECT city, event_date, max_aqi, (sum(CASE WHEN max_aqi > {BAD_AIR_AQI} THEN 1 ELSE 0 END) OVER (PARTITION BY city
+  ORDER BY event_date RANGE BETWEEN INTERVAL 29 DAY PRECEDING AND CURRENT ROW))::BIGINT AS unhealthy_days_30d FROM ad""")
 def unhealthy_days_30d(spark, d):
     _, _, _, ad, _, _ = _daily_parts(spark, d)
     bad = F.sum(F.when(F.col("max_aqi") > BAD_AIR_AQI, 1).otherwise(0))
@@ -178,7 +178,7 @@ def correlations(spark, d):
 # SLA (G4, G5)
 # ---------------------------------------------------------------------------
 
-SLA = f""", sla AS (SELECT res.*, s.sla_hours, CASE WHEN closed_at IS NOT NULL AND s.sla_hours IS NOT NULL
+SLA = f""", sla AS (SELECT res.*, s.sla_hours::BIGINT AS sla_hours, CASE WHEN closed_at IS NOT NULL AND s.sla_hours IS NOT NULL
   THEN hours_to_close <= s.sla_hours END AS met_sla
   FROM res LEFT JOIN {_SLA_SQL.replace(') AS t(', ') AS s(')} ON lower(trim(res.complaint_type)) = lower(trim(s.complaint_type)))
 """
@@ -273,8 +273,8 @@ HB = """hb AS (SELECT sp.city, sp.event_hour, wh.temperature_c, wh.precipitation
   LEFT JOIN (SELECT city, event_hour, max(aqi) AS overall_aqi FROM ao GROUP BY ALL) ah
     ON sp.city = ah.city AND sp.event_hour = ah.event_hour
   LEFT JOIN rc ON sp.city = rc.city AND sp.event_hour = rc.event_hour)"""
-_TRAIL_SQL = ("sum(requests_count) OVER (PARTITION BY city ORDER BY event_hour ROWS BETWEEN 23 PRECEDING AND "
-              "CURRENT ROW)")
+_TRAIL_SQL = ("(sum(requests_count) OVER (PARTITION BY city ORDER BY event_hour ROWS BETWEEN 23 PRECEDING AND "
+              "CURRENT ROW))::BIGINT")
 _NEXT_SQL = ("lead(requests_count, 1) OVER (PARTITION BY city ORDER BY event_hour) AS label_complaints_next_1h, "
              "lead(overall_aqi, 6) OVER (PARTITION BY city ORDER BY event_hour) AS label_aqi_next_6h")
 

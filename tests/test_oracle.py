@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 from oracle_check import TABLES, rows_of
+from type_audit import DUCK_TO_CLASS, SPARK_TO_CLASS
 
 QUERIES = entry.queries()
 ORACLE = entry.oracle_sql()
@@ -30,6 +31,11 @@ def test_matches_oracle(spark, con, sf_small, key):
     rel = con.sql(ORACLE[key])
     d_rows = [dict(zip(rel.columns, r)) for r in rel.fetchall()]
     assert sorted(sdf.columns) == sorted(rel.columns)
+    d_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    for f in sdf.schema.fields:
+        s_t, d_t = f.dataType.simpleString(), d_types[f.name]
+        if not (s_t.startswith("decimal") and d_t.startswith("DECIMAL")):
+            assert SPARK_TO_CLASS.get(s_t, s_t) == DUCK_TO_CLASS.get(d_t, d_t), (f.name, s_t, d_t)
     assert len(s_rows) == len(d_rows)
     cols = sorted(sdf.columns)
     assert rows_of(s_rows, cols, 6) == rows_of(d_rows, cols, 6)
