@@ -56,8 +56,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not configured:
         configured = tempfile.mkdtemp(prefix="metroframe-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(configured)
+    try:
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(configured)
+    except Exception:  # noqa: BLE001 - sessions without a SparkContext handle (Connect) use the conf alone
+        pass
     return configured
 
 

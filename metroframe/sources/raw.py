@@ -26,10 +26,12 @@ def spread(df: DataFrame) -> DataFrame:
     cluster reading many files the input already has thousands of splits,
     so this adds no shuffle there. Cheap operators never call it: for them
     the extra exchange costs more than it saves."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a Connect session): leave the plan as is
+        return df
+    return df.repartition(target) if splits < target else df
 
 
 # ---------------------------------------------------------------------------

@@ -19,6 +19,7 @@ restarted query resumes exactly where it stopped.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 
 import pandas as pd
@@ -29,6 +30,10 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from metroframe.session import work_path
 
+# PySpark's own Arrow-to-pandas step for grouped state concatenates empty
+# frames and pandas flags that; it is noise, not a problem in this module.
+warnings.filterwarnings("ignore", category=FutureWarning, module="pyspark.sql.pandas.serializers")
+
 
 def poll_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
                 glob: str | None = None, max_files_per_trigger: int | None = None,
