@@ -68,7 +68,8 @@ def raw_key(source: str, run_id: str, year: int, month: int, day: int) -> str:
 
 def write_ndjson(df: DataFrame, path: str, date_col: str) -> str:
     """Append a run to the raw zone, partitioned by year/month/day of
-    ``date_col`` (A10). An empty input writes nothing and returns ''.
+    ``date_col`` (A10), rebalanced so a heavy day is split over several
+    tasks. An empty input writes nothing and returns ''.
 
     The emptiness probe is a one-row ``limit`` job, not a count."""
     if df.isEmpty():
@@ -78,7 +79,7 @@ def write_ndjson(df: DataFrame, path: str, date_col: str) -> str:
         "month": F.date_format(date_col, "MM"),
         "day": F.date_format(date_col, "dd"),
     })
-    (out.repartition("year", "month", "day")
+    (out.hint("rebalance", "year", "month", "day")
         .write.mode("append").partitionBy("year", "month", "day").json(path))
     return path
 
@@ -93,11 +94,12 @@ def append_rows(df: DataFrame, path: str, columns: list[str], fmt: str = "parque
 
 
 def write_mart(df: DataFrame, path: str, partition_col: str, cluster_cols: list[str]) -> str:
-    """Mart sink (A12): hash-partition by the date partition so each output
-    partition is written by few tasks, sort within partitions by the
-    cluster keys (min/max row-group skipping), dynamic partition overwrite
-    so a rerun replaces only the dates it produced."""
-    (df.repartition(partition_col)
+    """Mart sink (A12): rows of one date go to few tasks (few files per
+    partition folder), but the ``rebalance`` hint lets AQE split a date that
+    holds a large share of the data over several tasks instead of one; rows
+    are sorted within tasks by the cluster keys (min/max row-group
+    skipping); dynamic partition overwrite replaces only the dates written."""
+    (df.hint("rebalance", partition_col)
        .sortWithinPartitions(partition_col, *cluster_cols)
        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(partition_col).parquet(path))
