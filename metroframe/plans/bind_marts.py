@@ -14,8 +14,9 @@ from metroframe.operators import staging as S
 from metroframe.operators import timeline as TL
 from metroframe.plans.bind_ingest import tbl
 from metroframe.plans.bind_staging import _BAND_SQL
-from metroframe.plans.bind_timeline import (AO, EP, EV, REQ, RC, SP, WH, air_obs, city_events, line_episodes,
-                                            line_polls, order_requests, request_counts, weather_hourly, with_ctes)
+from metroframe.plans.bind_timeline import (AO, EP, EPW, EV, REQ, RC, SP, WH, air_obs, city_events,
+                                            episodes_with_weather, line_episodes, line_polls, order_requests,
+                                            request_counts, weather_hourly, with_ctes)
 from metroframe.plans.registry import normalize, register
 from metroframe.session import work_path
 from metroframe.sources.seeds import values_sql
@@ -56,22 +57,28 @@ TD = """td AS (SELECT 'london' AS city, CAST(started_at AS DATE) AS event_date,
   FROM ep GROUP BY 2)"""
 
 
-def _daily_parts(spark, d):
-    ev = city_events(spark, d)
-    spine = TL.day_spine(ev, "city", "event_date")
-    wd = (ev.filter(F.col("event_type") == "view").groupBy("city", "event_date")
-          .agg(S.exact_mean("value", 2, 10.0).alias("avg_temperature_c"),
-               F.round(F.max("value") / 100, 4).alias("max_precipitation_mm")))
-    ad = air_obs(ev).groupBy("city", "event_date").agg(F.avg("aqi").alias("avg_aqi"), F.max("aqi").alias("max_aqi"))
+def _weather_daily(ev: DataFrame) -> DataFrame:
+    return (ev.filter(F.col("event_type") == "view").groupBy("city", "event_date")
+            .agg(S.exact_mean("value", 2, 10.0).alias("avg_temperature_c"),
+                 F.round(F.max("value") / 100, 4).alias("max_precipitation_mm")))
+
+
+def _air_daily(ev: DataFrame) -> DataFrame:
+    return air_obs(ev).groupBy("city", "event_date").agg(F.avg("aqi").alias("avg_aqi"), F.max("aqi").alias("max_aqi"))
+
+
+def _activity_daily(ev: DataFrame) -> DataFrame:
     t = F.col("event_type")
-    qd = ev.groupBy("city", "event_date").agg(
+    return ev.groupBy("city", "event_date").agg(
         F.count_if(t.isin("purchase", "click")).alias("complaints_count"),
         F.count_if(t == "error").alias("incidents_count"),
         F.count_if((t == "error") & (F.col("value") > 200)).alias("felony_count"),
         F.count(F.lit(1)).alias("n_events"), F.count_if(t == "click").alias("n_clicks"))
-    td = (line_episodes(spark, d).groupBy(F.to_date("started_at").alias("event_date"))
-          .agg(F.count(F.lit(1)).alias("disruption_events")).withColumn("city", F.lit("london")))
-    return ev, spine, wd, ad, qd, td
+
+
+def _transit_daily(spark, d) -> DataFrame:
+    return (line_episodes(spark, d).groupBy(F.to_date("started_at").alias("event_date"))
+            .agg(F.count(F.lit(1)).alias("disruption_events")).withColumn("city", F.lit("london")))
 
 
 @register("city_daily_summary", with_ctes(EV, DS, WD, AO, AD, QD, EP, TD) + f"""
@@ -84,7 +91,9 @@ SELECT md5(ds.city || '|' || ds.event_date::VARCHAR) AS summary_id, ds.city, ds.
 FROM ds LEFT JOIN wd USING (city, event_date) LEFT JOIN ad USING (city, event_date)
 LEFT JOIN qd USING (city, event_date) LEFT JOIN td USING (city, event_date)""")
 def city_daily_summary(spark, d):
-    _, spine, wd, ad, qd, td = _daily_parts(spark, d)
+    ev = city_events(spark, d)
+    spine, wd, ad, qd = TL.day_spine(ev, "city", "event_date"), _weather_daily(ev), _air_daily(ev), _activity_daily(ev)
+    td = _transit_daily(spark, d)
     keys = ["city", "event_date"]
     out = spine.join(wd, keys, "left").join(ad, keys, "left").join(qd, keys, "left").join(td, keys, "left")
     nyc, london = F.col("city") == "nyc", F.col("city") == "london"
@@ -121,7 +130,7 @@ SELECT city, event_date, avg_aqi AS daily_avg_aqi,
   round(avg(avg_aqi) OVER (PARTITION BY city ORDER BY event_date RANGE BETWEEN INTERVAL 29 DAY PRECEDING AND CURRENT ROW), 6)
     AS aqi_30d_avg FROM ad""")
 def rolling_7d_30d(spark, d):
-    _, _, _, ad, _, _ = _daily_parts(spark, d)
+    ad = _air_daily(city_events(spark, d))
     return ad.select("city", "event_date", F.col("avg_aqi").alias("daily_avg_aqi"),
                      F.round(TL.rolling_days("city", "event_date", F.avg("avg_aqi"), 7), 6).alias("aqi_7d_avg"),
                      F.round(TL.rolling_days("city", "event_date", F.avg("avg_aqi"), 30), 6).alias("aqi_30d_avg"))
@@ -131,7 +140,7 @@ def rolling_7d_30d(spark, d):
 SELECT city, event_date, max_aqi, (sum(CASE WHEN max_aqi > {BAD_AIR_AQI} THEN 1 ELSE 0 END) OVER (PARTITION BY city
   ORDER BY event_date RANGE BETWEEN INTERVAL 29 DAY PRECEDING AND CURRENT ROW))::BIGINT AS unhealthy_days_30d FROM ad""")
 def unhealthy_days_30d(spark, d):
-    _, _, _, ad, _, _ = _daily_parts(spark, d)
+    ad = _air_daily(city_events(spark, d))
     bad = F.sum(F.when(F.col("max_aqi") > BAD_AIR_AQI, 1).otherwise(0))
     return normalize(ad.select("city", "event_date", "max_aqi",
                                TL.rolling_days("city", "event_date", bad, 30).alias("unhealthy_days_30d")))
@@ -148,7 +157,8 @@ SELECT md5(city || '|' || event_date::VARCHAR) AS correlation_id, city, event_da
   CASE WHEN max_aqi > {BAD_AIR_AQI} THEN complaints_count END AS complaints_on_bad_air_day,
   CASE WHEN is_rain_day THEN incidents_count END AS incidents_on_rain_day FROM j""")
 def cross_domain_daily(spark, d):
-    _, spine, wd, ad, qd, _ = _daily_parts(spark, d)
+    ev = city_events(spark, d)
+    spine, wd, ad, qd = TL.day_spine(ev, "city", "event_date"), _weather_daily(ev), _air_daily(ev), _activity_daily(ev)
     keys = ["city", "event_date"]
     j = spine.join(wd, keys, "left").join(ad, keys, "left").join(qd, keys, "left")
     nyc = F.col("city") == "nyc"
@@ -167,7 +177,8 @@ SELECT city, count(*) AS n_obs, round(corr(avg_aqi, n_events), 6) AS corr_aqi_vs
   round(corr(max_precipitation_mm, n_clicks), 6) AS corr_precip_vs_noise
 FROM qd LEFT JOIN ad USING (city, event_date) LEFT JOIN wd USING (city, event_date) GROUP BY city""")
 def correlations(spark, d):
-    _, _, wd, ad, qd, _ = _daily_parts(spark, d)
+    ev = city_events(spark, d)
+    wd, ad, qd = _weather_daily(ev), _air_daily(ev), _activity_daily(ev)
     keys = ["city", "event_date"]
     daily = qd.join(ad, keys, "left").join(wd, keys, "left")
     return M.correlations(daily, ["city"], {"corr_aqi_vs_events": ("avg_aqi", "n_events"),
@@ -216,40 +227,54 @@ def sla_by_borough(spark, d):
 # Transit performance
 # ---------------------------------------------------------------------------
 
-@register("transit_performance", with_ctes(EP) + """
+@register("transit_performance", with_ctes(EV, WH, AO, AD, EP, EPW) + """
 , cov AS (SELECT user_id AS line_id, min(ts) AS s, max(ts) AS e FROM events WHERE user_id % 2 = 1 GROUP BY 1),
 days AS (SELECT line_id, s, e, CAST(unnest(generate_series(CAST(s AS DATE),
   greatest(CAST(s AS DATE), CAST(e - INTERVAL 1 MICROSECOND AS DATE)), INTERVAL 1 DAY)) AS DATE) AS service_date FROM cov),
 obs AS (SELECT line_id, service_date, sum((epoch_us(least(e, service_date + INTERVAL 1 DAY))
   - epoch_us(greatest(s, service_date::TIMESTAMP))) // 60000000) AS observed_minutes FROM days GROUP BY ALL),
-eps AS (SELECT line_id, started_at, coalesce(ended_at, last_seen_at) AS e FROM ep),
-edays AS (SELECT line_id, started_at, e, CAST(unnest(generate_series(CAST(started_at AS DATE),
+eps AS (SELECT line_id, started_at, coalesce(ended_at, last_seen_at) AS e, is_weather_related FROM epw),
+edays AS (SELECT line_id, started_at, e, is_weather_related, CAST(unnest(generate_series(CAST(started_at AS DATE),
   greatest(CAST(started_at AS DATE), CAST(e - INTERVAL 1 MICROSECOND AS DATE)), INTERVAL 1 DAY)) AS DATE) AS service_date
   FROM eps),
 dis AS (SELECT line_id, service_date, count(*) FILTER (WHERE CAST(started_at AS DATE) = service_date) AS disruption_events,
+  count(*) FILTER (WHERE CAST(started_at AS DATE) = service_date AND is_weather_related) AS weather_related_events,
   sum((epoch_us(least(e, service_date + INTERVAL 1 DAY)) - epoch_us(greatest(started_at, service_date::TIMESTAMP)))
     // 60000000) AS disruption_minutes FROM edays GROUP BY ALL)
 SELECT line_id, service_date, coalesce(disruption_events, 0) AS disruption_events,
+  coalesce(weather_related_events, 0) AS weather_related_events,
   coalesce(disruption_minutes, 0)::BIGINT AS disruption_minutes, observed_minutes::BIGINT AS observed_minutes,
   CASE WHEN observed_minutes > 0 THEN 100 * (1 - coalesce(disruption_minutes, 0) / observed_minutes) END
-    AS pct_good_service
-FROM obs LEFT JOIN dis USING (line_id, service_date)""")
+    AS pct_good_service,
+  CASE WHEN coalesce(disruption_events, 0) > 0 THEN ad.avg_aqi END AS avg_aqi_on_disruption_day
+FROM obs LEFT JOIN dis USING (line_id, service_date)
+LEFT JOIN ad ON ad.city = 'london' AND ad.event_date = obs.service_date""")
 def transit_performance(spark, d):
+    """Per line-day (G6): episodes split at midnight; good-service share =
+    1 − disrupted / observed minutes; weather-related count; the city's
+    mean AQI on days with a disruption."""
     polls = line_polls(spark, d)
     cov = polls.groupBy("line_id").agg(F.min("ts").alias("s"), F.max("ts").alias("e"))
     obs = (TL.split_by_day(cov, "s", "e").groupBy("line_id", "service_date")
            .agg(F.sum("minutes_in_day").alias("observed_minutes")))
-    eps = line_episodes(spark, d).withColumn("_end", F.coalesce("ended_at", "last_seen_at"))
+    eps = episodes_with_weather(spark, d).withColumn("_end", F.coalesce("ended_at", "last_seen_at"))
     split = TL.split_by_day(eps, "started_at", "_end")
+    starts_today = F.to_date("started_at") == F.col("service_date")
     dis = split.groupBy("line_id", "service_date").agg(
-        F.count_if(F.to_date("started_at") == F.col("service_date")).alias("disruption_events"),
+        F.count_if(starts_today).alias("disruption_events"),
+        F.count_if(starts_today & F.col("is_weather_related")).alias("weather_related_events"),
         F.sum("minutes_in_day").alias("disruption_minutes"))
-    out = obs.join(dis, ["line_id", "service_date"], "left")
+    ad = _air_daily(city_events(spark, d))
+    aqi = ad.filter(F.col("city") == "london").select(F.col("event_date").alias("service_date"), "avg_aqi")
+    out = obs.join(dis, ["line_id", "service_date"], "left").join(aqi, "service_date", "left")
     dm = F.coalesce("disruption_minutes", F.lit(0))
+    n_events = F.coalesce("disruption_events", F.lit(0))
     return out.select(
-        "line_id", "service_date", F.coalesce("disruption_events", F.lit(0)).alias("disruption_events"),
+        "line_id", "service_date", n_events.alias("disruption_events"),
+        F.coalesce("weather_related_events", F.lit(0)).alias("weather_related_events"),
         dm.alias("disruption_minutes"), "observed_minutes",
-        F.when(F.col("observed_minutes") > 0, 100 * (1 - dm / F.col("observed_minutes"))).alias("pct_good_service"))
+        F.when(F.col("observed_minutes") > 0, 100 * (1 - dm / F.col("observed_minutes"))).alias("pct_good_service"),
+        F.when(n_events > 0, F.col("avg_aqi")).alias("avg_aqi_on_disruption_day"))
 
 
 # ---------------------------------------------------------------------------

@@ -226,25 +226,35 @@ def disruption_episodes(spark, d):
     return normalize(line_episodes(spark, d))
 
 
-@register("weather_related", with_ctes(EV, WH, EP) + f"""
-, cat AS (SELECT *, {_reason_sql('reason')} AS disruption_category FROM ep)
-SELECT line_id, started_at, disruption_category, wh.precipitation_mm AS weather_precipitation_mm,
+EPW = f"""cat AS (SELECT *, {_reason_sql('reason')} AS disruption_category FROM ep),
+epw AS (SELECT cat.*, wh.precipitation_mm AS weather_precipitation_mm,
   CASE WHEN disruption_category = 'planned' THEN FALSE
        ELSE disruption_category = 'weather' OR coalesce(wh.precipitation_mm >= {RAIN_RELATED_MM}, FALSE) END
     AS is_weather_related
-FROM cat LEFT JOIN wh ON wh.city = 'london' AND wh.event_hour = date_trunc('hour', started_at)""")
-def weather_related(spark, d):
+  FROM cat LEFT JOIN wh ON wh.city = 'london' AND wh.event_hour = date_trunc('hour', started_at))"""
+
+
+def episodes_with_weather(spark, d) -> DataFrame:
+    """Episodes with their reason category, the precipitation of the start
+    hour and is_weather_related (F4, F5, D10): 'planned' reasons never count,
+    'weather' reasons always, otherwise heavy rain in the start hour."""
     eps = line_episodes(spark, d, carry=["reason"]).withColumn("disruption_category", S.classify_reason("reason"))
     wh = weather_hourly(city_events(spark, d)).filter(F.col("city") == "london")
     joined = eps.join(wh, C.hour_trunc(eps["started_at"]) == wh["event_hour"], "left")
     cat = F.col("disruption_category")
     related = (F.when(cat == "planned", F.lit(False))
                .otherwise((cat == "weather") | F.coalesce(F.col("precipitation_mm") >= RAIN_RELATED_MM, F.lit(False))))
-    return joined.select("line_id", "started_at", "disruption_category",
-                         F.col("precipitation_mm").alias("weather_precipitation_mm"),
+    return joined.select(*eps.columns, F.col("precipitation_mm").alias("weather_precipitation_mm"),
                          related.alias("is_weather_related"))
 
 
+@register("weather_related", with_ctes(EV, WH, EP, EPW) + """
+SELECT line_id, started_at, disruption_category, weather_precipitation_mm, is_weather_related FROM epw""")
+def weather_related(spark, d):
+    return episodes_with_weather(spark, d).select("line_id", "started_at", "disruption_category",
+                                                   "weather_precipitation_mm", "is_weather_related")
+
+
 def hourly_disruptions(spark, d) -> DataFrame:
     eps = line_episodes(spark, d).withColumn("_end", F.coalesce("ended_at", "last_seen_at"))
     hours = TL.split_by_hour(eps, "started_at", "_end")

@@ -80,8 +80,9 @@ def weather_rows(payloads: DataFrame, city_col: str = "city", payload_col: str =
     rows = R.unpack_arrays(arrays, ["city"], "time", {v: v for v in WEATHER_VARIABLES}, time_col="observation_time")
     coords = payloads.sparkSession.createDataFrame(
         [(c, lat, lon) for c, (lat, lon) in K.CITY_COORDS.items()], "city string, latitude double, longitude double")
+    raw_json = F.to_json(F.struct(F.col("observation_time").alias("time"), *WEATHER_VARIABLES, "city"))
     typed = rows.select(
-        C.safe_str("observation_time").alias("observation_time"), "city",
+        C.safe_str("observation_time").alias("observation_time"), "city", raw_json.alias("raw_json"),
         *[C.safe_float(v).alias(v) for v in ["temperature_2m", "relative_humidity_2m", "precipitation",
                                               "wind_speed_10m"]],
         C.safe_int("precipitation_probability").alias("precipitation_probability"),
