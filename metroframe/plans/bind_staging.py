@@ -21,7 +21,7 @@ SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber::BIGINT AS l_linenumber, l
 FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
   ORDER BY {', '.join(c + ' DESC' for c in LINE_ORDER)}) = 1""")
 def dedup_latest(spark, d):
-    return normalize(S.dedup_latest(tbl(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"], LINE_ORDER))
+    return normalize(S.dedup_latest(spread(tbl(spark, d, "lineitem")), ["l_orderkey", "l_linenumber"], LINE_ORDER))
 
 
 @register("dedup_window", """

@@ -20,14 +20,21 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin rows over the session's cores before CPU-heavy row work
-    (JSON parsing, regex over long texts) when the input has fewer splits
-    than that — a small file stored as one row group is one task. On a
-    cluster reading many files the input already has thousands of splits,
-    so this adds no shuffle there. Cheap operators never call it: for them
-    the extra exchange costs more than it saves."""
+    """Round-robin rows over the cores before CPU-heavy row work (JSON
+    parsing, regex over long texts, sort-based dedup) when a *scan* yields
+    fewer splits than there are cores — a small file stored as one Parquet
+    row group is a single task.
+
+    Only local sessions are probed: there the split count comes from the
+    scan's RDD, which costs planning only because callers pass scans (on a
+    plan with shuffles under AQE, asking for the RDD would run them). On a
+    cluster the input of a 100 TB job already has thousands of splits, so
+    the helper returns the plan unchanged and adds no shuffle."""
+    spark = df.sparkSession
     try:
-        target = df.sparkSession.sparkContext.defaultParallelism
+        if df.isStreaming or not str(spark.conf.get("spark.master", "")).startswith("local"):
+            return df
+        target = spark.sparkContext.defaultParallelism
         splits = df.rdd.getNumPartitions()
     except Exception:  # noqa: BLE001 - no RDD view (e.g. a Connect session): leave the plan as is
         return df
