@@ -47,7 +47,8 @@ _SLA_SQL = values_sql(PRIORITY_SLA, ["complaint_type", "sla_hours", "priority_le
 DS = """ds AS (SELECT city, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS event_date
   FROM (SELECT city, min(event_date) AS lo, max(event_date) AS hi FROM ev GROUP BY city))"""
 WD = """wd AS (SELECT city, event_date, sum(round(value * 100)::BIGINT) / (count(value) * 1000.0::DOUBLE) AS avg_temperature_c,
-  round(max(value) / 100, 4) AS max_precipitation_mm FROM ev WHERE event_type = 'view' GROUP BY city, event_date)"""
+  round(max(value) / 100, 4) AS max_precipitation_mm, sum(round(value * 100)::BIGINT) / 10000.0::DOUBLE AS total_precipitation_mm
+  FROM ev WHERE event_type = 'view' GROUP BY city, event_date)"""
 AD = """ad AS (SELECT city, event_date, avg(aqi) AS avg_aqi, max(aqi) AS max_aqi FROM ao GROUP BY city, event_date)"""
 QD = """qd AS (SELECT city, event_date, count(*) FILTER (WHERE event_type IN ('purchase', 'click')) AS complaints_count,
   count(*) FILTER (WHERE event_type = 'error') AS incidents_count,
@@ -60,7 +61,9 @@ TD = """td AS (SELECT 'london' AS city, CAST(started_at AS DATE) AS event_date,
 def _weather_daily(ev: DataFrame) -> DataFrame:
     return (ev.filter(F.col("event_type") == "view").groupBy("city", "event_date")
             .agg(S.exact_mean("value", 2, 10.0).alias("avg_temperature_c"),
-                 F.round(F.max("value") / 100, 4).alias("max_precipitation_mm")))
+                 F.round(F.max("value") / 100, 4).alias("max_precipitation_mm"),
+                 (F.sum(F.round(F.col("value") * 100).cast("bigint")) / F.lit(10000.0))
+                 .alias("total_precipitation_mm")))
 
 
 def _air_daily(ev: DataFrame) -> DataFrame:
@@ -83,7 +86,7 @@ def _transit_daily(spark, d) -> DataFrame:
 
 @register("city_daily_summary", with_ctes(EV, DS, WD, AO, AD, QD, EP, TD) + f"""
 SELECT md5(ds.city || '|' || ds.event_date::VARCHAR) AS summary_id, ds.city, ds.event_date, avg_temperature_c,
-  max_precipitation_mm, avg_aqi, max_aqi, {_BAND_SQL.format(a='max_aqi')} AS worst_aqi_category,
+  max_precipitation_mm, total_precipitation_mm, avg_aqi, max_aqi, {_BAND_SQL.format(a='max_aqi')} AS worst_aqi_category,
   CASE WHEN ds.city = 'nyc' THEN coalesce(complaints_count, 0) END AS complaints_count,
   CASE WHEN ds.city = 'nyc' THEN coalesce(incidents_count, 0) END AS incidents_count,
   CASE WHEN ds.city = 'nyc' THEN coalesce(felony_count, 0) END AS felony_count,
@@ -99,7 +102,7 @@ def city_daily_summary(spark, d):
     nyc, london = F.col("city") == "nyc", F.col("city") == "london"
     return out.select(
         C.surrogate_key("city", "event_date").alias("summary_id"), "city", "event_date", "avg_temperature_c",
-        "max_precipitation_mm", "avg_aqi", "max_aqi", S.aqi_band(F.col("max_aqi")).alias("worst_aqi_category"),
+        "max_precipitation_mm", "total_precipitation_mm", "avg_aqi", "max_aqi", S.aqi_band(F.col("max_aqi")).alias("worst_aqi_category"),
         F.when(nyc, F.coalesce("complaints_count", F.lit(0))).alias("complaints_count"),
         F.when(nyc, F.coalesce("incidents_count", F.lit(0))).alias("incidents_count"),
         F.when(nyc, F.coalesce("felony_count", F.lit(0))).alias("felony_count"),

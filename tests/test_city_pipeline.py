@@ -124,3 +124,18 @@ def test_min_rows_expectation(spark):
     empty = spark.createDataFrame([], "a int")
     r = Q.expectations(empty, [Q.Check("enough", "min_rows", (), (1,))]).collect()[0]
     assert r.failed_rows == 1 and not r.success
+
+
+def test_read_raw_json_layout(spark, tmp_path):
+    from metroframe.sources import raw as R
+    rec = dict(BASE, extra_field="kept in raw_json only")
+    key = R.raw_key("nyc/311", "run-9", 2024, 3, 15)
+    f = tmp_path / key
+    f.parent.mkdir(parents=True)
+    line = json.dumps(rec)
+    f.write_text(line + "\n" + "not json\n")
+    df = R.read_raw_json(spark, str(tmp_path / "nyc"), P.REQUEST_SCHEMA)
+    rows = sorted(df.collect(), key=lambda r: r.raw_json)
+    assert len(rows) == 2 and rows[0].raw_json == "not json" and rows[0].unique_key is None
+    assert rows[1].raw_json == line and rows[1].unique_key == "59812345"
+    assert rows[1]._source_file.endswith("nyc/311/2024/03/15/run-9.ndjson")
