@@ -84,3 +84,25 @@ def test_sla_by_borough_counts_all_orders(spark, sf_small):
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() >= 0 and "sla_compliance" in df.columns
+
+
+def test_stream_episodes_state_across_micro_batches(spark, sf_small, tmp_path):
+    """Polls arrive as one file per 5 days, one file per micro-batch: the
+    per-line state carried between batches must give the batch answer."""
+    from metroframe.plans.bind_timeline import line_episodes, line_polls
+    from metroframe.streaming import polls as P
+
+    polls = line_polls(spark, sf_small).select("line_id", "ts", "disrupted", "severity")
+    landing = tmp_path / "landing"
+    for start in range(1, 31, 5):
+        lo = F.lit(f"2024-01-{start:02d}").cast("timestamp_ntz")
+        hi = F.lit(f"2024-01-{start + 5:02d}" if start + 5 <= 31 else "2024-02-01").cast("timestamp_ntz")
+        # one small file per chunk so the files arrive in time order (test fixture only)
+        polls.filter((F.col("ts") >= lo) & (F.col("ts") < hi)).coalesce(1).write.mode("append").parquet(str(landing))
+    stream = P.poll_stream(spark, str(landing), polls.schema, max_files_per_trigger=1, event_time="ts")
+    out = P.run_to_parquet(P.stream_episodes(stream), "multi", path=str(tmp_path / "out"))
+    got = spark.read.parquet(out).select("line_id", "severity_level", F.col("started_at").cast("timestamp_ntz"),
+                                         F.col("ended_at").cast("timestamp_ntz"))
+    want = line_episodes(spark, sf_small).filter(F.col("ended_at").isNotNull()).select(
+        "line_id", F.col("severity_level").cast("long"), "started_at", "ended_at")
+    assert sorted(got.collect()) == sorted(want.collect())
