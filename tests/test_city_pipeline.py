@@ -139,3 +139,23 @@ def test_read_raw_json_layout(spark, tmp_path):
     assert len(rows) == 2 and rows[0].raw_json == "not json" and rows[0].unique_key is None
     assert rows[1].raw_json == line and rows[1].unique_key == "59812345"
     assert rows[1]._source_file.endswith("nyc/311/2024/03/15/run-9.ndjson")
+
+
+def test_wmo_code_missing_from_seed_and_precip_flag(spark):
+    hours = ["2024-03-15T14:00", "2024-03-15T15:00"]
+    payload = json.dumps({"hourly": {"time": hours, "precipitation": [0.05, 0.2], "weather_code": [56, 61]}})
+    raw = P.weather_rows(spark.createDataFrame([("nyc", payload)], "city string, value string"))
+    rows = sorted(P.stg_weather(P.with_ingest_metadata(raw, "w", "2024-03-15 16:00:00")).collect(),
+                  key=lambda r: r.observed_at)
+    assert rows[0].weather_description is None and rows[0].is_precipitation is False  # 56 not in seed; 0.05 mm
+    assert rows[1].weather_description == "Slight rain" and rows[1].is_precipitation is True
+
+
+def test_severity_seed_wins_and_unknown_code(spark):
+    polls = [("l1", "L1", "2024-03-15 10:00:00", 5, None), ("l1", "L1", "2024-03-15 10:05:00", 9, None),
+             ("l1", "L1", "2024-03-15 10:10:00", 42, None), ("l1", "L1", "2024-03-15 10:10:10", 42, None)]
+    df = spark.createDataFrame(polls, "line_id string, line_name string, observed_at string, status_severity long, "
+                                      "reason string").withColumn("observed_at", F.col("observed_at").cast("timestamp_ntz"))
+    rows = sorted(P.stg_tfl_line_status(df).collect(), key=lambda r: r.observed_at)
+    assert [r.status_description for r in rows] == ["Part Closure", "Minor Delays", "Unknown"]  # 30 s window dedup
+    assert [r.is_disrupted for r in rows] == [True, True, False]
