@@ -165,3 +165,22 @@ def test_exact_mean_order_independent(spark):
     a = df.agg(S.exact_mean("v", 2)).collect()[0][0]
     b = df.repartition(4).agg(S.exact_mean("v", 2)).collect()[0][0]
     assert a == b == pytest.approx(sum(vals) / len(vals))
+
+
+def test_dry_run_counts_without_writing(spark):
+    from metroframe.operators import contracts as K
+    df = spark.createDataFrame([("1",), (None,), ("3",)], "unique_key string")
+    annotated = K.apply_contract(df, [K.missing("unique_key", hard=True)])
+    assert K.dry_run(annotated) == {"records_read": 3, "records_valid": 2, "records_rejected": 1}
+
+
+def test_mark_deleted_closes_open_version(spark):
+    rows = [("u1", "open", "2024-01-01 00:00:00"), ("u1", "closed", "2024-01-03 00:00:00"),
+            ("u2", "open", "2024-01-02 00:00:00")]
+    df = spark.createDataFrame([(k, s, ts(t)) for k, s, t in rows], "k string, s string, t timestamp_ntz")
+    hist = H.scd2_history(df, "k", ["s"], "t")
+    gone = spark.createDataFrame([("u2", ts("2024-01-05 00:00:00"))], "k string, deleted_at timestamp_ntz")
+    out = {(r.k, r.s): r for r in H.mark_deleted(hist, gone, "k", "deleted_at").collect()}
+    assert out[("u2", "open")].is_deleted and out[("u2", "open")].valid_to == ts("2024-01-05 00:00:00")
+    assert not out[("u2", "open")].is_current and out[("u1", "closed")].is_current
+    assert not out[("u1", "open")].is_deleted
