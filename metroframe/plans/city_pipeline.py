@@ -196,8 +196,8 @@ def stg_airnow(raw: DataFrame) -> DataFrame:
         obs, ["reporting_area", "observed_at"], "param", "aqi", pivot_values,
         names=internal, overall="overall_aqi", argmax="dominant_pollutant",
         extra_aggs=[S.worst_category("category_name", "aqi", "param").alias("_worst"),
-                    F.first("latitude", ignorenulls=True).alias("latitude"),
-                    F.first("longitude", ignorenulls=True).alias("longitude")])
+                    F.max_by("latitude", F.struct("_ingestion_timestamp", "param")).alias("latitude"),
+                    F.max_by("longitude", F.struct("_ingestion_timestamp", "param")).alias("longitude")])
     by_col: dict[str, list[str]] = {}
     for p, col in POLLUTANT_COLUMNS.items():
         by_col.setdefault(col, []).append(internal[p])
