@@ -176,16 +176,25 @@ def cross_domain_daily(spark, d):
 
 
 @register("correlations", with_ctes(EV, WD, AO, AD, QD) + """
+, daily AS (SELECT qd.city, qd.event_date, n_events, n_clicks, avg_aqi, max_precipitation_mm,
+  lead(n_events, 1) OVER (PARTITION BY qd.city ORDER BY qd.event_date) AS next_day_events
+  FROM qd LEFT JOIN ad USING (city, event_date) LEFT JOIN wd USING (city, event_date))
 SELECT city, count(*) AS n_obs, round(corr(avg_aqi, n_events), 6) AS corr_aqi_vs_events,
-  round(corr(max_precipitation_mm, n_clicks), 6) AS corr_precip_vs_noise
-FROM qd LEFT JOIN ad USING (city, event_date) LEFT JOIN wd USING (city, event_date) GROUP BY city""")
+  round(corr(max_precipitation_mm, n_clicks), 6) AS corr_precip_vs_noise,
+  round(corr(avg_aqi, next_day_events), 6) AS corr_aqi_vs_next_day_events
+FROM daily GROUP BY city""")
 def correlations(spark, d):
+    """Per-city Pearson correlations behind the README questions (G10), on
+    the daily table, including a one-day lag (today's AQI vs tomorrow's
+    activity) taken with ``lead``."""
     ev = city_events(spark, d)
     wd, ad, qd = _weather_daily(ev), _air_daily(ev), _activity_daily(ev)
     keys = ["city", "event_date"]
     daily = qd.join(ad, keys, "left").join(wd, keys, "left")
+    daily = daily.withColumn("next_day_events", TL.lead_value("city", "event_date", "n_events", 1))
     return M.correlations(daily, ["city"], {"corr_aqi_vs_events": ("avg_aqi", "n_events"),
-                                            "corr_precip_vs_noise": ("max_precipitation_mm", "n_clicks")})
+                                            "corr_precip_vs_noise": ("max_precipitation_mm", "n_clicks"),
+                                            "corr_aqi_vs_next_day_events": ("avg_aqi", "next_day_events")})
 
 
 # ---------------------------------------------------------------------------
