@@ -159,3 +159,30 @@ def test_severity_seed_wins_and_unknown_code(spark):
     rows = sorted(P.stg_tfl_line_status(df).collect(), key=lambda r: r.observed_at)
     assert [r.status_description for r in rows] == ["Part Closure", "Minor Delays", "Unknown"]  # 30 s window dedup
     assert [r.is_disrupted for r in rows] == [True, True, False]
+
+
+def test_run_sla_job_from_raw_tables(spark, tmp_path):
+    reqs = [dict(BASE), dict(BASE, unique_key="3", incident_zip="10301", borough=None, complaint_type="Rodent",
+                             created_date="2024-03-15T08:00:00.000", closed_date="2024-03-15T12:00:00.000"),
+            dict(BASE, unique_key=None)]
+    lines = spark.createDataFrame([(json.dumps(r),) for r in reqs], "value string")
+    raw311 = str(tmp_path / "raw" / "nyc_311")
+    log = P.ingest_batch(P.raw_requests(lines), raw311, "r1", "2024-03-16 10:00:00", "nyc_311")
+    assert log["records_rejected"] == 1
+    hours = [f"2024-03-15T{h:02d}:00" for h in range(24)]
+    payload = json.dumps({"hourly": {"time": hours, "precipitation": [1.0] * 24, "weather_code": [61] * 24}})
+    w = P.weather_rows(spark.createDataFrame([("nyc", payload)], "city string, value string"))
+    raw_w = str(tmp_path / "raw" / "weather")
+    P.ingest_batch(w, raw_w, "w1", "2024-03-16 00:05:00", "weather")
+    air = [{"DateObserved": "2024-03-15", "HourObserved": h, "LocalTimeZone": "EDT", "ReportingArea": "NYC",
+            "ParameterName": "PM2.5", "AQI": 40 + h} for h in range(24)]
+    raw_a = str(tmp_path / "raw" / "air")
+    P.ingest_batch(P.raw_air(spark.createDataFrame([(json.dumps(a),) for a in air], "value string")), raw_a, "a1",
+                   "2024-03-16 00:10:00", "airnow")
+    paths = P.run_sla_job(spark, raw311, raw_w, raw_a, str(tmp_path / "warehouse"))
+    mart = {r.complaint_type: r for r in spark.read.parquet(paths["mart_complaint_sla"]).collect()}
+    assert mart["Rodent"].borough == "STATEN ISLAND" and mart["Rodent"].met_sla is True  # 4 h within 10 h
+    assert mart["Rodent"].air_quality_aqi == 48  # 08:00 EDT = 12:00 UTC = local hour 8 of the EDT feed
+    assert mart["Noise - Residential"].met_sla is False
+    summary = spark.read.parquet(paths["sla_by_borough"]).collect()
+    assert sum(r.n_requests for r in summary) == 2 and all(r.is_wet for r in summary)
