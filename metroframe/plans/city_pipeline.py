@@ -341,3 +341,39 @@ def run_sla_job(spark: SparkSession, raw_requests_path: str, raw_weather_path: s
     summary = sla_by_borough(spark.read.parquet(paths["mart_complaint_sla"]))
     summary.write.mode("overwrite").parquet(paths["sla_by_borough"])
     return paths
+
+
+def int_cross_domain_hourly(stg_311: DataFrame, stg_crime: DataFrame, stg_w: DataFrame, stg_air: DataFrame,
+                            episodes: DataFrame) -> DataFrame:
+    """City × hour table across all domains (F10–F13). Each input is reduced
+    to (city, hour) first, then left-joined to a dense spine, so no join
+    fans out. Request and incident counts exist for nyc only, transit
+    disruptions for london only; the other city gets null (D15)."""
+    keys = ["city", "event_hour"]
+    req = (stg_311.groupBy(C.hour_trunc("created_at").alias("event_hour"))
+           .agg(F.count(F.lit(1)).alias("requests"),
+                F.count_if(F.startswith(F.col("complaint_type"), F.lit("Noise"))).alias("noise"))
+           .withColumn("city", F.lit("nyc")))
+    inc = (stg_crime.groupBy(C.hour_trunc("occurred_at").alias("event_hour"))
+           .agg(F.count(F.lit(1)).alias("incidents")).withColumn("city", F.lit("nyc")))
+    w = weather_city_hourly(stg_w)
+    a = air_city_hourly(stg_air).select(*keys, "overall_aqi", "aqi_category")
+    eps = episodes.withColumn("_end", F.coalesce("ended_at", "last_seen_at"))
+    dl = (TL.split_by_hour(eps, "started_at", "_end").groupBy("event_hour")
+          .agg(F.count_distinct("line_id").alias("lines"),
+               F.array_join(F.array_sort(F.collect_set(F.col("line_id").cast("string"))), ",").alias("line_ids"))
+          .withColumn("city", F.lit("london")))
+    spine = TL.hour_spine(w, "city", "event_hour")
+    out = (spine.join(w, keys, "left").join(a, keys, "left").join(req, keys, "left").join(inc, keys, "left")
+           .join(dl, keys, "left"))
+    nyc, london = F.col("city") == "nyc", F.col("city") == "london"
+    return out.select(
+        C.surrogate_key("city", F.date_format("event_hour", "yyyy-MM-dd HH:mm:ss")).alias("cross_domain_id"),
+        "event_hour", F.to_date("event_hour").alias("event_date"), "city",
+        F.col("temperature_c").alias("temperature_celsius"), "precipitation_mm", "weather_description",
+        "overall_aqi", "aqi_category",
+        F.when(nyc, F.coalesce("requests", F.lit(0))).alias("nyc_311_complaints_count"),
+        F.when(nyc, F.coalesce("noise", F.lit(0))).alias("nyc_311_noise_complaints"),
+        F.when(nyc, F.coalesce("incidents", F.lit(0))).alias("nyc_crime_incidents_count"),
+        F.when(london, F.coalesce("lines", F.lit(0))).alias("london_transit_disruptions"),
+        F.when(london, F.col("line_ids")).alias("london_transit_disrupted_lines"))

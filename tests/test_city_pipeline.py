@@ -186,3 +186,33 @@ def test_run_sla_job_from_raw_tables(spark, tmp_path):
     assert mart["Noise - Residential"].met_sla is False
     summary = spark.read.parquet(paths["sla_by_borough"]).collect()
     assert sum(r.n_requests for r in summary) == 2 and all(r.is_wet for r in summary)
+
+
+def test_cross_domain_hourly_domain_tables(spark):
+    hours = [f"2024-03-15T{h:02d}:00" for h in range(12, 16)]
+    payload = json.dumps({"hourly": {"time": hours, "temperature_2m": [5.0] * 4, "weather_code": [3] * 4}})
+    w = P.weather_rows(spark.createDataFrame([("nyc", payload), ("london", payload)], "city string, value string"))
+    stg_w = P.stg_weather(P.with_ingest_metadata(w, "w", "2024-03-16 00:05:00"))
+    reqs = [dict(BASE, unique_key=str(i), created_date="2024-03-15T09:10:00.000") for i in range(3)]
+    stg311 = P.stg_nyc_311(P.with_ingest_metadata(
+        P.raw_requests(spark.createDataFrame([(json.dumps(r),) for r in reqs], "value string")), "r", "2024-03-16 00:00:00"))
+    crime = {"cmplnt_num": "1", "cmplnt_fr_dt": "03/15/2024", "cmplnt_fr_tm": "10:30:00"}
+    stg_crime = P.stg_nyc_crime(P.with_ingest_metadata(
+        P.raw_incidents(spark.createDataFrame([(json.dumps(crime),)], "value string")), "c", "2024-03-16 00:00:00"))
+    air = P.stg_airnow(P.with_ingest_metadata(P.raw_air(spark.createDataFrame(
+        [(json.dumps({"DateObserved": "2024-03-15", "HourObserved": 9, "LocalTimeZone": "EDT", "ReportingArea": "NYC",
+                      "ParameterName": "O3", "AQI": 77}),)], "value string")), "a", "2024-03-16 00:00:00"))
+    status = spark.createDataFrame(
+        [("central", "Central", "2024-03-15 13:50:00", 9, "signal"), ("central", "Central", "2024-03-15 14:20:00", 10, None)],
+        "line_id string, line_name string, observed_at string, status_severity long, reason string"
+    ).withColumn("observed_at", F.col("observed_at").cast("timestamp_ntz"))
+    eps = P.disruption_episodes(P.stg_tfl_line_status(status), max_gap_seconds=None)
+    out = {(r.city, r.event_hour.hour): r for r in
+           P.int_cross_domain_hourly(stg311, stg_crime, stg_w, air, eps).collect()}
+    assert len(out) == 8
+    assert out[("nyc", 13)].nyc_311_complaints_count == 3 and out[("nyc", 13)].nyc_311_noise_complaints == 3
+    assert out[("nyc", 14)].nyc_crime_incidents_count == 1 and out[("nyc", 12)].nyc_crime_incidents_count == 0
+    assert out[("nyc", 13)].overall_aqi == 77 and out[("nyc", 13)].weather_description == "Overcast"
+    assert out[("london", 13)].london_transit_disrupted_lines == "central"
+    assert out[("london", 14)].london_transit_disruptions == 1 and out[("london", 15)].london_transit_disruptions == 0
+    assert out[("london", 13)].nyc_311_complaints_count is None
