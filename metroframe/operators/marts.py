@@ -109,3 +109,34 @@ def fill_recent_then_mean(key: str, ts: str, value: str, default, lookback_rows:
         Window.partitionBy(key).orderBy(ts).rowsBetween(-lookback_rows, 0))
     mean = F.avg(value).over(Window.partitionBy(*(mean_keys or [F.col(key)])))
     return F.coalesce(recent, mean, F.lit(default))
+
+
+def line_day_performance(polls: DataFrame, episodes: DataFrame, key: str, ts: str,
+                         weather_flag: str | None = "is_weather_related", day: str = "service_date") -> DataFrame:
+    """Per line and day (G6): episodes starting that day, weather-related
+    ones among them, disrupted minutes (episodes split at midnight; an open
+    episode runs to the line's last poll), observed minutes (the line's
+    polling span clipped to the day) and the good-service share
+    100 · (1 − disrupted / observed). Both inputs are reduced to (line, day)
+    before they meet, so the join is one row per line-day on each side."""
+    from metroframe.operators.timeline import split_by_day
+
+    cov = polls.groupBy(key).agg(F.min(ts).alias("_s"), F.max(ts).alias("_e"))
+    obs = (split_by_day(cov, "_s", "_e", day).groupBy(key, day)
+           .agg(F.sum("minutes_in_day").alias("observed_minutes")))
+    eps = episodes.withColumn("_end", F.coalesce("ended_at", "last_seen_at"))
+    split = split_by_day(eps, "started_at", "_end", day)
+    starts_today = F.to_date("started_at") == F.col(day)
+    aggs = [F.count_if(starts_today).alias("disruption_events"),
+            F.sum("minutes_in_day").alias("disruption_minutes")]
+    if weather_flag:
+        aggs.append(F.count_if(starts_today & F.col(weather_flag)).alias("weather_related_events"))
+    dis = split.groupBy(key, day).agg(*aggs)
+    out = obs.join(dis, [key, day], "left")
+    dm = F.coalesce("disruption_minutes", F.lit(0))
+    cols = [key, day, F.coalesce("disruption_events", F.lit(0)).alias("disruption_events")]
+    if weather_flag:
+        cols.append(F.coalesce("weather_related_events", F.lit(0)).alias("weather_related_events"))
+    cols += [dm.alias("disruption_minutes"), "observed_minutes",
+             F.when(F.col("observed_minutes") > 0, 100 * (1 - dm / F.col("observed_minutes"))).alias("pct_good_service")]
+    return out.select(*cols)

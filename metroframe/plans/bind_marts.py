@@ -262,31 +262,14 @@ SELECT line_id, service_date, coalesce(disruption_events, 0) AS disruption_event
 FROM obs LEFT JOIN dis USING (line_id, service_date)
 LEFT JOIN ad ON ad.city = 'london' AND ad.event_date = obs.service_date""")
 def transit_performance(spark, d):
-    """Per line-day (G6): episodes split at midnight; good-service share =
-    1 − disrupted / observed minutes; weather-related count; the city's
-    mean AQI on days with a disruption."""
-    polls = line_polls(spark, d)
-    cov = polls.groupBy("line_id").agg(F.min("ts").alias("s"), F.max("ts").alias("e"))
-    obs = (TL.split_by_day(cov, "s", "e").groupBy("line_id", "service_date")
-           .agg(F.sum("minutes_in_day").alias("observed_minutes")))
-    eps = episodes_with_weather(spark, d).withColumn("_end", F.coalesce("ended_at", "last_seen_at"))
-    split = TL.split_by_day(eps, "started_at", "_end")
-    starts_today = F.to_date("started_at") == F.col("service_date")
-    dis = split.groupBy("line_id", "service_date").agg(
-        F.count_if(starts_today).alias("disruption_events"),
-        F.count_if(starts_today & F.col("is_weather_related")).alias("weather_related_events"),
-        F.sum("minutes_in_day").alias("disruption_minutes"))
+    """Per line-day performance (G6) plus the city's mean AQI on days with a
+    disruption."""
+    perf = M.line_day_performance(line_polls(spark, d), episodes_with_weather(spark, d), "line_id", "ts")
     ad = _air_daily(city_events(spark, d))
     aqi = ad.filter(F.col("city") == "london").select(F.col("event_date").alias("service_date"), "avg_aqi")
-    out = obs.join(dis, ["line_id", "service_date"], "left").join(aqi, "service_date", "left")
-    dm = F.coalesce("disruption_minutes", F.lit(0))
-    n_events = F.coalesce("disruption_events", F.lit(0))
-    return out.select(
-        "line_id", "service_date", n_events.alias("disruption_events"),
-        F.coalesce("weather_related_events", F.lit(0)).alias("weather_related_events"),
-        dm.alias("disruption_minutes"), "observed_minutes",
-        F.when(F.col("observed_minutes") > 0, 100 * (1 - dm / F.col("observed_minutes"))).alias("pct_good_service"),
-        F.when(n_events > 0, F.col("avg_aqi")).alias("avg_aqi_on_disruption_day"))
+    out = perf.join(aqi, "service_date", "left")
+    return out.select(*perf.columns, F.when(F.col("disruption_events") > 0, F.col("avg_aqi"))
+                      .alias("avg_aqi_on_disruption_day"))
 
 
 # ---------------------------------------------------------------------------

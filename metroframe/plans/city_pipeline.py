@@ -377,3 +377,39 @@ def int_cross_domain_hourly(stg_311: DataFrame, stg_crime: DataFrame, stg_w: Dat
         F.when(nyc, F.coalesce("incidents", F.lit(0))).alias("nyc_crime_incidents_count"),
         F.when(london, F.coalesce("lines", F.lit(0))).alias("london_transit_disruptions"),
         F.when(london, F.col("line_ids")).alias("london_transit_disrupted_lines"))
+
+
+RAIN_RELATED_MM = 5.0  # D10: precipitation in the start hour that makes a disruption weather-related
+
+
+def int_transit_delays(episodes: DataFrame, stg_w: DataFrame, city: str = "london",
+                       rain_mm: float = RAIN_RELATED_MM) -> DataFrame:
+    """Episodes with the weather of their start hour (F5, D10): a 'planned'
+    reason never counts as weather-related, a 'weather' reason always does,
+    otherwise heavy rain in the start hour does."""
+    w = weather_city_hourly(stg_w).filter(F.col("city") == city).drop("city")
+    j = episodes.withColumn("_h", C.hour_trunc("started_at")).join(
+        w.withColumnRenamed("event_hour", "_h"), "_h", "left").drop("_h")
+    cat = F.col("disruption_category")
+    related = (F.when(cat == "planned", F.lit(False))
+               .otherwise((cat == "weather") | F.coalesce(F.col("precipitation_mm") >= rain_mm, F.lit(False))))
+    return j.withColumn("is_weather_related", related).withColumnsRenamed(
+        {"temperature_c": "weather_temperature_c", "precipitation_mm": "weather_precipitation_mm"})
+
+
+def mart_transit_performance(stg_status: DataFrame, delays: DataFrame, stg_air: DataFrame,
+                             city: str = "london") -> DataFrame:
+    """Line × day performance (G6) with the city's mean AQI on days that had
+    a disruption."""
+    perf = M.line_day_performance(stg_status.select("line_id", "observed_at"), delays, "line_id", "observed_at")
+    aqi = (air_city_hourly(stg_air).filter(F.col("city") == city)
+           .groupBy(F.to_date("event_hour").alias("service_date")).agg(F.avg("overall_aqi").alias("_aqi")))
+    out = perf.join(aqi, "service_date", "left")
+    return out.select(*perf.columns, C.surrogate_key("line_id", "service_date").alias("performance_id"),
+                      F.when(F.col("disruption_events") > 0, F.col("_aqi")).alias("avg_aqi_on_disruption_days"))
+
+
+def scd_tfl_line_status(stg_status: DataFrame) -> DataFrame:
+    """Every status transition of every line (H1 on line status)."""
+    from metroframe.operators.snapshots import scd2_history
+    return scd2_history(stg_status, "line_id", ["status_severity", "status_description"], "observed_at")

@@ -216,3 +216,34 @@ def test_cross_domain_hourly_domain_tables(spark):
     assert out[("london", 13)].london_transit_disrupted_lines == "central"
     assert out[("london", 14)].london_transit_disruptions == 1 and out[("london", 15)].london_transit_disruptions == 0
     assert out[("london", 13)].nyc_311_complaints_count is None
+
+
+def test_transit_marts(spark):
+    rows = [("central", "Central", t, s, r) for t, s, r in [
+        ("2024-03-15 22:00:00", 10, None), ("2024-03-15 23:30:00", 9, "Heavy rain"),
+        ("2024-03-16 00:30:00", 9, "Heavy rain"), ("2024-03-16 01:00:00", 10, None),
+        ("2024-03-16 02:00:00", 4, "Planned engineering works"), ("2024-03-16 03:00:00", 10, None)]]
+    status = P.stg_tfl_line_status(spark.createDataFrame(
+        rows, "line_id string, line_name string, observed_at string, status_severity long, reason string"
+    ).withColumn("observed_at", F.col("observed_at").cast("timestamp_ntz")))
+    eps = P.disruption_episodes(status, max_gap_seconds=None)
+    hours = ["2024-03-15T23:00", "2024-03-16T02:00"]
+    payload = json.dumps({"hourly": {"time": hours, "precipitation": [0.0, 9.0]}})
+    stg_w = P.stg_weather(P.with_ingest_metadata(P.weather_rows(
+        spark.createDataFrame([("london", payload)], "city string, value string")), "w", "2024-03-17 00:00:00"))
+    delays = {str(r.started_at): r for r in P.int_transit_delays(eps, stg_w).collect()}
+    assert delays["2024-03-15 23:30:00"].is_weather_related  # reason text says rain
+    assert not delays["2024-03-16 02:00:00"].is_weather_related  # planned wins over 9 mm of rain
+    air = P.stg_airnow(P.with_ingest_metadata(P.raw_air(spark.createDataFrame(
+        [(json.dumps({"DateObserved": "2024-03-16", "HourObserved": 1, "LocalTimeZone": "GMT",
+                      "ReportingArea": "London Central", "ParameterName": "NO2", "AQI": 30}),)], "value string")),
+        "a", "2024-03-17 00:00:00"))
+    perf = {str(r.service_date): r for r in
+            P.mart_transit_performance(status, P.int_transit_delays(eps, stg_w), air).collect()}
+    assert (perf["2024-03-15"].disruption_minutes, perf["2024-03-15"].observed_minutes) == (30, 120)
+    assert (perf["2024-03-16"].disruption_minutes, perf["2024-03-16"].observed_minutes) == (120, 180)
+    assert perf["2024-03-16"].disruption_events == 1 and perf["2024-03-16"].weather_related_events == 0
+    assert perf["2024-03-15"].weather_related_events == 1
+    assert perf["2024-03-16"].avg_aqi_on_disruption_days == 30.0 and perf["2024-03-15"].avg_aqi_on_disruption_days is None
+    scd = P.scd_tfl_line_status(status).orderBy("valid_from").collect()
+    assert [r.status_severity for r in scd] == [10, 9, 10, 4, 10] and scd[-1].is_current
