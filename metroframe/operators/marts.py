@@ -140,3 +140,41 @@ def line_day_performance(polls: DataFrame, episodes: DataFrame, key: str, ts: st
     cols += [dm.alias("disruption_minutes"), "observed_minutes",
              F.when(F.col("observed_minutes") > 0, 100 * (1 - dm / F.col("observed_minutes"))).alias("pct_good_service")]
     return out.select(*cols)
+
+
+def weather_related(category, precipitation, rain_mm: float) -> Column:
+    """is_weather_related (F5, D10): a 'planned' reason never counts, a
+    'weather' reason always does, otherwise precipitation ≥ ``rain_mm`` in
+    the start hour does. Never null."""
+    cat = _c(category)
+    return (F.when(cat == "planned", F.lit(False))
+            .otherwise((cat == "weather") | F.coalesce(_c(precipitation) >= rain_mm, F.lit(False))))
+
+
+# Feature defaults when nothing recent nor a monthly mean exists.
+FEATURE_DEFAULTS = {"temperature_c": 15.0, "precipitation_mm": 0.0, "overall_aqi": 50.0}
+
+
+def feature_table(hourly: DataFrame, key: str, ts: str, count_col: str, aqi_col: str = "overall_aqi",
+                  fills: dict[str, float] | None = None, lookback_hours: int = 6) -> DataFrame:
+    """ML feature table on a dense (key, hour) spine (G11–G13): calendar
+    features, weather/AQI filled without nulls (D14: last value within
+    ``lookback_hours``, else the key-month mean, else a constant), the AQI
+    category as an ordinal capped at 4, trailing request counts (this hour,
+    last 24 hours) and the two labels (next hour's requests, AQI six hours
+    ahead; null at the end of the series). No feature reads past its hour."""
+    from metroframe.functions.columns import calendar_features, surrogate_key
+    from metroframe.operators.timeline import lead_value, trailing_sum_rows
+
+    fills = fills or FEATURE_DEFAULTS
+    month_key = [F.col(key), F.month(ts)]
+    filled = {name: F.round(fill_recent_then_mean(key, ts, name, default, lookback_hours, month_key), 6)
+              for name, default in fills.items()}
+    out = hourly.select(
+        key, ts, *[c.alias(n) for n, c in calendar_features(ts).items()], *[c.alias(n) for n, c in filled.items()],
+        F.col(count_col).alias("complaints_last_1h"),
+        trailing_sum_rows(key, ts, count_col, 24).alias("complaints_last_24h"),
+        lead_value(key, ts, count_col, 1).alias("label_complaints_next_1h"),
+        lead_value(key, ts, aqi_col, 6).alias("label_aqi_next_6h"))
+    return out.select(surrogate_key(key, F.date_format(ts, "yyyy-MM-dd HH:mm:ss")).alias("feature_id"), "*",
+                      category_ordinal(aqi_col).alias("aqi_category_code"))

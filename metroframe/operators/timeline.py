@@ -202,3 +202,15 @@ def split_by_hour(df: DataFrame, start: str, end: str, out_hour: str = "event_ho
     last_hour = F.greatest(hour_trunc(start), hour_trunc(F.col(end) - F.expr("INTERVAL 1 MICROSECOND")))
     hours = F.sequence(hour_trunc(start), last_hour, F.expr("INTERVAL 1 HOUR"))
     return df.withColumn(out_hour, F.explode(hours))
+
+
+def lines_per_hour(episodes: DataFrame, key: str, hour_col: str = "event_hour") -> DataFrame:
+    """Distinct disrupted keys per clock hour and their sorted,
+    comma-separated ids (F12). An episode counts in every hour it overlaps;
+    an open one runs to its key's last poll. The id list holds distinct
+    line ids only, so its size is bounded by the number of lines."""
+    eps = episodes.withColumn("_end", F.coalesce("ended_at", "last_seen_at"))
+    hours = split_by_hour(eps, "started_at", "_end", hour_col)
+    ids = F.array_join(F.array_sort(F.collect_set(F.col(key).cast("string"))), ",")
+    return hours.groupBy(hour_col).agg(F.count_distinct(key).alias("disrupted_lines"),
+                                       ids.alias("disrupted_line_ids"))

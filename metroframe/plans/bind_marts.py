@@ -315,10 +315,6 @@ def lead_labels(spark, d):
                      TL.lead_value("city", "event_hour", "overall_aqi", 6).alias("label_aqi_next_6h"))
 
 
-# Feature defaults when nothing recent nor a monthly mean exists.
-FEATURE_DEFAULTS = {"temperature_c": 15.0, "precipitation_mm": 0.0, "overall_aqi": 50.0}
-
-
 def _fill_sql(col: str, default: float) -> str:
     return (f"round(coalesce(last_value({col} IGNORE NULLS) OVER (PARTITION BY city ORDER BY event_hour ROWS BETWEEN "
             f"6 PRECEDING AND CURRENT ROW), avg({col}) OVER (PARTITION BY city, month(event_hour)), {default}), 6)")
@@ -337,21 +333,7 @@ _ORD_SQL = ("least(CASE WHEN {a} <= 50 THEN 1 WHEN {a} <= 100 THEN 2 WHEN {a} <=
 SELECT md5(city || '|' || strftime(event_hour, '%Y-%m-%d %H:%M:%S')) AS feature_id, *,
   {_ORD_SQL.format(a='overall_aqi')}::BIGINT AS aqi_category_code FROM f""")
 def ml_features(spark, d):
-    hb = _hourly_base(spark, d)
-    month_key = [F.col("city"), F.month("event_hour")]
-    filled = {name: F.round(M.fill_recent_then_mean("city", "event_hour", name, default, 6, month_key), 6)
-              for name, default in FEATURE_DEFAULTS.items()}
-    feats = C.calendar_features("event_hour")
-    out = hb.select(
-        "city", "event_hour", *[c.alias(n) for n, c in feats.items()], *[c.alias(n) for n, c in filled.items()],
-        F.col("requests_count").alias("complaints_last_1h"),
-        TL.trailing_sum_rows("city", "event_hour", "requests_count", 24).alias("complaints_last_24h"),
-        TL.lead_value("city", "event_hour", "requests_count", 1).alias("label_complaints_next_1h"),
-        TL.lead_value("city", "event_hour", "overall_aqi", 6).alias("label_aqi_next_6h"))
-    out = out.select(
-        C.surrogate_key("city", F.date_format("event_hour", "yyyy-MM-dd HH:mm:ss")).alias("feature_id"), "*",
-        M.category_ordinal("overall_aqi").alias("aqi_category_code"))
-    return normalize(out)
+    return normalize(M.feature_table(_hourly_base(spark, d), "city", "event_hour", "requests_count"))
 
 
 # ---------------------------------------------------------------------------

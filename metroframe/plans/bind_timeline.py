@@ -241,9 +241,7 @@ def episodes_with_weather(spark, d) -> DataFrame:
     eps = line_episodes(spark, d, carry=["reason"]).withColumn("disruption_category", S.classify_reason("reason"))
     wh = weather_hourly(city_events(spark, d)).filter(F.col("city") == "london")
     joined = eps.join(wh, C.hour_trunc(eps["started_at"]) == wh["event_hour"], "left")
-    cat = F.col("disruption_category")
-    related = (F.when(cat == "planned", F.lit(False))
-               .otherwise((cat == "weather") | F.coalesce(F.col("precipitation_mm") >= RAIN_RELATED_MM, F.lit(False))))
+    related = M.weather_related("disruption_category", "precipitation_mm", RAIN_RELATED_MM)
     return joined.select(*eps.columns, F.col("precipitation_mm").alias("weather_precipitation_mm"),
                          related.alias("is_weather_related"))
 
@@ -256,11 +254,7 @@ def weather_related(spark, d):
 
 
 def hourly_disruptions(spark, d) -> DataFrame:
-    eps = line_episodes(spark, d).withColumn("_end", F.coalesce("ended_at", "last_seen_at"))
-    hours = TL.split_by_hour(eps, "started_at", "_end")
-    ids = F.array_join(F.array_sort(F.collect_set(F.col("line_id").cast("string"))), ",")
-    return hours.groupBy("event_hour").agg(F.count_distinct("line_id").alias("disrupted_lines"),
-                                           ids.alias("disrupted_line_ids"))
+    return TL.lines_per_hour(line_episodes(spark, d), "line_id")
 
 
 DL = """dl AS (SELECT event_hour, count(DISTINCT line_id) AS disrupted_lines,

@@ -358,10 +358,8 @@ def int_cross_domain_hourly(stg_311: DataFrame, stg_crime: DataFrame, stg_w: Dat
            .agg(F.count(F.lit(1)).alias("incidents")).withColumn("city", F.lit("nyc")))
     w = weather_city_hourly(stg_w)
     a = air_city_hourly(stg_air).select(*keys, "overall_aqi", "aqi_category")
-    eps = episodes.withColumn("_end", F.coalesce("ended_at", "last_seen_at"))
-    dl = (TL.split_by_hour(eps, "started_at", "_end").groupBy("event_hour")
-          .agg(F.count_distinct("line_id").alias("lines"),
-               F.array_join(F.array_sort(F.collect_set(F.col("line_id").cast("string"))), ",").alias("line_ids"))
+    dl = (TL.lines_per_hour(episodes, "line_id")
+          .withColumnsRenamed({"disrupted_lines": "lines", "disrupted_line_ids": "line_ids"})
           .withColumn("city", F.lit("london")))
     spine = TL.hour_spine(w, "city", "event_hour")
     out = (spine.join(w, keys, "left").join(a, keys, "left").join(req, keys, "left").join(inc, keys, "left")
@@ -390,9 +388,7 @@ def int_transit_delays(episodes: DataFrame, stg_w: DataFrame, city: str = "londo
     w = weather_city_hourly(stg_w).filter(F.col("city") == city).drop("city")
     j = episodes.withColumn("_h", C.hour_trunc("started_at")).join(
         w.withColumnRenamed("event_hour", "_h"), "_h", "left").drop("_h")
-    cat = F.col("disruption_category")
-    related = (F.when(cat == "planned", F.lit(False))
-               .otherwise((cat == "weather") | F.coalesce(F.col("precipitation_mm") >= rain_mm, F.lit(False))))
+    related = M.weather_related("disruption_category", "precipitation_mm", rain_mm)
     return j.withColumn("is_weather_related", related).withColumnsRenamed(
         {"temperature_c": "weather_temperature_c", "precipitation_mm": "weather_precipitation_mm"})
 
@@ -413,3 +409,13 @@ def scd_tfl_line_status(stg_status: DataFrame) -> DataFrame:
     """Every status transition of every line (H1 on line status)."""
     from metroframe.operators.snapshots import scd2_history
     return scd2_history(stg_status, "line_id", ["status_severity", "status_description"], "observed_at")
+
+
+def mart_ml_features(cross_domain: DataFrame) -> DataFrame:
+    """Feature and label table per city-hour (G11–G13) from
+    int_cross_domain_hourly; request counts of a city without requests
+    count as 0 (D14)."""
+    hourly = cross_domain.select(
+        "city", "event_hour", F.col("temperature_celsius").alias("temperature_c"), "precipitation_mm",
+        "overall_aqi", F.coalesce("nyc_311_complaints_count", F.lit(0)).alias("requests_count"))
+    return M.feature_table(hourly, "city", "event_hour", "requests_count")

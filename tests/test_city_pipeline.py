@@ -216,6 +216,14 @@ def test_cross_domain_hourly_domain_tables(spark):
     assert out[("london", 13)].london_transit_disrupted_lines == "central"
     assert out[("london", 14)].london_transit_disruptions == 1 and out[("london", 15)].london_transit_disruptions == 0
     assert out[("london", 13)].nyc_311_complaints_count is None
+    feats = P.mart_ml_features(P.int_cross_domain_hourly(stg311, stg_crime, stg_w, air, eps))
+    cols = [c for c in feats.columns if not c.startswith("label_")]
+    nulls = feats.select([F.count_if(F.col(c).isNull()).alias(c) for c in cols]).collect()[0].asDict()
+    assert all(v == 0 for v in nulls.values()), nulls
+    f = {(r.city, r.hour_of_day): r for r in feats.collect()}
+    assert f[("nyc", 12)].overall_aqi == 77.0  # nothing within 6 h before -> city-month mean
+    assert f[("london", 12)].overall_aqi == 50.0  # no AQI at all for the city -> constant default
+    assert f[("nyc", 13)].overall_aqi == 77.0 and f[("nyc", 14)].overall_aqi == 77.0  # last value within 6 h
 
 
 def test_transit_marts(spark):
