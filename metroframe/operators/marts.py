@@ -178,3 +178,38 @@ def feature_table(hourly: DataFrame, key: str, ts: str, count_col: str, aqi_col:
         lead_value(key, ts, aqi_col, 6).alias("label_aqi_next_6h"))
     return out.select(surrogate_key(key, F.date_format(ts, "yyyy-MM-dd HH:mm:ss")).alias("feature_id"), "*",
                       category_ordinal(aqi_col).alias("aqi_category_code"))
+
+
+def air_quality_indexed(hourly: DataFrame, key: str = "city", ts: str = "event_hour", aqi: str = "overall_aqi",
+                        dominant: str = "dominant_pollutant") -> DataFrame:
+    """int_air_quality_indexed (F6–F9, F14) over an hourly (key, hour)
+    table: 24-hour rolling mean on a time-range frame (missing hours shrink
+    the window), the day's peak on every hour, the dominant pollutant, the
+    category band and the health advisory."""
+    from metroframe.functions.columns import surrogate_key
+    from metroframe.operators.staging import aqi_band
+    from metroframe.operators.timeline import partition_max, rolling_mean_hours
+
+    h = hourly.withColumn("observation_date", F.to_date(ts))
+    return h.select(
+        surrogate_key(key, F.date_format(ts, "yyyy-MM-dd HH:mm:ss")).alias("observation_id"),
+        F.col(ts).alias("observed_at"), "observation_date", key, aqi, aqi_band(F.col(aqi)).alias("aqi_category"),
+        F.round(rolling_mean_hours(key, ts, aqi, 24), 4).alias("aqi_24h_rolling_avg"),
+        partition_max(aqi, key, "observation_date").alias("daily_peak_aqi"), dominant,
+        health_advisory(aqi).alias("health_advisory"))
+
+
+def air_quality_trends(daily: DataFrame, key: str, day: str, avg_col: str = "avg_aqi", max_col: str = "max_aqi",
+                       unhealthy_above: int = 100) -> DataFrame:
+    """mart_air_quality_trends (G7, G8) over a daily (key, day) table:
+    7- and 30-day rolling means of the daily mean and the count of unhealthy
+    days (max AQI above the threshold, D7) in the trailing 30 days, all on
+    day-range frames."""
+    from metroframe.operators.timeline import rolling_days
+
+    bad = F.sum(F.when(F.col(max_col) > unhealthy_above, 1).otherwise(0))
+    return daily.select(
+        key, day, avg_col, max_col,
+        F.round(rolling_days(key, day, F.avg(avg_col), 7), 6).alias("aqi_7d_avg"),
+        F.round(rolling_days(key, day, F.avg(avg_col), 30), 6).alias("aqi_30d_avg"),
+        rolling_days(key, day, bad, 30).alias("unhealthy_days_30d"))

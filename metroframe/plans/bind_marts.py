@@ -133,20 +133,16 @@ SELECT city, event_date, avg_aqi AS daily_avg_aqi,
   round(avg(avg_aqi) OVER (PARTITION BY city ORDER BY event_date RANGE BETWEEN INTERVAL 29 DAY PRECEDING AND CURRENT ROW), 6)
     AS aqi_30d_avg FROM ad""")
 def rolling_7d_30d(spark, d):
-    ad = _air_daily(city_events(spark, d))
-    return ad.select("city", "event_date", F.col("avg_aqi").alias("daily_avg_aqi"),
-                     F.round(TL.rolling_days("city", "event_date", F.avg("avg_aqi"), 7), 6).alias("aqi_7d_avg"),
-                     F.round(TL.rolling_days("city", "event_date", F.avg("avg_aqi"), 30), 6).alias("aqi_30d_avg"))
+    trends = M.air_quality_trends(_air_daily(city_events(spark, d)), "city", "event_date", unhealthy_above=BAD_AIR_AQI)
+    return trends.select("city", "event_date", F.col("avg_aqi").alias("daily_avg_aqi"), "aqi_7d_avg", "aqi_30d_avg")
 
 
 @register("unhealthy_days_30d", with_ctes(EV, AO, AD) + f"""
 SELECT city, event_date, max_aqi, (sum(CASE WHEN max_aqi > {BAD_AIR_AQI} THEN 1 ELSE 0 END) OVER (PARTITION BY city
   ORDER BY event_date RANGE BETWEEN INTERVAL 29 DAY PRECEDING AND CURRENT ROW))::BIGINT AS unhealthy_days_30d FROM ad""")
 def unhealthy_days_30d(spark, d):
-    ad = _air_daily(city_events(spark, d))
-    bad = F.sum(F.when(F.col("max_aqi") > BAD_AIR_AQI, 1).otherwise(0))
-    return normalize(ad.select("city", "event_date", "max_aqi",
-                               TL.rolling_days("city", "event_date", bad, 30).alias("unhealthy_days_30d")))
+    trends = M.air_quality_trends(_air_daily(city_events(spark, d)), "city", "event_date", unhealthy_above=BAD_AIR_AQI)
+    return normalize(trends.select("city", "event_date", "max_aqi", "unhealthy_days_30d"))
 
 
 @register("cross_domain_daily", with_ctes(EV, DS, WD, AO, AD, QD) + f"""

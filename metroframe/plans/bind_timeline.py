@@ -311,14 +311,7 @@ SELECT md5(city || '|' || strftime(event_hour, '%Y-%m-%d %H:%M:%S')) AS observat
   max(overall_aqi) OVER (PARTITION BY city, CAST(event_hour AS DATE)) AS daily_peak_aqi,
   dominant_pollutant, {_ADVISORY_SQL.format(a='overall_aqi')} AS health_advisory FROM ah""")
 def air_quality_indexed(spark, d):
-    ah = air_hourly(city_events(spark, d)).withColumn("observation_date", F.to_date("event_hour"))
-    return ah.select(
-        C.surrogate_key("city", F.date_format("event_hour", "yyyy-MM-dd HH:mm:ss")).alias("observation_id"),
-        F.col("event_hour").alias("observed_at"), "observation_date", "city", "overall_aqi",
-        S.aqi_band(F.col("overall_aqi")).alias("aqi_category"),
-        F.round(TL.rolling_mean_hours("city", "event_hour", "overall_aqi", 24), 4).alias("aqi_24h_rolling_avg"),
-        TL.partition_max("overall_aqi", "city", "observation_date").alias("daily_peak_aqi"),
-        "dominant_pollutant", M.health_advisory("overall_aqi").alias("health_advisory"))
+    return M.air_quality_indexed(air_hourly(city_events(spark, d)))
 
 
 # ---------------------------------------------------------------------------

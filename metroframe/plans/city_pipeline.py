@@ -419,3 +419,17 @@ def mart_ml_features(cross_domain: DataFrame) -> DataFrame:
         "city", "event_hour", F.col("temperature_celsius").alias("temperature_c"), "precipitation_mm",
         "overall_aqi", F.coalesce("nyc_311_complaints_count", F.lit(0)).alias("requests_count"))
     return M.feature_table(hourly, "city", "event_hour", "requests_count")
+
+
+def int_air_quality_indexed(stg_air: DataFrame) -> DataFrame:
+    """Air quality per city and hour with rolling, peak, dominant pollutant
+    and advisory (F14); reporting areas are collapsed to the city first."""
+    return M.air_quality_indexed(air_city_hourly(stg_air))
+
+
+def mart_air_quality_trends(stg_air: DataFrame, unhealthy_above: int = 100) -> DataFrame:
+    """Daily air-quality trends per city."""
+    daily = (air_city_hourly(stg_air).groupBy("city", F.to_date("event_hour").alias("trend_date"))
+             .agg(F.avg("overall_aqi").alias("avg_aqi"), F.max("overall_aqi").alias("max_aqi")))
+    trends = M.air_quality_trends(daily, "city", "trend_date", unhealthy_above=unhealthy_above)
+    return trends.withColumn("trend_id", C.surrogate_key("city", "trend_date"))

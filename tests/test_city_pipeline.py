@@ -255,3 +255,19 @@ def test_transit_marts(spark):
     assert perf["2024-03-16"].avg_aqi_on_disruption_days == 30.0 and perf["2024-03-15"].avg_aqi_on_disruption_days is None
     scd = P.scd_tfl_line_status(status).orderBy("valid_from").collect()
     assert [r.status_severity for r in scd] == [10, 9, 10, 4, 10] and scd[-1].is_current
+
+
+def test_air_quality_marts(spark):
+    recs = [{"DateObserved": f"2024-03-{d:02d}", "HourObserved": h, "LocalTimeZone": "EST", "ReportingArea": area,
+             "ParameterName": "PM2.5", "AQI": a} for d, h, area, a in [
+        (1, 10, "New York City - Manhattan", 40), (1, 10, "NYC Queens", 120), (1, 12, "NYC Queens", 60),
+        (2, 10, "NYC Queens", 180), (9, 10, "NYC Queens", 30)]]
+    air = P.stg_airnow(P.with_ingest_metadata(P.raw_air(spark.createDataFrame(
+        [(json.dumps(r),) for r in recs], "value string")), "a", "2024-03-10 00:00:00"))
+    idx = {str(r.observed_at): r for r in P.int_air_quality_indexed(air).collect()}
+    r = idx["2024-03-01 15:00:00"]
+    assert (r.overall_aqi, r.daily_peak_aqi, r.health_advisory) == (120, 120, "Sensitive Groups")  # max over areas
+    assert idx["2024-03-01 17:00:00"].aqi_24h_rolling_avg == 90.0
+    trends = {str(t.trend_date): t for t in P.mart_air_quality_trends(air).collect()}
+    assert trends["2024-03-02"].unhealthy_days_30d == 2 and trends["2024-03-09"].unhealthy_days_30d == 2
+    assert trends["2024-03-09"].aqi_7d_avg == 30.0  # 7-day range frame drops March 1–2
