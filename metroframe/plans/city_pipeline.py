@@ -433,3 +433,61 @@ def mart_air_quality_trends(stg_air: DataFrame, unhealthy_above: int = 100) -> D
              .agg(F.avg("overall_aqi").alias("avg_aqi"), F.max("overall_aqi").alias("max_aqi")))
     trends = M.air_quality_trends(daily, "city", "trend_date", unhealthy_above=unhealthy_above)
     return trends.withColumn("trend_id", C.surrogate_key("city", "trend_date"))
+
+
+def mart_city_daily_summary(stg_311: DataFrame, stg_crime: DataFrame, stg_w: DataFrame, stg_air: DataFrame,
+                            episodes: DataFrame) -> DataFrame:
+    """City × day summary (G1–G3): each domain is aggregated to (city, day)
+    on its own and joined on the day spine — never one wide join that is
+    aggregated afterwards. dominant_weather is the day's most frequent
+    description (ties alphabetical); worst_aqi_category is the category of
+    the day's worst hour."""
+    keys = ["city", "summary_date"]
+    w = stg_w.withColumn("summary_date", F.to_date("observed_at"))
+    weather = w.groupBy(*keys).agg(
+        F.avg("temperature_c").alias("avg_temperature_c"), F.max("temperature_c").alias("max_temperature_c"),
+        F.min("temperature_c").alias("min_temperature_c"), F.sum("precipitation_mm").alias("total_precipitation_mm"),
+        F.max("wind_speed_kmh").alias("max_wind_speed_kmh"))
+    dominant = M.mode_of(w.filter(F.col("weather_description").isNotNull()), keys, "weather_description",
+                         "dominant_weather")
+    air = (air_city_hourly(stg_air).withColumn("summary_date", F.to_date("event_hour")).groupBy(*keys)
+           .agg(F.avg("overall_aqi").alias("avg_aqi"), F.max("overall_aqi").alias("max_aqi"),
+                F.max_by("aqi_category", F.struct("overall_aqi", "aqi_category")).alias("worst_aqi_category")))
+    req = (stg_311.groupBy(F.to_date("created_at").alias("summary_date"))
+           .agg(F.count(F.lit(1)).alias("complaints_count"),
+                F.count_if(F.col("closed_at").isNotNull()).alias("complaints_closed"))
+           .withColumn("city", F.lit("nyc")))
+    inc = (stg_crime.groupBy(F.to_date("occurred_at").alias("summary_date"))
+           .agg(F.count(F.lit(1)).alias("incidents_count"),
+                F.count_if(F.col("law_category") == "FELONY").alias("felony_count"))
+           .withColumn("city", F.lit("nyc")))
+    transit = (episodes.groupBy(F.to_date("started_at").alias("summary_date"))
+               .agg(F.count(F.lit(1)).alias("transit_disruption_events"))
+               .withColumn("city", F.lit("london")))
+    spine = TL.day_spine(w, "city", "summary_date", out="summary_date")
+    out = spine
+    for part in (weather, dominant, air, req, inc, transit):
+        out = out.join(part, keys, "left")
+    nyc, london = F.col("city") == "nyc", F.col("city") == "london"
+    counts = {c: F.when(nyc, F.coalesce(c, F.lit(0))) for c in
+              ["complaints_count", "complaints_closed", "incidents_count", "felony_count"]}
+    counts["transit_disruption_events"] = F.when(london, F.coalesce("transit_disruption_events", F.lit(0)))
+    return out.withColumns(counts).withColumn("summary_id", C.surrogate_key("city", "summary_date"))
+
+
+def mart_cross_domain_correlations(daily: DataFrame, bad_air_aqi: int = 100,
+                                   extreme_rain_mm: float = 25.0) -> tuple[DataFrame, DataFrame]:
+    """Conditional daily metrics (G9, D11: the day's value when the
+    condition holds, else null) and per-city correlations over them (G10)."""
+    bad_air = F.col("max_aqi") > bad_air_aqi
+    rainy = F.coalesce(F.col("total_precipitation_mm") > extreme_rain_mm, F.lit(False))
+    per_day = daily.select(
+        "summary_id", "city", "summary_date", "max_aqi", "total_precipitation_mm", "complaints_count",
+        "incidents_count", "transit_disruption_events", bad_air.alias("is_bad_air_day"), rainy.alias("is_rain_day"),
+        M.conditional("complaints_count", bad_air).alias("complaints_on_bad_air_day"),
+        M.conditional("incidents_count", rainy).alias("crime_on_extreme_weather_day"),
+        M.conditional("transit_disruption_events", bad_air).alias("disruptions_on_bad_air_day"))
+    corr = M.correlations(daily, ["city"], {
+        "corr_aqi_vs_disruptions": ("max_aqi", "transit_disruption_events"),
+        "corr_precipitation_vs_complaints": ("total_precipitation_mm", "complaints_count")})
+    return per_day, corr

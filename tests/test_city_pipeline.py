@@ -271,3 +271,42 @@ def test_air_quality_marts(spark):
     trends = {str(t.trend_date): t for t in P.mart_air_quality_trends(air).collect()}
     assert trends["2024-03-02"].unhealthy_days_30d == 2 and trends["2024-03-09"].unhealthy_days_30d == 2
     assert trends["2024-03-09"].aqi_7d_avg == 30.0  # 7-day range frame drops March 1–2
+
+
+def test_daily_summary_and_correlations(spark):
+    hours = [f"2024-03-{d:02d}T{h:02d}:00" for d in (15, 16) for h in (10, 11, 12)]
+    payload = json.dumps({"hourly": {"time": hours, "temperature_2m": [10.0, 12.0, 14.0, 1.0, 2.0, 3.0],
+                                     "precipitation": [0.0, 30.0, 0.0, 0.0, 0.0, 1.0],
+                                     "weather_code": [61, 61, 3, 3, 3, 0]}})
+    w = P.weather_rows(spark.createDataFrame([("nyc", payload), ("london", payload)], "city string, value string"))
+    stg_w = P.stg_weather(P.with_ingest_metadata(w, "w", "2024-03-17 00:05:00"))
+    reqs = [dict(BASE, unique_key=str(i), created_date="2024-03-15T08:00:00.000") for i in range(4)]
+    stg311 = P.stg_nyc_311(P.with_ingest_metadata(
+        P.raw_requests(spark.createDataFrame([(json.dumps(r),) for r in reqs], "value string")), "r", "2024-03-17"))
+    crimes = [{"cmplnt_num": str(i), "cmplnt_fr_dt": "03/15/2024", "cmplnt_fr_tm": "09:00:00",
+               "law_cat_cd": "FELONY" if i else "VIOLATION"} for i in range(3)]
+    stg_crime = P.stg_nyc_crime(P.with_ingest_metadata(
+        P.raw_incidents(spark.createDataFrame([(json.dumps(c),) for c in crimes], "value string")), "c", "2024-03-17"))
+    air = P.stg_airnow(P.with_ingest_metadata(P.raw_air(spark.createDataFrame(
+        [(json.dumps({"DateObserved": "2024-03-15", "HourObserved": 7, "LocalTimeZone": "EDT", "ReportingArea": "NYC",
+                      "ParameterName": "O3", "AQI": 130}),)], "value string")), "a", "2024-03-17"))
+    status = spark.createDataFrame([("jub", "Jubilee", "2024-03-16 10:00:00", 6, "x"),
+                                    ("jub", "Jubilee", "2024-03-16 11:00:00", 10, None)],
+                                   "line_id string, line_name string, observed_at string, status_severity long, "
+                                   "reason string").withColumn("observed_at", F.col("observed_at").cast("timestamp_ntz"))
+    eps = P.disruption_episodes(P.stg_tfl_line_status(status), max_gap_seconds=None)
+    daily = P.mart_city_daily_summary(stg311, stg_crime, stg_w, air, eps)
+    d = {(r.city, str(r.summary_date)): r for r in daily.collect()}
+    assert len(d) == 4
+    nyc15 = d[("nyc", "2024-03-15")]
+    assert nyc15.avg_temperature_c == 12.0 and nyc15.total_precipitation_mm == 30.0
+    assert nyc15.dominant_weather == "Slight rain" and nyc15.max_aqi == 130
+    assert nyc15.worst_aqi_category == "Unhealthy for Sensitive Groups"
+    assert (nyc15.complaints_count, nyc15.incidents_count, nyc15.felony_count) == (4, 3, 2)
+    assert d[("london", "2024-03-16")].transit_disruption_events == 1 and nyc15.transit_disruption_events is None
+    per_day, corr = P.mart_cross_domain_correlations(daily)
+    p = {(r.city, str(r.summary_date)): r for r in per_day.collect()}
+    assert p[("nyc", "2024-03-15")].complaints_on_bad_air_day == 4
+    assert p[("nyc", "2024-03-15")].crime_on_extreme_weather_day == 3
+    assert p[("nyc", "2024-03-16")].complaints_on_bad_air_day is None
+    assert {r.city for r in corr.collect()} == {"nyc", "london"}
