@@ -27,7 +27,10 @@ def _c(c) -> Column:
 
 
 def epoch_seconds(ts) -> Column:
-    return F.unix_seconds(_c(ts).cast("timestamp"))
+    """Seconds since 1970-01-01 on the wall clock: no session time zone (and
+    so no DST jump) enters range frames or gap tests."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_diff("SECOND", epoch, _c(ts).cast("timestamp_ntz"))
 
 
 def minutes_floor(start, end) -> Column:

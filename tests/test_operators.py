@@ -184,3 +184,14 @@ def test_mark_deleted_closes_open_version(spark):
     assert out[("u2", "open")].is_deleted and out[("u2", "open")].valid_to == ts("2024-01-05 00:00:00")
     assert not out[("u2", "open")].is_current and out[("u1", "closed")].is_current
     assert not out[("u1", "open")].is_deleted
+
+
+def test_range_frames_ignore_session_zone(spark):
+    df = spark.createDataFrame([("c", ts("2024-03-09 12:00:00"), 10.0), ("c", ts("2024-03-10 11:00:00"), 20.0)],
+                               "city string, h timestamp_ntz, v double")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")  # DST starts 2024-03-10
+    try:
+        out = [r[0] for r in df.orderBy("h").select(TL.rolling_mean_hours("city", "h", "v", 24)).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert out == [10.0, 15.0]  # 23 wall-clock hours apart: inside the 24-hour frame
