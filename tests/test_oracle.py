@@ -1,6 +1,9 @@
 """Every registered query against its DuckDB oracle at sf0.001 (the driver
 runs the same comparison at sf0.01)."""
 
+import contextlib
+import io
+
 import duckdb
 import pytest
 
@@ -39,3 +42,16 @@ def test_matches_oracle(spark, con, sf_small, key):
     assert len(s_rows) == len(d_rows)
     cols = sorted(sdf.columns)
     assert rows_of(s_rows, cols, 6) == rows_of(d_rows, cols, 6)
+
+
+@pytest.mark.parametrize("key", sorted(QUERIES))
+def test_whole_tables_no_caps(spark, sf_small, key):
+    """No registered query limits or samples its input; a limit appears only
+    where it is the feature (the most-recent page)."""
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        QUERIES[key](spark, sf_small).explain()
+    plan = buf.getvalue()
+    capped = any(word in plan for word in ("GlobalLimit", "LocalLimit", "CollectLimit", "TakeOrderedAndProject",
+                                           "Sample"))
+    assert capped == (key == "recent_top_k"), plan
