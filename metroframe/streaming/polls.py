@@ -81,12 +81,13 @@ def stream_hourly(stream: DataFrame, ts: str, group_cols: list[str], delay: str,
             .select(*group_cols, F.col("window.start").alias("window_start"), "n_events"))
 
 
-EPISODE_SCHEMA = T.StructType([
-    T.StructField("line_id", T.LongType()),
-    T.StructField("severity_level", T.LongType()),
-    T.StructField("started_at", T.TimestampType()),
-    T.StructField("ended_at", T.TimestampType()),
-])
+def episode_schema(key_type: T.DataType) -> T.StructType:
+    return T.StructType([
+        T.StructField("line_id", key_type),
+        T.StructField("severity_level", T.LongType()),
+        T.StructField("started_at", T.TimestampType()),
+        T.StructField("ended_at", T.TimestampType()),
+    ])
 EPISODE_STATE = T.StructType([
     T.StructField("last_ts", T.TimestampType()),
     T.StructField("disrupted", T.BooleanType()),
@@ -100,7 +101,11 @@ def _episode_processor(key: tuple, batches: Iterator[pd.DataFrame], state: Group
     the open episode; emits an episode when the line leaves a disrupted
     state (or changes severity). Polls older than the last seen one are late
     and ignored — the batch rebuild corrects them."""
-    polls = pd.concat(list(batches), ignore_index=True).sort_values("ts", kind="stable")
+    polls = pd.concat(list(batches), ignore_index=True)
+    # One state per poll time: the worst status (disrupted first, then the
+    # lowest code) — the same rule as the batch path's collapse_statuses.
+    polls = (polls.sort_values(["ts", "disrupted", "severity"], ascending=[True, False, True], kind="stable")
+             .drop_duplicates("ts", keep="first"))
     if state.exists:
         last_ts, disrupted, severity, open_start = state.get
     else:
@@ -109,12 +114,14 @@ def _episode_processor(key: tuple, batches: Iterator[pd.DataFrame], state: Group
     for ts, dis, sev in zip(polls["ts"], polls["disrupted"], polls["severity"]):
         if last_ts is not None and ts <= last_ts:
             continue
-        changed = disrupted is None or bool(dis) != bool(disrupted) or int(sev) != int(severity)
+        sev = -1 if pd.isna(sev) else int(sev)  # a poll without statuses: a state of its own, not disrupted
+        dis = False if pd.isna(dis) else bool(dis)
+        changed = disrupted is None or dis != disrupted or sev != severity
         if changed:
             if disrupted and open_start is not None:
                 out.append((key[0], int(severity), open_start, ts))
             open_start = ts if dis else None
-        disrupted, severity, last_ts = bool(dis), int(sev), ts
+        disrupted, severity, last_ts = dis, sev, ts
     state.update((last_ts, disrupted, severity, open_start))
     if out:
         yield pd.DataFrame(out, columns=["line_id", "severity_level", "started_at", "ended_at"])
@@ -126,6 +133,7 @@ def stream_episodes(stream: DataFrame, key: str = "line_id", ts: str = "ts", fla
     closed rows of the batch ``timeline.episodes`` on the same polls."""
     polls = stream.select(F.col(key).alias("line_id"), F.col(ts).alias("ts"),
                           F.col(flag).alias("disrupted"), F.col(severity).cast("long").alias("severity"))
+    out_schema = episode_schema(polls.schema["line_id"].dataType)
     return (polls.groupBy("line_id")
-            .applyInPandasWithState(_episode_processor, EPISODE_SCHEMA, EPISODE_STATE, "append",
+            .applyInPandasWithState(_episode_processor, out_schema, EPISODE_STATE, "append",
                                     GroupStateTimeout.NoTimeout))

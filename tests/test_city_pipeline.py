@@ -2,10 +2,12 @@
 enrichment with weather and air quality → SLA mart → borough summary."""
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
+from metroframe.operators import timeline as TL
 from metroframe.plans import city_pipeline as P
 from metroframe.session import work_path
 
@@ -310,3 +312,34 @@ def test_daily_summary_and_correlations(spark):
     assert p[("nyc", "2024-03-15")].crime_on_extreme_weather_day == 3
     assert p[("nyc", "2024-03-16")].complaints_on_bad_air_day is None
     assert {r.city for r in corr.collect()} == {"nyc", "london"}
+
+
+def test_poll_stream_job_equals_batch(spark, tmp_path):
+    def poll(line, t, statuses):
+        return {"id": line, "name": line.title(), "polled_at": t,
+                "lineStatuses": [{"statusSeverity": s, "statusSeverityDescription": "", "reason": r}
+                                 for s, r in statuses]}
+    files = [
+        [poll("central", "2024-03-15T10:00:00", [(10, None)]), poll("jubilee", "2024-03-15T10:00:00", [(10, None)])],
+        [poll("central", "2024-03-15T10:01:00", [(9, "signal"), (3, "signal")]),  # worst of two statuses: 3
+         poll("jubilee", "2024-03-15T10:01:00", [])],
+        [poll("central", "2024-03-15T10:02:00", [(3, "signal")]), poll("jubilee", "2024-03-15T10:02:00", [(6, "x")])],
+        [poll("central", "2024-03-15T10:03:00", [(10, None)]), poll("jubilee", "2024-03-15T10:03:00", [(10, None)])],
+    ]
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    for i, recs in enumerate(files):
+        f = landing / f"poll-{i}.json"
+        f.write_text("\n".join(json.dumps(r) for r in recs) + "\n")
+        os.utime(f, (1_700_000_000 + 60 * i, 1_700_000_000 + 60 * i))  # files land one minute apart
+    paths = P.run_poll_stream(spark, str(landing), str(tmp_path / "out"), max_files_per_trigger=1)
+    raw = spark.read.parquet(paths["raw_line_status"])
+    assert raw.count() == 9  # one row per status; a poll without statuses keeps one null row
+    got = sorted((r.line_id, r.severity_level, str(r.started_at), str(r.ended_at))
+                 for r in spark.read.parquet(paths["episodes"]).collect())
+    batch_polls = P.collapse_statuses(P.line_status_rows(spark.read.schema(P.LINE_STATUS_SCHEMA).json(str(landing))))
+    want = sorted((r.line_id, r.status_severity, str(r.started_at), str(r.ended_at)) for r in
+                  TL.episodes(batch_polls, "line_id", "observed_at", "is_disrupted", extra_state=["status_severity"])
+                  .filter(F.col("ended_at").isNotNull()).collect())
+    assert got == want == [("central", 3, "2024-03-15 10:01:00", "2024-03-15 10:03:00"),
+                           ("jubilee", 6, "2024-03-15 10:02:00", "2024-03-15 10:03:00")]
