@@ -213,3 +213,19 @@ def air_quality_trends(daily: DataFrame, key: str, day: str, avg_col: str = "avg
         F.round(rolling_days(key, day, F.avg(avg_col), 7), 6).alias("aqi_7d_avg"),
         F.round(rolling_days(key, day, F.avg(avg_col), 30), 6).alias("aqi_30d_avg"),
         rolling_days(key, day, bad, 30).alias("unhealthy_days_30d"))
+
+
+def conditional_counts(df: DataFrame, group_cols: list[str], conditions: dict[str, Column]) -> DataFrame:
+    """Counts of rows meeting each condition per group, in one aggregation
+    (F11: all requests, noise requests, incidents per city-hour)."""
+    return df.groupBy(*group_cols).agg(*[F.count_if(cond).alias(name) for name, cond in conditions.items()])
+
+
+def enrich_left(df: DataFrame, tables: list[DataFrame], keys: list[str]) -> DataFrame:
+    """Left-join tables that are each unique on ``keys`` (already aggregated
+    to that grain, F2/F13): the row count of ``df`` is kept, no join fans
+    out. Small right sides become broadcasts by the planner's size check."""
+    out = df
+    for t in tables:
+        out = out.join(t, keys, "left")
+    return out

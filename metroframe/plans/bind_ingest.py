@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from metroframe.functions import columns as C
 from metroframe.operators import contracts as K
+from metroframe.operators import staging as S
 from metroframe.plans.registry import normalize, register
 from metroframe.session import work_path
 from metroframe.sources import raw as R
@@ -59,9 +60,8 @@ def raw_json_scan(spark, d):
 @register("seed_lookup", """
 SELECT n_nationkey::BIGINT AS n_nationkey, n_name, r_name FROM nation LEFT JOIN region ON n_regionkey = r_regionkey""")
 def seed_lookup(spark, d):
-    from metroframe.operators.staging import lookup
     n, r = tbl(spark, d, "nation"), tbl(spark, d, "region")
-    return normalize(lookup(n, r, "n_regionkey", "r_regionkey").select("n_nationkey", "n_name", "r_name"))
+    return normalize(S.lookup(n, r, "n_regionkey", "r_regionkey").select("n_nationkey", "n_name", "r_name"))
 
 
 @register("incremental_lookback", f"""
@@ -269,7 +269,7 @@ def raw_projection(spark, d):
                ("_ingestion_date", F.to_date("ts")), ("unique_key", F.col("event_id").cast("string")),
                ("complaint_type", F.col("event_type")), ("incident_zip", F.col("user_id").cast("string")),
                ("raw_json", F.col("props"))]
-    return ev.select(*[c.alias(n) for n, c in mapping])
+    return R.raw_projection(ev, mapping)
 
 
 @register("cast_timestamps", """

@@ -69,10 +69,8 @@ def air_hourly(ev: DataFrame) -> DataFrame:
 
 def request_counts(ev: DataFrame) -> DataFrame:
     t = F.col("event_type")
-    return ev.groupBy("city", "event_hour").agg(
-        F.count_if(t.isin("purchase", "click")).alias("requests_count"),
-        F.count_if(t == "click").alias("noise_count"),
-        F.count_if(t == "error").alias("incidents_count"))
+    return M.conditional_counts(ev, ["city", "event_hour"], {
+        "requests_count": t.isin("purchase", "click"), "noise_count": t == "click", "incidents_count": t == "error"})
 
 
 def line_polls(spark, d) -> DataFrame:
@@ -163,7 +161,7 @@ def enrich_hourly(spark, d):
     req = ev.filter(F.col("event_type").isin("purchase", "click")).select("event_id", "city", "event_hour")
     wh = weather_hourly(ev).select("city", "event_hour", "temperature_c", "precipitation_mm")
     ah = air_hourly(ev).select("city", "event_hour", "overall_aqi")
-    return req.join(wh, ["city", "event_hour"], "left").join(ah, ["city", "event_hour"], "left")
+    return M.enrich_left(req, [wh, ah], ["city", "event_hour"])
 
 
 def _zip_seed_sql() -> str:

@@ -182,6 +182,11 @@ def ingest_metadata(df: DataFrame, run_id: str, run_ts: str, payload_cols: list[
     })
 
 
+def raw_projection(df: DataFrame, mapping: list[tuple[str, Column]]) -> DataFrame:
+    """Project onto a raw table's column list, in its fixed order."""
+    return df.select(*[c.alias(name) for name, c in mapping])
+
+
 def explode_nested(df: DataFrame, array_col: str, keep: list[str]) -> DataFrame:
     """Nested status array → one row per element (A9); empty or null arrays
     keep their parent row with null fields."""
