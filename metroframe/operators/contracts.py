@@ -18,6 +18,16 @@ from pyspark.sql import functions as F
 from metroframe.functions.columns import safe_float, safe_int, safe_str
 
 
+# Validation messages ("missing <field>" for absent fields, and
+# these prefixes followed by the offending value).
+MSG_MISSING = "missing "
+MSG_UNKNOWN_BOROUGH = "unknown borough: "
+MSG_UNKNOWN_LAW_CAT = "unknown law_cat_cd: "
+MSG_UNKNOWN_CITY = "unknown city: "
+MSG_INVALID_HOUR = "invalid hour_observed: "
+MSG_AQI_RANGE = "aqi out of range: "
+
+
 @dataclass(frozen=True)
 class Rule:
     violated: Column  # true when the rule fails (null counts as pass)
@@ -34,7 +44,7 @@ def rule(violated: Column, message, hard: bool = False) -> Rule:
 
 
 def missing(col: str, name: str | None = None, hard: bool = False) -> Rule:
-    return rule(safe_str(col).isNull(), f"missing {name or col}", hard)
+    return rule(safe_str(col).isNull(), MSG_MISSING + (name or col), hard)
 
 
 def apply_contract(df: DataFrame, rules: list[Rule], all_hard: bool = False) -> DataFrame:
@@ -71,7 +81,7 @@ def request_rules(key="unique_key", created="created_date", ctype="complaint_typ
         missing(key, "unique_key", hard=True),
         missing(created, "created_date", hard=True),
         missing(ctype, "complaint_type"),
-        rule(b.isNotNull() & ~F.upper(b).isin(KNOWN_BOROUGHS), F.concat(F.lit("unknown borough: "), b)),
+        rule(b.isNotNull() & ~F.upper(b).isin(KNOWN_BOROUGHS), F.concat(F.lit(MSG_UNKNOWN_BOROUGH), b)),
     ]
 
 
@@ -94,7 +104,7 @@ def incident_rules(key="cmplnt_num", from_date="cmplnt_fr_dt", law_cat="law_cat_
     return [
         missing(key, "cmplnt_num", hard=True),
         missing(from_date, "cmplnt_fr_dt"),
-        rule(lc.isNotNull() & ~F.upper(lc).isin(VALID_LAW_CATS), F.concat(F.lit("unknown law_cat_cd: "), lc)),
+        rule(lc.isNotNull() & ~F.upper(lc).isin(VALID_LAW_CATS), F.concat(F.lit(MSG_UNKNOWN_LAW_CAT), lc)),
     ]
 
 
@@ -107,7 +117,7 @@ def weather_rules(time="observation_time", city="city") -> list[Rule]:
     return [
         missing(time, "observation_time"),
         missing(city, "city"),
-        rule(c.isNotNull() & ~c.isin(list(CITY_COORDS)), F.concat(F.lit("unknown city: "), c)),
+        rule(c.isNotNull() & ~c.isin(list(CITY_COORDS)), F.concat(F.lit(MSG_UNKNOWN_CITY), c)),
     ]
 
 
@@ -122,8 +132,8 @@ def air_rules(param="parameter_name", date="date_observed", hour="hour_observed"
     return [
         missing(param, "parameter_name", hard=True),
         missing(date, "date_observed"),
-        rule(h.isNotNull() & ~h.between(0, 23), F.concat(F.lit("invalid hour_observed: "), h.cast("string"))),
-        rule(a.isNotNull() & ~a.between(0, 500), F.concat(F.lit("aqi out of range: "), a.cast("string"))),
+        rule(h.isNotNull() & ~h.between(0, 23), F.concat(F.lit(MSG_INVALID_HOUR), h.cast("string"))),
+        rule(a.isNotNull() & ~a.between(0, 500), F.concat(F.lit(MSG_AQI_RANGE), a.cast("string"))),
     ]
 
 
