@@ -45,6 +45,16 @@ AIR_FIELDS = [("date_observed", "DateObserved"), ("hour_observed", "HourObserved
               ("state_code", "StateCode"), ("latitude", "Latitude"), ("longitude", "Longitude"),
               ("parameter_name", "ParameterName"), ("aqi", "AQI")]
 
+STG_311_INPUT = ["unique_key", "created_date", "closed_date", "agency", "complaint_type", "descriptor",
+                 "incident_zip", "incident_address", "borough", "latitude", "longitude", "status",
+                 "resolution_description", "community_board", "_ingestion_timestamp"]
+STG_CRIME_INPUT = ["cmplnt_num", "cmplnt_fr_dt", "cmplnt_fr_tm", "rpt_dt", "ofns_desc", "law_cat_cd", "boro_nm",
+                   "latitude", "longitude", "susp_age_group", "susp_race", "susp_sex", "vic_age_group", "vic_race",
+                   "vic_sex", "_ingestion_timestamp"]
+STG_WEATHER_INPUT = ["city", "observation_time", "latitude", "longitude", "temperature_2m", "relative_humidity_2m",
+                     "precipitation", "precipitation_probability", "wind_speed_10m", "weather_code",
+                     "_ingestion_timestamp"]
+
 REQUEST_SCHEMA = _strings(REQUEST_FIELDS)
 INCIDENT_SCHEMA = _strings(INCIDENT_FIELDS)
 PII_DIRECT = ["incident_address", "street_name"]
@@ -131,8 +141,10 @@ def nyc_local_to_utc(text_col) -> F.Column:
 def stg_nyc_311(raw: DataFrame) -> DataFrame:
     """Latest record per unique_key, typed, borough filled from the zip seed,
     address pseudonymised (E1, B9, B11, E3, E14)."""
-    valid = raw.filter(F.col("is_valid"))
-    latest = S.dedup_latest(valid.drop("validation_errors", "is_valid"), ["unique_key"], ["_ingestion_timestamp"])
+    # Only the columns staging uses enter the dedup struct: raw_json and the
+    # other wide raw columns are never shuffled.
+    valid = raw.filter(F.col("is_valid")).select(*STG_311_INPUT)
+    latest = S.dedup_latest(valid, ["unique_key"], ["_ingestion_timestamp"])
     zips = seed(raw.sparkSession, "borough_zip_lookup")
     filled = S.fill_from_lookup(latest, zips, S.zip5(latest["incident_zip"]), "zip_code", "borough", "borough_name",
                                 seed=True, carry=["neighborhood"])
@@ -146,8 +158,8 @@ def stg_nyc_311(raw: DataFrame) -> DataFrame:
 
 
 def stg_nyc_crime(raw: DataFrame) -> DataFrame:
-    valid = raw.filter(F.col("is_valid"))
-    latest = S.dedup_latest(valid.drop("validation_errors", "is_valid"), ["cmplnt_num"], ["_ingestion_timestamp"])
+    valid = raw.filter(F.col("is_valid")).select(*STG_CRIME_INPUT)
+    latest = S.dedup_latest(valid, ["cmplnt_num"], ["_ingestion_timestamp"])
     occurred_local = C.combine_date_time("cmplnt_fr_dt", "cmplnt_fr_tm")
     out = latest.select(
         C.surrogate_key("cmplnt_num").alias("incident_id"), "cmplnt_num",
@@ -161,7 +173,7 @@ def stg_nyc_crime(raw: DataFrame) -> DataFrame:
 def stg_weather(raw: DataFrame) -> DataFrame:
     """One row per (city, UTC hour), latest ingestion wins; WMO lookup,
     precipitation flag (E6, E8)."""
-    valid = raw.filter(F.col("is_valid")).drop("validation_errors", "is_valid")
+    valid = raw.filter(F.col("is_valid")).select(*STG_WEATHER_INPUT)
     latest = S.dedup_latest(valid, ["city", "observation_time"], ["_ingestion_timestamp"])
     wmo = seed(raw.sparkSession, "wmo_weather_code_lookup")
     joined = S.lookup(latest, wmo, "weather_code", "wmo_code", seed=True)

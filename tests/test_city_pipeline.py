@@ -181,6 +181,12 @@ def test_run_sla_job_from_raw_tables(spark, tmp_path):
     raw_a = str(tmp_path / "raw" / "air")
     P.ingest_batch(P.raw_air(spark.createDataFrame([(json.dumps(a),) for a in air], "value string")), raw_a, "a1",
                    "2024-03-16 00:10:00", "airnow")
+    import contextlib
+    import io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        P.stg_nyc_311(spark.read.parquet(raw311)).explain()
+    assert "raw_json" not in buf.getvalue()  # pruned at the scan, never in the dedup shuffle
     paths = P.run_sla_job(spark, raw311, raw_w, raw_a, str(tmp_path / "warehouse"))
     mart = {r.complaint_type: r for r in spark.read.parquet(paths["mart_complaint_sla"]).collect()}
     assert mart["Rodent"].borough == "STATEN ISLAND" and mart["Rodent"].met_sla is True  # 4 h within 10 h
