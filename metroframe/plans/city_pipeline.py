@@ -278,7 +278,7 @@ def mart_complaint_sla(enriched: DataFrame, sla: DataFrame | None = None) -> Dat
     sla = sla if sla is not None else seed(enriched.sparkSession, "complaint_type_sla")
     out = M.apply_sla(enriched, sla, "complaint_type")
     overdue = F.col("is_open") & F.col("sla_hours").isNotNull()
-    return out.withColumn("is_overdue_when_open", overdue)
+    return S.assert_no_pii(out.withColumn("is_overdue_when_open", overdue))
 
 
 def sla_by_borough(mart: DataFrame, split_wet: bool = True) -> DataFrame:
@@ -414,8 +414,9 @@ def mart_transit_performance(stg_status: DataFrame, delays: DataFrame, stg_air:
     aqi = (air_city_hourly(stg_air).filter(F.col("city") == city)
            .groupBy(F.to_date("event_hour").alias("service_date")).agg(F.avg("overall_aqi").alias("_aqi")))
     out = perf.join(aqi, "service_date", "left")
-    return out.select(*perf.columns, C.surrogate_key("line_id", "service_date").alias("performance_id"),
-                      F.when(F.col("disruption_events") > 0, F.col("_aqi")).alias("avg_aqi_on_disruption_days"))
+    return S.assert_no_pii(out.select(
+        *perf.columns, C.surrogate_key("line_id", "service_date").alias("performance_id"),
+        F.when(F.col("disruption_events") > 0, F.col("_aqi")).alias("avg_aqi_on_disruption_days")))
 
 
 def scd_tfl_line_status(stg_status: DataFrame) -> DataFrame:
@@ -431,7 +432,7 @@ def mart_ml_features(cross_domain: DataFrame) -> DataFrame:
     hourly = cross_domain.select(
         "city", "event_hour", F.col("temperature_celsius").alias("temperature_c"), "precipitation_mm",
         "overall_aqi", F.coalesce("nyc_311_complaints_count", F.lit(0)).alias("requests_count"))
-    return M.feature_table(hourly, "city", "event_hour", "requests_count")
+    return S.assert_no_pii(M.feature_table(hourly, "city", "event_hour", "requests_count"))
 
 
 def int_air_quality_indexed(stg_air: DataFrame) -> DataFrame:
@@ -485,7 +486,7 @@ def mart_city_daily_summary(stg_311: DataFrame, stg_crime: DataFrame, stg_w: Dat
     counts = {c: F.when(nyc, F.coalesce(c, F.lit(0))) for c in
               ["complaints_count", "complaints_closed", "incidents_count", "felony_count"]}
     counts["transit_disruption_events"] = F.when(london, F.coalesce("transit_disruption_events", F.lit(0)))
-    return out.withColumns(counts).withColumn("summary_id", C.surrogate_key("city", "summary_date"))
+    return S.assert_no_pii(out.withColumns(counts).withColumn("summary_id", C.surrogate_key("city", "summary_date")))
 
 
 def mart_cross_domain_correlations(daily: DataFrame, bad_air_aqi: int = 100,

@@ -349,3 +349,12 @@ def test_poll_stream_job_equals_batch(spark, tmp_path):
                   .filter(F.col("ended_at").isNotNull()).collect())
     assert got == want == [("central", 3, "2024-03-15 10:01:00", "2024-03-15 10:03:00"),
                            ("jubilee", 6, "2024-03-15 10:02:00", "2024-03-15 10:03:00")]
+
+
+def test_pii_tag_blocks_marts(spark):
+    from metroframe.operators import staging as S
+    df = S.tag_pii(spark.createDataFrame([("x", 1)], "addr string, n int"), {"addr": "direct"})
+    with pytest.raises(ValueError):
+        S.assert_no_pii(df)
+    assert S.drop_pii(df).columns == ["n"]
+    assert S.assert_no_pii(df.groupBy().agg(F.count("addr").alias("c"))).columns == ["c"]  # derived: no tag
