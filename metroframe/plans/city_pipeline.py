@@ -562,3 +562,36 @@ def run_poll_stream(spark: SparkSession, landing: str, out_base: str, max_files_
                                           F.col("status_severity").alias("severity"))
     ep_path = P.run_to_parquet(P.stream_episodes(polls, key="line_id"), "episodes", path=f"{out}/episodes")
     return {"raw_line_status": raw_path, "episodes": ep_path}
+
+
+# ---------------------------------------------------------------------------
+# Run health
+# ---------------------------------------------------------------------------
+
+# Schedule slot and offset of each ingest pipeline, in minutes
+# (every 15 min; daily at 06:00; hourly at :05; hourly at :10), and the time
+# a run may take before it counts as late.
+PIPELINE_CADENCE = [
+    ("nyc_311", 15, 0, 15),
+    ("nyc_crime", 1440, 360, 60),
+    ("weather", 60, 5, 30),
+    ("airnow", 60, 10, 30),
+]
+
+
+def pipeline_sla_breaches(run_log: DataFrame) -> DataFrame:
+    """Late runs (J3): each run's schedule slot comes from its pipeline's
+    cadence (a fixed table, broadcast); expected completion = slot start +
+    allowed minutes; a run finishing later is a breach. ``run_log`` has
+    pipeline_name, started_at, completed_at."""
+    from metroframe.operators import quality as Q
+    cad = run_log.sparkSession.createDataFrame(
+        PIPELINE_CADENCE, "pipeline_name string, slot_min int, offset_min int, allowed_min int")
+    j = run_log.join(F.broadcast(cad), "pipeline_name", "inner")
+    minutes = TL.epoch_seconds("started_at") / 60
+    slot_start_min = F.floor((minutes - F.col("offset_min")) / F.col("slot_min")) * F.col("slot_min") + F.col("offset_min")
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    expected = epoch + F.make_dt_interval(F.lit(0), F.lit(0), (slot_start_min + F.col("allowed_min")).cast("int"),
+                                          F.lit(0))  # wall-clock arithmetic: no session zone involved
+    runs = j.withColumn("expected_completion", expected)
+    return Q.sla_breaches(runs, "pipeline_name", "expected_completion", "completed_at")

@@ -358,3 +358,16 @@ def test_pii_tag_blocks_marts(spark):
         S.assert_no_pii(df)
     assert S.drop_pii(df).columns == ["n"]
     assert S.assert_no_pii(df.groupBy().agg(F.count("addr").alias("c"))).columns == ["c"]  # derived: no tag
+
+
+def test_pipeline_sla_breaches_by_cadence(spark):
+    log = spark.createDataFrame([
+        ("nyc_311", "2024-03-15 10:16:00", "2024-03-15 10:29:00"),   # slot 10:15, due 10:30: on time
+        ("nyc_311", "2024-03-15 10:31:00", "2024-03-15 10:52:00"),   # slot 10:30, due 10:45: 7 min late
+        ("nyc_crime", "2024-03-15 06:02:00", "2024-03-15 07:30:00"),  # slot 06:00, due 07:00: 30 min late
+        ("weather", "2024-03-15 11:06:00", "2024-03-15 11:20:00"),   # slot 11:05, due 11:35: on time
+    ], "pipeline_name string, started_at string, completed_at string").select(
+        "pipeline_name", *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("started_at", "completed_at")])
+    out = sorted((r.pipeline_name, str(r.expected_completion), r.breach_minutes)
+                 for r in P.pipeline_sla_breaches(log).collect())
+    assert out == [("nyc_311", "2024-03-15 10:45:00", 7), ("nyc_crime", "2024-03-15 07:00:00", 30)]
