@@ -595,3 +595,27 @@ def pipeline_sla_breaches(run_log: DataFrame) -> DataFrame:
                                           F.lit(0))  # wall-clock arithmetic: no session zone involved
     runs = j.withColumn("expected_completion", expected)
     return Q.sla_breaches(runs, "pipeline_name", "expected_completion", "completed_at")
+
+
+COMPLAINT_TRACKED = ["status", "resolution_description", "closed_at"]
+
+
+def scd_311_complaint_status(observations: DataFrame, history: DataFrame | None = None) -> DataFrame:
+    """SCD2 of request status (H1/H2): ``observations`` are staged request
+    versions (source_unique_key, tracked columns, _ingestion_timestamp) —
+    every ingestion, not just the latest. Without ``history`` the table is
+    built in full; with it, only open versions and the new batch are
+    replayed. A version opens only when a tracked column changes (D9, D16)."""
+    from metroframe.operators import snapshots as H
+    obs = observations.select("source_unique_key", *COMPLAINT_TRACKED, "_ingestion_timestamp")
+    if history is None:
+        return H.scd2_history(obs, "source_unique_key", COMPLAINT_TRACKED, "_ingestion_timestamp")
+    return H.scd2_merge(history, obs, "source_unique_key", COMPLAINT_TRACKED, "_ingestion_timestamp")
+
+
+def request_observations(raw: DataFrame) -> DataFrame:
+    """Every valid ingested copy of a request, typed (input of the status
+    SCD; unlike staging, copies are kept)."""
+    return raw.filter(F.col("is_valid")).select(
+        F.col("unique_key").alias("source_unique_key"), "status", "resolution_description",
+        nyc_local_to_utc("closed_date").alias("closed_at"), "_ingestion_timestamp")

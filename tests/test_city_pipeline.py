@@ -371,3 +371,18 @@ def test_pipeline_sla_breaches_by_cadence(spark):
     out = sorted((r.pipeline_name, str(r.expected_completion), r.breach_minutes)
                  for r in P.pipeline_sla_breaches(log).collect())
     assert out == [("nyc_311", "2024-03-15 10:45:00", 7), ("nyc_crime", "2024-03-15 07:00:00", 30)]
+
+
+def test_complaint_status_scd(spark):
+    def run(recs, ts):
+        lines = spark.createDataFrame([(json.dumps(r),) for r in recs], "value string")
+        return P.request_observations(P.with_ingest_metadata(P.raw_requests(lines), "r", ts))
+    open_ = dict(BASE, status="Open", closed_date=None)
+    day1 = run([open_], "2024-03-15 15:00:00").unionByName(run([open_], "2024-03-15 15:15:00"))  # re-ingested copy
+    day2 = run([BASE], "2024-03-16 10:00:00").unionByName(run([BASE], "2024-03-16 10:15:00"))
+    full = P.scd_311_complaint_status(day1.unionByName(day2))
+    rows = full.orderBy("valid_from").collect()
+    assert [r.status for r in rows] == ["Open", "Closed"]  # copies do not open versions
+    assert str(rows[0].valid_to) == "2024-03-16 10:00:00" and rows[1].is_current
+    merged = P.scd_311_complaint_status(day2, history=P.scd_311_complaint_status(day1))
+    assert sorted(merged.collect()) == sorted(full.collect())
