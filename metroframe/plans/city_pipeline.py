@@ -619,3 +619,28 @@ def request_observations(raw: DataFrame) -> DataFrame:
     return raw.filter(F.col("is_valid")).select(
         F.col("unique_key").alias("source_unique_key"), "status", "resolution_description",
         nyc_local_to_utc("closed_date").alias("closed_at"), "_ingestion_timestamp")
+
+
+# Raw fields of an arrival prediction.
+ARRIVAL_FIELDS = ["vehicleId", "lineId", "lineName", "stationName", "naptanId", "platformName", "direction",
+                  "destinationName", "timeToStation", "expectedArrival"]
+ARRIVAL_SCHEMA = _strings(ARRIVAL_FIELDS)
+
+
+def stg_tfl_arrivals(raw: DataFrame, observed_col: str = "_ingestion_timestamp") -> DataFrame:
+    """Arrival predictions (E13): typed, keyed by MD5(vehicle, stop,
+    expected arrival), latest poll wins. The raw feed has no scheduled time,
+    so no delay is derived."""
+    typed = raw.select(
+        C.safe_str("vehicleId").alias("vehicle_id"), C.safe_str("lineId").alias("line_id"),
+        C.safe_str("lineName").alias("line_name"), C.safe_str("naptanId").alias("stop_point_id"),
+        C.safe_str("stationName").alias("station_name"), C.safe_str("direction").alias("direction"),
+        C.safe_str("destinationName").alias("destination_name"),
+        C.safe_int("timeToStation").alias("time_to_station_seconds"),
+        C.safe_str("expectedArrival").alias("_expected_text"), F.col(observed_col).alias("observed_at"))
+    typed = typed.filter(F.col("stop_point_id").isNotNull() & F.col("line_id").isNotNull())
+    latest = S.dedup_latest(typed, ["vehicle_id", "stop_point_id", "_expected_text"], ["observed_at"])
+    return latest.select(
+        C.surrogate_key("vehicle_id", "stop_point_id", "_expected_text").alias("arrival_event_id"),
+        "vehicle_id", "line_id", "line_name", "stop_point_id", "station_name", "direction", "destination_name",
+        "time_to_station_seconds", C.parse_timestamp("_expected_text").alias("expected_arrival_at"), "observed_at")

@@ -386,3 +386,19 @@ def test_complaint_status_scd(spark):
     assert str(rows[0].valid_to) == "2024-03-16 10:00:00" and rows[1].is_current
     merged = P.scd_311_complaint_status(day2, history=P.scd_311_complaint_status(day1))
     assert sorted(merged.collect()) == sorted(full.collect())
+
+
+def test_stg_arrivals_latest_poll_wins(spark):
+    base = {"vehicleId": "201", "lineId": "central", "lineName": "Central", "stationName": "Bank",
+            "naptanId": "940GZZLUBNK", "direction": "outbound", "destinationName": "Epping",
+            "expectedArrival": "2024-03-15T10:05:00Z"}
+    polls = [(dict(base, timeToStation=120), "2024-03-15 10:03:00"), (dict(base, timeToStation=60), "2024-03-15 10:04:00"),
+             (dict(base, naptanId=None, timeToStation=5), "2024-03-15 10:04:00")]
+    df = None
+    for rec, t in polls:
+        part = P.with_ingest_metadata(P.parse_lines(spark.createDataFrame([(json.dumps(rec),)], "value string"),
+                                                    P.ARRIVAL_SCHEMA), "p", t)
+        df = part if df is None else df.unionByName(part)
+    rows = P.stg_tfl_arrivals(df).collect()
+    assert len(rows) == 1 and rows[0].time_to_station_seconds == 60
+    assert str(rows[0].expected_arrival_at) == "2024-03-15 10:05:00"
