@@ -19,10 +19,12 @@ restarted query resumes exactly where it stopped.
 
 from __future__ import annotations
 
+import sys
 import warnings
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,6 +32,11 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from metroframe.session import work_path
 
+# The stateful processor below runs in Python workers, which need not have
+# this package installed (e.g. a driver-only checkout): its code is shipped
+# by value; it only depends on pandas.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # PySpark's own Arrow-to-pandas step for grouped state concatenates empty
 # frames and pandas flags that; it is noise, not a problem in this module.
 warnings.filterwarnings("ignore", category=FutureWarning, module="pyspark.sql.pandas.serializers")

@@ -106,3 +106,23 @@ def test_stream_episodes_state_across_micro_batches(spark, sf_small, tmp_path):
     want = line_episodes(spark, sf_small).filter(F.col("ended_at").isNotNull()).select(
         "line_id", F.col("severity_level").cast("long"), "started_at", "ended_at")
     assert sorted(got.collect()) == sorted(want.collect())
+
+
+def test_stream_processor_ships_by_value(tmp_path):
+    """Python workers need not have the package: the stateful processor
+    unpickles in a process that cannot import metroframe."""
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    from metroframe.streaming import polls as P
+    blob = tmp_path / "fn.pkl"
+    blob.write_bytes(cloudpickle.dumps(P._episode_processor))
+    code = ("import pickle, sys; sys.path = [p for p in sys.path if 'repo' not in p]; "
+            "f = pickle.load(open(sys.argv[1], 'rb')); "
+            "import importlib.util; assert importlib.util.find_spec('metroframe') is None; print(f.__name__)")
+    out = subprocess.run([sys.executable, "-c", code, str(blob)], cwd=tmp_path, capture_output=True, text=True,
+                         timeout=120)
+    assert out.returncode == 0, out.stderr
+    assert out.stdout.strip() == "_episode_processor"
