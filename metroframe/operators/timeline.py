@@ -215,7 +215,8 @@ def lines_per_hour(episodes: DataFrame, key: str, hour_col: str = "event_hour")
     eps = episodes.withColumn("_end", F.coalesce("ended_at", "last_seen_at"))
     hours = split_by_hour(eps, "started_at", "_end", hour_col)
     # One aggregation: the distinct count is the size of the id set (a
-    # separate count_distinct would add an Expand and a second shuffle).
+    # separate count_distinct would add an aggregation round keyed by
+    # (hour, line), i.e. a second shuffle).
     ids = hours.groupBy(hour_col).agg(F.array_sort(F.collect_set(F.col(key).cast("string"))).alias("_ids"))
     return ids.select(hour_col, F.size("_ids").cast("bigint").alias("disrupted_lines"),
                       F.array_join("_ids", ",").alias("disrupted_line_ids"))
