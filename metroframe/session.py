@@ -55,17 +55,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in
-    ``spark.checkpoint.dir``; only when it is unset (tests, laptops) create a
-    private one under the system temp folder."""
+    ``spark.checkpoint.dir``. Only a local master (tests, laptops) gets a
+    private folder when it is unset: on a cluster a machine-local folder would
+    be invisible to the other machines, so that is an error."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        master = spark.conf.get("spark.master", "local")
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="metroframe-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
-    try:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(configured)
-    except Exception:  # noqa: BLE001 - sessions without a SparkContext handle (Connect) use the conf alone
-        pass
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(configured)
     return configured
 
 
@@ -80,10 +81,11 @@ def work_path(spark: SparkSession, name: str) -> str:
 def cut_lineage(df, spark: SparkSession | None = None, name: str = "stage"):
     """Materialise ``df`` as Parquet in the shared folder and read it back.
 
-    Used at persist points (deduped staging, cross-domain hourly) so
-    downstream jobs restart from files rather than recomputing the lineage
-    when executors are lost."""
+    Downstream jobs restart from files rather than recomputing the lineage
+    when executors are lost, and a join of two such tables has a plain
+    exchange on each side, which adaptive execution can split when a key is
+    hot."""
     spark = spark or df.sparkSession
     path = work_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
