@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metroframe.llm import packing, quality, simhash, substring
+from metroframe.llm import bpe, capfilters, licenses, packing, quality, simhash, substring, topk, urlfilter, warc
 from metroframe.llm.common import table
 
 #: the least score of an accepted document
@@ -21,11 +21,60 @@ def op1_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), ranks)
 
 
+def op2_cap_filter_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = capfilters.near_duplicates(table(spark, sf_dir, "embeddings"))
+    return found.select("vec_id", "n_links", "component_id", F.col("vec_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
 def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op4_nra_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+    return found.select("query_id", "rank", "vec_id", "score")
+
+
+TOP_K_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+      FROM v q, v c WHERE q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(q.v) = len(c.v)),
+r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
+#: fixed values of the contract
+URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op6_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    folder = warc.new_folder(pages)
+    records = warc.read_records(warc.write_bundles(pages, folder), folder)
+    page = pages.schema["page_id"].dataType
+    return records.select(F.col("page_id").cast(page).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+                          F.col("refers_to").cast(page).alias("refers_to"))
+
+
+WARC_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes, sha1(html) AS payload_digest FROM p),
+h AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS holder FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> holder THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> holder THEN holder END AS refers_to
+FROM h
+"""
+
+
 def training_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The labels that may be learned: those whose remainder is not 0."""
     return table(spark, sf_dir, "labels").where(~held_out(F.col("doc_id")))
@@ -42,6 +91,14 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= ACCEPT).cast("int").alias("predicted"))
 
 
+def op8_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), ranks, pattern)
+    decoded = bpe.decode(encoded, ranks, pattern)
+    return decoded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+                          F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring.repeats(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.col("unit_no").cast("long").alias("unit_no"), "start", "end", "kept_id", "kept_start")
@@ -62,9 +119,15 @@ FROM k WHERE doc_id <> kept_id OR start <> kept_start
 """
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_harmonic_packing, op3_simhash_dedup, op7_quality_classifier, op9_line_dedup)}
+    return {f.__name__: f for f in (
+        op1_harmonic_packing, op2_cap_filter_dedup, op3_simhash_dedup, op4_nra_top_k, op5_url_filter, op6_warc_bundles,
+        op7_quality_classifier, op8_bpe_codec, op9_line_dedup, op10_license_scan)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_line_dedup": LINE_DEDUP_SQL}
+    return {"op4_nra_top_k": TOP_K_SQL, "op6_warc_bundles": WARC_SQL, "op9_line_dedup": LINE_DEDUP_SQL}
