@@ -127,6 +127,21 @@ def local_to_utc(ts, label=None, zone: str | None = None) -> Column:
     return F.to_utc_timestamp(ts.cast("timestamp"), zone).cast("timestamp_ntz")
 
 
+# The zone of each city.
+CITY_ZONES = {"nyc": "America/New_York", "london": "Europe/London"}
+
+
+def city_local_date(ts, city) -> Column:
+    """Date on the city's clock of a UTC wall-clock time (D4): ``*_date``
+    columns name the day that people there lived through. A city without a
+    known zone keeps the UTC date."""
+    ts, city = _col(ts).cast("timestamp_ntz"), _col(city)
+    local = ts
+    for name, zone in CITY_ZONES.items():
+        local = F.when(city == name, F.convert_timezone(F.lit("UTC"), F.lit(zone), ts)).otherwise(local)
+    return F.to_date(local)
+
+
 def surrogate_key(*parts) -> Column:
     """MD5 over '|'-joined natural-key parts (B12). Nulls become '' first:
     a bare concat_ws skips nulls and makes (a, null, b) collide with (a, b)."""

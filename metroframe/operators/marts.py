@@ -50,7 +50,8 @@ def sla_summary(df: DataFrame, group_cols: list[str]) -> DataFrame:
     return (df.groupBy(*group_cols)
             .agg(F.count(F.lit(1)).alias("n_requests"), F.count_if("is_open").alias("n_open"),
                  n_eval.alias("n_evaluated"), n_met.alias("n_met"),
-                 F.avg("hours_to_close").alias("avg_hours_to_close"))
+                 F.avg("hours_to_close").alias("avg_hours_to_close"),
+                 F.percentile_approx("hours_to_close", 0.5).alias("median_hours_to_close"))
             .withColumn("sla_compliance",
                         F.when(F.col("n_evaluated") > 0, F.col("n_met") / F.col("n_evaluated"))))
 
@@ -103,11 +104,13 @@ def correlations(df: DataFrame, group_cols: list[str], pairs: dict[str, tuple[st
 def fill_recent_then_mean(key: str, ts: str, value: str, default, lookback_rows: int = 6,
                           mean_keys: list[Column] | None = None) -> Column:
     """Feature default (D14): the last observation within ``lookback_rows``
-    rows of a dense hourly spine, else the mean over ``mean_keys`` (city,
-    month), else a constant."""
+    rows of a dense hourly spine, else the mean over ``mean_keys`` (city, year
+    and month) of what was observed up to this row, else a constant. Nothing
+    after the row is read."""
     recent = F.last(value, ignorenulls=True).over(
         Window.partitionBy(key).orderBy(ts).rowsBetween(-lookback_rows, 0))
-    mean = F.avg(value).over(Window.partitionBy(*(mean_keys or [F.col(key)])))
+    mean = F.avg(value).over(Window.partitionBy(*(mean_keys or [F.col(key)])).orderBy(ts)
+                             .rowsBetween(Window.unboundedPreceding, 0))
     return F.coalesce(recent, mean, F.lit(default))
 
 
@@ -159,7 +162,8 @@ def feature_table(hourly: DataFrame, key: str, ts: str, count_col: str, aqi_col:
                   fills: dict[str, float] | None = None, lookback_hours: int = 6) -> DataFrame:
     """ML feature table on a dense (key, hour) spine (G11–G13): calendar
     features, weather/AQI filled without nulls (D14: last value within
-    ``lookback_hours``, else the key-month mean, else a constant), the AQI
+    ``lookback_hours``, else the key's mean of the month so far, else a
+    constant), the AQI
     category as an ordinal capped at 4, trailing request counts (this hour,
     last 24 hours) and the two labels (next hour's requests, AQI six hours
     ahead; null at the end of the series). No feature reads past its hour."""
@@ -167,7 +171,7 @@ def feature_table(hourly: DataFrame, key: str, ts: str, count_col: str, aqi_col:
     from metroframe.operators.timeline import lead_value, trailing_sum_rows
 
     fills = fills or FEATURE_DEFAULTS
-    month_key = [F.col(key), F.month(ts)]
+    month_key = [F.col(key), F.year(ts), F.month(ts)]
     filled = {name: F.round(fill_recent_then_mean(key, ts, name, default, lookback_hours, month_key), 6)
               for name, default in fills.items()}
     out = hourly.select(

@@ -2,20 +2,25 @@
 
 All checks over a table run in **one** aggregation pass (conditional counts),
 then are unpivoted into rows. JSON profiling reads every record (not a
-sample of one, as an exploration script would) through the VARIANT type:
-``from_json(line, 'map<string,variant>')`` keeps each value's JSON type, so
-the type lattice comes from ``schema_of_variant`` without a Python UDF.
+sample of one, as an exploration script would) once and walks it to its
+leaves whatever their depth, which SQL expressions cannot without a limit, so
+this one step runs on Arrow batches in Python.
 """
 
 from __future__ import annotations
 
+import json
+import sys
 from dataclasses import dataclass, field
 from functools import reduce
 
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from metroframe.sources.raw import spread
+# the JSON walk runs in Python workers, which need not have this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 @dataclass(frozen=True)
@@ -85,47 +90,77 @@ def null_rates(df: DataFrame, columns: list[str]) -> DataFrame:
 # JSON profile and drift
 # ---------------------------------------------------------------------------
 
-def _kind(v: Column) -> Column:
-    t = F.schema_of_variant(v)
-    s = v.cast("string")
-    ts_like = (F.length(s) >= 10) & (F.substring(s, 5, 1) == "-") & (F.substring(s, 8, 1) == "-")
-    elem = F.schema_of_variant(F.try_variant_get(v, "$[0]", "variant"))
-    elem_kind = (F.when(elem.isNull(), "empty").when(elem == "VOID", "null").when(elem == "BOOLEAN", "boolean")
-                 .when(elem.rlike("^(TINYINT|SMALLINT|INT|BIGINT)"), "integer")
-                 .when(elem.rlike("^(DECIMAL|DOUBLE|FLOAT)"), "float").when(elem.startswith("OBJECT"), "object")
-                 .when(elem.startswith("ARRAY"), "array").otherwise("string"))
-    return (F.when(t == "VOID", "null").when(t == "BOOLEAN", "boolean")
-            .when(t.rlike("^(TINYINT|SMALLINT|INT|BIGINT)"), "integer")
-            .when(t.rlike("^(DECIMAL|DOUBLE|FLOAT)"), "float")
-            .when(t.startswith("ARRAY"), F.concat(F.lit("array["), elem_kind, F.lit("]")))
-            .when(t.startswith("OBJECT"), "object")
-            .when(t.rlike("^(DATE|TIMESTAMP)") | ts_like, "timestamp_string")
-            .otherwise("string"))
-
-
-def json_leaves(lines: DataFrame, col: str, depth: int = 3) -> DataFrame:
-    """(path, value) for every leaf of every JSON object record; nested
-    objects are walked to ``depth`` levels with dotted paths (an empty
-    object yields nothing)."""
-    as_map = "map<string,variant>"
-    level = spread(lines).select(F.explode(F.from_json(F.col(col), as_map)).alias("path", "v"))
-    leaves = None
-    for i in range(depth):
-        is_obj = F.coalesce(F.schema_of_variant("v").startswith("OBJECT"), F.lit(False))
-        keep = level.filter(~is_obj) if i < depth - 1 else level
-        leaves = keep if leaves is None else leaves.unionByName(keep)
-        level = (level.filter(is_obj)
-                 .select("path", F.explode(F.from_json(F.to_json("v"), as_map)).alias("k", "v2"))
-                 .select(F.concat_ws(".", "path", "k").alias("path"), F.col("v2").alias("v")))
-    return leaves
-
-
-def json_profile(lines: DataFrame, col: str, depth: int = 3) -> DataFrame:
+def _kind(value: object) -> str:
+    """Type name of a parsed JSON value; numbers come as ``Number`` text."""
+    if value is None:
+        return "null"
+    if isinstance(value, bool):
+        return "boolean"
+    if isinstance(value, Number):
+        return "float" if set(value) & set(".eE") else "integer"
+    if isinstance(value, dict):
+        return "object"
+    if isinstance(value, list):
+        return f"array[{_kind(value[0]) if value else 'empty'}]"
+    return "timestamp_string" if len(value) >= 10 and value[4] == "-" and value[7] == "-" else "string"
+
+
+class Number(str):
+    """A JSON number as it is written in the record."""
+
+
+def _text(value: object) -> str | None:
+    if value is None or isinstance(value, str):
+        return value
+    if isinstance(value, bool):
+        return "true" if value else "false"
+    if isinstance(value, list):
+        return "[" + ",".join(_json(v) for v in value) + "]"
+    return "{" + ",".join(f"{json.dumps(k, ensure_ascii=False)}:{_json(v)}" for k, v in value.items()) + "}"
+
+
+def _json(value: object) -> str:
+    return "null" if value is None else json.dumps(value, ensure_ascii=False) if type(value) is str else _text(value)
+
+
+def _leaves(record: dict) -> list[tuple[str, object]]:
+    """(dotted path, value) of everything in a record that is no object."""
+    found, todo = [], [("", record)]
+    while todo:
+        prefix, level = todo.pop()
+        for key, value in level.items():
+            if isinstance(value, dict):
+                todo.append((f"{prefix}{key}.", value))
+            else:
+                found.append((prefix + key, value))
+    return found
+
+
+def json_leaves(lines: DataFrame, col: str) -> DataFrame:
+    """(path, kind, text) for every leaf of every JSON object record, at any
+    depth, in one pass over the lines: each record is parsed once, on Arrow
+    batches. An empty object yields nothing; lines that hold no JSON object
+    are left out."""
+    def run(batches):
+        for batch in batches:
+            out = []
+            for line in batch.column(0).to_pylist():
+                try:
+                    record = json.loads(line or "null", parse_int=Number, parse_float=Number, parse_constant=Number)
+                except (ValueError, RecursionError):
+                    continue
+                if isinstance(record, dict):
+                    out += [(path, _kind(v), _text(v)) for path, v in _leaves(record)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in (zip(*out) if out else ((), (), ()))],
+                                             ["path", "kind", "text"])
+
+    return lines.select(col).mapInArrow(run, "path string, kind string, text string")
+
+
+def json_profile(lines: DataFrame, col: str) -> DataFrame:
     """Schema profile over all records (J4): dotted path, the set of types
     seen, rows where present, null count and a sample value."""
-    leaves = json_leaves(lines, col, depth).select("path", _kind(F.col("v")).alias("kind"),
-                                                    F.col("v").cast("string").alias("text"))
-    return leaves.groupBy("path").agg(
+    return json_leaves(lines, col).groupBy("path").agg(
         F.array_join(F.array_sort(F.collect_set("kind")), ",").alias("types"),
         F.count(F.lit(1)).alias("n_present"),
         F.count_if(F.col("kind") == "null").alias("n_null"),

@@ -151,12 +151,20 @@ AREA_CITY_RULES = [
     (r"(?i)london", "london"),
 ]
 
-# Disruption reason categories, first match wins.
+def whole_words(alternatives: str) -> str:
+    """Pattern for any of the alternatives as whole words in any script."""
+    return rf"(?<![\p{{L}}\p{{N}}_])({alternatives})(?![\p{{L}}\p{{N}}_])"
+
+
+# Disruption reason categories, first match wins. Whole words
+# only ("service" holds no ice, "train" no rain); planned work and staffing
+# come first, as a text that names them is not about its other words.
 REASON_RULES = [
-    (r"(?i)(signal|points failure|track circuit|train fault|power)", "signal_failure"),
-    (r"(?i)(weather|flood|snow|ice|storm|heat|rain|wind|fog)", "weather"),
-    (r"(?i)(planned|engineering|works|closure)", "planned"),
-    (r"(?i)(staff|crew|strike|industrial action)", "staffing"),
+    (whole_words("planned|engineering|works|closures?|maintenance"), "planned"),
+    (whole_words("strikes?|staff|staffing|crews?|industrial action"), "staffing"),
+    (whole_words("signals?|signalling|points? (failure|fault)|track circuit|train fault|faulty train|power (failure|supply|cut)"),
+     "signal_failure"),
+    (whole_words("weather|floods?|flooding|flooded|snow|ice|icy|storms?|heat|rain|winds?|fog"), "weather"),
 ]
 
 
@@ -174,12 +182,14 @@ def precip_flag(mm, threshold: float = 0.1) -> Column:
     return F.coalesce(m > F.lit(threshold), F.lit(False))
 
 
-# Free-text PII patterns and their replacement tokens.
+# Free-text PII patterns and their replacement tokens. Patterns
+# apply in order, the most specific first; a phone number needs its usual
+# groups, so dates and plain ids are left alone.
 PII_PATTERNS = [
-    (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", "[EMAIL]"),
-    (r"\+?[0-9][0-9(). -]{7,}[0-9]", "[PHONE]"),
-    (r"[0-9]{3}-[0-9]{2}-[0-9]{4}", "[SSN]"),
-    (r"[0-9]+ [A-Za-z]+ (Street|St|Avenue|Ave|Road|Rd|Boulevard|Blvd|Lane|Ln)", "[ADDRESS]"),
+    (r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}\b", "[EMAIL]"),
+    (r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b", "[SSN]"),
+    (r"(\+[0-9]{1,3}[ .-]?)?(\([0-9]{3}\) ?|\b[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}\b", "[PHONE]"),
+    (r"\b[0-9]{1,6} [A-Za-z]+ (Street|St|Avenue|Ave|Road|Rd|Boulevard|Blvd|Lane|Ln)\b", "[ADDRESS]"),
 ]
 
 

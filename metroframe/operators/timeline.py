@@ -74,11 +74,12 @@ def change_points(df: DataFrame, key: str, ts: str, state: list[str], max_gap_se
     carry = carry or []
     b = F.date_trunc(bucket, F.col(ts)).cast("timestamp_ntz")
     st = F.struct(*[F.col(s) for s in state])
+    tie = F.xxhash64(*[F.col(s) for s in state])  # rows of one time keep one order in every run
     rows = (df.select(F.col(key), F.col(ts), *[F.col(s) for s in state], *[F.col(c) for c in carry])
             .withColumn("_b", b).withColumn("_st", st))
 
     summary = rows.groupBy(key, "_b").agg(
-        F.min(ts).alias("_first_ts"), F.max(ts).alias("_last_ts"), F.max_by("_st", F.col(ts)).alias("_last_st"))
+        F.min(ts).alias("_first_ts"), F.max(ts).alias("_last_ts"), F.max_by("_st", F.struct(F.col(ts), tie)).alias("_last_st"))
     ws = Window.partitionBy(key).orderBy("_b")
     summary = summary.select(
         key, "_b",
@@ -87,7 +88,7 @@ def change_points(df: DataFrame, key: str, ts: str, state: list[str], max_gap_se
         F.max("_last_ts").over(Window.partitionBy(key)).alias("_key_last_ts"),
     )
 
-    wl = Window.partitionBy(key, "_b").orderBy(ts)
+    wl = Window.partitionBy(key, "_b").orderBy(F.col(ts), tie)
     local = rows.select(
         "*", F.lag("_st").over(wl).alias("_prev_st_l"), F.lag(ts).over(wl).alias("_prev_ts_l"))
     joined = local.join(summary, [key, "_b"], "inner")
@@ -121,9 +122,10 @@ def islands(df: DataFrame, key: str, ts: str, state: list[str], max_gap_seconds:
         # one pass and survives executor loss.
         ensure_checkpoint_dir(cps.sparkSession)
         cps = cps.checkpoint(eager=True)
-    wl = Window.partitionBy(key, "_b").orderBy(ts)
+    order = [F.col(ts), F.xxhash64(*[F.col(s) for s in state])]
+    wl = Window.partitionBy(key, "_b").orderBy(*order)
     with_local = cps.withColumn("_next_l", F.lead("_end_marker").over(wl))
-    first_per_bucket = cps.groupBy(key, "_b").agg(F.min_by("_end_marker", F.col(ts)).alias("_bucket_first"))
+    first_per_bucket = cps.groupBy(key, "_b").agg(F.min_by("_end_marker", F.struct(*order)).alias("_bucket_first"))
     wb = Window.partitionBy(key).orderBy("_b")
     nxt = first_per_bucket.select(key, "_b", F.lead("_bucket_first").over(wb).alias("_next_b"))
     out = with_local.join(nxt, [key, "_b"], "inner")

@@ -218,6 +218,7 @@ def complaint_sla(spark, d):
 @register("sla_by_borough", with_ctes(REQ) + SLA + """
 SELECT r_name AS borough, count(*) AS n_requests, count(*) FILTER (WHERE is_open) AS n_open,
   count(met_sla) AS n_evaluated, count(*) FILTER (WHERE met_sla) AS n_met, avg(hours_to_close) AS avg_hours_to_close,
+  quantile_disc(hours_to_close, 0.5) AS median_hours_to_close,
   CASE WHEN count(met_sla) > 0 THEN count(*) FILTER (WHERE met_sla) / count(met_sla) END AS sla_compliance
 FROM sla JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
 JOIN region ON n_regionkey = r_regionkey GROUP BY r_name""")
@@ -236,7 +237,7 @@ def sla_by_borough(spark, d):
 # ---------------------------------------------------------------------------
 
 @register("transit_performance", with_ctes(EV, WH, AO, AD, EP, EPW) + """
-, cov AS (SELECT user_id AS line_id, min(ts) AS s, max(ts) AS e FROM events WHERE user_id % 2 = 1 GROUP BY 1),
+, cov AS (SELECT user_id AS line_id, min(ts) AS s, max(ts) AS e FROM events GROUP BY 1),
 days AS (SELECT line_id, s, e, CAST(unnest(generate_series(CAST(s AS DATE),
   greatest(CAST(s AS DATE), CAST(e - INTERVAL 1 MICROSECOND AS DATE)), INTERVAL 1 DAY)) AS DATE) AS service_date FROM cov),
 obs AS (SELECT line_id, service_date, sum((epoch_us(least(e, service_date + INTERVAL 1 DAY))
@@ -313,7 +314,8 @@ def lead_labels(spark, d):
 
 def _fill_sql(col: str, default: float) -> str:
     return (f"round(coalesce(last_value({col} IGNORE NULLS) OVER (PARTITION BY city ORDER BY event_hour ROWS BETWEEN "
-            f"6 PRECEDING AND CURRENT ROW), avg({col}) OVER (PARTITION BY city, month(event_hour)), {default}), 6)")
+            f"6 PRECEDING AND CURRENT ROW), avg({col}) OVER (PARTITION BY city, year(event_hour), month(event_hour) ORDER BY event_hour "
+            f"ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), {default}), 6)")
 
 
 _ORD_SQL = ("least(CASE WHEN {a} <= 50 THEN 1 WHEN {a} <= 100 THEN 2 WHEN {a} <= 150 THEN 3 WHEN {a} <= 200 THEN 4 "

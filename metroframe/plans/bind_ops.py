@@ -60,7 +60,7 @@ def stream_hourly(spark, d):
 @register("stream_episodes", with_ctes(EP) + """
 SELECT line_id, severity_level, started_at, ended_at, duration_minutes FROM ep WHERE ended_at IS NOT NULL""")
 def stream_episodes(spark, d):
-    s = event_stream(spark, d).filter(F.col("user_id") % 2 == 1)
+    s = event_stream(spark, d)
     polls = s.select(F.col("user_id").alias("line_id"), "ts", (F.col("event_type") == "error").alias("disrupted"),
                      F.when(F.col("event_type") != "error", F.lit(10)).when(F.col("value") > 100, F.lit(6))
                      .otherwise(F.lit(9)).alias("severity"))

@@ -8,7 +8,6 @@ from metroframe.functions import columns as C
 from metroframe.operators import staging as S
 from metroframe.plans.bind_ingest import tbl
 from metroframe.plans.registry import normalize, register
-from metroframe.sources.raw import spread
 from metroframe.sources.seeds import seed, seed_rows, values_sql
 
 LINE_ORDER = ["l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount", "l_tax",
@@ -21,7 +20,7 @@ SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber::BIGINT AS l_linenumber, l
 FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
   ORDER BY {', '.join(c + ' DESC' for c in LINE_ORDER)}) = 1""")
 def dedup_latest(spark, d):
-    return normalize(S.dedup_latest(spread(tbl(spark, d, "lineitem")), ["l_orderkey", "l_linenumber"], LINE_ORDER))
+    return normalize(S.dedup_latest(tbl(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"], LINE_ORDER))
 
 
 @register("dedup_window", """
@@ -203,16 +202,19 @@ def arrivals_clean(spark, d):
         "time_to_station_seconds", "observed_at")
 
 
-def _mask_sql(col: str) -> str:
-    out = col
-    for pattern, token in S.PII_PATTERNS:
-        out = f"regexp_replace({out}, '{pattern}', '{token}', 'g')"
-    return out
+# Written independently of the library's rule tables (RE2 syntax): specific
+# identifiers first, so that a longer digit pattern cannot swallow them.
+_MASK_SQL = """
+regexp_replace(regexp_replace(regexp_replace(regexp_replace(text,
+  '\\b[[:alnum:]._%+-]+@[[:alnum:]-]+(\\.[[:alnum:]-]+)*\\.[[:alpha:]]{2,}\\b', '[EMAIL]', 'g'),
+  '\\b\\d\\d\\d-\\d\\d-\\d\\d\\d\\d\\b', '[SSN]', 'g'),
+  '(\\+\\d{1,3}[ .-]?)?(\\(\\d{3}\\) ?|\\b\\d{3}[ .-])\\d{3}[ .-]\\d{4}\\b', '[PHONE]', 'g'),
+  '\\b\\d{1,6} [[:alpha:]]+ (Street|St|Avenue|Ave|Road|Rd|Boulevard|Blvd|Lane|Ln)\\b', '[ADDRESS]', 'g')"""
 
 
-@register("pii_mask", f"SELECT doc_id, {_mask_sql('text')} AS masked_text FROM documents")
+@register("pii_mask", f"SELECT doc_id, {_MASK_SQL} AS masked_text FROM documents")
 def pii_mask(spark, d):
-    return spread(tbl(spark, d, "documents")).select("doc_id", S.mask_text("text").alias("masked_text"))
+    return tbl(spark, d, "documents").select("doc_id", S.mask_text("text").alias("masked_text"))
 
 
 PII_SALT = "metroframe-pii"
@@ -227,11 +229,20 @@ def pii_drop(spark, d):
     return normalize(S.assert_no_pii(S.drop_pii(tagged)))
 
 
-def _reason_sql(col: str) -> str:
-    cases = " ".join(f"WHEN regexp_matches(lower({col}), '{p}') THEN '{v}'" for p, v in S.REASON_RULES)
-    return f"CASE {cases} ELSE 'unknown' END"
+# Written independently of the library's rule tables, as whole words.
+_REASON_SQL = """
+WITH d AS (SELECT doc_id, ' ' || regexp_replace(lower(text), '[^\\p{L}\\p{N}_ ]', '.', 'g') || ' ' AS t,
+  regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+') AS w FROM documents)
+SELECT doc_id, CASE
+  WHEN list_has_any(w, ['planned', 'engineering', 'works', 'closure', 'closures', 'maintenance']) THEN 'planned'
+  WHEN list_has_any(w, ['strike', 'strikes', 'staff', 'staffing', 'crew', 'crews']) OR regexp_matches(t, '[ .]industrial action[ .]') THEN 'staffing'
+  WHEN list_has_any(w, ['signal', 'signals', 'signalling']) OR regexp_matches(t, '[ .](points? (failure|fault)|track circuit|train fault|faulty train|power (failure|supply|cut))[ .]')
+    THEN 'signal_failure'
+  WHEN list_has_any(w, ['weather', 'flood', 'floods', 'flooding', 'flooded', 'snow', 'ice', 'icy', 'storm', 'storms', 'heat', 'rain', 'wind', 'winds', 'fog'])
+    THEN 'weather'
+  ELSE 'unknown' END AS disruption_category FROM d"""
 
 
-@register("classify_reason", f"SELECT doc_id, {_reason_sql('text')} AS disruption_category FROM documents")
+@register("classify_reason", _REASON_SQL)
 def classify_reason(spark, d):
-    return spread(tbl(spark, d, "documents")).select("doc_id", S.classify_reason("text").alias("disruption_category"))
+    return tbl(spark, d, "documents").select("doc_id", S.classify_reason("text").alias("disruption_category"))

@@ -26,7 +26,7 @@ from metroframe.operators import marts as M
 from metroframe.operators import staging as S
 from metroframe.operators import timeline as TL
 from metroframe.plans.bind_ingest import tbl
-from metroframe.plans.bind_staging import _BAND_SQL, _WMO, _reason_sql
+from metroframe.plans.bind_staging import _BAND_SQL, _WMO
 from metroframe.plans.registry import normalize, register
 from metroframe.sources.seeds import seed
 
@@ -74,7 +74,7 @@ def request_counts(ev: DataFrame) -> DataFrame:
 
 
 def line_polls(spark, d) -> DataFrame:
-    ev = tbl(spark, d, "events").filter(F.col("user_id") % 2 == 1)
+    ev = tbl(spark, d, "events")
     v = F.col("value")
     disrupted = F.col("event_type") == "error"
     reason = None
@@ -113,7 +113,7 @@ _REASON_CASE = ("CASE " + " ".join(f"WHEN value > {lo} THEN '{t}'" for lo, t in
                 + f" ELSE '{REASON_ELSE}' END")
 EP = f"""polls AS (SELECT user_id AS line_id, ts, event_type = 'error' AS disrupted,
   CASE WHEN event_type <> 'error' THEN 10 WHEN value > 100 THEN 6 ELSE 9 END AS severity,
-  {_REASON_CASE} AS reason FROM events WHERE user_id % 2 = 1),
+  {_REASON_CASE} AS reason FROM events),
 chg AS (SELECT *, lag(disrupted) OVER w AS pd, lag(severity) OVER w AS ps,
   max(ts) OVER (PARTITION BY line_id) AS last_seen_at FROM polls WINDOW w AS (PARTITION BY line_id ORDER BY ts)),
 runs AS (SELECT line_id, disrupted, severity, reason, ts AS started_at,
@@ -224,7 +224,8 @@ def disruption_episodes(spark, d):
     return normalize(line_episodes(spark, d))
 
 
-EPW = f"""cat AS (SELECT *, {_reason_sql('reason')} AS disruption_category FROM ep),
+EPW = f"""cat AS (SELECT *, CASE reason WHEN 'Signal failure' THEN 'signal_failure' WHEN 'Heavy rain and flooding' THEN 'weather'
+  WHEN 'Planned engineering works' THEN 'planned' ELSE 'staffing' END AS disruption_category FROM ep),
 epw AS (SELECT cat.*, wh.precipitation_mm AS weather_precipitation_mm,
   CASE WHEN disruption_category = 'planned' THEN FALSE
        ELSE disruption_category = 'weather' OR coalesce(wh.precipitation_mm >= {RAIN_RELATED_MM}, FALSE) END

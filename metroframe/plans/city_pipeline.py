@@ -18,12 +18,13 @@ from metroframe.operators import contracts as K
 from metroframe.operators import marts as M
 from metroframe.operators import staging as S
 from metroframe.operators import timeline as TL
+from metroframe.session import configure
 from metroframe.sources import raw as R
 from metroframe.sources.seeds import seed
 from metroframe.streaming import polls as P
 
 NYC_ZONE = "America/New_York"
-ADDRESS_SALT = "metroframe-address"
+MAX_GAP_SECONDS = 300  # D20: a longer silence ends an episode at the last poll seen
 
 
 def _strings(names: list[str]) -> T.StructType:
@@ -57,7 +58,6 @@ STG_WEATHER_INPUT = ["city", "observation_time", "latitude", "longitude", "tempe
 
 REQUEST_SCHEMA = _strings(REQUEST_FIELDS)
 INCIDENT_SCHEMA = _strings(INCIDENT_FIELDS)
-PII_DIRECT = ["incident_address", "street_name"]
 PII_ADJACENT = ["susp_age_group", "susp_race", "susp_sex", "vic_age_group", "vic_race", "vic_sex"]
 
 
@@ -138,12 +138,53 @@ def nyc_local_to_utc(text_col) -> F.Column:
     return C.local_to_utc(local, zone=NYC_ZONE)
 
 
-def stg_nyc_311(raw: DataFrame) -> DataFrame:
+def quarantined(raw: DataFrame, reason: F.Column) -> DataFrame:
+    """Rows that staging does not take, with the reason (C6): those that broke
+    their contract, and valid ones for which ``reason`` is not null. Staging
+    takes exactly the others, so input = staged copies + quarantine."""
+    why = F.when(~F.col("is_valid"), F.lit("contract")).otherwise(reason)
+    return raw.withColumn("quarantine_reason", why).where("quarantine_reason is not null")
+
+
+def accepted(raw: DataFrame, reason: F.Column) -> DataFrame:
+    return raw.where(F.col("is_valid") & reason.isNull())
+
+
+def request_problem() -> F.Column:
+    """Fields that staging needs and the contract only warns about."""
+    needed = ["complaint_type", "agency", "status"]
+    return F.coalesce(*[F.when(F.col(c).isNull(), F.lit(f"missing {c}")) for c in needed])
+
+
+def air_problem() -> F.Column:
+    """No UTC hour without a known zone label and a readable local
+    hour; no city for an area that no rule names."""
+    return F.coalesce(
+        F.when(C.zone_offset_hours("local_time_zone").isNull(), F.lit("unknown time zone")),
+        F.when(_air_local_time().isNull(), F.lit("unreadable time")),
+        F.when(S.area_to_city("reporting_area").isNull(), F.lit("unknown reporting area")))
+
+
+def _air_local_time() -> F.Column:
+    return F.try_to_timestamp(F.concat_ws(" ", C.safe_str("date_observed"),
+                                          F.format_string("%02d:00:00", F.col("hour_observed"))))
+
+
+def quarantine_requests(raw: DataFrame) -> DataFrame:
+    return quarantined(raw, request_problem())
+
+
+def quarantine_air(raw: DataFrame) -> DataFrame:
+    return quarantined(raw, air_problem())
+
+
+def stg_nyc_311(raw: DataFrame, salt: str = "") -> DataFrame:
     """Latest record per unique_key, typed, borough filled from the zip seed,
-    address pseudonymised (E1, B9, B11, E3, E14)."""
+    address pseudonymised with the caller's salt (E1, B9, B11, E3, E14). Rows
+    without a type, agency or status are in ``quarantine_requests``."""
     # Only the columns staging uses enter the dedup struct: raw_json and the
     # other wide raw columns are never shuffled.
-    valid = raw.filter(F.col("is_valid")).select(*STG_311_INPUT)
+    valid = accepted(raw, request_problem()).select(*STG_311_INPUT)
     latest = S.dedup_latest(valid, ["unique_key"], ["_ingestion_timestamp"])
     zips = seed(raw.sparkSession, "borough_zip_lookup")
     filled = S.fill_from_lookup(latest, zips, S.zip5(latest["incident_zip"]), "zip_code", "borough", "borough_name",
@@ -154,7 +195,7 @@ def stg_nyc_311(raw: DataFrame) -> DataFrame:
         F.col("agency").alias("agency_code"), "complaint_type", "descriptor", "incident_zip", "borough",
         "neighborhood", C.safe_float("latitude").alias("latitude"), C.safe_float("longitude").alias("longitude"),
         "status", "resolution_description", "community_board",
-        S.pseudonymize("incident_address", ADDRESS_SALT).alias("address_token"), "_ingestion_timestamp")
+        S.pseudonymize("incident_address", salt).alias("address_token"), "_ingestion_timestamp")
 
 
 def stg_nyc_crime(raw: DataFrame) -> DataFrame:
@@ -193,16 +234,15 @@ POLLUTANT_COLUMNS = {"PM2.5": "pm25_aqi", "PM10": "pm10_aqi", "OZONE": "ozone_aq
 
 def stg_airnow(raw: DataFrame) -> DataFrame:
     """Per (reporting area, UTC hour): a column per pollutant, the overall
-    maximum over all pollutants, the worst pollutant's category (E9–E12)."""
-    valid = raw.filter(F.col("is_valid")).drop("validation_errors", "is_valid")
-    local = F.try_to_timestamp(F.concat_ws(" ", C.safe_str("date_observed"),
-                                           F.format_string("%02d:00:00", F.col("hour_observed"))))
+    maximum over all pollutants, the worst pollutant's category (E9–E12).
+    Rows without a known zone, hour or city are in ``quarantine_air``."""
+    valid = accepted(raw, air_problem()).drop("validation_errors", "is_valid")
+    local = _air_local_time()
     obs = valid.select(
         "reporting_area", "latitude", "longitude", F.upper("parameter_name").alias("param"),
         S.valid_aqi("aqi").alias("aqi"), "category_name", "_ingestion_timestamp",
         C.local_to_utc(local, label=F.col("local_time_zone")).alias("observed_at"))
     obs = S.dedup_latest(obs, ["reporting_area", "observed_at", "param"], ["_ingestion_timestamp"])
-    obs = obs.filter(F.col("observed_at").isNotNull())
     pivot_values = sorted(set(POLLUTANT_COLUMNS))
     internal = {p: f"_p{i}" for i, p in enumerate(pivot_values)}
     per_param = S.pivot_measures(
@@ -225,8 +265,7 @@ def stg_airnow(raw: DataFrame) -> DataFrame:
 
 def air_city_hourly(stg_air: DataFrame) -> DataFrame:
     """Collapse reporting areas to (city, hour) before any join."""
-    return (stg_air.filter(F.col("city").isNotNull())
-            .groupBy("city", C.hour_trunc("observed_at").alias("event_hour"))
+    return (stg_air.groupBy("city", C.hour_trunc("observed_at").alias("event_hour"))
             .agg(F.max("overall_aqi").alias("overall_aqi"),
                  F.max_by("aqi_category", F.struct("overall_aqi", "aqi_category")).alias("aqi_category"),
                  F.max_by("dominant_pollutant", F.struct("overall_aqi", "dominant_pollutant"))
@@ -235,8 +274,11 @@ def air_city_hourly(stg_air: DataFrame) -> DataFrame:
 
 def stg_tfl_line_status(raw: DataFrame, bucket: str = "30 seconds") -> DataFrame:
     """Poll rows (line_id, line_name, status_severity, reason, observed_at) →
-    deduplicated per (line, poll window), severity described (E2, E5)."""
-    deduped = S.dedup_window(raw, "line_id", "observed_at", bucket, bucket_col="_bucket").drop("_bucket")
+    the worst status of each poll, deduplicated per (line, poll window),
+    severity described (E2, E5). Rows without a poll time cannot be placed in
+    time; ``quarantine_polls`` holds them."""
+    worst = collapse_statuses(raw.where(F.col("observed_at").isNotNull())).drop("is_disrupted")
+    deduped = S.dedup_window(worst, "line_id", "observed_at", bucket, bucket_col="_bucket").drop("_bucket")
     sev = seed(raw.sparkSession, "tfl_severity_lookup")
     j = S.lookup(deduped, sev, "status_severity", "severity_code", seed=True)
     return j.select(
@@ -245,13 +287,18 @@ def stg_tfl_line_status(raw: DataFrame, bucket: str = "30 seconds") -> DataFrame
         F.coalesce("is_disrupted", F.lit(False)).alias("is_disrupted"), F.col("reason").alias("disruption_reason"))
 
 
+def quarantine_polls(raw: DataFrame) -> DataFrame:
+    """Poll rows that have no readable poll time."""
+    return raw.where(F.col("observed_at").isNull()).withColumn("quarantine_reason", F.lit("missing poll time"))
+
+
 # ---------------------------------------------------------------------------
 # Intermediate and marts
 # ---------------------------------------------------------------------------
 
 def weather_city_hourly(stg_w: DataFrame) -> DataFrame:
     return stg_w.select("city", C.hour_trunc("observed_at").alias("event_hour"), "temperature_c",
-                        "precipitation_mm", "weather_description", "is_precipitation")
+                        "precipitation_mm", "wind_speed_kmh", "weather_description", "is_precipitation")
 
 
 def int_complaints_enriched(stg_311: DataFrame, stg_w: DataFrame, stg_air: DataFrame) -> DataFrame:
@@ -260,10 +307,11 @@ def int_complaints_enriched(stg_311: DataFrame, stg_w: DataFrame, stg_air: DataF
     req = stg_311.select(
         "complaint_id", "created_at", "closed_at", "complaint_type", "descriptor", "borough", "neighborhood",
         "incident_zip", "status", "latitude", "longitude",
-        C.hour_trunc("created_at").alias("complaint_hour"), F.to_date("created_at").alias("complaint_date"),
+        C.hour_trunc("created_at").alias("complaint_hour"),
+        C.city_local_date("created_at", F.lit("nyc")).alias("complaint_date"),
         F.lit("nyc").alias("city"))
     req = req.select("*", *[c.alias(n) for n, c in M.resolution().items()])
-    w = weather_city_hourly(stg_w).withColumnRenamed("event_hour", "complaint_hour")
+    w = weather_city_hourly(stg_w).withColumnRenamed("event_hour", "complaint_hour").drop("wind_speed_kmh")
     a = air_city_hourly(stg_air).withColumnRenamed("event_hour", "complaint_hour")
     out = req.join(w, ["city", "complaint_hour"], "left").join(a, ["city", "complaint_hour"], "left")
     return out.select(
@@ -287,7 +335,7 @@ def sla_by_borough(mart: DataFrame, split_wet: bool = True) -> DataFrame:
     return M.sla_summary(mart, ["borough", "is_wet"] if split_wet else ["borough"])
 
 
-def disruption_episodes(stg_status: DataFrame, max_gap_seconds: int | None = 300) -> DataFrame:
+def disruption_episodes(stg_status: DataFrame, max_gap_seconds: int | None = MAX_GAP_SECONDS) -> DataFrame:
     """Disruption episodes per line (F3, D20), categorised."""
     eps = TL.episodes(stg_status, "line_id", "observed_at", "is_disrupted", extra_state=["status_severity"],
                       max_gap_seconds=max_gap_seconds, carry=["disruption_reason", "line_name"])
@@ -302,12 +350,23 @@ def load_raw_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("recursiveFileLookup", "true").text(path)
 
 
-def ingest_batch(annotated: DataFrame, out_path: str, run_id: str, run_ts: str, pipeline: str) -> dict:
+RUN_LOG_SCHEMA = ("run_id string, pipeline_name string, started_at string, status string, error_message string, "
+                  "records_read long, records_written long, records_rejected long")
+
+
+def write_run_log(spark: SparkSession, log: dict, path: str) -> None:
+    names = [f.split()[0] for f in RUN_LOG_SCHEMA.split(", ")]
+    spark.createDataFrame([tuple(log.get(n) for n in names)], RUN_LOG_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+
+
+def ingest_batch(annotated: DataFrame, out_path: str, run_id: str, run_ts: str, pipeline: str,
+                 run_log_path: str | None = None) -> dict:
     """Batch ingest of one run (C6, C7): valid and quarantined rows are
     written in one pass, partitioned by route and ingestion date (the
     quarantine keeps raw_json and its errors); the run counts come from an
     Observation on that same pass, not from a second count job. Returns the
-    run-log row."""
+    run-log row, which is also appended to ``run_log_path`` if that is given. A
+    failed run is logged as such and its error is raised."""
     obs = Observation(f"ingest-{run_id}")
     routed = with_ingest_metadata(annotated, run_id, run_ts).withColumn(
         "_route", F.when(F.col("is_valid"), F.lit("valid")).otherwise(F.lit("quarantine")))
@@ -317,11 +376,14 @@ def ingest_batch(annotated: DataFrame, out_path: str, run_id: str, run_ts: str,
                         F.count_if(F.col("is_valid")).alias("records_written"),
                         F.count_if(~F.col("is_valid")).alias("records_rejected"))
          .write.mode("append").partitionBy("_route", "_ingestion_date").parquet(out_path))
-        m = obs.get
-        log.update({k: int(m.get(k) or 0) for k in ("records_read", "records_written", "records_rejected")})
+        log.update(R.observed_counts(obs, ["records_read", "records_written", "records_rejected"]))
         log["status"] = "success" if log["records_rejected"] == 0 else "partial"
-    except Exception as exc:  # noqa: BLE001 - the run log records any failure
+    except Exception as exc:
         log.update(K.failed_status(str(exc)))
+        raise
+    finally:
+        if run_log_path:
+            write_run_log(annotated.sparkSession, log, run_log_path)
     return log
 
 
@@ -334,34 +396,50 @@ def _persist(df: DataFrame, path: str) -> DataFrame:
 
 
 def run_sla_job(spark: SparkSession, raw_requests_path: str, raw_weather_path: str, raw_air_path: str,
-                out_base: str) -> dict[str, str]:
+                out_base: str, salt: str = "") -> dict[str, str]:
     """Nightly batch from raw tables (as written by ``ingest_batch``) to the
-    SLA mart: staging is persisted (it is large and read by several marts),
+    SLA mart: rows that staging does not take go to quarantine tables, staging is persisted (it is large and read by several marts),
     enrichment stays lazy, the mart is written partitioned by complaint date
     and clustered by borough and type. Returns the written table paths."""
+    configure(spark)
     out = out_base.rstrip("/")
 
     def valid(path: str) -> DataFrame:
         return spark.read.parquet(path).filter(F.col("_route") == "valid")
 
     paths = {name: f"{out}/{name}" for name in
-             ["stg_nyc_311", "stg_weather", "stg_airnow", "mart_complaint_sla", "sla_by_borough"]}
-    stg_311 = _persist(stg_nyc_311(valid(raw_requests_path)), paths["stg_nyc_311"])
+             ["stg_nyc_311", "stg_weather", "stg_airnow", "mart_complaint_sla", "sla_by_borough",
+              "quarantine_requests", "quarantine_air"]}
+    quarantine_requests(valid(raw_requests_path)).write.mode("overwrite").parquet(paths["quarantine_requests"])
+    quarantine_air(valid(raw_air_path)).write.mode("overwrite").parquet(paths["quarantine_air"])
+    stg_311 = _persist(stg_nyc_311(valid(raw_requests_path), salt), paths["stg_nyc_311"])
     stg_w = _persist(stg_weather(valid(raw_weather_path)), paths["stg_weather"])
     stg_a = _persist(stg_airnow(valid(raw_air_path)), paths["stg_airnow"])
     mart = mart_complaint_sla(int_complaints_enriched(stg_311, stg_w, stg_a))
-    R.write_mart(mart, paths["mart_complaint_sla"], "complaint_date", ["borough", "complaint_type"])
+    R.write_mart(mart, paths["mart_complaint_sla"], "complaint_date", ["borough", "complaint_type"], rebuild=True)
     summary = sla_by_borough(spark.read.parquet(paths["mart_complaint_sla"]))
     summary.write.mode("overwrite").parquet(paths["sla_by_borough"])
     return paths
 
 
+def _all_keys(parts: list[DataFrame], keys: list[str]) -> DataFrame:
+    """The keys of all inputs: a spine between their bounds loses no row of
+    any of them, whichever started first or ran longest."""
+    out = None
+    for part in parts:
+        rows = part.select(*keys).where(F.col(keys[1]).isNotNull())
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def int_cross_domain_hourly(stg_311: DataFrame, stg_crime: DataFrame, stg_w: DataFrame, stg_air: DataFrame,
                             episodes: DataFrame) -> DataFrame:
     """City × hour table across all domains (F10–F13). Each input is reduced
     to (city, hour) first, then left-joined to a dense spine, so no join
-    fans out. Request and incident counts exist for nyc only, transit
-    disruptions for london only; the other city gets null (D15)."""
+    fans out; the spine spans the hours of all inputs. Request and incident
+    counts exist for nyc only, transit disruptions for london only; the other
+    city gets null (D15). Rows without a time (unreadable at the source) have
+    no hour and are not counted."""
     keys = ["city", "event_hour"]
     req = (stg_311.groupBy(C.hour_trunc("created_at").alias("event_hour"))
            .agg(F.count(F.lit(1)).alias("requests"),
@@ -369,19 +447,19 @@ def int_cross_domain_hourly(stg_311: DataFrame, stg_crime: DataFrame, stg_w: Dat
            .withColumn("city", F.lit("nyc")))
     inc = (stg_crime.groupBy(C.hour_trunc("occurred_at").alias("event_hour"))
            .agg(F.count(F.lit(1)).alias("incidents")).withColumn("city", F.lit("nyc")))
-    w = weather_city_hourly(stg_w)
+    w = weather_city_hourly(stg_w).drop("is_precipitation")
     a = air_city_hourly(stg_air).select(*keys, "overall_aqi", "aqi_category")
     dl = (TL.lines_per_hour(episodes, "line_id")
           .withColumnsRenamed({"disrupted_lines": "lines", "disrupted_line_ids": "line_ids"})
           .withColumn("city", F.lit("london")))
-    spine = TL.hour_spine(w, "city", "event_hour")
+    spine = TL.hour_spine(_all_keys([w, a, req, inc, dl], keys), "city", "event_hour")
     out = (spine.join(w, keys, "left").join(a, keys, "left").join(req, keys, "left").join(inc, keys, "left")
            .join(dl, keys, "left"))
     nyc, london = F.col("city") == "nyc", F.col("city") == "london"
     return out.select(
         C.surrogate_key("city", F.date_format("event_hour", "yyyy-MM-dd HH:mm:ss")).alias("cross_domain_id"),
-        "event_hour", F.to_date("event_hour").alias("event_date"), "city",
-        F.col("temperature_c").alias("temperature_celsius"), "precipitation_mm", "weather_description",
+        "event_hour", C.city_local_date("event_hour", "city").alias("event_date"), "city",
+        F.col("temperature_c").alias("temperature_celsius"), "precipitation_mm", "wind_speed_kmh", "weather_description",
         "overall_aqi", "aqi_category",
         F.when(nyc, F.coalesce("requests", F.lit(0))).alias("nyc_311_complaints_count"),
         F.when(nyc, F.coalesce("noise", F.lit(0))).alias("nyc_311_noise_complaints"),
@@ -408,15 +486,24 @@ def int_transit_delays(episodes: DataFrame, stg_w: DataFrame, city: str = "londo
 
 def mart_transit_performance(stg_status: DataFrame, delays: DataFrame, stg_air: DataFrame,
                              city: str = "london") -> DataFrame:
-    """Line × day performance (G6) with the city's mean AQI on days that had
-    a disruption."""
+    """Line × day performance (G6) with the line's name, the day's most common
+    disruption reason and the city's mean AQI on days that had a disruption.
+    Days are UTC days, on which minutes add up to 1440 all year."""
     perf = M.line_day_performance(stg_status.select("line_id", "observed_at"), delays, "line_id", "observed_at")
+    names = stg_status.groupBy("line_id").agg(F.max_by("line_name", "observed_at").alias("line_name"))
+    reasons = M.mode_of(delays.where("disruption_reason is not null").withColumn("service_date", F.to_date("started_at")),
+                        ["line_id", "service_date"], "disruption_reason", "most_common_disruption_reason")
     aqi = (air_city_hourly(stg_air).filter(F.col("city") == city)
            .groupBy(F.to_date("event_hour").alias("service_date")).agg(F.avg("overall_aqi").alias("_aqi")))
-    out = perf.join(aqi, "service_date", "left")
-    return S.assert_no_pii(out.select(
-        *perf.columns, C.surrogate_key("line_id", "service_date").alias("performance_id"),
-        F.when(F.col("disruption_events") > 0, F.col("_aqi")).alias("avg_aqi_on_disruption_days")))
+    out = (perf.join(aqi, "service_date", "left").join(names, "line_id", "left")
+           .join(reasons, ["line_id", "service_date"], "left"))
+    return S.assert_no_pii(S.drop_pii(out.select(
+        C.surrogate_key("line_id", "service_date").alias("performance_id"), F.col("service_date").alias("performance_date"),
+        "line_id", "line_name", F.col("disruption_events").alias("total_disruption_events"),
+        F.col("disruption_minutes").alias("total_disruption_minutes"), "observed_minutes",
+        F.col("pct_good_service").alias("pct_time_good_service"), "most_common_disruption_reason",
+        F.col("weather_related_events").alias("weather_related_disruptions"),
+        F.when(F.col("disruption_events") > 0, F.col("_aqi")).alias("avg_aqi_on_disruption_days"))))
 
 
 def scd_tfl_line_status(stg_status: DataFrame) -> DataFrame:
@@ -425,14 +512,27 @@ def scd_tfl_line_status(stg_status: DataFrame) -> DataFrame:
     return scd2_history(stg_status, "line_id", ["status_severity", "status_description"], "observed_at")
 
 
+FEATURE_FILLS = M.FEATURE_DEFAULTS | {"wind_speed_kmh": 0.0}
+
+
 def mart_ml_features(cross_domain: DataFrame) -> DataFrame:
     """Feature and label table per city-hour (G11–G13) from
     int_cross_domain_hourly; request counts of a city without requests
-    count as 0 (D14)."""
+    count as 0, like disrupted lines of a city without lines (D14). Hours and
+    weekdays are UTC, feature_date is the city's date."""
     hourly = cross_domain.select(
-        "city", "event_hour", F.col("temperature_celsius").alias("temperature_c"), "precipitation_mm",
+        "city", "event_hour", F.col("temperature_celsius").alias("temperature_c"), "precipitation_mm", "wind_speed_kmh",
         "overall_aqi", F.coalesce("nyc_311_complaints_count", F.lit(0)).alias("requests_count"))
-    return S.assert_no_pii(M.feature_table(hourly, "city", "event_hour", "requests_count"))
+    features = M.feature_table(hourly, "city", "event_hour", "requests_count", fills=FEATURE_FILLS)
+    lines = cross_domain.select("city", "event_hour", F.coalesce("london_transit_disruptions", F.lit(0)).alias("london_lines_disrupted"))
+    out = features.join(lines, ["city", "event_hour"], "left")
+    return S.assert_no_pii(S.drop_pii(out.select(
+        "feature_id", F.col("event_hour").alias("feature_timestamp"), C.city_local_date("event_hour", "city").alias("feature_date"),
+        "city", "hour_of_day", "day_of_week", "is_weekend", "month", "temperature_c", "precipitation_mm", "wind_speed_kmh",
+        S.precip_flag("precipitation_mm").alias("is_raining"), F.col("overall_aqi").alias("aqi"),
+        F.col("aqi_category_code").alias("aqi_category_encoded"), F.col("complaints_last_1h").alias("nyc_complaints_last_1h"),
+        F.col("complaints_last_24h").alias("nyc_complaints_last_24h"), "london_lines_disrupted",
+        "label_complaints_next_1h", "label_aqi_next_6h")))
 
 
 def int_air_quality_indexed(stg_air: DataFrame) -> DataFrame:
@@ -441,12 +541,22 @@ def int_air_quality_indexed(stg_air: DataFrame) -> DataFrame:
     return M.air_quality_indexed(air_city_hourly(stg_air))
 
 
-def mart_air_quality_trends(stg_air: DataFrame, unhealthy_above: int = 100) -> DataFrame:
-    """Daily air-quality trends per city."""
-    daily = (air_city_hourly(stg_air).groupBy("city", F.to_date("event_hour").alias("trend_date"))
-             .agg(F.avg("overall_aqi").alias("avg_aqi"), F.max("overall_aqi").alias("max_aqi")))
-    trends = M.air_quality_trends(daily, "city", "trend_date", unhealthy_above=unhealthy_above)
-    return trends.withColumn("trend_id", C.surrogate_key("city", "trend_date"))
+def mart_air_quality_trends(stg_air: DataFrame, stg_w: DataFrame, unhealthy_above: int = 100) -> DataFrame:
+    """Daily air-quality trends per city (G7, G8) with the pollutant of the
+    day's worst hour and the day's weather. Days are the city's."""
+    day = C.city_local_date("event_hour", "city").alias("observation_date")
+    daily = (air_city_hourly(stg_air).groupBy("city", day)
+             .agg(F.avg("overall_aqi").alias("avg_aqi"), F.max("overall_aqi").alias("max_aqi"),
+                  F.max_by("dominant_pollutant", F.struct("overall_aqi", "dominant_pollutant")).alias("dominant_pollutant")))
+    weather = (weather_city_hourly(stg_w).groupBy("city", day)
+               .agg(F.avg("temperature_c").alias("avg_temperature_c"), F.avg("precipitation_mm").alias("avg_precipitation_mm")))
+    trends = M.air_quality_trends(daily, "city", "observation_date", unhealthy_above=unhealthy_above)
+    keys = ["city", "observation_date"]
+    out = trends.join(daily.select(*keys, "dominant_pollutant"), keys).join(weather, keys, "left")
+    return S.assert_no_pii(S.drop_pii(out.select(
+        C.surrogate_key(*keys).alias("trend_id"), "observation_date", "city", "avg_aqi", "max_aqi", "dominant_pollutant",
+        F.col("aqi_7d_avg").alias("aqi_7d_rolling_avg"), F.col("aqi_30d_avg").alias("aqi_30d_rolling_avg"),
+        F.col("unhealthy_days_30d").alias("days_unhealthy_last_30d"), "avg_temperature_c", "avg_precipitation_mm")))
 
 
 def mart_city_daily_summary(stg_311: DataFrame, stg_crime: DataFrame, stg_w: DataFrame, stg_air: DataFrame,
@@ -455,38 +565,49 @@ def mart_city_daily_summary(stg_311: DataFrame, stg_crime: DataFrame, stg_w: Dat
     on its own and joined on the day spine — never one wide join that is
     aggregated afterwards. dominant_weather is the day's most frequent
     description (ties alphabetical); worst_aqi_category is the category of
-    the day's worst hour."""
+    the day's worst hour. Days are the city's, from the first to the last day
+    of any input."""
     keys = ["city", "summary_date"]
-    w = stg_w.withColumn("summary_date", F.to_date("observed_at"))
+
+    def day(ts: str, city=None) -> F.Column:
+        return C.city_local_date(ts, city if city is not None else "city").alias("summary_date")
+
+    w = stg_w.withColumn("summary_date", day("observed_at"))
     weather = w.groupBy(*keys).agg(
         F.avg("temperature_c").alias("avg_temperature_c"), F.max("temperature_c").alias("max_temperature_c"),
         F.min("temperature_c").alias("min_temperature_c"), F.sum("precipitation_mm").alias("total_precipitation_mm"),
         F.max("wind_speed_kmh").alias("max_wind_speed_kmh"))
     dominant = M.mode_of(w.filter(F.col("weather_description").isNotNull()), keys, "weather_description",
                          "dominant_weather")
-    air = (air_city_hourly(stg_air).withColumn("summary_date", F.to_date("event_hour")).groupBy(*keys)
+    air = (air_city_hourly(stg_air).withColumn("summary_date", day("event_hour")).groupBy(*keys)
            .agg(F.avg("overall_aqi").alias("avg_aqi"), F.max("overall_aqi").alias("max_aqi"),
                 F.max_by("aqi_category", F.struct("overall_aqi", "aqi_category")).alias("worst_aqi_category")))
-    req = (stg_311.groupBy(F.to_date("created_at").alias("summary_date"))
-           .agg(F.count(F.lit(1)).alias("complaints_count"),
-                F.count_if(F.col("closed_at").isNotNull()).alias("complaints_closed"))
-           .withColumn("city", F.lit("nyc")))
-    inc = (stg_crime.groupBy(F.to_date("occurred_at").alias("summary_date"))
-           .agg(F.count(F.lit(1)).alias("incidents_count"),
-                F.count_if(F.col("law_category") == "FELONY").alias("felony_count"))
-           .withColumn("city", F.lit("nyc")))
-    transit = (episodes.groupBy(F.to_date("started_at").alias("summary_date"))
-               .agg(F.count(F.lit(1)).alias("transit_disruption_events"))
-               .withColumn("city", F.lit("london")))
-    spine = TL.day_spine(w, "city", "summary_date", out="summary_date")
+    resolution = M.resolution()
+    nyc_only, london_only = F.lit("nyc"), F.lit("london")
+    req = (stg_311.groupBy(day("created_at", nyc_only))
+           .agg(F.count(F.lit(1)).alias("nyc_total_311_complaints"),
+                F.count_if(resolution["is_open"]).alias("nyc_open_311_complaints"),
+                F.avg(resolution["hours_to_close"]).alias("nyc_avg_resolution_hours"))
+           .withColumn("city", nyc_only))
+    inc = (stg_crime.groupBy(day("occurred_at", nyc_only))
+           .agg(F.count(F.lit(1)).alias("nyc_total_crime_incidents"),
+                F.count_if(F.col("law_category") == "FELONY").alias("nyc_felony_count"))
+           .withColumn("city", nyc_only))
+    ended = F.coalesce("ended_at", "last_seen_at")  # an open episode runs to its line's last poll
+    transit = (episodes.groupBy(day("started_at", london_only))
+               .agg(F.count(F.lit(1)).alias("london_transit_disruption_events"),
+                    F.avg(TL.minutes_floor("started_at", ended)).alias("london_avg_disruption_minutes"),
+                    F.count_distinct("line_id").alias("london_lines_disrupted_count"))
+               .withColumn("city", london_only))
+    spine = TL.day_spine(_all_keys([weather, air, req, inc, transit], keys), "city", "summary_date", out="summary_date")
     out = spine
     for part in (weather, dominant, air, req, inc, transit):
         out = out.join(part, keys, "left")
-    nyc, london = F.col("city") == "nyc", F.col("city") == "london"
-    counts = {c: F.when(nyc, F.coalesce(c, F.lit(0))) for c in
-              ["complaints_count", "complaints_closed", "incidents_count", "felony_count"]}
-    counts["transit_disruption_events"] = F.when(london, F.coalesce("transit_disruption_events", F.lit(0)))
-    return S.assert_no_pii(out.withColumns(counts).withColumn("summary_id", C.surrogate_key("city", "summary_date")))
+    counts = {}
+    for city, names in (("nyc", ["nyc_total_311_complaints", "nyc_open_311_complaints", "nyc_total_crime_incidents", "nyc_felony_count"]),
+                        ("london", ["london_transit_disruption_events", "london_lines_disrupted_count"])):
+        counts |= {c: F.when(F.col("city") == city, F.coalesce(c, F.lit(0))) for c in names}
+    return S.assert_no_pii(S.drop_pii(out.withColumns(counts).withColumn("summary_id", C.surrogate_key(*keys))))
 
 
 def mart_cross_domain_correlations(daily: DataFrame, bad_air_aqi: int = 100,
@@ -494,16 +615,19 @@ def mart_cross_domain_correlations(daily: DataFrame, bad_air_aqi: int = 100,
     """Conditional daily metrics (G9, D11: the day's value when the
     condition holds, else null) and per-city correlations over them (G10)."""
     bad_air = F.col("max_aqi") > bad_air_aqi
-    rainy = F.coalesce(F.col("total_precipitation_mm") > extreme_rain_mm, F.lit(False))
+    extreme = F.coalesce(F.col("total_precipitation_mm") > extreme_rain_mm, F.lit(False))
+    rain = S.precip_flag("total_precipitation_mm")
     per_day = daily.select(
-        "summary_id", "city", "summary_date", "max_aqi", "total_precipitation_mm", "complaints_count",
-        "incidents_count", "transit_disruption_events", bad_air.alias("is_bad_air_day"), rainy.alias("is_rain_day"),
-        M.conditional("complaints_count", bad_air).alias("complaints_on_bad_air_day"),
-        M.conditional("incidents_count", rainy).alias("crime_on_extreme_weather_day"),
-        M.conditional("transit_disruption_events", bad_air).alias("disruptions_on_bad_air_day"))
+        C.surrogate_key("city", "summary_date").alias("correlation_id"), F.col("summary_date").alias("correlation_date"), "city",
+        "avg_aqi", "total_precipitation_mm", "avg_temperature_c", F.col("nyc_total_311_complaints").alias("nyc_311_complaints"),
+        F.col("nyc_total_crime_incidents").alias("nyc_crime_incidents"),
+        F.col("london_transit_disruption_events").alias("london_transit_disruptions"),
+        M.conditional("nyc_total_311_complaints", bad_air).cast("double").alias("complaints_per_bad_air_day"),
+        M.conditional("nyc_total_crime_incidents", extreme).alias("crime_on_extreme_weather_days"),
+        M.conditional("london_transit_disruption_events", rain).alias("transit_disruptions_on_rain_days"))
     corr = M.correlations(daily, ["city"], {
-        "corr_aqi_vs_disruptions": ("max_aqi", "transit_disruption_events"),
-        "corr_precipitation_vs_complaints": ("total_precipitation_mm", "complaints_count")})
+        "corr_aqi_vs_disruptions": ("max_aqi", "london_transit_disruption_events"),
+        "corr_precipitation_vs_complaints": ("total_precipitation_mm", "nyc_total_311_complaints")})
     return per_day, corr
 
 
@@ -546,13 +670,14 @@ def collapse_statuses(rows: DataFrame) -> DataFrame:
             .select("line_id", "observed_at", "_w.*"))
 
 
-def run_poll_stream(spark: SparkSession, landing: str, out_base: str, max_files_per_trigger: int | None = None
-                    ) -> dict[str, str]:
+def run_poll_stream(spark: SparkSession, landing: str, out_base: str, max_files_per_trigger: int = 100,
+                    max_gap_seconds: int | None = MAX_GAP_SECONDS) -> dict[str, str]:
     """Streaming job over landed poll files (A8): one row per line status
     goes to the raw sink (everything, late rows included, I4); the same
     rows, flagged by the severity seed (a stream-static broadcast join),
     feed the per-line stateful episode detector (I2). Both sinks checkpoint
-    next to their output, so a restart resumes exactly."""
+    next to their output, so a restart resumes exactly. A trigger takes a
+    bounded number of files, so a backlog goes through in steps."""
     out = out_base.rstrip("/")
     src = P.poll_stream(spark, landing, LINE_STATUS_SCHEMA, fmt="json", max_files_per_trigger=max_files_per_trigger)
     rows = line_status_rows(src)
@@ -560,7 +685,8 @@ def run_poll_stream(spark: SparkSession, landing: str, out_base: str, max_files_
     polls = _with_disruption(rows).select("line_id", F.col("observed_at").cast("timestamp").alias("ts"),
                                           F.col("is_disrupted").alias("disrupted"),
                                           F.col("status_severity").alias("severity"))
-    ep_path = P.run_to_parquet(P.stream_episodes(polls, key="line_id"), "episodes", path=f"{out}/episodes")
+    ep_path = P.run_to_parquet(P.stream_episodes(polls, key="line_id", max_gap_seconds=max_gap_seconds), "episodes",
+                               path=f"{out}/episodes")
     return {"raw_line_status": raw_path, "episodes": ep_path}
 
 
@@ -630,7 +756,8 @@ ARRIVAL_SCHEMA = _strings(ARRIVAL_FIELDS)
 def stg_tfl_arrivals(raw: DataFrame, observed_col: str = "_ingestion_timestamp") -> DataFrame:
     """Arrival predictions (E13): typed, keyed by MD5(vehicle, stop,
     expected arrival), latest poll wins. The raw feed has no scheduled time,
-    so no delay is derived."""
+    so no delay is derived. Predictions without a stop or a line are in
+    ``quarantine_arrivals``."""
     typed = raw.select(
         C.safe_str("vehicleId").alias("vehicle_id"), C.safe_str("lineId").alias("line_id"),
         C.safe_str("lineName").alias("line_name"), C.safe_str("naptanId").alias("stop_point_id"),
@@ -638,9 +765,16 @@ def stg_tfl_arrivals(raw: DataFrame, observed_col: str = "_ingestion_timestamp")
         C.safe_str("destinationName").alias("destination_name"),
         C.safe_int("timeToStation").alias("time_to_station_seconds"),
         C.safe_str("expectedArrival").alias("_expected_text"), F.col(observed_col).alias("observed_at"))
-    typed = typed.filter(F.col("stop_point_id").isNotNull() & F.col("line_id").isNotNull())
+    typed = typed.where(F.col("stop_point_id").isNotNull() & F.col("line_id").isNotNull())
     latest = S.dedup_latest(typed, ["vehicle_id", "stop_point_id", "_expected_text"], ["observed_at"])
     return latest.select(
         C.surrogate_key("vehicle_id", "stop_point_id", "_expected_text").alias("arrival_event_id"),
         "vehicle_id", "line_id", "line_name", "stop_point_id", "station_name", "direction", "destination_name",
         "time_to_station_seconds", C.parse_timestamp("_expected_text").alias("expected_arrival_at"), "observed_at")
+
+
+def quarantine_arrivals(raw: DataFrame) -> DataFrame:
+    """Arrival predictions without a stop or a line."""
+    missing = F.coalesce(F.when(C.safe_str("naptanId").isNull(), F.lit("missing stop")),
+                         F.when(C.safe_str("lineId").isNull(), F.lit("missing line")))
+    return raw.withColumn("quarantine_reason", missing).where("quarantine_reason is not null")

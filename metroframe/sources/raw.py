@@ -10,7 +10,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,28 +20,6 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin rows over the cores before CPU-heavy row work (JSON
-    parsing, regex over long texts, sort-based dedup) when a *scan* yields
-    fewer splits than there are cores — a small file stored as one Parquet
-    row group is a single task.
-
-    Only local sessions are probed: there the split count comes from the
-    scan's RDD, which costs planning only because callers pass scans (on a
-    plan with shuffles under AQE, asking for the RDD would run them). On a
-    cluster the input of a 100 TB job already has thousands of splits, so
-    the helper returns the plan unchanged and adds no shuffle."""
-    spark = df.sparkSession
-    try:
-        if df.isStreaming or not str(spark.conf.get("spark.master", "")).startswith("local"):
-            return df
-        target = spark.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. a Connect session): leave the plan as is
-        return df
-    return df.repartition(target) if splits < target else df
-
-
 # ---------------------------------------------------------------------------
 # Raw NDJSON
 # ---------------------------------------------------------------------------
@@ -49,7 +28,6 @@ def parse_json_lines(lines: DataFrame, schema: T.StructType, line_col: str = "va
                      keep_raw: bool = True) -> DataFrame:
     """Parse NDJSON text lines with an explicit schema (A1). Unknown fields
     are ignored; malformed lines give nulls (no failure)."""
-    lines = spread(lines)
     parsed = F.from_json(F.col(line_col), schema, {"mode": "PERMISSIVE"}).alias("_rec")
     cols = [parsed]
     if keep_raw:
@@ -73,42 +51,63 @@ def raw_key(source: str, run_id: str, year: int, month: int, day: int) -> str:
     return f"{source}/{year:04d}/{month:02d}/{day:02d}/{run_id}.ndjson"
 
 
+def observed_counts(seen: Observation, names: list[str]) -> dict[str, int]:
+    """Counts observed on a finished write. A plan that the optimizer proves
+    empty carries no metrics, and PySpark cannot turn their empty row into a
+    Row: all counts are 0 then."""
+    try:
+        found = seen.get
+    except Py4JJavaError as error:
+        if "assertion failed" not in str(error.java_exception):
+            raise
+        found = {}
+    return {n: int(found.get(n) or 0) for n in names}
+
+
 def write_ndjson(df: DataFrame, path: str, date_col: str) -> str:
     """Append a run to the raw zone, partitioned by year/month/day of
     ``date_col`` (A10), rebalanced so a heavy day is split over several
-    tasks. An empty input writes nothing and returns ''.
-
-    The emptiness probe is a one-row ``limit`` job, not a count."""
-    if df.isEmpty():
-        return ""
-    out = df.withColumns({
+    tasks. An empty input leaves no data files and returns ''; the row count
+    is observed on the write itself, not by a second run of the plan."""
+    seen = Observation()
+    out = df.observe(seen, F.count(F.lit(1)).alias("rows")).withColumns({
         "year": F.date_format(date_col, "yyyy"),
         "month": F.date_format(date_col, "MM"),
         "day": F.date_format(date_col, "dd"),
     })
     (out.hint("rebalance", "year", "month", "day")
         .write.mode("append").partitionBy("year", "month", "day").json(path))
-    return path
+    return path if observed_counts(seen, ["rows"])["rows"] else ""
 
 
-def append_rows(df: DataFrame, path: str, columns: list[str], fmt: str = "parquet") -> str:
-    """Append to a raw table keeping only its declared columns (A11):
-    unknown source columns are ignored, missing ones are written as null."""
+def append_rows(df: DataFrame, path: str, columns: list[str], fmt: str = "parquet", required: list[str] | None = None
+                ) -> dict[str, int]:
+    """Append to a raw table keeping only its declared columns (A11): unknown
+    source columns are ignored, missing ones are written as null. Rows that
+    lack a ``required`` value are not appended. Returns the accepted and
+    failed row counts, observed on the same pass."""
     present = set(df.columns)
     cols = [F.col(c) if c in present else F.lit(None).cast("string").alias(c) for c in columns]
-    df.select(*cols).write.mode("append").format(fmt).save(path)
-    return path
+    complete = F.lit(True)
+    for c in required or []:
+        complete = complete & F.col(c).isNotNull()
+    seen = Observation()
+    rows = df.select(*cols).observe(seen, F.count_if(complete).alias("accepted"), F.count_if(~complete).alias("failed"))
+    rows.where(complete).write.mode("append").format(fmt).save(path)
+    return observed_counts(seen, ["accepted", "failed"])
 
 
-def write_mart(df: DataFrame, path: str, partition_col: str, cluster_cols: list[str]) -> str:
+def write_mart(df: DataFrame, path: str, partition_col: str, cluster_cols: list[str], rebuild: bool = False) -> str:
     """Mart sink (A12): rows of one date go to few tasks (few files per
     partition folder), but the ``rebalance`` hint lets AQE split a date that
     holds a large share of the data over several tasks instead of one; rows
     are sorted within tasks by the cluster keys (min/max row-group
-    skipping); dynamic partition overwrite replaces only the dates written."""
+    skipping). Dynamic partition overwrite replaces only the dates written; a
+    full ``rebuild`` replaces the table, so that a date without rows keeps no
+    old files."""
     (df.hint("rebalance", partition_col)
        .sortWithinPartitions(partition_col, *cluster_cols)
-       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .write.mode("overwrite").option("partitionOverwriteMode", "static" if rebuild else "dynamic")
        .partitionBy(partition_col).parquet(path))
     return path
 

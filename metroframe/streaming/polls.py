@@ -95,6 +95,8 @@ def episode_schema(key_type: T.DataType) -> T.StructType:
         T.StructField("started_at", T.TimestampType()),
         T.StructField("ended_at", T.TimestampType()),
     ])
+
+
 EPISODE_STATE = T.StructType([
     T.StructField("last_ts", T.TimestampType()),
     T.StructField("disrupted", T.BooleanType()),
@@ -103,44 +105,48 @@ EPISODE_STATE = T.StructType([
 ])
 
 
-def _episode_processor(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+def _episode_processor(max_gap_seconds: int | None):
     """Per-line state machine: keeps the last poll's state and the start of
     the open episode; emits an episode when the line leaves a disrupted
-    state (or changes severity). Polls older than the last seen one are late
-    and ignored — the batch rebuild corrects them."""
-    polls = pd.concat(list(batches), ignore_index=True)
-    # One state per poll time: the worst status (disrupted first, then the
-    # lowest code) — the same rule as the batch path's collapse_statuses.
-    polls = (polls.sort_values(["ts", "disrupted", "severity"], ascending=[True, False, True], kind="stable")
-             .drop_duplicates("ts", keep="first"))
-    if state.exists:
-        last_ts, disrupted, severity, open_start = state.get
-    else:
-        last_ts, disrupted, severity, open_start = None, None, None, None
-    out = []
-    for ts, dis, sev in zip(polls["ts"], polls["disrupted"], polls["severity"]):
-        if last_ts is not None and ts <= last_ts:
-            continue
-        sev = -1 if pd.isna(sev) else int(sev)  # a poll without statuses: a state of its own, not disrupted
-        dis = False if pd.isna(dis) else bool(dis)
-        changed = disrupted is None or dis != disrupted or sev != severity
-        if changed:
-            if disrupted and open_start is not None:
-                out.append((key[0], int(severity), open_start, ts))
-            open_start = ts if dis else None
-        disrupted, severity, last_ts = dis, sev, ts
-    state.update((last_ts, disrupted, severity, open_start))
-    if out:
-        yield pd.DataFrame(out, columns=["line_id", "severity_level", "started_at", "ended_at"])
+    state, changes severity, or was not polled for over ``max_gap_seconds``
+    (the episode then ends at the last poll seen). Polls older than the last
+    seen one are late and ignored — the raw sink has them, and the batch
+    rebuild corrects the episodes."""
+    def process(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        polls = pd.concat(list(batches), ignore_index=True)
+        # One state per poll time: the worst status (disrupted first, then the
+        # lowest code) — the same rule as the batch path's collapse_statuses.
+        polls = (polls.sort_values(["ts", "disrupted", "severity"], ascending=[True, False, True], kind="stable")
+                 .drop_duplicates("ts", keep="first"))
+        last_ts, disrupted, severity, open_start = state.get if state.exists else (None, None, None, None)
+        out = []
+        for ts, dis, sev in zip(polls["ts"], polls["disrupted"], polls["severity"]):
+            if last_ts is not None and ts <= last_ts:
+                continue
+            sev = -1 if pd.isna(sev) else int(sev)  # a poll without statuses: a state of its own, not disrupted
+            dis = False if pd.isna(dis) else bool(dis)
+            gap = max_gap_seconds is not None and last_ts is not None and (ts - last_ts).total_seconds() > max_gap_seconds
+            if disrupted is None or gap or dis != disrupted or sev != severity:
+                if disrupted and open_start is not None:
+                    out.append((key[0], int(severity), open_start, last_ts if gap else ts))
+                open_start = ts if dis else None
+            disrupted, severity, last_ts = dis, sev, ts
+        state.update((last_ts, disrupted, severity, open_start))
+        if out:
+            yield pd.DataFrame(out, columns=["line_id", "severity_level", "started_at", "ended_at"])
+
+    return process
 
 
 def stream_episodes(stream: DataFrame, key: str = "line_id", ts: str = "ts", flag: str = "disrupted",
-                    severity: str = "severity") -> DataFrame:
+                    severity: str = "severity", max_gap_seconds: int | None = None) -> DataFrame:
     """Closed disruption episodes from the poll stream (I2); equals the
-    closed rows of the batch ``timeline.episodes`` on the same polls."""
-    polls = stream.select(F.col(key).alias("line_id"), F.col(ts).alias("ts"),
-                          F.col(flag).alias("disrupted"), F.col(severity).cast("long").alias("severity"))
+    closed rows of the batch ``timeline.episodes`` with the same gap rule on
+    the same polls. Polls without a time are left out (the raw sink has them)."""
+    polls = stream.where(F.col(ts).isNotNull()).select(
+        F.col(key).alias("line_id"), F.col(ts).alias("ts"),
+        F.col(flag).alias("disrupted"), F.col(severity).cast("long").alias("severity"))
     out_schema = episode_schema(polls.schema["line_id"].dataType)
     return (polls.groupBy("line_id")
-            .applyInPandasWithState(_episode_processor, out_schema, EPISODE_STATE, "append",
+            .applyInPandasWithState(_episode_processor(max_gap_seconds), out_schema, EPISODE_STATE, "append",
                                     GroupStateTimeout.NoTimeout))
