@@ -118,15 +118,15 @@ def unit_rows(matrix: np.ndarray) -> np.ndarray:
     return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
 
-def local_links(vectors: np.ndarray, weight: np.ndarray, filters: list[np.ndarray], here: int, side: np.ndarray,
+def local_links(vectors: np.ndarray, weight: np.ndarray, filters: list[np.ndarray], here: int, side: np.ndarray | None,
                 threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
-    """Links inside one bucket (or between its two sides) that have no smaller
+    """Links inside one block (or between the two of ``side``) that have no smaller
     direction in common: (row, links by weight, smallest row of its local
     component), for rows with links."""
     unit = unit_rows(vectors)
     linked = unit @ unit.T >= threshold
     np.fill_diagonal(linked, False)
-    if side.any():
+    if side is not None:
         linked &= side[:, None] != side[None, :]
     if not linked.any():
         return None
@@ -217,7 +217,7 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
             if b - a < 2:
                 continue
             found = local_links(flat[vector_at[a]:vector_at[b]].reshape(b - a, -1), weight[a:b],
-                                [list_flat[list_at[i]:list_at[i + 1]] for i in range(a, b)], key[1][a], side[a:b] & (key[2][a] != key[3][a]), threshold)
+                                [list_flat[list_at[i]:list_at[i + 1]] for i in range(a, b)], key[1][a], side[a:b] if key[2][a] != key[3][a] else None, threshold)
             if found:
                 out.append((ids[a + found[0]], found[1], ids[a + found[2]]))
         if out:

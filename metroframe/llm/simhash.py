@@ -127,6 +127,8 @@ def links(codes: DataFrame, fp: str = "fp", max_bits: int = MAX_BITS, bucket_row
 
     def block(r: int):
         width = bounds[r + 1] - bounds[r]
+        if width == BITS:
+            return F.col("fp")
         return F.shiftrightunsigned("fp", BITS - bounds[r + 1]).bitwiseAND(F.lit((1 << width) - 1))
 
     placed = (codes.select(named(fp).alias("fp")).where("fp is not null")

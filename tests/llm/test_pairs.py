@@ -153,7 +153,7 @@ def clustered(rng, n, dims, spread):
     return [(centres[rng.integers(6)] + spread * rng.normal(size=dims)).tolist() for _ in range(n)]
 
 
-@pytest.mark.parametrize("bucket_rows", [128, 5])
+@pytest.mark.parametrize("bucket_rows", [128, 5, 2])
 def test_cap_filters_equal_brute_force(spark, bucket_rows):
     rng = np.random.default_rng(4)
     vectors = clustered(rng, 120, 24, 0.12)
