@@ -6,8 +6,8 @@ query reads all its lists from the good end, in steps of growing depth. What
 it has read of a candidate gives a lower bound (unread coordinates at their
 list's worst value) and an upper bound (unread ones at the last value read).
 When no candidate outside those seen can still reach the k-th best lower
-bound, reading stops, and candidates whose upper bound reaches it get their
-final scores. After each step the most promising candidates are resolved
+bound and few of those seen can, reading stops, and these get their final
+scores. After each step the most promising candidates are resolved
 already, which raises the bound to beat.
 
 Queries are dealt into blocks too; a task handles one pair of blocks, so memory
@@ -27,52 +27,67 @@ from metroframe.llm.common import named, stored
 
 #: bounds are exact in doubles below this
 EXACT = 2.0**52
+#: reading goes on while more than one in so many candidates may still be among the best
+FEW = 16
 
 
 class Lists:
-    """The sorted lists of one block of candidates."""
+    """The sorted lists of one block of candidates.
+
+    List i holds coordinate i from its largest value on, list dims + i from its
+    smallest. A query reads list i where its own coordinate is positive and
+    list dims + i where it is negative, so with the query split into those two
+    parts the bounds of all queries at one depth are matrix products."""
 
     def __init__(self, vectors: np.ndarray) -> None:
         self.vectors = vectors
         n = len(vectors)
-        self.coordinate = np.ascontiguousarray(vectors.T).astype(np.float64)
-        down = np.argsort(-vectors.T, axis=1, kind="stable")
-        # list i: coordinate i from its largest value on; list dims + i: from its smallest
-        order = np.concatenate([down, down[:, ::-1]])
-        self.value = np.take_along_axis(np.concatenate([self.coordinate, self.coordinate]), order, 1)
+        down = np.argsort(-vectors, axis=0, kind="stable")
+        order = np.concatenate([down, down[::-1]], axis=1)
+        self.both = np.concatenate([vectors, vectors], axis=1).astype(np.float64)
+        self.value = np.take_along_axis(self.both, order, 0)
         self.place = np.empty(order.shape, np.int32)  # of each candidate in each list
-        np.put_along_axis(self.place, order, np.arange(n, dtype=np.int32)[None, :], 1)
-        self.steps = sorted({min(n, max(1, n * part // 32)) for part in (5, 8, 12, 16, 24, 32)})
+        np.put_along_axis(self.place, order, np.arange(n, dtype=np.int32)[:, None], 0)
+        self.depths = sorted({min(n, max(1, n * part // 32)) for part in (5, 8, 12, 16, 24, 32)})
         self.largest = float(np.abs(vectors).max(initial=0))
-
-    def top(self, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(candidate, score) of all that may be among the k best: the k best
-        and their ties, and at times a few more."""
+        self.read_to: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def gains(self, depth: int) -> tuple[np.ndarray, np.ndarray]:
+        """What the entries read so far give over the last value read, and over
+        the worst value of their list (0 for entries not read)."""
+        if depth not in self.read_to:
+            read = self.place < depth
+            self.read_to[depth] = (np.where(read, self.both - self.value[depth - 1], 0.0), np.where(read, self.both - self.value[-1], 0.0))
+        return self.read_to[depth]
+
+    def top(self, queries: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each query (candidate, score) of all that may be among its k
+        best: the k best and their ties, and at times more."""
         n, dims = self.vectors.shape
-        if k >= n or self.largest * float(np.abs(query).max(initial=0)) * dims >= EXACT:
-            return np.arange(n), self.vectors @ query
-        use = np.flatnonzero(query)
-        lists = np.where(query[use] > 0, use, dims + use)
-        factor = query[use].astype(np.float64)
-        place, gain = self.place[lists], self.coordinate[use] * factor[:, None]
-        worst = self.value[lists, -1] * factor  # the least that each list can give
-        best: dict[int, int] = {}
-        for stop in self.steps:
-            read = (place < stop).astype(np.float64)  # the entries at the top of each list
-            known = np.einsum("ij,ij->j", read, gain)
-            last = self.value[lists, stop - 1] * factor
-            outside = last.sum()  # no candidate that no list has shown can have more
-            upper = known + (outside - last @ read)
-            lower = known + (worst.sum() - worst @ read)
-            for i in np.argpartition(-upper, k - 1)[:k].tolist():
-                if i not in best:
-                    best[i] = int(self.vectors[i] @ query)
-            lower[list(best)] = list(best.values())
-            reach = np.partition(lower, n - k)[n - k]
-            if outside < reach:
+        if k >= n or self.largest * float(np.abs(queries).max(initial=0)) * dims >= EXACT:
+            return [(np.arange(n), self.vectors @ q) for q in queries]
+        out: list = [None] * len(queries)
+        parts = np.concatenate([np.maximum(queries, 0), np.minimum(queries, 0)], axis=1).astype(np.float64)
+        reach = np.full(len(queries), -np.inf)
+        left = np.arange(len(queries))
+        for depth in self.depths:
+            over_last, over_worst = self.gains(depth)
+            outside = parts[left] @ self.value[depth - 1]  # no candidate that no list has shown can have more
+            upper = outside[:, None] + parts[left] @ over_last.T
+            lower = (parts[left] @ self.value[-1])[:, None] + parts[left] @ over_worst.T
+            likely = np.argpartition(-upper, k - 1, axis=1)[:, :k]
+            exact = np.einsum("qkd,qd->qk", self.vectors[likely], queries[left])
+            np.put_along_axis(lower, likely, exact.astype(np.float64), 1)
+            reach[left] = np.maximum(reach[left], np.partition(lower, n - k, axis=1)[:, n - k])
+            open_ = upper >= reach[left][:, None]  # an unseen candidate's upper bound is `outside`
+            stop = (outside < reach[left]) & (open_.sum(axis=1) <= n // FEW) | (depth == n)
+            for at in np.flatnonzero(stop):
+                rows = np.flatnonzero(open_[at])
+                out[left[at]] = rows, self.vectors[rows] @ queries[left[at]]
+            left = left[~stop]
+            if not len(left):
                 break
-        rows = np.flatnonzero(upper >= reach)  # an unseen candidate's upper bound is `outside`
-        return rows, self.vectors[rows] @ query
+        return out
 
 
 def finite(vector: Column) -> Column:
@@ -127,12 +142,17 @@ def top_k(df: DataFrame, is_query: Column, k: int = 5, scale: int = 256, id_col:
             ids = offered_ids[place]
             by_id = np.argsort(ids, kind="stable")
             left, right = (np.searchsorted(ids[by_id], asked_ids[at], side=s) for s in ("left", "right"))
-            for row, query, own in zip(at.tolist(), matrix, (right - left).tolist()):
-                who, score = lists.top(query, k + own)
-                other = ids[who] != asked_ids[row]
-                who, score = who[other], score[other]
-                first = np.lexsort((ids[who], -score))[:k]
-                found.append((np.full(len(first), row), place[who[first]], score[first]))
+            own = int((right - left).max())  # rows of a query's own id, left out below
+            for start in range(0, len(at), 128):
+                some = at[start:start + 128]
+                for row, (who, score) in zip(some.tolist(), lists.top(matrix[start:start + 128], k + own)):
+                    other = ids[who] != asked_ids[row]
+                    who, score = who[other], score[other]
+                    if len(who) > k:
+                        near = score >= np.partition(score, len(score) - k)[len(score) - k]
+                        who, score = who[near], score[near]
+                    first = np.lexsort((ids[who], -score))[:k]
+                    found.append((np.full(len(first), row), place[who[first]], score[first]))
         q, c, s = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (zip(*found) if found else ((), (), ())))
         return pa.table({"query_id": asked.column("vec_id").take(pa.array(q, pa.int64())), "query_key": asked.column("row_key").take(pa.array(q, pa.int64())),
                          "vec_id": offered.column("vec_id").take(pa.array(c, pa.int64())), "score": pa.array(s, pa.int64())})
