@@ -109,8 +109,9 @@ def fill_recent_then_mean(key: str, ts: str, value: str, default, lookback_rows:
     after the row is read."""
     recent = F.last(value, ignorenulls=True).over(
         Window.partitionBy(key).orderBy(ts).rowsBetween(-lookback_rows, 0))
-    mean = F.avg(value).over(Window.partitionBy(*(mean_keys or [F.col(key)])).orderBy(ts)
-                             .rowsBetween(Window.unboundedPreceding, 0))
+    # summed as whole millionths: the same to the last bit in whatever order rows are added
+    so_far = Window.partitionBy(*(mean_keys or [F.col(key)])).orderBy(ts).rowsBetween(Window.unboundedPreceding, 0)
+    mean = F.sum(F.round(F.col(value) * 1_000_000).cast("bigint")).over(so_far) / (F.count(value).over(so_far) * F.lit(1e6))
     return F.coalesce(recent, mean, F.lit(default))
 
 

@@ -13,6 +13,7 @@ from metroframe.operators import staging as S
 from metroframe.plans.registry import normalize, register
 from metroframe.session import work_path
 from metroframe.sources import raw as R
+from metroframe.sources.seeds import read_seed_csv
 
 AS_OF = "2024-01-30 00:00:00"
 
@@ -54,14 +55,25 @@ def _typed_orders(df: DataFrame, extra: list[str] | None = None) -> DataFrame:
 @register("raw_json_scan", """
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders""")
 def raw_json_scan(spark, d):
-    return normalize(_typed_orders(R.parse_json_lines(_orders_json_lines(spark, d), ORDERS_RAW_SCHEMA, keep_raw=False)))
+    """Lands the orders as NDJSON under source/YYYY/MM/DD/run and scans the
+    source's folder with its schema."""
+    zone = work_path(spark, "raw-zone")
+    key = R.raw_key("shop/orders", "run-0001", 2024, 1, 30)
+    _orders_json_lines(spark, d).write.text(f"{zone}/{key}")
+    landed = R.read_raw_json(spark, f"{zone}/shop/orders", ORDERS_RAW_SCHEMA, with_file=False)
+    return normalize(_typed_orders(landed))
 
 
 @register("seed_lookup", """
 SELECT n_nationkey::BIGINT AS n_nationkey, n_name, r_name FROM nation LEFT JOIN region ON n_regionkey = r_regionkey""")
 def seed_lookup(spark, d):
-    n, r = tbl(spark, d, "nation"), tbl(spark, d, "region")
-    return normalize(S.lookup(n, r, "n_regionkey", "r_regionkey").select("n_nationkey", "n_name", "r_name"))
+    """The right side is a seed: a CSV with a header, read with its schema."""
+    path = work_path(spark, "seed-region")
+    tbl(spark, d, "region").select("r_regionkey", "r_name").coalesce(1).write.option("header", True).csv(path)
+    schema = T.StructType([T.StructField("r_regionkey", T.LongType()), T.StructField("r_name", T.StringType())])
+    region = read_seed_csv(spark, path, schema)
+    n = tbl(spark, d, "nation")
+    return normalize(S.lookup(n, region, "n_regionkey", "r_regionkey").select("n_nationkey", "n_name", "r_name"))
 
 
 @register("incremental_lookback", f"""
@@ -253,10 +265,13 @@ def keep_raw_json(spark, d):
     return R.parse_json_lines(o.select(line.alias("value")), schema)
 
 
-@register("ingest_metadata")
+@register("ingest_metadata", f"""
+SELECT *, sha256('run-0001|' || json_object('event_id', event_id, 'user_id', user_id, 'event_type', event_type)::VARCHAR) AS _ingestion_id,
+  TIMESTAMP '{AS_OF}' AS _ingestion_timestamp, DATE '{AS_OF[:10]}' AS _ingestion_date FROM events""")
 def ingest_metadata(spark, d):
+    """The source file differs between machines, so it is left out here."""
     return R.ingest_metadata(tbl(spark, d, "events"), run_id="run-0001", run_ts=AS_OF,
-                             payload_cols=["event_id", "ts", "user_id", "event_type", "value", "props"])
+                             payload_cols=["event_id", "user_id", "event_type"]).drop("_source_file")
 
 
 @register("raw_projection", """

@@ -313,9 +313,11 @@ def lead_labels(spark, d):
 
 
 def _fill_sql(col: str, default: float) -> str:
+    so_far = ("OVER (PARTITION BY city, year(event_hour), month(event_hour) ORDER BY event_hour "
+              "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
     return (f"round(coalesce(last_value({col} IGNORE NULLS) OVER (PARTITION BY city ORDER BY event_hour ROWS BETWEEN "
-            f"6 PRECEDING AND CURRENT ROW), avg({col}) OVER (PARTITION BY city, year(event_hour), month(event_hour) ORDER BY event_hour "
-            f"ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), {default}), 6)")
+            f"6 PRECEDING AND CURRENT ROW), sum(round({col} * 1000000)::BIGINT) {so_far} / (count({col}) {so_far} * 1000000.0::DOUBLE), "
+            f"{default}), 6)")
 
 
 _ORD_SQL = ("least(CASE WHEN {a} <= 50 THEN 1 WHEN {a} <= 100 THEN 2 WHEN {a} <= 150 THEN 3 WHEN {a} <= 200 THEN 4 "

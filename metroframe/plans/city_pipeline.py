@@ -67,9 +67,11 @@ PII_ADJACENT = ["susp_age_group", "susp_race", "susp_sex", "vic_age_group", "vic
 
 def parse_lines(lines: DataFrame, schema: T.StructType, line_col: str = "value") -> DataFrame:
     """NDJSON lines → one string column per declared field (safe_str
-    applied), plus ``raw_json``. Unknown fields are accepted and ignored."""
-    parsed = R.parse_json_lines(lines, schema, line_col)
-    return parsed.select(*[C.safe_str(f.name).alias(f.name) for f in schema.fields], "raw_json")
+    applied), plus ``raw_json`` and the source file if the lines carry it.
+    Unknown fields are accepted and ignored."""
+    keep = [c for c in ("_source_file",) if c in lines.columns]
+    parsed = R.parse_json_lines(lines, schema, line_col, carry=keep)
+    return parsed.select(*[C.safe_str(f.name).alias(f.name) for f in schema.fields], "raw_json", *keep)
 
 
 def raw_requests(lines: DataFrame) -> DataFrame:
@@ -107,7 +109,8 @@ def raw_air(lines: DataFrame, line_col: str = "value") -> DataFrame:
     otherwise (B4); category from the nested object else flat (B5)."""
     m = F.from_json(F.col(line_col), "map<string,string>")
     cols = [C.key_alias(m, pascal, snake).alias(snake) for snake, pascal in AIR_FIELDS]
-    base = lines.select(*cols, C.nested_category(m, "Category", "Number", "category_number").alias("_cat_n"),
+    keep = [c for c in ("_source_file",) if c in lines.columns]
+    base = lines.select(*cols, *keep, C.nested_category(m, "Category", "Number", "category_number").alias("_cat_n"),
                         C.nested_category(m, "Category", "Name", "category_name").alias("_cat_name"),
                         F.col(line_col).alias("raw_json"))
     typed = base.select(
@@ -116,12 +119,14 @@ def raw_air(lines: DataFrame, line_col: str = "value") -> DataFrame:
         C.safe_str("state_code").alias("state_code"), C.safe_float("latitude").alias("latitude"),
         C.safe_float("longitude").alias("longitude"), C.safe_str("parameter_name").alias("parameter_name"),
         C.safe_int("aqi").alias("aqi"), C.safe_int("_cat_n").alias("category_number"),
-        C.safe_str("_cat_name").alias("category_name"), "raw_json")
+        C.safe_str("_cat_name").alias("category_name"), "raw_json", *keep)
     return K.validate_air(typed)
 
 
 def with_ingest_metadata(df: DataFrame, run_id: str, run_ts: str) -> DataFrame:
     payload = F.col("raw_json") if "raw_json" in df.columns else F.to_json(F.struct(*df.columns))
+    if "_source_file" not in df.columns:
+        df = df.withColumn("_source_file", F.lit(None).cast("string"))
     return df.withColumns({
         "_ingestion_id": F.sha2(F.concat_ws("|", F.lit(run_id), payload), 256),
         "_ingestion_timestamp": F.lit(run_ts).cast("timestamp_ntz"),
@@ -129,6 +134,22 @@ def with_ingest_metadata(df: DataFrame, run_id: str, run_ts: str) -> DataFrame:
     })
 
 
+METADATA = ["_ingestion_id", "_ingestion_timestamp", "_ingestion_date", "_source_file"]
+# Columns of each source's raw table after the metadata; raw_json comes last.
+RAW_TABLES = {
+    "nyc_311": REQUEST_FIELDS,
+    "nyc_crime": INCIDENT_FIELDS,
+    "weather": ["observation_time", "city", "latitude", "longitude", "temperature_2m", "relative_humidity_2m",
+                "precipitation", "precipitation_probability", "wind_speed_10m", "weather_code"],
+    "airnow": [snake for snake, _ in AIR_FIELDS] + ["category_number", "category_name"],
+}
+
+
+def raw_table(df: DataFrame, source: str) -> DataFrame:
+    """A source's validated rows in the shape of its raw table."""
+    return R.raw_projection(df, [(c, F.col(c)) for c in [*METADATA, *RAW_TABLES[source], "raw_json"]])
+
+
 # ---------------------------------------------------------------------------
 # Staging
 # ---------------------------------------------------------------------------
@@ -346,8 +367,9 @@ def disruption_episodes(stg_status: DataFrame, max_gap_seconds: int | None = MAX
 
 
 def load_raw_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Raw NDJSON lines of a source folder (any depth)."""
-    return spark.read.option("recursiveFileLookup", "true").text(path)
+    """Raw NDJSON lines of a source folder (any depth) with their file."""
+    lines = spark.read.option("recursiveFileLookup", "true").text(path)
+    return lines.withColumn("_source_file", F.col("_metadata.file_path"))
 
 
 RUN_LOG_SCHEMA = ("run_id string, pipeline_name string, started_at string, status string, error_message string, "

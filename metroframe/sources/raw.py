@@ -25,14 +25,13 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def parse_json_lines(lines: DataFrame, schema: T.StructType, line_col: str = "value",
-                     keep_raw: bool = True) -> DataFrame:
+                     keep_raw: bool = True, carry: list[str] | None = None) -> DataFrame:
     """Parse NDJSON text lines with an explicit schema (A1). Unknown fields
     are ignored; malformed lines give nulls (no failure)."""
     parsed = F.from_json(F.col(line_col), schema, {"mode": "PERMISSIVE"}).alias("_rec")
-    cols = [parsed]
-    if keep_raw:
-        cols.append(F.col(line_col).alias("raw_json"))
-    return lines.select(*cols).select("_rec.*", *(["raw_json"] if keep_raw else []))
+    extra = [*(carry or []), *(["raw_json"] if keep_raw else [])]
+    cols = [parsed, *(carry or [])] + ([F.col(line_col).alias("raw_json")] if keep_raw else [])
+    return lines.select(*cols).select("_rec.*", *extra)
 
 
 def read_raw_json(spark: SparkSession, path: str, schema: T.StructType, with_file: bool = True) -> DataFrame:

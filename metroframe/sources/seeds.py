@@ -59,8 +59,10 @@ def seed(spark: SparkSession, name: str) -> DataFrame:
     return spark.createDataFrame(seed_rows(name), SEED_SCHEMAS[name])
 
 
-def read_seed_csv(spark: SparkSession, path: str, name: str) -> DataFrame:
-    return spark.read.schema(SEED_SCHEMAS[name]).option("header", True).csv(path)
+def read_seed_csv(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
+    """A seed CSV with a header, typed by its schema or by a seed's name."""
+    schema = SEED_SCHEMAS[schema] if isinstance(schema, str) else schema
+    return spark.read.schema(schema).option("header", True).csv(path)
 
 
 def values_sql(rows: list[tuple], columns: list[str]) -> str:

@@ -126,3 +126,15 @@ def test_ndjson_folders(spark, tmp_path):
     assert {p.relative_to(out).as_posix() for p in (tmp_path / "zone").rglob("day=*")} == {"year=2023/month=07/day=09", "year=2023/month=11/day=09"}
     assert sorted(r.n for r in spark.read.json(out).collect()) == [0, 1, 2]
     assert R.write_ndjson(df.where("n < 0"), str(tmp_path / "none"), "day") == "" and not list((tmp_path / "none").rglob("*.json"))
+
+
+def test_raw_tables_have_their_columns(spark, tmp_path):
+    (tmp_path / "2023").mkdir()
+    (tmp_path / "2023" / "run.ndjson").write_text("\n".join(json.dumps(RECORDS[k]) for k in ("requests",)))
+    lines = P.load_raw_lines(spark, str(tmp_path))
+    table = P.raw_table(P.with_ingest_metadata(P.raw_requests(lines), "r1", "2023-07-02 09:00:00"), "nyc_311")
+    assert table.columns == [*P.METADATA, *P.REQUEST_FIELDS, "raw_json"]
+    assert table.first()._source_file.endswith("2023/run.ndjson") and table.first().unique_key == "rq-7"
+    air = P.with_ingest_metadata(P.raw_air(spark.createDataFrame([(json.dumps(RECORDS["air"]),)], "value string")), "r2", "2023-07-02 09:00:00")
+    row = P.raw_table(air, "airnow").first()
+    assert row.reporting_area == "London" and row._source_file is None and row.category_number == 2
