@@ -75,20 +75,49 @@ class Ftrl:
         self.n[where] += g * g
 
 
+def calibration(margins: np.ndarray, labels: np.ndarray, steps: int = 50) -> tuple[float, float]:
+    """(slope, intercept) of Platt scaling: the logistic curve through the
+    margins, both classes of equal weight, towards targets just inside 0 and 1
+    so that separable classes keep a finite slope."""
+    ones = labels == 1
+    n1, n0 = ones.sum(), (~ones).sum()
+    target = np.where(ones, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
+    weight = np.where(ones, 0.5 / n1, 0.5 / n0)
+    x = np.stack([margins, np.ones(len(margins))], 1)
+    w = np.array([1.0, 0.0])
+    for _ in range(steps):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -35, 35)))
+        gradient = x.T @ (weight * (p - target)) + 1e-6 * w
+        curvature = (x * (weight * p * (1 - p))[:, None]).T @ x + 1e-6 * np.eye(2)
+        w = w - np.clip(np.linalg.solve(curvature, gradient), -2, 2)
+    return max(float(w[0]), 1e-3), float(w[1])
+
+
 def train(texts: list[bytes], labels: list[int], epochs: int = EPOCHS) -> np.ndarray:
-    """The weights, the bias last; both classes weigh the same in all. With one
-    class only the model is near that class for every text, without labels 0.5."""
+    """The weights, the bias last; both classes weigh the same in all. Every
+    fifth text is kept from training and calibrates the scale of the scores.
+    With one class only the model is near that class for every text, without
+    labels 0.5."""
     model = Ftrl()
     if len(set(labels)) < 2:
         weights = np.zeros(len(model.z))
         weights[-1] = 0.0 if not labels else 5.0 if labels[0] else -5.0
         return weights
-    weight = {label: len(labels) / (2 * labels.count(label)) for label in (0, 1)}
-    vectors = [features(t) for t in texts]
+    rows = [(features(t), label) for t, label in zip(texts, labels)]
+    kept = rows[::5]
+    learned = [r for i, r in enumerate(rows) if i % 5] if len({y for _, y in kept}) == 2 else rows
+    learned = learned if len({y for _, y in learned}) == 2 else rows
+    share = {label: sum(y == label for _, y in learned) / len(learned) for label in (0, 1)}
     for _ in range(epochs):
-        for (where, value), label in zip(vectors, labels):
-            model.learn(where, value, label, weight[label])
-    return model.weights(np.arange(len(model.z)))
+        for (where, value), label in learned:
+            model.learn(where, value, label, 0.5 / share[label])
+    weights = model.weights(np.arange(len(model.z)))
+    if len({y for _, y in kept}) == 2:
+        margins = np.array([weights[where] @ value + weights[-1] for (where, value), _ in kept])
+        slope, intercept = calibration(margins, np.array([y for _, y in kept]))
+        weights = weights * slope
+        weights[-1] += intercept
+    return weights
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
