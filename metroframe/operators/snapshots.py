@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from metroframe.functions.columns import surrogate_key
 from metroframe.operators.timeline import islands
+from metroframe.session import cut_lineage
 
 
 def _finish(runs: DataFrame, key: str, tracked: list[str]) -> DataFrame:
@@ -30,26 +31,68 @@ def scd2_history(df: DataFrame, key: str, tracked: list[str], updated_at: str, b
     return _finish(runs, key, tracked)
 
 
+def _replayed(open_rows: DataFrame, updates: DataFrame, key: str, tracked: list[str], updated_at: str, bucket: str) -> DataFrame:
+    """Open versions played on through a batch of later changes: unchanged
+    states extend the open version, changes close it and open new ones."""
+    replay = (open_rows.select(key, *tracked, F.col("valid_from").alias(updated_at))
+              .unionByName(updates.select(key, *tracked, updated_at)))
+    return _finish(islands(replay, key, updated_at, tracked, bucket=bucket, start="valid_from", end="valid_to"), key, tracked)
+
+
 def scd2_merge(history: DataFrame, updates: DataFrame, key: str, tracked: list[str], updated_at: str,
-               bucket: str = "day") -> DataFrame:
+               bucket: str = "day", deletes: DataFrame | None = None) -> DataFrame:
     """Incremental merge (H2) of a batch of later changes into an existing
-    history. Open versions are re-played together with the batch: unchanged
-    states extend the open version, changes close it and open new ones."""
-    open_rows = (history.filter(F.col("valid_to").isNull())
-                 .select(key, *tracked, F.col("valid_from").alias(updated_at)))
-    closed = history.filter(F.col("valid_to").isNotNull()).select(
-        "scd_id", key, *tracked, "valid_from", "valid_to", "is_current")
-    replay = open_rows.unionByName(updates.select(key, *tracked, updated_at))
-    runs = islands(replay, key, updated_at, tracked, bucket=bucket, start="valid_from", end="valid_to")
-    return closed.unionByName(_finish(runs, key, tracked))
+    history; closed history is carried over unchanged. With ``deletes`` (key,
+    ``updated_at``) the open versions of those keys are closed at that time
+    and marked ``is_deleted``."""
+    closed = history.filter(F.col("valid_to").isNotNull())
+    out = (closed.select("scd_id", key, *tracked, "valid_from", "valid_to", "is_current")
+           .unionByName(_replayed(history.filter(F.col("valid_to").isNull()), updates, key, tracked, updated_at, bucket)))
+    if deletes is None:
+        return out
+    kept = closed.select("scd_id", F.col("is_deleted").alias("_was")) if "is_deleted" in history.columns else None
+    out = mark_deleted(out, deletes, key, updated_at)
+    if kept is None:
+        return out
+    return (out.join(kept, "scd_id", "left").withColumn("is_deleted", F.col("is_deleted") | F.coalesce("_was", F.lit(False))).drop("_was"))
+
+
+def merge_scd2_table(spark, path: str, updates: DataFrame, key: str, tracked: list[str], updated_at: str, bucket: str = "day",
+                     deletes: DataFrame | None = None) -> None:
+    """The merge on a stored table, partitioned by is_current: only the open
+    versions are read, played on and rewritten; newly closed versions are
+    appended to the closed partition, which is never read but for the ids of
+    versions that an earlier, broken attempt has appended already."""
+    order = ["scd_id", key, *tracked, "valid_from", "valid_to", "is_deleted", "is_current"]
+    table = read_scd2_table(spark, path)
+    runs = _replayed(table.where("is_current"), updates, key, tracked, updated_at, bucket)
+    none = updates.select(F.col(key), F.col(updated_at)).limit(0)
+    runs = cut_lineage(mark_deleted(runs, deletes if deletes is not None else none, key, updated_at), spark, "scd2-merge")
+    closed = runs.where("not is_current")
+    known = table.where("not is_current").select("scd_id")
+    (closed.join(known, "scd_id", "left_anti").select(order).write.mode("append").partitionBy("is_current").parquet(path))
+    (runs.where("is_current").select(order).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("is_current").parquet(path))
+
+
+def write_scd2_table(history: DataFrame, path: str) -> None:
+    """A full history as the table that ``merge_scd2_table`` keeps."""
+    whole = history if "is_deleted" in history.columns else history.withColumn("is_deleted", F.lit(False))
+    whole.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("is_current").parquet(path)
+
+
+def read_scd2_table(spark, path: str) -> DataFrame:
+    table = spark.read.parquet(path)
+    return table.withColumn("is_current", F.col("is_current").cast("boolean"))  # a folder name when stored
 
 
 def mark_deleted(history: DataFrame, deleted: DataFrame, key: str, deleted_at: str) -> DataFrame:
-    """Close the open version of keys reported deleted and flag them."""
-    d = deleted.select(F.col(key).alias("_dk"), F.col(deleted_at).alias("_dat"))
+    """Close the open version of keys reported deleted and flag them; of
+    several reports of a key the first counts."""
+    d = deleted.groupBy(F.col(key).alias("_dk")).agg(F.min(deleted_at).alias("_dat"))
     out = history.join(d, (history[key] == d["_dk"]) & history["valid_to"].isNull(), "left")
     return out.select(
-        *[c for c in history.columns if c not in ("valid_to", "is_current")],
+        *[c for c in history.columns if c not in ("valid_to", "is_current", "is_deleted")],
         F.coalesce("valid_to", "_dat").alias("valid_to"),
         (F.col("valid_to").isNull() & F.col("_dat").isNull()).alias("is_current"),
         F.col("_dat").isNotNull().alias("is_deleted"))

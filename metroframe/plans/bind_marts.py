@@ -14,9 +14,9 @@ from metroframe.operators import staging as S
 from metroframe.operators import timeline as TL
 from metroframe.plans.bind_ingest import tbl
 from metroframe.plans.bind_staging import _BAND_SQL
-from metroframe.plans.bind_timeline import (AO, EP, EPW, EV, REQ, RC, SP, WH, air_obs, city_events,
-                                            episodes_with_weather, line_episodes, line_polls, order_requests,
-                                            request_counts, weather_hourly, with_ctes)
+from metroframe.plans.bind_timeline import (AO, EP, EPW, EV, RC, REQ, SP, WH, air_obs, city_events,
+                                            episodes_with_weather, hourly_all, line_episodes, line_polls,
+                                            order_requests, with_ctes)
 from metroframe.plans.registry import normalize, register
 from metroframe.session import work_path
 from metroframe.sources.seeds import values_sql
@@ -58,23 +58,20 @@ TD = """td AS (SELECT 'london' AS city, CAST(started_at AS DATE) AS event_date,
   FROM ep GROUP BY 2)"""
 
 
-def _weather_daily(ev: DataFrame) -> DataFrame:
-    return (ev.filter(F.col("event_type") == "view").groupBy("city", "event_date")
-            .agg(S.exact_mean("value", 2, 10.0).alias("avg_temperature_c"),
-                 F.round(F.max("value") / 100, 4).alias("max_precipitation_mm"),
-                 (F.sum(F.round(F.col("value") * 100).cast("bigint")) / F.lit(10000.0))
-                 .alias("total_precipitation_mm")))
-
-
 def _air_daily(ev: DataFrame) -> DataFrame:
     return air_obs(ev).groupBy("city", "event_date").agg(F.avg("aqi").alias("avg_aqi"), F.max("aqi").alias("max_aqi"))
 
 
-def _activity_daily(ev: DataFrame) -> DataFrame:
+def _daily_all(ev: DataFrame) -> DataFrame:
+    """All domains per city and day in one scan and one shuffle."""
+    view = F.when(F.col("event_type") == "view", F.col("value"))
+    aqi = S.valid_aqi(F.floor("value").cast("bigint"))
     t = F.col("event_type")
     return ev.groupBy("city", "event_date").agg(
-        F.count_if(t.isin("purchase", "click")).alias("complaints_count"),
-        F.count_if(t == "error").alias("incidents_count"),
+        S.exact_mean(view, 2, 10.0).alias("avg_temperature_c"), F.round(F.max(view) / 100, 4).alias("max_precipitation_mm"),
+        (F.sum(F.round(view * 100).cast("bigint")) / F.lit(10000.0)).alias("total_precipitation_mm"),
+        F.avg(aqi).alias("avg_aqi"), F.max(aqi).alias("max_aqi"),
+        F.count_if(t.isin("purchase", "click")).alias("complaints_count"), F.count_if(t == "error").alias("incidents_count"),
         F.count_if((t == "error") & (F.col("value") > 200)).alias("felony_count"),
         F.count(F.lit(1)).alias("n_events"), F.count_if(t == "click").alias("n_clicks"))
 
@@ -94,11 +91,9 @@ SELECT md5(ds.city || '|' || ds.event_date::VARCHAR) AS summary_id, ds.city, ds.
 FROM ds LEFT JOIN wd USING (city, event_date) LEFT JOIN ad USING (city, event_date)
 LEFT JOIN qd USING (city, event_date) LEFT JOIN td USING (city, event_date)""")
 def city_daily_summary(spark, d):
-    ev = city_events(spark, d)
-    spine, wd, ad, qd = TL.day_spine(ev, "city", "event_date"), _weather_daily(ev), _air_daily(ev), _activity_daily(ev)
-    td = _transit_daily(spark, d)
+    daily = _daily_all(city_events(spark, d))
     keys = ["city", "event_date"]
-    out = spine.join(wd, keys, "left").join(ad, keys, "left").join(qd, keys, "left").join(td, keys, "left")
+    out = TL.day_spine(daily, *keys).join(daily, keys, "left").join(_transit_daily(spark, d), keys, "left")
     nyc, london = F.col("city") == "nyc", F.col("city") == "london"
     return out.select(
         C.surrogate_key("city", "event_date").alias("summary_id"), "city", "event_date", "avg_temperature_c",
@@ -156,10 +151,9 @@ SELECT md5(city || '|' || event_date::VARCHAR) AS correlation_id, city, event_da
   CASE WHEN max_aqi > {BAD_AIR_AQI} THEN complaints_count END AS complaints_on_bad_air_day,
   CASE WHEN is_rain_day THEN incidents_count END AS incidents_on_rain_day FROM j""")
 def cross_domain_daily(spark, d):
-    ev = city_events(spark, d)
-    spine, wd, ad, qd = TL.day_spine(ev, "city", "event_date"), _weather_daily(ev), _air_daily(ev), _activity_daily(ev)
+    daily = _daily_all(city_events(spark, d))
     keys = ["city", "event_date"]
-    j = spine.join(wd, keys, "left").join(ad, keys, "left").join(qd, keys, "left")
+    j = TL.day_spine(daily, *keys).join(daily, keys, "left")
     nyc = F.col("city") == "nyc"
     j = j.select("city", "event_date", "max_aqi", "max_precipitation_mm",
                  F.when(nyc, F.coalesce("complaints_count", F.lit(0))).alias("complaints_count"),
@@ -183,11 +177,7 @@ def correlations(spark, d):
     """Per-city Pearson correlations behind the README questions (G10), on
     the daily table, including a one-day lag (today's AQI vs tomorrow's
     activity) taken with ``lead``."""
-    ev = city_events(spark, d)
-    wd, ad, qd = _weather_daily(ev), _air_daily(ev), _activity_daily(ev)
-    keys = ["city", "event_date"]
-    daily = qd.join(ad, keys, "left").join(wd, keys, "left")
-    daily = daily.withColumn("next_day_events", TL.lead_value("city", "event_date", "n_events", 1))
+    daily = _daily_all(city_events(spark, d)).withColumn("next_day_events", TL.lead_value("city", "event_date", "n_events", 1))
     return M.correlations(daily, ["city"], {"corr_aqi_vs_events": ("avg_aqi", "n_events"),
                                             "corr_precip_vs_noise": ("max_precipitation_mm", "n_clicks"),
                                             "corr_aqi_vs_next_day_events": ("avg_aqi", "next_day_events")})
@@ -274,13 +264,8 @@ def transit_performance(spark, d):
 # ---------------------------------------------------------------------------
 
 def _hourly_base(spark, d) -> DataFrame:
-    ev = city_events(spark, d)
-    sp = TL.hour_spine(ev, "city", "event_hour")
-    wh = weather_hourly(ev).select("city", "event_hour", "temperature_c", "precipitation_mm")
-    ah = S.pivot_measures(air_obs(ev), ["city", "event_hour"], "param", "aqi", [], overall="overall_aqi")
-    rc = request_counts(ev).select("city", "event_hour", "requests_count")
-    keys = ["city", "event_hour"]
-    return (sp.join(wh, keys, "left").join(ah, keys, "left").join(rc, keys, "left")
+    hourly = hourly_all(city_events(spark, d)).select("city", "event_hour", "temperature_c", "precipitation_mm", "overall_aqi", "requests_count")
+    return (TL.hour_spine(hourly, "city", "event_hour").join(hourly, ["city", "event_hour"], "left")
             .withColumn("requests_count", F.coalesce("requests_count", F.lit(0))))
 
 
@@ -353,14 +338,23 @@ def scd2_history(spark, d):
     return H.scd2_history(tbl(spark, d, "events"), "user_id", ["event_type"], "ts")
 
 
-@register("scd2_merge", with_ctes(SCD) + _SCD_OUT)
+DELETED_AT = "2024-02-15 00:00:00"
+
+
+@register("scd2_merge", with_ctes(SCD) + f"""
+SELECT scd_id, user_id, event_type, valid_from, CASE WHEN valid_to IS NULL AND user_id % 50 = 7 THEN TIMESTAMP '{DELETED_AT}'
+  ELSE valid_to END AS valid_to, valid_to IS NULL AND user_id % 50 <> 7 AS is_current,
+  valid_to IS NULL AND user_id % 50 = 7 AS is_deleted FROM h""")
 def scd2_merge(spark, d):
+    """The history up to a cutoff as a stored table, into which the later
+    changes and the deletion of some users are merged."""
     ev = tbl(spark, d, "events").select("user_id", "event_type", "ts")
     cutoff = F.lit(MERGE_CUTOFF).cast("timestamp_ntz")
     path = work_path(spark, "scd-history")
-    H.scd2_history(ev.filter(F.col("ts") < cutoff), "user_id", ["event_type"], "ts").write.parquet(path)
-    history = spark.read.parquet(path)
-    return H.scd2_merge(history, ev.filter(F.col("ts") >= cutoff), "user_id", ["event_type"], "ts")
+    H.write_scd2_table(H.scd2_history(ev.filter(F.col("ts") < cutoff), "user_id", ["event_type"], "ts"), path)
+    gone = ev.where("user_id % 50 = 7").select("user_id", F.lit(DELETED_AT).cast("timestamp_ntz").alias("ts")).distinct()
+    H.merge_scd2_table(spark, path, ev.filter(F.col("ts") >= cutoff), "user_id", ["event_type"], "ts", deletes=gone)
+    return H.read_scd2_table(spark, path)
 
 
 @register("state_transitions", with_ctes(SCD) + """

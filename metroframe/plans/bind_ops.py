@@ -70,13 +70,15 @@ def stream_episodes(spark, d):
 
 
 @register("stream_late_rows", f"""
-SELECT * FROM (SELECT CASE WHEN user_id % 2 = 0 THEN 'nyc' ELSE 'london' END AS city,
-  date_trunc('hour', ts) AS window_start, count(*) AS n_events FROM events WHERE ts >= TIMESTAMP '{LATE_CUTOFF}'
-  GROUP BY 1, 2)
-WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""")
+SELECT CASE WHEN user_id % 2 = 0 THEN 'nyc' ELSE 'london' END AS city, date_trunc('hour', ts) AS window_start,
+  count(*) AS raw_events, CASE WHEN date_trunc('hour', ts) >= TIMESTAMP '{LATE_CUTOFF}'
+    AND date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR THEN count(*) END AS n_events
+FROM events GROUP BY 1, 2""")
 def stream_late_rows(spark, d):
-    """Rows for the first half of the month land *after* the second half:
-    the raw sink keeps them, the watermarked hourly aggregate drops them."""
+    """Rows for the first half of the month land *after* the second half: the
+    raw sink keeps them all (raw_events), the watermarked hourly aggregate
+    drops them (n_events is null for their windows and for the last ones,
+    which the watermark has not passed)."""
     ev = tbl(spark, d, "events")
     cutoff = F.lit(LATE_CUTOFF).cast("timestamp_ntz")
     landing = work_path(spark, "landing")
@@ -91,7 +93,9 @@ def stream_late_rows(spark, d):
     drain()
     ev.filter(F.col("ts") < cutoff).write.mode("append").parquet(landing)
     drain()
-    return _ntz(spark.read.parquet(hourly_out), "window_start")
+    kept = _ntz(_city(spark.read.parquet(raw_out)).withColumn("window_start", F.date_trunc("hour", "ts")), "window_start")
+    kept = kept.groupBy("city", "window_start").agg(F.count(F.lit(1)).alias("raw_events"))
+    return kept.join(_ntz(spark.read.parquet(hourly_out), "window_start"), ["city", "window_start"], "left")
 
 
 # ---------------------------------------------------------------------------

@@ -73,6 +73,19 @@ def request_counts(ev: DataFrame) -> DataFrame:
         "requests_count": t.isin("purchase", "click"), "noise_count": t == "click", "incidents_count": t == "error"})
 
 
+def hourly_all(ev: DataFrame) -> DataFrame:
+    """Weather, air quality and counts per city and hour as conditional
+    aggregates: one scan and one shuffle for all domains."""
+    view = F.when(F.col("event_type") == "view", F.col("value"))
+    aqi = S.valid_aqi(F.floor("value").cast("bigint"))
+    t = F.col("event_type")
+    return ev.groupBy("city", "event_hour").agg(
+        S.exact_mean(view, 2, 10.0).alias("temperature_c"), F.round(F.max(view) / 100, 4).alias("precipitation_mm"),
+        (F.floor(F.max(view)) % 100).cast("bigint").alias("weather_code"), F.max(aqi).alias("overall_aqi"),
+        F.count_if(t.isin("purchase", "click")).alias("requests_count"), F.count_if(t == "click").alias("noise_count"),
+        F.count_if(t == "error").alias("incidents_count"))
+
+
 def line_polls(spark, d) -> DataFrame:
     ev = tbl(spark, d, "events")
     v = F.col("value")
@@ -347,17 +360,15 @@ def cross_domain_hourly(spark, d):
 
 
 def cross_domain_frame(spark, d) -> DataFrame:
-    """int_cross_domain_hourly: the (city, hour) spine left-joined to four
-    inputs that are each pre-aggregated to (city, hour) — no fan-out."""
-    ev = city_events(spark, d)
-    sp = TL.hour_spine(ev, "city", "event_hour")
+    """int_cross_domain_hourly: the (city, hour) spine left-joined to the
+    domains' hourly aggregate and the disrupted lines, both unique per
+    (city, hour) — no fan-out."""
+    hourly = hourly_all(city_events(spark, d))
+    sp = TL.hour_spine(hourly, "city", "event_hour")
     wmo = seed(spark, "wmo_weather_code_lookup").select("wmo_code", F.col("description").alias("weather_description"))
-    wh = S.lookup(weather_hourly(ev), wmo, "weather_code", "wmo_code", seed=True).drop("wmo_code", "weather_code")
-    ah = air_hourly(ev).select("city", "event_hour", "overall_aqi")
-    rc = request_counts(ev)
     dl = hourly_disruptions(spark, d).withColumn("city", F.lit("london"))
-    out = (sp.join(wh, ["city", "event_hour"], "left").join(ah, ["city", "event_hour"], "left")
-           .join(rc, ["city", "event_hour"], "left").join(dl, ["city", "event_hour"], "left"))
+    out = sp.join(hourly, ["city", "event_hour"], "left").join(dl, ["city", "event_hour"], "left")
+    out = S.lookup(out, wmo, "weather_code", "wmo_code", seed=True)
     nyc = F.col("city") == "nyc"
     london = F.col("city") == "london"
     return out.select(

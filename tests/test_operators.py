@@ -195,3 +195,24 @@ def test_range_frames_ignore_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert out == [10.0, 15.0]  # 23 wall-clock hours apart: inside the 24-hour frame
+
+
+def test_scd_table_merge_rewrites_open_versions_only(spark, tmp_path):
+    """Merging a batch twice (a broken attempt, then its repetition) gives the
+    same table; deleted keys are closed and marked."""
+    from metroframe.operators import snapshots as H
+    path = str(tmp_path / "scd")
+
+    def rows(data):
+        df = spark.createDataFrame(data, "k string, s string, t string")
+        return df.select("k", "s", F.col("t").cast("timestamp_ntz").alias("t"))
+
+    old = rows([("a", "x", "2024-01-01 00:00:00"), ("b", "x", "2024-01-01 00:00:00"), ("a", "y", "2024-01-02 00:00:00"), ("c", "z", "2024-01-02 00:00:00")])
+    new = rows([("a", "y", "2024-01-03 00:00:00"), ("b", "y", "2024-01-03 00:00:00"), ("d", "n", "2024-01-03 00:00:00")])
+    gone = rows([("c", "", "2024-01-04 00:00:00"), ("c", "", "2024-01-05 00:00:00")]).drop("s")
+    H.write_scd2_table(H.scd2_history(old, "k", ["s"], "t"), path)
+    for _ in range(2):
+        H.merge_scd2_table(spark, path, new, "k", ["s"], "t", deletes=gone)
+        got = sorted((r.k, r.s, str(r.valid_from)[8:10], str(r.valid_to)[8:10], r.is_current, r.is_deleted) for r in H.read_scd2_table(spark, path).collect())
+        assert got == [("a", "x", "01", "02", False, False), ("a", "y", "02", "", True, False), ("b", "x", "01", "03", False, False),
+                       ("b", "y", "03", "", True, False), ("c", "z", "02", "04", False, True), ("d", "n", "03", "", True, False)]
