@@ -27,6 +27,8 @@ from metroframe.llm.common import named, sliced, texts_and_ids
 WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+|[^0-9A-Za-z\x80-\xff\x00-\x20]+")
 BUCKET_BITS = 18
 MOST_PER_CLASS = 3000
+#: the words of longer texts are not held all at once
+LONG = 4 << 20
 EPOCHS = 3
 #: FTRL-proximal: learning rate, its smoothing, and the two penalties
 ALPHA, BETA, L1, L2 = 5.0, 1.0, 0.1, 0.01
@@ -35,7 +37,8 @@ ALPHA, BETA, L1, L2 = 5.0, 1.0, 0.1, 0.01
 def features(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     """The text's sparse vector: distinct buckets, and their values (length 1
     in all; both empty without words)."""
-    words = np.fromiter(map(zlib.crc32, WORD.findall(text)), np.uint64)
+    found = WORD.findall(text) if len(text) <= LONG else (m.group() for m in WORD.finditer(text))
+    words = np.fromiter(map(zlib.crc32, found), np.uint64)
     if not len(words):
         return np.empty(0, np.int64), np.empty(0)
     mix = np.uint64(0x9E3779B97F4A7C15)

@@ -17,6 +17,7 @@ grows with the data, no pair is lost.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,24 +33,45 @@ BITS = 64
 SHINGLE_WORDS = 3
 MAX_BITS = 3
 SEED = 42
+RUN_BYTES = 1 << 20
+SPACE = re.compile(rb"[\x20\x09-\x0d]")
+
+
+def word_runs(text: bytes, overlap: int) -> Iterator[list[bytes]]:
+    """The lower-cased words (A-Z only; words end at ASCII white space) in runs
+    of about ``RUN_BYTES`` of text, each beginning with the last ``overlap``
+    words of the one before: memory does not follow the text's length."""
+    at, held = 0, []
+    while at < len(text):
+        cut = SPACE.search(text, at + RUN_BYTES)
+        end = cut.start() if cut else len(text)
+        words = held + text[at:end].lower().split()
+        yield words
+        at, held = end, words[len(words) - overlap:] if overlap and len(words) >= overlap else words if overlap else []
 
 
 def fingerprint(text: bytes, shingle: int = SHINGLE_WORDS) -> int:
     """SimHash of one UTF-8 text: a bit is set if it is set in over half of the
-    XXH64 hashes of its word shingles; 0 without words."""
-    words = text.lower().split()  # bytes: A-Z, and the six ASCII white-space characters
-    if not words:
-        return 0
-    if len(words) < shingle:
-        hashes = [xxhash.xxh64_intdigest(b" ".join(words), SEED)]
-    else:
-        digest, join = xxhash.xxh64_intdigest, b" ".join
+    XXH64 hashes of its word shingles (of the whole sequence if it has fewer
+    words than a shingle); 0 without words."""
+    digest, join = xxhash.xxh64_intdigest, b" ".join
+    total, count, words = np.zeros(BITS, np.int64), 0, []
+    for words in word_runs(text, shingle - 1):
         hashes = [digest(join(t), SEED) for t in zip(*(words[i:] for i in range(shingle)))]
-    total = np.zeros(BITS, np.int64)
-    for at in range(0, len(hashes), 1 << 16):  # bounded memory for very long texts
-        part = np.array(hashes[at:at + (1 << 16)], dtype="<u8")
-        total += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * total > len(hashes), bitorder="little").view("<u8")[0])
+        if hashes:
+            total += bit_counts(hashes)
+            count += len(hashes)
+    if not count:
+        if not words:
+            return 0
+        total, count = bit_counts([digest(join(words), SEED)]), 1
+    return int(np.packbits(2 * total > count, bitorder="little").view("<u8")[0])
+
+
+def bit_counts(hashes: list[int]) -> np.ndarray:
+    """In how many of the hashes each bit is set."""
+    rows = np.array(hashes, dtype="<u8").view(np.uint8).reshape(-1, 8)
+    return np.unpackbits(rows, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
 
 
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE_WORDS) -> DataFrame:

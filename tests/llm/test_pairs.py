@@ -61,6 +61,16 @@ def test_fingerprint(text):
     assert simhash.fingerprint(text.encode()) == plain_fingerprint(text)
 
 
+@pytest.mark.parametrize("shingle", [1, 3, 4])
+def test_fingerprint_of_long_texts_in_runs(monkeypatch, shingle):
+    rng = random.Random(2)
+    texts = [" ".join("".join(rng.choice("abC") for _ in range(rng.randrange(1, 9))) for _ in range(n)) + " " * pad for n in (1, 2, 3, 4, 40, 333) for pad in (0, 9)]
+    whole = [simhash.fingerprint(t.encode(), shingle) for t in texts]
+    assert whole == [plain_fingerprint(t, shingle) for t in texts]
+    monkeypatch.setattr(simhash, "RUN_BYTES", 7)
+    assert [simhash.fingerprint(t.encode(), shingle) for t in texts] == whole
+
+
 def near_codes(rng, n, groups, flips):
     out = set()
     for _ in range(groups):

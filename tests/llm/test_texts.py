@@ -192,6 +192,14 @@ def test_classifier_edge_cases(spark):
     assert quality.score(docs.limit(0), weights).count() == 0
 
 
+def test_features_of_long_texts(monkeypatch):
+    text = "some words, and 7 more!! words words " * 20
+    want = quality.features(text.encode())
+    monkeypatch.setattr(quality, "LONG", 10)
+    got = quality.features(text.encode())
+    assert all(np.array_equal(a, b) for a, b in zip(got, want)) and np.isclose((got[1] ** 2).sum(), 1)
+
+
 def test_training_sample_is_bounded(spark):
     docs = spark.createDataFrame([(i, f"w{i % 7} $$" if i % 2 else f"v{i % 5}") for i in range(60)], "doc_id long, text string")
     labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"))
