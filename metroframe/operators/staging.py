@@ -19,6 +19,8 @@ Design notes for scale:
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -152,8 +154,10 @@ AREA_CITY_RULES = [
 ]
 
 def whole_words(alternatives: str) -> str:
-    """Pattern for any of the alternatives as whole words in any script."""
-    return rf"(?<![\p{{L}}\p{{N}}_])({alternatives})(?![\p{{L}}\p{{N}}_])"
+    """Pattern for any of the alternatives as whole words in any script. The
+    lookahead for their first letters spares most positions the rest."""
+    first = "".join(sorted({a[0] for a in re.split(r"\|(?![^(]*\))", alternatives)}))
+    return rf"(?=[{first}])(?<![\p{{L}}\p{{N}}_])({alternatives})(?![\p{{L}}\p{{N}}_])"
 
 
 # Disruption reason categories, first match wins. Whole words
@@ -187,9 +191,9 @@ def precip_flag(mm, threshold: float = 0.1) -> Column:
 # groups, so dates and plain ids are left alone.
 PII_PATTERNS = [
     (r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}\b", "[EMAIL]"),
-    (r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b", "[SSN]"),
-    (r"(\+[0-9]{1,3}[ .-]?)?(\([0-9]{3}\) ?|\b[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}\b", "[PHONE]"),
-    (r"\b[0-9]{1,6} [A-Za-z]+ (Street|St|Avenue|Ave|Road|Rd|Boulevard|Blvd|Lane|Ln)\b", "[ADDRESS]"),
+    (r"(?=[0-9])\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b", "[SSN]"),
+    (r"(?=[+(0-9])(\+[0-9]{1,3}[ .-]?)?(\([0-9]{3}\) ?|\b[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}\b", "[PHONE]"),
+    (r"(?=[0-9])\b[0-9]{1,6} [A-Za-z]+ (Street|St|Avenue|Ave|Road|Rd|Boulevard|Blvd|Lane|Ln)\b", "[ADDRESS]"),
 ]
 
 

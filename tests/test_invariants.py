@@ -73,7 +73,9 @@ def test_stream_dedup_equals_batch_keys(spark, sf_small):
 
 def test_late_rows_kept_raw_dropped_from_state(spark, sf_small):
     hourly = run(spark, "stream_late_rows", sf_small)
-    assert hourly.filter(F.col("window_start") < F.lit("2024-01-15").cast("timestamp_ntz")).count() == 0
+    late = F.col("window_start") < F.lit("2024-01-15").cast("timestamp_ntz")
+    assert hourly.filter(late & F.col("n_events").isNotNull()).count() == 0
+    assert hourly.agg(F.sum("raw_events")).first()[0] == spark.read.parquet(f"{sf_small}/events.parquet").count()
 
 
 def test_sla_by_borough_counts_all_orders(spark, sf_small):
