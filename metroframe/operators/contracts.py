@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from metroframe.functions.columns import safe_float, safe_int, safe_str
+from metroframe.sources.raw import observed_counts
 
 
 # Validation messages ("missing <field>" for absent fields, and
@@ -171,7 +172,7 @@ def dry_run(annotated: DataFrame, name: str = "dry-run") -> dict:
                        F.count_if(F.col("is_valid")).alias("records_valid"),
                        F.count_if(~F.col("is_valid")).alias("records_rejected"))
      .write.format("noop").mode("overwrite").save())
-    return {k: int(v or 0) for k, v in obs.get.items()}
+    return observed_counts(obs, ["records_read", "records_valid", "records_rejected"])
 
 
 def failed_status(message: str) -> dict:

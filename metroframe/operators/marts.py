@@ -32,10 +32,11 @@ def resolution(created="created_at", closed="closed_at") -> dict[str, Column]:
 
 def apply_sla(df: DataFrame, sla: DataFrame, type_col: str, sla_type: str = "complaint_type",
               hours_col: str = "hours_to_close", closed_col: str = "closed_at") -> DataFrame:
-    """SLA target by type (G4): broadcast left join on lower(trim(type));
+    """SLA target by type (G4): left join on lower(trim(type)), a broadcast for
+    the seed table and by the planner's size check for any other;
     met_sla is three-valued (D8): closed → hours ≤ target, open or no target
     → null."""
-    s = F.broadcast(sla.select(F.lower(F.trim(F.col(sla_type))).alias("_sla_key"), "sla_hours"))
+    s = sla.select(F.lower(F.trim(F.col(sla_type))).alias("_sla_key"), "sla_hours")
     out = df.join(s, F.lower(F.trim(df[type_col])) == s["_sla_key"], "left").drop("_sla_key")
     met = F.when(F.col(closed_col).isNotNull() & F.col("sla_hours").isNotNull(),
                  F.col(hours_col) <= F.col("sla_hours"))

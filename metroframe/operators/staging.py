@@ -8,7 +8,8 @@ Design notes for scale:
   of a record before anything is shuffled. The shuffle is bounded by
   distinct keys × partitions, not by input rows, and a hot key is combined
   map-side rather than landing in one task.
-* Lookups against fixed seed tables are broadcast (their row count is known).
+* Lookups against fixed seed tables are broadcast (their row count is known
+  where they are made, ``sources.seeds``).
   Lookups against tables derived from data are plain joins: the planner
   broadcasts them only when their measured size is under the threshold
   (statically from file statistics, or at runtime through AQE), and
@@ -63,23 +64,22 @@ def dedup_window(df: DataFrame, key: str, ts: str, width: str, order: list[str]
     return dedup_latest(with_bucket, [key, bucket_col], order or [ts])
 
 
-def lookup(df: DataFrame, table: DataFrame, left_key: Column | str, right_key: str, seed: bool = False,
-           how: str = "left") -> DataFrame:
+def lookup(df: DataFrame, table: DataFrame, left_key: Column | str, right_key: str, how: str = "left") -> DataFrame:
     """Equi left join to a lookup table. Seed tables (fixed, known row count)
-    are broadcast; data-derived tables are left to the planner's size check."""
-    right = F.broadcast(table) if seed else table
+    carry their own broadcast hint; other tables are left to the planner's
+    size check."""
     lk = F.col(left_key) if isinstance(left_key, str) else left_key
-    return df.join(right, lk == right[right_key], how)
+    return df.join(table, lk == table[right_key], how)
 
 
 def fill_from_lookup(df: DataFrame, table: DataFrame, left_key: Column, right_key: str, target: str,
-                     lookup_value: str, seed: bool = False, normalize=F.upper, carry: list[str] | None = None,
+                     lookup_value: str, normalize=F.upper, carry: list[str] | None = None,
                      out: str | None = None) -> DataFrame:
     """Null-fill ``target`` from a lookup (E3/E4): keep the normalised source
     value when present, else take the lookup's value. ``carry`` brings extra
     lookup columns along (neighborhood)."""
     out = out or target
-    joined = lookup(df, table, left_key, right_key, seed=seed)
+    joined = lookup(df, table, left_key, right_key)
     keep = [c for c in df.columns if c != out]
     filled = F.coalesce(normalize(safe_str(df[target])), table[lookup_value]).alias(out)
     extra = [table[c] for c in (carry or [])]

@@ -35,7 +35,7 @@ PRIORITY_SLA = [
 
 
 def priority_sla(spark) -> DataFrame:
-    return spark.createDataFrame(PRIORITY_SLA, "complaint_type string, sla_hours long, priority_level string")
+    return F.broadcast(spark.createDataFrame(PRIORITY_SLA, "complaint_type string, sla_hours long, priority_level string"))
 
 
 _SLA_SQL = values_sql(PRIORITY_SLA, ["complaint_type", "sla_hours", "priority_level"])

@@ -87,7 +87,7 @@ FROM events LEFT JOIN {_SEV} ON user_id % 25 = t.severity_code""")
 def severity_lookup(spark, d):
     ev = tbl(spark, d, "events").select("event_id", (F.col("user_id") % 25).alias("code"))
     sev = seed(spark, "tfl_severity_lookup")
-    out = S.lookup(ev, sev, "code", "severity_code", seed=True)
+    out = S.lookup(ev, sev, "code", "severity_code")
     return out.select("event_id", F.col("code").alias("severity_code"),
                       F.coalesce("severity_description", F.lit("Unknown")).alias("severity_description"),
                       F.coalesce("is_disrupted", F.lit(False)).alias("is_disrupted"))
@@ -103,7 +103,7 @@ FROM events LEFT JOIN {_WMO} ON floor(value)::BIGINT % 100 = t.wmo_code""")
 def weather_lookup(spark, d):
     ev = tbl(spark, d, "events").select("event_id", (F.floor("value") % 100).alias("code"))
     wmo = seed(spark, "wmo_weather_code_lookup")
-    out = S.lookup(ev, wmo, "code", "wmo_code", seed=True)
+    out = S.lookup(ev, wmo, "code", "wmo_code")
     return out.select("event_id", F.col("code").alias("wmo_code"), F.col("description").alias("weather_description"),
                       F.col("category").alias("weather_category"),
                       F.col("is_precipitation").alias("seed_is_precipitation"))

@@ -210,10 +210,10 @@ def complaints_enriched(spark, d):
         F.when(F.col("user_id") % 3 != 0, F.lit("queens")).alias("borough_raw"))
     zips = seed(spark, "borough_zip_lookup")
     req = S.fill_from_lookup(req, zips, S.zip5(req["incident_zip"]), "zip_code", "borough_raw", "borough_name",
-                             seed=True, carry=["neighborhood"], out="borough").drop("borough_raw")
+                             carry=["neighborhood"], out="borough").drop("borough_raw")
     wh = weather_hourly(ev)
     wmo = seed(spark, "wmo_weather_code_lookup").select("wmo_code", F.col("description").alias("weather_description"))
-    wh = S.lookup(wh, wmo, "weather_code", "wmo_code", seed=True)
+    wh = S.lookup(wh, wmo, "weather_code", "wmo_code")
     ah = air_hourly(ev).select("city", "event_hour", "overall_aqi")
     out = req.join(wh, ["city", "event_hour"], "left").join(ah, ["city", "event_hour"], "left")
     res = M.resolution("ts", "closed_at")
@@ -368,7 +368,7 @@ def cross_domain_frame(spark, d) -> DataFrame:
     wmo = seed(spark, "wmo_weather_code_lookup").select("wmo_code", F.col("description").alias("weather_description"))
     dl = hourly_disruptions(spark, d).withColumn("city", F.lit("london"))
     out = sp.join(hourly, ["city", "event_hour"], "left").join(dl, ["city", "event_hour"], "left")
-    out = S.lookup(out, wmo, "weather_code", "wmo_code", seed=True)
+    out = S.lookup(out, wmo, "weather_code", "wmo_code")
     nyc = F.col("city") == "nyc"
     london = F.col("city") == "london"
     return out.select(

@@ -209,7 +209,7 @@ def stg_nyc_311(raw: DataFrame, salt: str = "") -> DataFrame:
     latest = S.dedup_latest(valid, ["unique_key"], ["_ingestion_timestamp"])
     zips = seed(raw.sparkSession, "borough_zip_lookup")
     filled = S.fill_from_lookup(latest, zips, S.zip5(latest["incident_zip"]), "zip_code", "borough", "borough_name",
-                                seed=True, carry=["neighborhood"])
+                                carry=["neighborhood"])
     return filled.select(
         C.surrogate_key("unique_key").alias("complaint_id"), F.col("unique_key").alias("source_unique_key"),
         nyc_local_to_utc("created_date").alias("created_at"), nyc_local_to_utc("closed_date").alias("closed_at"),
@@ -238,7 +238,7 @@ def stg_weather(raw: DataFrame) -> DataFrame:
     valid = raw.filter(F.col("is_valid")).select(*STG_WEATHER_INPUT)
     latest = S.dedup_latest(valid, ["city", "observation_time"], ["_ingestion_timestamp"])
     wmo = seed(raw.sparkSession, "wmo_weather_code_lookup")
-    joined = S.lookup(latest, wmo, "weather_code", "wmo_code", seed=True)
+    joined = S.lookup(latest, wmo, "weather_code", "wmo_code")
     return joined.select(
         C.surrogate_key("city", "observation_time").alias("weather_id"), "city",
         C.parse_timestamp("observation_time").alias("observed_at"), "latitude", "longitude",
@@ -301,7 +301,7 @@ def stg_tfl_line_status(raw: DataFrame, bucket: str = "30 seconds") -> DataFrame
     worst = collapse_statuses(raw.where(F.col("observed_at").isNotNull())).drop("is_disrupted")
     deduped = S.dedup_window(worst, "line_id", "observed_at", bucket, bucket_col="_bucket").drop("_bucket")
     sev = seed(raw.sparkSession, "tfl_severity_lookup")
-    j = S.lookup(deduped, sev, "status_severity", "severity_code", seed=True)
+    j = S.lookup(deduped, sev, "status_severity", "severity_code")
     return j.select(
         C.surrogate_key("line_id", "observed_at").alias("status_event_id"), "line_id", "line_name", "observed_at",
         "status_severity", F.coalesce("severity_description", F.lit("Unknown")).alias("status_description"),
@@ -678,7 +678,7 @@ def line_status_rows(polls: DataFrame) -> DataFrame:
 
 def _with_disruption(rows: DataFrame) -> DataFrame:
     sev = seed(rows.sparkSession, "tfl_severity_lookup").select("severity_code", "is_disrupted")
-    j = rows.join(F.broadcast(sev), rows["status_severity"] == sev["severity_code"], "left")
+    j = rows.join(sev, rows["status_severity"] == sev["severity_code"], "left")
     return j.withColumn("is_disrupted", F.coalesce("is_disrupted", F.lit(False))).drop("severity_code")
 
 

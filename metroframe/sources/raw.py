@@ -157,13 +157,13 @@ def unpack_arrays(df: DataFrame, key: list[str], time_array: str, arrays: dict[s
 
 def city_union(parts: dict[str, DataFrame], coords: DataFrame | None = None, city_col: str = "city") -> DataFrame:
     """Per-city frames labelled and unioned by name (A7), coordinates from a
-    (tiny, fixed) city table."""
+    city table."""
     out = None
     for city, frame in parts.items():
         labelled = frame.withColumn(city_col, F.lit(city))
         out = labelled if out is None else out.unionByName(labelled, allowMissingColumns=True)
     if coords is not None:
-        out = out.join(F.broadcast(coords), city_col, "left")
+        out = out.join(coords, city_col, "left")
     return out
 
 

@@ -13,6 +13,7 @@ import csv
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SEED_DIR = Path(__file__).resolve().parent.parent / "seeds"
@@ -56,7 +57,9 @@ def seed_rows(name: str) -> list[tuple]:
 
 
 def seed(spark: SparkSession, name: str) -> DataFrame:
-    return spark.createDataFrame(seed_rows(name), SEED_SCHEMAS[name])
+    """A fixed seed table, with the hint to broadcast it: its rows are known
+    here (59 at most), so no join has to trust a caller's word for its size."""
+    return F.broadcast(spark.createDataFrame(seed_rows(name), SEED_SCHEMAS[name]))
 
 
 def read_seed_csv(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
