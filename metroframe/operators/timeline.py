@@ -62,15 +62,20 @@ def day_spine(df: DataFrame, key: str, day: str, out: str = "event_date") -> Dat
 # ---------------------------------------------------------------------------
 
 def change_points(df: DataFrame, key: str, ts: str, state: list[str], max_gap_seconds: int | None = None,
-                  bucket: str = "day", carry: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+                  bucket: str = "day", carry: list[str] | None = None, materialize: bool = True) -> DataFrame:
     """Rows where a key's state differs from its previous poll (or the gap to
     the previous poll exceeds ``max_gap_seconds``).
 
-    Returns (change_rows, bucket_summary). Each change row carries
-    ``_end_marker``: the time at which the *previous* island ends — this
-    poll's time on a state change, the last seen poll on a gap break — and
-    ``_prev_st``, the state before the change (null for a key's first poll).
-    ``carry`` columns of the changing row are kept."""
+    One pass over the raw rows, sorted inside (key, bucket), keeps the changes
+    within a bucket and each bucket's first and last row; everything across
+    bucket borders is worked out on these few rows, which several consumers
+    read, so they are cut once with a reliable checkpoint in the shared folder
+    (it survives lost executors, and no consumer runs the raw pass again).
+
+    Each change row carries ``_end_marker``: the time at which the *previous*
+    island ends — this poll's time on a state change, the last seen poll on a
+    gap break — and ``_prev_st``, the state before the change (null for a
+    key's first poll). ``carry`` columns of the changing row are kept."""
     carry = carry or []
     b = F.date_trunc(bucket, F.col(ts)).cast("timestamp_ntz")
     st = F.struct(*[F.col(s) for s in state])
@@ -78,8 +83,21 @@ def change_points(df: DataFrame, key: str, ts: str, state: list[str], max_gap_se
     rows = (df.select(F.col(key), F.col(ts), *[F.col(s) for s in state], *[F.col(c) for c in carry])
             .withColumn("_b", b).withColumn("_st", st))
 
-    summary = rows.groupBy(key, "_b").agg(
-        F.min(ts).alias("_first_ts"), F.max(ts).alias("_last_ts"), F.max_by("_st", F.struct(F.col(ts), tie)).alias("_last_st"))
+    def too_long(since: Column) -> Column:
+        if max_gap_seconds is None:
+            return F.lit(False)
+        return F.coalesce((epoch_seconds(ts) - epoch_seconds(since)) > F.lit(max_gap_seconds), F.lit(False))
+
+    wl = Window.partitionBy(key, "_b").orderBy(F.col(ts), tie)
+    local = rows.select("*", F.lag("_st").over(wl).alias("_prev_st_l"), F.lag(ts).over(wl).alias("_prev_ts_l"),
+                        F.lead(ts).over(wl).isNull().alias("_last"))
+    first = F.col("_prev_ts_l").isNull()
+    kept = local.filter(first | F.col("_last") | ~F.col("_prev_st_l").eqNullSafe(F.col("_st")) | too_long(F.col("_prev_ts_l")))
+    if materialize:
+        ensure_checkpoint_dir(kept.sparkSession)
+        kept = kept.checkpoint(eager=True)
+
+    summary = kept.groupBy(key, "_b").agg(F.max(ts).alias("_last_ts"), F.max_by("_st", F.struct(F.col(ts), tie)).alias("_last_st"))
     ws = Window.partitionBy(key).orderBy("_b")
     summary = summary.select(
         key, "_b",
@@ -87,23 +105,14 @@ def change_points(df: DataFrame, key: str, ts: str, state: list[str], max_gap_se
         F.lag("_last_ts").over(ws).alias("_carry_ts"),
         F.max("_last_ts").over(Window.partitionBy(key)).alias("_key_last_ts"),
     )
-
-    wl = Window.partitionBy(key, "_b").orderBy(F.col(ts), tie)
-    local = rows.select(
-        "*", F.lag("_st").over(wl).alias("_prev_st_l"), F.lag(ts).over(wl).alias("_prev_ts_l"))
-    joined = local.join(summary, [key, "_b"], "inner")
+    joined = kept.join(summary, [key, "_b"], "inner")
     prev_st = F.coalesce(F.col("_prev_st_l"), F.col("_carry_st"))
     prev_ts = F.coalesce(F.col("_prev_ts_l"), F.col("_carry_ts"))
-    first_ever = prev_ts.isNull()
-    gap_break = F.lit(False)
-    if max_gap_seconds is not None:
-        gap_break = (epoch_seconds(ts) - epoch_seconds(prev_ts)) > F.lit(max_gap_seconds)
-    gap_break = F.coalesce(gap_break, F.lit(False))
-    changed = first_ever | ~prev_st.eqNullSafe(F.col("_st")) | gap_break
-    cps = (joined.filter(changed)
-           .select(key, "_b", ts, *state, *carry, "_key_last_ts", prev_st.alias("_prev_st"),
-                   F.when(gap_break, prev_ts).otherwise(F.col(ts)).alias("_end_marker")))
-    return cps, summary
+    gap_break = too_long(prev_ts)
+    changed = prev_ts.isNull() | ~prev_st.eqNullSafe(F.col("_st")) | gap_break
+    return (joined.filter(changed)
+            .select(key, "_b", ts, *state, *carry, "_key_last_ts", prev_st.alias("_prev_st"),
+                    F.when(gap_break, prev_ts).otherwise(F.col(ts)).alias("_end_marker")))
 
 
 def islands(df: DataFrame, key: str, ts: str, state: list[str], max_gap_seconds: int | None = None,
@@ -114,14 +123,7 @@ def islands(df: DataFrame, key: str, ts: str, state: list[str], max_gap_seconds:
     next differing poll, or the last poll before an over-long gap); null
     while ongoing."""
     carry = carry or []
-    cps, _ = change_points(df, key, ts, state, max_gap_seconds, bucket, carry)
-    if materialize:
-        # Two consumers read the change points below; without a cut, Spark
-        # would rerun the whole raw pass (scan, shuffle, sort, window) for
-        # each. A reliable checkpoint in the shared checkpoint folder keeps
-        # one pass and survives executor loss.
-        ensure_checkpoint_dir(cps.sparkSession)
-        cps = cps.checkpoint(eager=True)
+    cps = change_points(df, key, ts, state, max_gap_seconds, bucket, carry, materialize)
     order = [F.col(ts), F.xxhash64(*[F.col(s) for s in state])]
     wl = Window.partitionBy(key, "_b").orderBy(*order)
     with_local = cps.withColumn("_next_l", F.lead("_end_marker").over(wl))
