@@ -39,7 +39,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row per piece of a document in a sequence of 2048 tokens."""
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
 STAGES = [

@@ -54,16 +54,43 @@ def cut(length: int, capacity: int = CAPACITY, slack: float = SLACK) -> list[tup
 
 
 def encoder(path: str):
-    """bytes -> ids of a byte-level BPE rank file, as ordinary text."""
+    """bytes -> ids of a byte-level BPE. A JSON tokenizer (``*.json``) gives the
+    ids of the ``tokenizers`` library without post-processing: its added tokens
+    are matched wherever they stand. A rank file has none, all is ordinary text."""
     import base64
+    import json
 
     import public_tokenizers
     import tiktoken
 
-    with open(path, "rb") as lines:
-        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    codec = tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return codec.encode_to_numpy if hasattr(codec, "encode_to_numpy") else codec.encode_ordinary
+    special = {}
+    if path.endswith(".json"):
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        model, added = spec["model"], spec["added_tokens"]
+        level = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+        merged = [model["vocab"].get("".join(m if isinstance(m, list) else m.split(" "))) for m in model.get("merges", ())]
+        # a rank codec gives the same ids where merges go by id and nothing else touches the text
+        same = (spec["normalizer"] is None and level.items() <= (spec["pre_tokenizer"] or {}).items() and merged == list(range(256, 256 + len(merged)))
+                and not any(t[flag] for t in added for flag in ("single_word", "lstrip", "rstrip"))
+                and not any(t["content"] in u["content"] for t in added for u in added if t is not u)
+                and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges")))
+        if not same:
+            from tokenizers import Tokenizer
+
+            codec = Tokenizer.from_file(path)
+            return lambda text: codec.encode(text, add_special_tokens=False).ids
+        # the JSON writes printable bytes as themselves, the others as the characters from 256 on
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        byte = {chr(b): b for b in shown} | {chr(256 + n): b for n, b in enumerate(b for b in range(256) if b not in shown)}
+        special = {t["content"]: t["id"] for t in added}
+        ranks = {bytes(byte[c] for c in token): rank for token, rank in model["vocab"].items() if token not in special}
+    else:
+        with open(path, "rb") as lines:
+            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+    codec = tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
+    encode = codec.encode_to_numpy if hasattr(codec, "encode_to_numpy") else codec.encode
+    return lambda text: encode(text, allowed_special="all")
 
 
 class Worker:
@@ -86,14 +113,14 @@ class Worker:
         return out
 
 
-def pieces(df: DataFrame, id_col: str, text_col: str, ranks_path: str, end_id: int, capacity: int, slack: float) -> DataFrame:
+def pieces(df: DataFrame, id_col: str, text_col: str, codec_path: str, end_id: int, capacity: int, slack: float) -> DataFrame:
     """One row per piece, with the worker that cut it and its place in the
     worker's own bins."""
     rows = texts_and_ids(df, id_col, text_col)
     id_type = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(ranks_path)
+        encode = encoder(codec_path)
         number = pyspark.TaskContext.get().partitionId()
         worker = Worker(number, capacity, slack)
         for batch in sliced(batches, "text"):
@@ -128,7 +155,7 @@ def first_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarra
     return bins, offsets
 
 
-def pack(df: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID,
+def pack(df: DataFrame, codec_path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID,
          capacity: int = CAPACITY, slack: float = SLACK) -> DataFrame:
     """Pack every document's tokens, with ``end_id`` after each document.
 
@@ -137,7 +164,7 @@ def pack(df: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: str =
     token; repeated rows and null ids are documents like any other; a very
     long text fills whole sequences; an empty table gives no piece. Other
     columns of ``df`` are not read."""
-    cut_up = stored(pieces(df, id_col, text_col, ranks_path, end_id, capacity, slack), "pieces")
+    cut_up = stored(pieces(df, id_col, text_col, codec_path, end_id, capacity, slack), "pieces")
     # a row per worker and class, of ~90 classes
     counts = stored(cut_up.groupBy("worker", "class").agg(F.max("rank").alias("last")), "counts")
     full = (F.col("last") + 1) - F.pmod(F.col("last") + 1, F.col("class").cast("long"))

@@ -17,8 +17,7 @@ ACCEPT = 0.3
 
 
 def op1_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")  # the vocabulary of byte_bpe_50k.json as ranks
-    return packing.pack(table(spark, sf_dir, "documents"), ranks)
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def op2_cap_filter_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -94,6 +94,29 @@ def test_packing_query(spark, sf_small):
     assert sum(r.length for r in rows) / (2048 * len(sequences)) > 0.97
 
 
+ADDED = ["hello <|endoftext|> world", "<|endoftext|>", "<|endoftext|><|endoftext|>x", "a  <|endoftext|>  b\n<|endoftext|>", "<|endoftext|", "é🙂 \x00<|endoftext|>'s"]
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_packing_matches_added_tokens(spark, name):
+    path = public_tokenizers.path(name)
+    codec = Tokenizer.from_file(path)
+    ids = packing.encoder(path)
+    texts = [*ADDED, *(t or "" for _, t in ODD), *(t or "" for _, t in texts_of(spark, "/root/testdata/sf0.001"))]
+    assert [list(ids(t)) for t in texts] == [codec.encode(t, add_special_tokens=False).ids for t in texts]
+    docs = list(enumerate(ADDED))
+    rows = packing.pack(spark.createDataFrame(docs, "doc_id long, text string"), path).collect()
+    check_packing(rows, docs, 2048, lambda t: codec.encode(t, add_special_tokens=False).ids, 1)
+
+
+def test_packing_query_matches_added_tokens(spark, tmp_path):
+    docs = list(enumerate(ADDED))
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    codec = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    rows = queries.op1_harmonic_packing(spark, str(tmp_path)).collect()
+    check_packing(rows, docs, 2048, lambda t: codec.encode(t, add_special_tokens=False).ids, 1)
+
+
 def test_cut_fills_classes():
     for length in range(0, 5000):
         parts = packing.cut(length)
