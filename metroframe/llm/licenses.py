@@ -1,4 +1,5 @@
-"""License scan: exact phrases, and diagonal voting against notice templates.
+"""License scan: exact phrases, diagonal voting against notice templates, and
+word edits for notices whose groups of words are broken up.
 
 All rolling k-word groups of every text are joined to the positions of the
 templates' groups (a few hundred rows, broadcast). A hit votes for its
@@ -6,12 +7,20 @@ diagonal, the offset between its place in the text and in the template.
 Neighbouring diagonals, which insertions and deletions make, are merged, and a
 merged span is verified: it must cover most of the template and little else.
 
+A changed word breaks up to k groups, most of a short template's. So every text
+is also searched for spans within a few word edits of a template. Of a template
+of n words, a span within e edits keeps one of any e + 1 words; these anchors
+propose the places, and the words around them are aligned with the template.
+Words that tell licenses apart must not be edited.
+
 Everything is DataFrame expressions. Groups that hit no template end in the
-join, in the task that read them; only hits are shuffled.
+join, in the task that read them; only hits are shuffled. Alignments stay in
+the task that has the text.
 """
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -44,6 +53,9 @@ K = 3
 DRIFT = 4
 #: the least share of the template that a span covers, and of the span that votes
 COVERAGE, DENSITY = 0.7, 0.6
+#: words that tell licenses apart: an edited notice holds those of its template and no others
+NAMES = ["mit", "bsd", "apache", "mozilla", "eclipse", "gnu", "lesser", "lgpl", "affero", "agpl", "creative", "commons", "cc", "nc",
+         "noncommercial", "commercial", "sharealike", "sa", "noderivatives", "nd"]
 KELVIN, LIKE_KELVIN = "K", "ĸ"
 
 
@@ -94,6 +106,64 @@ def spans(texts: DataFrame, templates: list[tuple[str, str]]) -> DataFrame:
     return merged.where((F.col("coverage") >= COVERAGE) & (F.col("density") >= DENSITY)).select("doc_id", "text_key", "label", "start", "stop", "coverage")
 
 
+def edits(around: Column, listed: list[str], cost: list[int], names: list[str]) -> Column:
+    """The least cost of word edits between the words ``listed`` and any span of
+    the array ``around``. ``cost`` is that of losing each listed word; a name
+    that is not listed there costs too much to be passed over."""
+    most = len(listed) + 1
+    lost = [sum(cost[:i]) for i in range(most)]
+    table = F.array(*(F.struct(F.lit(w).alias("word"), F.lit(c).alias("cost"), F.lit(i).alias("i")) for i, (w, c) in enumerate(zip(listed, cost))))
+    weighed = F.transform(around, lambda w: F.struct(w.alias("word"), F.when(w.isin(names), most).otherwise(1).alias("cost")))
+
+    def row(old: Column, w: Column) -> Column:
+        def cell(new: Column, t: Column) -> Column:
+            other = F.when(t["word"] == w["word"], 0).otherwise(F.greatest(t["cost"], w["cost"]))
+            return F.concat(new, F.array(F.least(F.get(old, t["i"] + 1) + w["cost"], F.element_at(new, -1) + t["cost"], F.get(old, t["i"]) + other)))
+
+        return F.aggregate(table, F.array(F.lit(0)), cell)
+
+    def step(held: Column, w: Column) -> Column:
+        new = row(held["row"], w)
+        return F.struct(new.alias("row"), F.least(held["least"], F.element_at(new, -1)).alias("least"))
+
+    start = F.struct(F.array(*map(F.lit, lost)).alias("row"), F.lit(lost[-1]).alias("least"))
+    return F.aggregate(weighed, start, step, lambda held: held["least"])
+
+
+def agreement(template: str, label: str, names: list[str]) -> Column:
+    """1 less the share of the template's words that are edited in the span of
+    ``words`` closest to it; null below COVERAGE. ``known`` holds the words that
+    the text shares with any template."""
+    listed = template_words(template)
+    n, most = len(listed), int((1 - COVERAGE) * len(listed) + 1e-9)
+    if not n:
+        return F.lit(None).cast("double")
+    number = re.search(r"-([0-9]+)$", label)
+    kept = {*names, *(number.groups() if number else ())}
+    named_words = [w for w in listed if w in names]
+    anchors = named_words[:1] or sorted({w for w in listed if not w.isdigit()} or set(listed), key=lambda w: (-len(w), w))[:most + 1]
+    # a number may stand as v2
+    plain = sorted({w for w in listed if not w.isdigit()})
+    likely = F.size(F.array_intersect("known", F.array(*map(F.lit, plain)).cast("array<string>"))) >= len(plain) - most
+    for w in sorted(set(named_words)):
+        likely = likely & F.array_contains("known", w)
+    at = F.array(*(F.struct(F.lit(w).alias("word"), F.lit(i).alias("i")) for i, w in enumerate(listed) if w in anchors))
+    found = F.filter(F.sequence(F.lit(0), F.size("words") - 1), lambda i: F.get("words", i).isin(anchors))
+    starts = F.array_distinct(F.flatten(F.transform(found, lambda i: F.transform(F.filter(at, lambda a: a["word"] == F.get("words", i)), lambda a: i - a["i"]))))
+    windows = F.transform(starts, lambda d: F.slice("words", F.greatest(d - most, F.lit(0)) + 1, F.greatest(n + 2 * most + F.least(d - most, F.lit(0)), F.lit(0))))
+    windows = F.transform(windows, lambda around: F.transform(around, lambda w: F.regexp_replace(w, r"^v(?=[0-9]+$)", "")))
+    distinct = F.array(*map(F.lit, sorted(set(listed))))
+    windows = F.filter(windows, lambda around: F.size(F.array_intersect(around, distinct)) >= len(set(listed)) - most)
+    cost = [n + 1 if w in kept else 1 for w in listed]
+    least = F.array_min(F.transform(F.array_distinct(windows), lambda around: edits(around, listed, cost, names)))
+    return F.when(likely & (F.size("words") > 0), F.when(least <= most, 1 - least / n)).otherwise(F.lit(None))
+
+
+def template_words(template: str) -> list[str]:
+    """What ``words`` gives for a template."""
+    return [w for w in re.split(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", template.replace(KELVIN, LIKE_KELVIN).lower()) if w]
+
+
 def places(phrase: str) -> Column:
     """Where the words of ``phrase`` stand one after another in ``words``; texts
     without all of them as substrings of the words' text are not searched."""
@@ -109,29 +179,35 @@ def places(phrase: str) -> Column:
 
 
 def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrases: list[tuple[str, str]] = PHRASES,
-         templates: list[tuple[str, str]] = TEMPLATES) -> DataFrame:
+         templates: list[tuple[str, str]] = TEMPLATES, names: list[str] = NAMES) -> DataFrame:
     """One row per row of ``df``: doc_id, n_words, n_base, first_word,
     last_word, base_labels, labels, score.
 
     n_base counts all places of the phrases, first_word and last_word are the
     smallest and largest word number where one starts (null without any);
-    labels adds those of verified template spans. score is 1 with a phrase,
-    else the largest share of a template that a span covers, 0 without a span.
+    labels adds those of verified template spans and of notices within a few
+    word edits of a template. score is 1 with a phrase, else the largest share
+    of a template that a span covers, else the largest share of a template that
+    is not edited, 0 without either.
     Null and empty texts have no words; rows equal in id and text get equal
     results, null ids too; an empty table gives an empty one. Other columns are
     not read."""
     texts = texts_and_ids(df, id_col, text_col).withColumn("text_key", F.xxhash64("text"))
     found = stored(spans(texts, templates).groupBy("doc_id", "text_key").agg(F.collect_set("label").alias("more"), F.max("coverage").alias("coverage")), "license-spans")
     base = texts.select("doc_id", "text_key", words(F.col("text")).alias("words"))
-    base = base.select("doc_id", "text_key", F.size("words").cast("long").alias("n_words"), F.array(*(places(p) for p, _ in phrases)).alias("places"))
+    listed = sorted({w for t, _ in templates for w in template_words(t)})
+    base = base.withColumn("known", F.array_intersect("words", F.array(*map(F.lit, listed)).cast("array<string>")))
+    close = F.array(*(F.struct(F.lit(x).alias("label"), agreement(t, x, names).alias("score")) for t, x in templates))
+    base = base.select("doc_id", "text_key", F.size("words").cast("long").alias("n_words"), F.array(*(places(p) for p, _ in phrases)).alias("places"),
+                       F.filter(close, lambda x: x["score"].isNotNull()).alias("close"))
     label = F.array(*(F.lit(x) for _, x in phrases))
     hit = F.filter(F.arrays_zip(F.col("places"), label.alias("label")), lambda x: F.size(x["places"]) > 0)
-    base = base.select("doc_id", "text_key", "n_words", F.flatten("places").alias("at"), F.array_distinct(F.transform(hit, lambda x: x["label"])).alias("base"))
+    base = base.select("doc_id", "text_key", "n_words", "close", F.flatten("places").alias("at"), F.array_distinct(F.transform(hit, lambda x: x["label"])).alias("base"))
     other = found.select(F.col("doc_id").alias("id"), F.col("text_key").alias("key"), "more", "coverage")
     joined = base.join(other, F.expr("text_key = key and doc_id <=> id"), "left")
-    every = F.array_distinct(F.concat("base", F.coalesce("more", F.array().cast("array<string>"))))
+    every = F.array_distinct(F.concat("base", F.coalesce("more", F.array().cast("array<string>")), F.col("close.label")))
     return joined.select(
         "doc_id", "n_words", F.size("at").cast("long").alias("n_base"), F.array_min("at").cast("long").alias("first_word"),
         F.array_max("at").cast("long").alias("last_word"), F.array_join(F.sort_array("base"), ",").alias("base_labels"),
         F.array_join(F.sort_array(every), ",").alias("labels"),
-        F.when(F.size("at") > 0, 1.0).otherwise(F.coalesce("coverage", F.lit(0.0))).alias("score"))
+        F.when(F.size("at") > 0, 1.0).otherwise(F.coalesce("coverage", F.array_max("close.score"), F.lit(0.0))).alias("score"))

@@ -433,6 +433,52 @@ def test_license_scan_equals_brute_force(spark):
     assert licenses.scan(df.limit(0)).count() == 0
 
 
+EDITED = [("Licensed under the Apache Software License, Version 2.0", "apache-2", 7 / 8), ("Licensed under the Apache License, v2.0", "apache-2", 7 / 8),
+          ("This work is licensed under the GNU GPL, version 3", "gpl-3", 9 / 12), ("so: Released under MIT license", "mit", 4 / 5),
+          ("Licensed under CC BY version NC 4.0", "cc-by-nc", 6 / 7),
+          ("This work is licensed under a Creative Commons Attribution 3.0 Unported License", "cc-by", 11 / 13),
+          # edits of words that tell licenses apart
+          ("Licensed under the Mozilla Public License, Version 2.0", "", 0), ("Licensed under the Apache License, Version 1.1", "", 0),
+          ("Released under the BSD license", "", 0), ("Licensed under CC BY-SA 4.0", "", 0), ("This work is licensed under the GNU GPL, version 2", "", 0),
+          ("This work is licensed under the GNU LGPL, version 3", "", 0), ("Licensed software under much of the apache tent, version 2.0", "", 0)]
+
+
+def test_license_scan_finds_edited_notices(spark):
+    far = "word " * 500
+    texts = [(i, pad + text + end) for i, (text, _, _) in enumerate(EDITED) for pad, end in (("", ""), (far, "."), ("", " " + far), ("mit apache gnu cc ", ""))]
+    rows = licenses.scan(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        assert (r.labels, r.n_base) == (EDITED[r.doc_id][1], 0) and r.score == pytest.approx(EDITED[r.doc_id][2]), r
+
+
+def test_license_edits_equal_brute_force(spark):
+    rng, template = random.Random(3), licenses.TEMPLATES[3][0]
+    listed, docs = template.split(), []
+    for i in range(60):
+        w = listed[:]
+        for _ in range(rng.randrange(10)):
+            at = rng.randrange(len(w))
+            w[at:at + rng.randrange(2)] = rng.choice([[], ["other"], [rng.choice(listed)]])
+        docs.append((i, " ".join(["x"] * rng.randrange(4) + w + ["of"] * rng.randrange(4))))
+
+    def least(text):
+        old = [0] * (len(text) + 1)
+        for n, t in enumerate(listed):
+            new = [n + 1]
+            for j, w in enumerate(text):
+                new.append(min(old[j] + (t != w), old[j + 1] + 1, new[j] + 1))
+            old = new
+        return min(old)
+
+    size = len(listed)
+    want = {i: least(t.split()) for i, t in docs}
+    df = licenses.scan(spark.createDataFrame(docs, "doc_id long, text string"), templates=[(template, "apache-2")])
+    got = {r.doc_id: r.labels for r in df.collect()}
+    assert got == {i: "apache-2" if e <= size * (1 - licenses.COVERAGE) else "" for i, e in want.items()}
+    assert 5 < sum(map(bool, got.values())) < 60
+
+
 def test_license_query(spark, sf_small):
     got = {r.doc_id: tuple(r) for r in queries.op10_license_scan(spark, sf_small).collect()}
     for doc, text in texts_of(spark, sf_small):
