@@ -51,7 +51,7 @@ URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example
 
 
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return urlfilter.judge(table(spark, sf_dir, "pages"), URL_RULES)
+    return urlfilter.judge(table(spark, sf_dir, "pages"), URL_RULES, whole_url=True)
 
 
 def op6_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,8 @@ URLs that the rules accept and those that they reject train one smoothed
 variable-order Markov model each: the probability of a character after up to
 three others interpolates the counts of the longest context with those of the
 shorter ones, so a context never seen falls through to the next shorter. A
-URL's score is the difference of the two log-likelihoods per character. The
+URL's score is the difference of the two log-likelihoods per character, of the
+whole URL or of its host and path. The
 cut between the classes is calibrated on the scores of the rules' own URLs:
 it lies equally many standard deviations from either mean.
 
@@ -85,20 +86,23 @@ def log_ratios(grams: DataFrame) -> DataFrame:
     return lower.select("gram", (F.log("pa") - F.log("pb")).alias("ratio"))
 
 
-def judge(df: DataFrame, rules: list[tuple[str, str]], id_col: str = "page_id", url_col: str = "url") -> DataFrame:
+def judge(df: DataFrame, rules: list[tuple[str, str]], id_col: str = "page_id", url_col: str = "url",
+          whole_url: bool = False) -> DataFrame:
     """One row per row of ``df``: page_id, host, path, rule, verdict, score.
 
     verdict is the longest fitting rule's; else ``allow`` if the score (log
     likelihood of accepted over rejected, per character) reaches the
     calibrated cut, ``block`` below it. If the rules accept or reject nothing
-    there is no model: all other URLs are allowed with a null score. Null and
-    empty URLs have an empty host and path, which the models judge like any
-    other; repeated rows get equal results; an empty table gives an empty one.
+    there is no model: all other URLs are allowed with a null score. The models
+    read the URL as it is with ``whole_url``, else host and path only, which
+    leaves out scheme, query and fragment and all of a URL without ``://``. Null
+    URLs count as empty ones, which the models judge like any other; repeated rows get equal results; an empty table gives an empty one.
     Other columns are not read."""
     host, path = host_and_path(named(url_col))
-    rows = df.select(named(id_col).alias("page_id"), host.alias("host"), path.alias("path"))
+    text = F.coalesce(named(url_col), F.lit("")) if whole_url else F.concat(host, path)
+    rows = df.select(named(id_col).alias("page_id"), host.alias("host"), path.alias("path"), text.alias("text"))
     rule, label = matching_rule(F.col("host"), F.col("path"), rules)
-    rows = rows.select("*", rule.alias("rule"), label.alias("label"), F.concat("host", "path").alias("text"))
+    rows = rows.select("*", rule.alias("rule"), label.alias("label"))
     texts = stored(rows.select("text", "label").distinct().withColumn("id", F.monotonically_increasing_id()), "urls")
     model = stored(log_ratios(groups(texts)), "model")
     scores = groups(texts).join(model, "gram").groupBy("id").agg(F.avg("ratio").alias("score"))

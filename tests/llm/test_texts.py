@@ -332,6 +332,44 @@ def test_url_filter_equals_brute_force(spark, urls):
     assert urlfilter.judge(df.limit(0), queries.URL_RULES).count() == 0
 
 
+def whole_url_scores(urls):
+    """Score of each whole URL, and the cut, from plain counts of all contexts."""
+    labels = {u or "": w[3] for u, w in zip(urls, url_brute(urls)) if w[2]}
+    padded = lambda t: "\x02" * 3 + t + "\x03"
+    counts = {k: Counter(padded(t)[i - n:i + 1] for t, label in labels.items() if label == k for i in range(3, len(t) + 4) for n in range(4)) for k in ("allow", "block")}
+    around = {k: Counter() for k in counts}
+    for k, c in counts.items():
+        for g, times in c.items():
+            around[k][g[:-1], len(g)] += times
+
+    def p(k, g):
+        out = 1 / 256
+        for n in range(1, 5):
+            out = (counts[k][g[-n:]] + 2 * out) / (around[k][g[-n:][:-1], n] + 2)
+        return out
+
+    score = lambda t: np.mean([math.log(p("allow", g) / p("block", g)) for i in range(len(t) + 1) for g in [padded(t)[i:i + 4]]])
+    (ma, sa), (mb, sb) = ((np.mean(x), np.std(x)) for x in ([score(t) for t, label in labels.items() if label == k] for k in counts))
+    return [score(u or "") for u in urls], ma + (mb - ma) * (sa / (sa + sb))
+
+
+def test_url_models_read_the_whole_url(spark):
+    urls = [*URLS, "http://other.com/x?casino=1", "http://other.com/x?en/fr", "http://other.com/x#casino", "www.other.com/en/1", "//other.com/de/1"]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = urlfilter.judge(df, queries.URL_RULES, whole_url=True).orderBy("page_id").collect()
+    scores, cut = whole_url_scores(urls)
+    want = [(*w[:3], w[3] if w[2] else "block" if s < cut else "allow") for w, s in zip(url_brute(urls), scores)]
+    assert [(r.host, r.path, r.rule, r.verdict) for r in got] == want
+    assert [r.score for r in got] == pytest.approx(scores)
+    assert len({r.score for r in got[-5:]}) == 5
+
+
+def test_url_query_reads_the_whole_url(spark, sf_small):
+    urls = [r.url for r in spark.read.parquet(f"{sf_small}/pages.parquet").orderBy("page_id").collect()]
+    got = queries.op5_url_filter(spark, sf_small).orderBy("page_id").collect()
+    assert [r.score for r in got] == pytest.approx(whole_url_scores(urls)[0])
+
+
 def test_url_query(spark, sf_small):
     rows = spark.read.parquet(f"{sf_small}/pages.parquet").orderBy("page_id").collect()
     got = queries.op5_url_filter(spark, sf_small).orderBy("page_id").collect()
