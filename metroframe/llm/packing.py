@@ -89,8 +89,32 @@ def encoder(path: str):
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
     codec = tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
-    encode = codec.encode_to_numpy if hasattr(codec, "encode_to_numpy") else codec.encode
-    return lambda text: encode(text, allowed_special="all")
+    fast = codec.encode_to_numpy if hasattr(codec, "encode_to_numpy") else codec.encode
+    slow: list = []
+
+    def encode(text: str):
+        try:
+            return fast(text, allowed_special="all")
+        except Exception:  # the rank codec's search gives up on runs of about a million blanks
+            if not slow:
+                slow.append(patient_encoder(path, codec))
+            return slow[0](text)
+
+    return encode
+
+
+def patient_encoder(path: str, codec):
+    """The same ids without a limit on the length of a run: a JSON tokenizer is
+    used itself; of a rank file the pattern's matches are found by ``regex``."""
+    import public_tokenizers
+    import regex
+    from tokenizers import Tokenizer
+
+    if path.endswith(".json"):
+        whole = Tokenizer.from_file(path)
+        return lambda text: whole.encode(text, add_special_tokens=False).ids
+    find = regex.compile(public_tokenizers.PATTERN).finditer
+    return lambda text: [i for m in find(text) for i in codec._encode_single_piece(m.group())]
 
 
 class Worker:
