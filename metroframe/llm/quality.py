@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from metroframe.llm.common import named, sliced, texts_and_ids
+from metroframe.llm.common import named, sliced, texts_and_ids, unused
 
 WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+|[^0-9A-Za-z\x80-\xff\x00-\x20]+")
 BUCKET_BITS = 18
@@ -158,13 +158,14 @@ def score(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_col
     keep = [c for c in (docs.columns if keep is None else keep) if c != score_col]
     schema = docs.select(*map(named, keep)).withColumn(score_col, F.lit(0.0)).schema
     model = docs.sparkSession.sparkContext.broadcast(weights)  # 2 MB
-    read = docs.select(*map(named, keep), F.coalesce(named(text_col), F.lit("")).cast("binary").alias("__text"))
+    body, = unused(keep, "text")
+    read = docs.select(*map(named, keep), F.coalesce(named(text_col), F.lit("")).cast("binary").alias(body))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = model.value
-        for batch in sliced(batches, "__text"):
+        for batch in sliced(batches, body):
             out = []
-            for text in batch.column("__text").to_pylist():
+            for text in batch.column(body).to_pylist():
                 where, value = features(text)
                 out.append(sigmoid(w[where] @ value + w[-1]))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(out, pa.float64())], [*keep, score_col])

@@ -100,21 +100,30 @@ def op8_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring.repeats(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", F.col("unit_no").cast("long").alias("unit_no"), "start", "end", "kept_id", "kept_start")
+    return found.select("doc_id", "start", "end", "n_units", "n_words", "kept_id", "kept_start")
 
 
 LINE_DEDUP_SQL = r"""
-WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS units FROM documents),
-u AS (SELECT doc_id, unnest(units) AS unit, unnest(range(len(units))) AS unit_no FROM d),
-n AS (SELECT doc_id, unit_no, length(unit) AS len,
-        coalesce(sum(length(unit) + 1) OVER (PARTITION BY doc_id ORDER BY unit_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start,
-        trim(regexp_replace(translate(unit, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \t\r\f\v]+', ' ', 'g')) AS norm
-      FROM u),
-w AS (SELECT doc_id, unit_no, start, start + len AS "end", norm FROM n WHERE len(string_split(norm, ' ')) >= 5),
-k AS (SELECT *, first_value(doc_id) OVER f AS kept_id, first_value(start) OVER f AS kept_start FROM w
-      WINDOW f AS (PARTITION BY norm ORDER BY doc_id, start))
-SELECT doc_id, unit_no, CAST(start AS BIGINT) AS start, CAST("end" AS BIGINT) AS "end", kept_id, CAST(kept_start AS BIGINT) AS kept_start
-FROM k WHERE doc_id <> kept_id OR start <> kept_start
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS line_no FROM d),
+o AS (SELECT *, coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+          + length(regexp_extract(line, '^[ \t\r\f\v]*')) AS line_start FROM l),
+t AS (SELECT doc_id, line_no, line_start, regexp_extract_all(line, '[^ \t\r\f\v]+[ \t\r\f\v]*') AS words FROM o),
+w AS (SELECT doc_id, line_no, line_start, unnest(words) AS word, unnest(range(len(words))) AS word_no FROM t),
+p AS (SELECT doc_id, line_no, word_no, regexp_replace(word, '[ \t\r\f\v]+$', '') AS word,
+        line_start + coalesce(sum(length(word)) OVER f, 0) AS start,
+        coalesce(sum(CAST(regexp_matches(word, '[.!?][ \t\r\f\v]*$') AS INTEGER)) OVER f, 0) AS part
+      FROM w WINDOW f AS (PARTITION BY doc_id, line_no ORDER BY word_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+u AS (SELECT doc_id, line_no, part, min(start) AS start, max(start + length(word)) AS "end", count(*) AS n_words,
+        string_agg(translate(word, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), ' ' ORDER BY word_no) AS norm
+      FROM p GROUP BY ALL),
+n AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY line_no, part) AS unit_no FROM u),
+k AS (SELECT *, first_value(doc_id) OVER f AS kept_id, first_value(start) OVER f AS kept_start FROM n
+      WINDOW f AS (PARTITION BY norm ORDER BY doc_id, start)),
+r AS (SELECT *, unit_no - row_number() OVER (PARTITION BY doc_id ORDER BY unit_no) AS run FROM k WHERE doc_id <> kept_id OR start <> kept_start)
+SELECT doc_id, CAST(min(start) AS BIGINT) AS start, CAST(max("end") AS BIGINT) AS "end", count(*) AS n_units, CAST(sum(n_words) AS BIGINT) AS n_words,
+  arg_min(kept_id, unit_no) AS kept_id, CAST(arg_min(kept_start, unit_no) AS BIGINT) AS kept_start
+FROM r GROUP BY doc_id, run HAVING sum(n_words) >= 25
 """
 
 

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from metroframe.llm.common import grouped_batches, named, sliced, stored, texts_and_ids
+from metroframe.llm.common import grouped_batches, named, sliced, stored, texts_and_ids, unused
 from metroframe.llm.components import components
 
 BITS = 64
@@ -226,13 +226,14 @@ def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     rows = near_duplicates(df, id_col, text_col, shingle, max_bits)
     counted = rows.groupBy("root", "doc_id", "text_key").agg(F.count(F.lit(1)).alias("n"))
     first = counted.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key", "n")).alias("first"))
-    first = stored(first.select(F.col("first.doc_id").alias("__id"), F.col("first.text_key").alias("__key"), F.col("first.n").alias("__n")), "first")
-    own = df.withColumn("__own_id", named(id_col)).withColumn("__own_key", F.xxhash64(F.coalesce(named(text_col), F.lit(""))))
+    own_id, own_key, its_id, its_key, copies = unused(df.columns, "own_id", "own_key", "its_id", "its_key", "copies")
+    first = stored(first.select(F.col("first.doc_id").alias(its_id), F.col("first.text_key").alias(its_key), F.col("first.n").alias(copies)), "first")
+    own = df.withColumn(own_id, named(id_col)).withColumn(own_key, F.xxhash64(F.coalesce(named(text_col), F.lit(""))))
 
     def kept(which: DataFrame) -> DataFrame:
-        return own.join(which, F.expr("__own_key = __key and __own_id <=> __id"), "left_semi")
+        return own.join(which, (F.col(own_key) == F.col(its_key)) & F.col(own_id).eqNullSafe(F.col(its_id)), "left_semi")
 
-    alone = kept(first.where("__n = 1"))
-    if not first.where("__n > 1").isEmpty():  # rows equal in id and text: one of each
-        alone = alone.union(kept(first.where("__n > 1")).dropDuplicates(["__own_id", "__own_key"]))
-    return alone.drop("__own_id", "__own_key")
+    alone = kept(first.where(F.col(copies) == 1))
+    if not first.where(F.col(copies) > 1).isEmpty():  # rows equal in id and text: one of each
+        alone = alone.union(kept(first.where(F.col(copies) > 1)).dropDuplicates([own_id, own_key]))
+    return alone.drop(own_id, own_key)

@@ -77,13 +77,26 @@ def check_packing(rows, docs, capacity, encode, end_id):
 
 def test_packing_edge_cases(spark):
     df = spark.createDataFrame([(i, t, 1, "s") for i, t in ODD], "doc_id long, text string, offset int, sequence_id string")
-    codec = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    codec.encode_special_tokens = True
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    codec = Tokenizer.from_file(path)
     encode = lambda t: codec.encode(t, add_special_tokens=False).ids
     for capacity in (2048, 64):
-        rows = packing.pack(df, public_tokenizers.path("byte_bpe_50k.tiktoken"), capacity=capacity).collect()
+        rows = packing.pack(df, path, capacity=capacity).collect()
         check_packing(rows, ODD, capacity, encode, 1)
-    assert packing.pack(df.limit(0), public_tokenizers.path("byte_bpe_50k.tiktoken")).count() == 0
+    assert packing.pack(df.limit(0), path).count() == 0
+
+
+LONG_RUNS = [" " * 2_000_000, "\n" * 2_000_000, "a" * 2_000_000, "abc1é!" * 300_000, "x" + " " * 1_200_000 + "<|endoftext|>y"]
+
+
+def test_packing_of_very_long_runs(spark):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    codec = Tokenizer.from_file(path)
+    docs = list(enumerate(LONG_RUNS))
+    rows = packing.pack(spark.createDataFrame(docs, "doc_id long, text string"), path).collect()
+    check_packing(rows, docs, 2048, lambda t: codec.encode(t, add_special_tokens=False).ids, 1)
+    ranks = packing.encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"))  # no added tokens in a rank file
+    assert all(list(ranks(t)) == codec.encode(t, add_special_tokens=False).ids for t in LONG_RUNS[:4])
 
 
 def test_packing_query(spark, sf_small):
@@ -133,57 +146,93 @@ def test_first_fit():
         assert [o for o, _ in parts] == np.cumsum([0, *(n for _, n in parts)])[:-1].tolist() and sum(n for _, n in parts) <= 10
 
 
-# ---- line dedup
+# ---- passage dedup
+
+LINES = [(2, "one two three. Four  five!\nkeep me\nOne\ttwo three.\t four FIVE!\r"), (1, "zero\none two three. x.y four five!"), (3, None), (4, ""), (None, "one two three."),
+         (1, "zero\none two three. x.y four five!"), (5, "\n\n\n"), (6, "a b c d\n\n\n  a b c d\nb"), (7, "é two three four five\n\nÉ two three four five"), (8, "w " * 50000),
+         (9, "b?! ... !!!\n!!!"), (10, "b?! ...  !!! tail"), (11, " b?! \x1c b?!"), (12, "zero\nkeep me one two three. zero")]
+
 
-LINES = [(2, "one two three four five\nkeep me\nOne  two three four\tfive\r"), (1, "zero\none two three four five"), (3, None), (4, ""), (None, "one two three four five"),
-         (1, "zero\none two three four five"), (5, "\n\n\n"), (6, "a b c d\na b c d"), (7, "é two three four five\n\nÉ two three four five"), (8, "w " * 50000)]
+def units_brute(text):
+    """(start, end, words) of each sentence, word by word."""
+    out, at = [], 0
+    for line in (text or "").split("\n"):
+        held = []
+        for m in re.finditer(r"[^ \t\r\f\v]+", line):
+            held.append((at + m.start(), at + m.end(), "".join(c.lower() if c.isascii() else c for c in m.group())))
+            if m.group()[-1] in ".!?":
+                out.append(held)
+                held = []
+        out += [held] if held else []
+        at += len(line) + 1
+    return [(u[0][0], u[-1][1], [w for _, _, w in u]) for u in out]
 
 
-def spans_brute(rows, min_words=5):
-    found = {}
+def spans_brute(rows, span_words=substring.SPAN_WORDS):
+    found, units = {}, {}
     for doc, text in set(rows):
-        at = 0
-        for n, line in enumerate((text or "").split("\n")):
-            words = "".join(c.lower() if c.isascii() else c for c in line)
-            words = [w for w in re.split(r"[ \t\r\f\v]+", words) if w]
-            if len(words) >= min_words:
-                found.setdefault(" ".join(words), set()).add((doc is None, doc or 0, at, at + len(line), n))
-            at += len(line) + 1
+        units[doc, text] = units_brute(text)
+        for n, (start, end, words) in enumerate(units[doc, text]):
+            found.setdefault(" ".join(words), []).append((doc is None, doc or 0, start, text))
+    first = {norm: min(places)[:3] for norm, places in found.items()}
     out = set()
-    for places in found.values():
-        first, *rest = sorted(places)
-        out |= {(None if p[0] else p[1], p[4], p[2], p[3], None if first[0] else first[1], first[2]) for p in rest}
+    for (doc, text), own in units.items():
+        run = []
+        for unit in [*own, None]:
+            kept = unit and first[" ".join(unit[2])]
+            if unit and kept != (doc is None, doc or 0, unit[0]):
+                run.append((unit, kept))
+                continue
+            n = sum(len(u[2]) for u, _ in run)
+            if run and n >= span_words:
+                none, kept_id, kept_start = run[0][1]
+                out.add((doc, run[0][0][0], run[-1][0][1], len(run), n, None if none else kept_id, kept_start))
+            run = []
     return out
 
 
-def test_line_spans_and_removal(spark):
-    df = spark.createDataFrame([(i, t, "s", 1) for i, t in LINES], "doc_id long, text string, spans string, hi int")
-    got = substring.repeats(df).select("doc_id", "unit_no", "start", "end", "kept_id", "kept_start").distinct().collect()
-    assert set(map(tuple, got)) == spans_brute(LINES)
-    new = substring.without_repeats(df)
+SPAN_COLUMNS = ["doc_id", "start", "end", "n_units", "n_words", "kept_id", "kept_start"]
+
+
+@pytest.mark.parametrize("span_words", [1, 3, 5, substring.SPAN_WORDS])
+def test_spans_and_removal(spark, span_words):
+    df = spark.createDataFrame([(i, t, "s", 1, 2) for i, t in LINES], "doc_id long, text string, spans string, hi int, own_id int")
+    got = substring.repeats(df, span_words=span_words).select(SPAN_COLUMNS).collect()
+    want = spans_brute(LINES, span_words)
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+    new = substring.without_repeats(df, span_words=span_words)
     assert new.columns == df.columns
     texts = sorted(((r.doc_id, r.text) for r in new.collect()), key=str)
-    want = []
-    for doc, text in LINES:
-        if text is not None:
-            cut = {(s, e) for d, _, s, e, _, _ in spans_brute(LINES) if d == doc}
-            at, keep = 0, []
-            for line in text.split("\n"):
-                if (at, at + len(line)) not in cut:
-                    keep.append(line + "\n")
-                at += len(line) + 1
-            text = "".join(keep)
-            text = text[:-1] if not any(e == at - 1 for _, e in cut) and text else text
-        want.append((doc, text))
-    assert texts == sorted(want, key=str)
+    cut = {d: [(s, e) for x, s, e, *_ in want if x == d] for d, _ in LINES}
+    assert texts == sorted(((d, t if t is None else substring.remove_spans(t, cut[d])) for d, t in LINES), key=str)
     assert substring.repeats(df.limit(0)).count() == 0 and substring.without_repeats(df.limit(0)).count() == 0
 
 
-def test_paragraph_units(spark):
+def test_remove_spans():
+    text = "one. two. three.\nfour\n  five.  six"
+    assert substring.remove_spans(text, [(5, 9)]) == "one. three.\nfour\n  five.  six"
+    assert substring.remove_spans(text, [(17, 21)]) == "one. two. three.\n  five.  six"
+    assert substring.remove_spans(text, [(10, 16)]) == "one. two. \nfour\n  five.  six"
+    assert substring.remove_spans(text, [(10, 29), (0, 4)]) == "two. six"
+    assert substring.remove_spans(text, []) == text
+
+
+def test_short_repeated_lines_alone_stay(spark):
+    menu = "Home\nAbout us\nRead more\n"
+    passage = "This is a sentence of eight words here. " * 2 + "And this one ends it, with nine words here."
+    rows = [(1, menu + "a first text"), (2, menu + "another. " + passage), (3, "Read more\nthe third begins thus: " + passage + " and goes on.\nHome")]
+    got = substring.repeats(spark.createDataFrame(rows, "doc_id long, text string"), span_words=15).collect()
+    assert [(r.doc_id, r.n_words, rows[2][1][r.start:r.end]) for r in got] == [(3, 17, passage[passage.index("This", 5):])]
+    assert sum(r.n_words for r in substring.repeats(spark.createDataFrame(rows, "doc_id long, text string"), span_words=1).collect()) > 25
+
+
+def test_paragraph_and_line_units(spark):
     text = "first line here\nsecond line here\n\nother part of it all"
     df = spark.createDataFrame([(1, text), (2, "x\n \n" + text)], "doc_id long, text string")
-    got = substring.repeats(df, unit="paragraph").collect()
+    got = substring.repeated_units(df, unit="paragraph").collect()
     assert {(r.doc_id, r.start, r.end) for r in got} == {(2, 4, 36), (2, 38, 58)}
+    got = substring.repeats(df, unit="line", span_words=1).collect()
+    assert [(r.doc_id, r.start, r.end, r.n_units) for r in got] == [(2, 4, 58, 3)]
 
 
 # ---- quality classifier
@@ -541,12 +590,28 @@ def test_pipeline_stages(spark, sf_small):
     kept = {r.doc_id for r in single.collect()}
     assert kept == {r.doc_id for r in pairs if r.doc_id == r.component_id} and len(kept) < len(rows)
 
-    lines = corpus_pipeline.drop_repeated_lines(spark, single, sf_small)
+    lines = corpus_pipeline.drop_repeated_passages(spark, single, sf_small)
     assert lines.columns == docs.columns
     cut = spans_brute([(i, rows[i].text) for i in kept])
+    assert cut
     for r in lines.collect():
-        mine = [(s, e) for d, _, s, e, _, _ in cut if d == r.doc_id]
+        mine = [(s, e) for d, s, e, *_ in cut if d == r.doc_id]
         assert r.n_chars == len(r.text) and r.text == substring.remove_spans(rows[r.doc_id].text, mine)
     packed = corpus_pipeline.run(spark, sf_small).collect()
     codec = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     check_packing(packed, [(r.doc_id, r.text) for r in lines.collect()], 2048, lambda t: codec.encode(t, add_special_tokens=False).ids, 1)
+
+
+def test_pipeline_stages_on_odd_rows(spark, sf_small):
+    rows = [(1, "some plain words", "en", "s", 16, 0.5), (None, None, None, None, None, None), (2, "", "en", "s", 0, None), (2, "", "en", "s", 0, None),
+            (1, "some plain words", "en", "s", 16, 0.5), (3, "w " * 100_000, "en", "s", 200_000, 1.0), (4, " " * 1_000_000, "en", "s", 1_000_000, 1.0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, Score double")
+    docs = docs.withColumn("__id", F.lit("x")).withColumn("__text", F.lit(1)).withColumn("spans", F.lit(2)).withColumn("own_key", F.lit(3))
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, sf_small)
+        kept = out.collect()
+        if name != "packing":
+            assert out.columns == docs.columns and (name == "quality" or len(kept) == {"simhash": 3, "lines": 7}[name])
+        if name == "lines":
+            assert sorted(map(str, (r.text for r in kept))) == sorted(str(r[1]) for r in rows)
+        assert stage(spark, docs.limit(0), sf_small).count() == 0
