@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metroframe.llm import bpe, capfilters, licenses, packing, quality, simhash, substring, topk, urlfilter, warc
+from metroframe.llm import bpe, capfilters, licenses, packing, pii, quality, resample, simhash, substring, topk, urlfilter, warc, whitening
 from metroframe.llm.common import table
 
 #: the least score of an accepted document
@@ -131,10 +131,35 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.scan(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["base"])
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    counts = [F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}") for kind in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    each = F.posexplode(F.arrays_zip("whitened", "explained")).alias("at", "value")
+    return found.select("vec_id", "n", "deviation", "identity_error", each).select(
+        "vec_id", (F.col("at") + 1).alias("component"), "n", "deviation", F.col("value.whitened").alias("whitened"),
+        F.col("value.explained").alias("explained"), "identity_error")
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_harmonic_packing, op2_cap_filter_dedup, op3_simhash_dedup, op4_nra_top_k, op5_url_filter, op6_warc_bundles,
-        op7_quality_classifier, op8_bpe_codec, op9_line_dedup, op10_license_scan)}
+        op7_quality_classifier, op8_bpe_codec, op9_line_dedup, op10_license_scan,
+        op11_pii_spans, op12_embedding_whitening, op13_importance_resampling)}
 
 
 def oracle_sql() -> dict[str, str]:
