@@ -172,9 +172,8 @@ WHERE event_type IN ('purchase', 'click')""")
 def enrich_hourly(spark, d):
     ev = city_events(spark, d)
     req = ev.filter(F.col("event_type").isin("purchase", "click")).select("event_id", "city", "event_hour")
-    wh = weather_hourly(ev).select("city", "event_hour", "temperature_c", "precipitation_mm")
-    ah = air_hourly(ev).select("city", "event_hour", "overall_aqi")
-    return M.enrich_left(req, [wh, ah], ["city", "event_hour"])
+    hourly = hourly_all(ev).select("city", "event_hour", "temperature_c", "precipitation_mm", "overall_aqi")
+    return M.enrich_left(req, [hourly], ["city", "event_hour"])
 
 
 def _zip_seed_sql() -> str:
@@ -211,11 +210,9 @@ def complaints_enriched(spark, d):
     zips = seed(spark, "borough_zip_lookup")
     req = S.fill_from_lookup(req, zips, S.zip5(req["incident_zip"]), "zip_code", "borough_raw", "borough_name",
                              carry=["neighborhood"], out="borough").drop("borough_raw")
-    wh = weather_hourly(ev)
+    hourly = hourly_all(ev).select("city", "event_hour", "temperature_c", "precipitation_mm", "weather_code", "overall_aqi")
     wmo = seed(spark, "wmo_weather_code_lookup").select("wmo_code", F.col("description").alias("weather_description"))
-    wh = S.lookup(wh, wmo, "weather_code", "wmo_code")
-    ah = air_hourly(ev).select("city", "event_hour", "overall_aqi")
-    out = req.join(wh, ["city", "event_hour"], "left").join(ah, ["city", "event_hour"], "left")
+    out = req.join(S.lookup(hourly, wmo, "weather_code", "wmo_code"), ["city", "event_hour"], "left")
     res = M.resolution("ts", "closed_at")
     return out.select(
         C.surrogate_key("event_id").alias("complaint_id"), F.col("ts").alias("created_at"),
