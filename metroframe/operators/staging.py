@@ -20,7 +20,7 @@ Design notes for scale:
 
 from __future__ import annotations
 
-import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -153,27 +153,34 @@ AREA_CITY_RULES = [
     (r"(?i)london", "london"),
 ]
 
-def whole_words(alternatives: str) -> str:
-    """Pattern for any of the alternatives as whole words in any script. The
-    lookahead for their first letters spares most positions the rest."""
-    first = "".join(sorted({a[0] for a in re.split(r"\|(?![^(]*\))", alternatives)}))
-    return rf"(?=[{first}])(?<![\p{{L}}\p{{N}}_])({alternatives})(?![\p{{L}}\p{{N}}_])"
-
-
 # Disruption reason categories, first match wins. Whole words
 # only ("service" holds no ice, "train" no rain); planned work and staffing
-# come first, as a text that names them is not about its other words.
-REASON_RULES = [
-    (whole_words("planned|engineering|works|closures?|maintenance"), "planned"),
-    (whole_words("strikes?|staff|staffing|crews?|industrial action"), "staffing"),
-    (whole_words("signals?|signalling|points? (failure|fault)|track circuit|train fault|faulty train|power (failure|supply|cut)"),
-     "signal_failure"),
-    (whole_words("weather|floods?|flooding|flooded|snow|ice|icy|storms?|heat|rain|winds?|fog"), "weather"),
+# come first, as a text that names them is not about its other words. The
+# second entry lists plain texts of which every match holds one.
+REASONS = [
+    ("planned", ["planned", "engineering", "works", "closure", "maintenance"], "planned|engineering|works|closures?|maintenance"),
+    ("staffing", ["strike", "staff", "crew", "industrial action"], "strikes?|staff|staffing|crews?|industrial action"),
+    ("signal_failure", ["signal", "point", "track circuit", "train fault", "faulty train", "power "],
+     "signals?|signalling|points? (failure|fault)|track circuit|train fault|faulty train|power (failure|supply|cut)"),
+    ("weather", ["weather", "flood", "snow", "ice", "icy", "storm", "heat", "rain", "wind", "fog"],
+     "weather|floods?|flooding|flooded|snow|ice|icy|storms?|heat|rain|winds?|fog"),
 ]
 
 
 def classify_reason(c) -> Column:
-    return rule_map(F.lower(F.col(c) if isinstance(c, str) else c), REASON_RULES, default="unknown")
+    """The category of a free text. A category's pattern runs only over texts
+    that hold one of its plain parts."""
+    def category(low: Column) -> Column:
+        out = None
+        for name, parts, pattern in REASONS:
+            held = reduce(Column.__or__, [F.contains(low, F.lit(p)) for p in parts])
+            here = held & low.rlike(rf"(?<![\p{{L}}\p{{N}}_])({pattern})(?![\p{{L}}\p{{N}}_])")
+            out = F.when(here, name) if out is None else out.when(here, name)
+        return out.otherwise("unknown")
+
+    # a lambda binds the lower-cased text, so that it is worked out once
+    low = F.lower(F.col(c) if isinstance(c, str) else c)
+    return F.element_at(F.transform(F.array(low), category), 1)
 
 
 def area_to_city(c) -> Column:
@@ -197,16 +204,31 @@ PII_PATTERNS = [
 ]
 
 
+def _worth_a_look(text: Column) -> dict[str, Column]:
+    """Per token a cheap test that every text with a match passes."""
+    number = text.rlike("[0-9]{2}[ .-][0-9]{4}")
+    street = [F.contains(text, F.lit(f" {name}")) for name in ("St", "Ave", "R", "B", "L")]
+    return {"[EMAIL]": F.contains(text, F.lit("@")), "[SSN]": number, "[PHONE]": number,
+            "[ADDRESS]": reduce(Column.__or__, street) & text.rlike("[0-9] [A-Za-z]+ [SARBL]")}
+
+
 def mask_text(c, patterns: list[tuple[str, str]] | None = None) -> Column:
-    """Replace PII spans in free text (E14); patterns apply in order."""
-    out = F.col(c) if isinstance(c, str) else c
+    """Replace PII spans in free text (E14); patterns apply in order. Most
+    texts hold nothing that the usual patterns could match and skip them."""
+    out = text = F.col(c) if isinstance(c, str) else c
+    tests = _worth_a_look(text) if patterns is None else {}
     for pattern, token in patterns or PII_PATTERNS:
-        out = F.regexp_replace(out, pattern, token)
+        masked = F.regexp_replace(out, pattern, token)
+        out = F.when(tests[token], masked).otherwise(out) if token in tests else masked
     return out
 
 
+
 def pseudonymize(c, salt: str) -> Column:
-    """Salted SHA-256 of a direct identifier (street address)."""
+    """Salted SHA-256 of a direct identifier (street address). Without a salt
+    a list of all streets would undo it, so an empty one is an error."""
+    if not salt:
+        raise ValueError("pseudonymize needs a salt")
     return F.sha2(F.concat(F.lit(salt), F.col(c) if isinstance(c, str) else c), 256)
 
 

@@ -266,12 +266,16 @@ def keep_raw_json(spark, d):
 
 
 @register("ingest_metadata", f"""
-SELECT *, sha256('run-0001|' || json_object('event_id', event_id, 'user_id', user_id, 'event_type', event_type)::VARCHAR) AS _ingestion_id,
+SELECT *, sha256('run-0001|' || json_object('event_id', event_id, 'ts', epoch_us(ts), 'user_id', user_id, 'event_type', event_type,
+  'value', CAST(value AS VARCHAR), 'props', props)::VARCHAR) AS _ingestion_id,
   TIMESTAMP '{AS_OF}' AS _ingestion_timestamp, DATE '{AS_OF[:10]}' AS _ingestion_date FROM events""")
 def ingest_metadata(spark, d):
-    """The source file differs between machines, so it is left out here."""
-    return R.ingest_metadata(tbl(spark, d, "events"), run_id="run-0001", run_ts=AS_OF,
-                             payload_cols=["event_id", "user_id", "event_type"]).drop("_source_file")
+    """The id hashes the whole record, times and numbers in forms that other
+    engines write alike. The source file differs between machines, so it is
+    left out here."""
+    micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), "ts")
+    payload = ["event_id", micros.alias("ts"), "user_id", "event_type", F.col("value").cast("string").alias("value"), "props"]
+    return R.ingest_metadata(tbl(spark, d, "events"), run_id="run-0001", run_ts=AS_OF, payload_cols=payload).drop("_source_file")
 
 
 @register("raw_projection", """

@@ -351,7 +351,8 @@ def scd2_merge(spark, d):
     ev = tbl(spark, d, "events").select("user_id", "event_type", "ts")
     cutoff = F.lit(MERGE_CUTOFF).cast("timestamp_ntz")
     path = work_path(spark, "scd-history")
-    H.write_scd2_table(H.scd2_history(ev.filter(F.col("ts") < cutoff), "user_id", ["event_type"], "ts"), path)
+    before = ev.filter(F.col("ts") < cutoff)
+    H.write_scd2_table(H.scd2_history(before, "user_id", ["event_type"], "ts"), path, before, "ts", buckets=8)
     gone = ev.where("user_id % 50 = 7").select("user_id", F.lit(DELETED_AT).cast("timestamp_ntz").alias("ts")).distinct()
     H.merge_scd2_table(spark, path, ev.filter(F.col("ts") >= cutoff), "user_id", ["event_type"], "ts", deletes=gone)
     return H.read_scd2_table(spark, path)

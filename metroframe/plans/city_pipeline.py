@@ -18,8 +18,10 @@ from metroframe.operators import contracts as K
 from metroframe.operators import marts as M
 from metroframe.operators import staging as S
 from metroframe.operators import timeline as TL
+from metroframe.operators import upsert as U
 from metroframe.session import configure
 from metroframe.sources import raw as R
+from metroframe.sources.progress import LOOKBACK_DAYS, Unread, unread_files
 from metroframe.sources.seeds import seed
 from metroframe.streaming import polls as P
 
@@ -199,15 +201,19 @@ def quarantine_air(raw: DataFrame) -> DataFrame:
     return quarantined(raw, air_problem())
 
 
-def stg_nyc_311(raw: DataFrame, salt: str = "") -> DataFrame:
+def stg_nyc_311(raw: DataFrame, salt: str) -> DataFrame:
     """Latest record per unique_key, typed, borough filled from the zip seed,
     address pseudonymised with the caller's salt (E1, B9, B11, E3, E14). Rows
     without a type, agency or status are in ``quarantine_requests``."""
     # Only the columns staging uses enter the dedup struct: raw_json and the
     # other wide raw columns are never shuffled.
     valid = accepted(raw, request_problem()).select(*STG_311_INPUT)
-    latest = S.dedup_latest(valid, ["unique_key"], ["_ingestion_timestamp"])
-    zips = seed(raw.sparkSession, "borough_zip_lookup")
+    return staged_requests(S.dedup_latest(valid, ["unique_key"], ["_ingestion_timestamp"]), salt)
+
+
+def staged_requests(latest: DataFrame, salt: str) -> DataFrame:
+    """The staging columns of the latest record of each request."""
+    zips = seed(latest.sparkSession, "borough_zip_lookup")
     filled = S.fill_from_lookup(latest, zips, S.zip5(latest["incident_zip"]), "zip_code", "borough", "borough_name",
                                 carry=["neighborhood"])
     return filled.select(
@@ -236,8 +242,11 @@ def stg_weather(raw: DataFrame) -> DataFrame:
     """One row per (city, UTC hour), latest ingestion wins; WMO lookup,
     precipitation flag (E6, E8)."""
     valid = raw.filter(F.col("is_valid")).select(*STG_WEATHER_INPUT)
-    latest = S.dedup_latest(valid, ["city", "observation_time"], ["_ingestion_timestamp"])
-    wmo = seed(raw.sparkSession, "wmo_weather_code_lookup")
+    return staged_weather(S.dedup_latest(valid, ["city", "observation_time"], ["_ingestion_timestamp"]))
+
+
+def staged_weather(latest: DataFrame) -> DataFrame:
+    wmo = seed(latest.sparkSession, "wmo_weather_code_lookup")
     joined = S.lookup(latest, wmo, "weather_code", "wmo_code")
     return joined.select(
         C.surrogate_key("city", "observation_time").alias("weather_id"), "city",
@@ -257,13 +266,21 @@ def stg_airnow(raw: DataFrame) -> DataFrame:
     """Per (reporting area, UTC hour): a column per pollutant, the overall
     maximum over all pollutants, the worst pollutant's category (E9–E12).
     Rows without a known zone, hour or city are in ``quarantine_air``."""
+    return staged_air(S.dedup_latest(air_observations(raw), AIR_KEYS, ["_ingestion_timestamp"]))
+
+
+AIR_KEYS = ["reporting_area", "observed_at", "param"]
+
+
+def air_observations(raw: DataFrame) -> DataFrame:
     valid = accepted(raw, air_problem()).drop("validation_errors", "is_valid")
-    local = _air_local_time()
-    obs = valid.select(
+    return valid.select(
         "reporting_area", "latitude", "longitude", F.upper("parameter_name").alias("param"),
         S.valid_aqi("aqi").alias("aqi"), "category_name", "_ingestion_timestamp",
-        C.local_to_utc(local, label=F.col("local_time_zone")).alias("observed_at"))
-    obs = S.dedup_latest(obs, ["reporting_area", "observed_at", "param"], ["_ingestion_timestamp"])
+        C.local_to_utc(_air_local_time(), label=F.col("local_time_zone")).alias("observed_at"))
+
+
+def staged_air(obs: DataFrame) -> DataFrame:
     pivot_values = sorted(set(POLLUTANT_COLUMNS))
     internal = {p: f"_p{i}" for i, p in enumerate(pivot_values)}
     per_param = S.pivot_measures(
@@ -418,29 +435,46 @@ def _persist(df: DataFrame, path: str) -> DataFrame:
 
 
 def run_sla_job(spark: SparkSession, raw_requests_path: str, raw_weather_path: str, raw_air_path: str,
-                out_base: str, salt: str = "") -> dict[str, str]:
+                out_base: str, salt: str, lookback_days: int | None = LOOKBACK_DAYS, buckets: int = U.BUCKETS) -> dict[str, str]:
     """Nightly batch from raw tables (as written by ``ingest_batch``) to the
-    SLA mart: rows that staging does not take go to quarantine tables, staging is persisted (it is large and read by several marts),
+    SLA mart. Only raw files that no earlier run has read are read (A3): their
+    rows are merged into the ``latest_*`` tables, of which the touched buckets
+    are rewritten (E1), and rows that staging does not take go to the
+    quarantine tables under the batch's name. Staging is persisted from there,
     enrichment stays lazy, the mart is written partitioned by complaint date
-    and clustered by borough and type. Returns the written table paths."""
+    and clustered by borough and type. The files count as read once all is
+    written; repeating a broken run gives the same tables. ``salt`` is the
+    secret of the address tokens. Returns the written table paths."""
     configure(spark)
     out = out_base.rstrip("/")
-
-    def valid(path: str) -> DataFrame:
-        return spark.read.parquet(path).filter(F.col("_route") == "valid")
-
     paths = {name: f"{out}/{name}" for name in
-             ["stg_nyc_311", "stg_weather", "stg_airnow", "mart_complaint_sla", "sla_by_borough",
-              "quarantine_requests", "quarantine_air"]}
-    quarantine_requests(valid(raw_requests_path)).write.mode("overwrite").parquet(paths["quarantine_requests"])
-    quarantine_air(valid(raw_air_path)).write.mode("overwrite").parquet(paths["quarantine_air"])
-    stg_311 = _persist(stg_nyc_311(valid(raw_requests_path), salt), paths["stg_nyc_311"])
-    stg_w = _persist(stg_weather(valid(raw_weather_path)), paths["stg_weather"])
-    stg_a = _persist(stg_airnow(valid(raw_air_path)), paths["stg_airnow"])
+             ["latest_nyc_311", "latest_weather", "latest_airnow", "stg_nyc_311", "stg_weather", "stg_airnow", "mart_complaint_sla",
+              "sla_by_borough", "quarantine_requests", "quarantine_air"]}
+
+    def merge(raw_path: str, name: str, rows, keys: list[str], quarantine=None, quarantine_name: str = "") -> Unread:
+        new = unread_files(spark, raw_path, f"{out}/read_{name}", days=lookback_days)
+        valid = new.rows.filter(F.col("_route") == "valid")
+        if new.files or not U.exists(spark, paths[name]):
+            U.upsert_latest(spark, paths[name], rows(valid), keys, ["_ingestion_timestamp"], buckets)
+        if quarantine is not None and (new.files or not U.exists(spark, paths[quarantine_name])):
+            (quarantine(valid).withColumn("_batch", F.lit(new.batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("_batch").parquet(paths[quarantine_name]))
+        return new
+
+    read = [
+        merge(raw_requests_path, "latest_nyc_311", lambda raw: accepted(raw, request_problem()).select(*STG_311_INPUT), ["unique_key"],
+              quarantine_requests, "quarantine_requests"),
+        merge(raw_weather_path, "latest_weather", lambda raw: raw.filter(F.col("is_valid")).select(*STG_WEATHER_INPUT), ["city", "observation_time"]),
+        merge(raw_air_path, "latest_airnow", air_observations, AIR_KEYS, quarantine_air, "quarantine_air")]
+    stg_311 = _persist(staged_requests(U.read_buckets(spark, paths["latest_nyc_311"]), salt), paths["stg_nyc_311"])
+    stg_w = _persist(staged_weather(U.read_buckets(spark, paths["latest_weather"])), paths["stg_weather"])
+    stg_a = _persist(staged_air(U.read_buckets(spark, paths["latest_airnow"])), paths["stg_airnow"])
     mart = mart_complaint_sla(int_complaints_enriched(stg_311, stg_w, stg_a))
     R.write_mart(mart, paths["mart_complaint_sla"], "complaint_date", ["borough", "complaint_type"], rebuild=True)
     summary = sla_by_borough(spark.read.parquet(paths["mart_complaint_sla"]))
     summary.write.mode("overwrite").parquet(paths["sla_by_borough"])
+    for new in read:
+        new.done()
     return paths
 
 

@@ -167,11 +167,13 @@ def city_union(parts: dict[str, DataFrame], coords: DataFrame | None = None, cit
     return out
 
 
-def ingest_metadata(df: DataFrame, run_id: str, run_ts: str, payload_cols: list[str] | None = None) -> DataFrame:
+def ingest_metadata(df: DataFrame, run_id: str, run_ts: str, payload_cols: list[str | Column] | None = None) -> DataFrame:
     """_ingestion_id / _ingestion_timestamp / _ingestion_date / _source_file
     (B7). The id is a hash of (run id, record) — stable across task retries,
-    unlike uuid()."""
-    payload = F.to_json(F.struct(*[F.col(c) for c in (payload_cols or df.columns)]))
+    unlike uuid(). ``payload_cols`` gives the record another form (names or
+    columns); it should hold every column, or records that differ in the others
+    only get one id."""
+    payload = F.to_json(F.struct(*[F.col(c) if isinstance(c, str) else c for c in (payload_cols or df.columns)]))
     return df.withColumns({
         "_ingestion_id": F.sha2(F.concat_ws("|", F.lit(run_id), payload), 256),
         "_ingestion_timestamp": F.lit(run_ts).cast("timestamp_ntz"),

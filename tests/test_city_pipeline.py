@@ -16,6 +16,9 @@ BASE = {"unique_key": "rq-41", "created_date": "2024-03-15T14:41:00.000", "close
         "incident_address": "12 OAK LANE", "borough": "manhattan", "latitude": "40.79", "longitude": "-73.94", "status": "Closed"}
 
 
+SALT = "test salt"
+
+
 def _requests(spark, tmp):
     early = dict(BASE, status="Open", closed_date=None)
     no_borough = dict(BASE, unique_key="2", borough=None, incident_zip="10451-1234", complaint_type="HEAT/HOT WATER",
@@ -53,7 +56,7 @@ def _air(spark):
 def test_sla_slice(spark, tmp_path):
     raw = _requests(spark, tmp_path)
     assert raw.filter(~F.col("is_valid")).count() == 1
-    stg = P.stg_nyc_311(raw)
+    stg = P.stg_nyc_311(raw, SALT)
     rows = {r.source_unique_key: r for r in stg.collect()}
     assert set(rows) == {"rq-41", "2"}
     latest = rows["rq-41"]
@@ -184,9 +187,9 @@ def test_run_sla_job_from_raw_tables(spark, tmp_path):
     import io
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
-        P.stg_nyc_311(spark.read.parquet(raw311)).explain()
+        P.stg_nyc_311(spark.read.parquet(raw311), SALT).explain()
     assert "raw_json" not in buf.getvalue()  # pruned at the scan, never in the dedup shuffle
-    paths = P.run_sla_job(spark, raw311, raw_w, raw_a, str(tmp_path / "warehouse"))
+    paths = P.run_sla_job(spark, raw311, raw_w, raw_a, str(tmp_path / "warehouse"), SALT)
     mart = {r.complaint_type: r for r in spark.read.parquet(paths["mart_complaint_sla"]).collect()}
     assert mart["Rodent"].borough == "STATEN ISLAND" and mart["Rodent"].met_sla is True  # 4 h within 10 h
     assert mart["Rodent"].air_quality_aqi == 48  # 08:00 EDT = 12:00 UTC = local hour 8 of the EDT feed
@@ -202,7 +205,7 @@ def test_cross_domain_hourly_domain_tables(spark):
     stg_w = P.stg_weather(P.with_ingest_metadata(w, "w", "2024-03-16 00:05:00"))
     reqs = [dict(BASE, unique_key=str(i), created_date="2024-03-15T09:10:00.000") for i in range(3)]
     stg311 = P.stg_nyc_311(P.with_ingest_metadata(
-        P.raw_requests(spark.createDataFrame([(json.dumps(r),) for r in reqs], "value string")), "r", "2024-03-16 00:00:00"))
+        P.raw_requests(spark.createDataFrame([(json.dumps(r),) for r in reqs], "value string")), "r", "2024-03-16 00:00:00"), SALT)
     crime = {"cmplnt_num": "1", "cmplnt_fr_dt": "03/15/2024", "cmplnt_fr_tm": "10:30:00"}
     stg_crime = P.stg_nyc_crime(P.with_ingest_metadata(
         P.raw_incidents(spark.createDataFrame([(json.dumps(crime),)], "value string")), "c", "2024-03-16 00:00:00"))
@@ -298,7 +301,7 @@ def test_daily_summary_and_correlations(spark):
     stg_w = P.stg_weather(P.with_ingest_metadata(w, "w", "2024-03-17 00:05:00"))
     reqs = [dict(BASE, unique_key=str(i), created_date="2024-03-15T08:00:00.000") for i in range(4)]
     stg311 = P.stg_nyc_311(P.with_ingest_metadata(
-        P.raw_requests(spark.createDataFrame([(json.dumps(r),) for r in reqs], "value string")), "r", "2024-03-17"))
+        P.raw_requests(spark.createDataFrame([(json.dumps(r),) for r in reqs], "value string")), "r", "2024-03-17"), SALT)
     crimes = [{"cmplnt_num": str(i), "cmplnt_fr_dt": "03/15/2024", "cmplnt_fr_tm": "09:00:00",
                "law_cat_cd": "FELONY" if i else "VIOLATION"} for i in range(3)]
     stg_crime = P.stg_nyc_crime(P.with_ingest_metadata(
@@ -444,7 +447,7 @@ def test_pii_masks(spark, text, masked):
 
 def test_dates_are_the_city_s(spark):
     rec = dict(BASE, created_date="2024-03-15T22:30:00.000")
-    stg = P.stg_nyc_311(P.with_ingest_metadata(P.raw_requests(spark.createDataFrame([(json.dumps(rec),)], "value string")), "r", "2024-03-16"))
+    stg = P.stg_nyc_311(P.with_ingest_metadata(P.raw_requests(spark.createDataFrame([(json.dumps(rec),)], "value string")), "r", "2024-03-16"), SALT)
     row = P.int_complaints_enriched(stg, _weather(spark), _air(spark)).first()
     assert str(row.created_at) == "2024-03-16 02:30:00" and str(row.complaint_date) == "2024-03-15"
     from metroframe.functions import columns as C
@@ -457,7 +460,7 @@ def test_no_input_is_lost_by_the_spine(spark):
     payload = json.dumps({"hourly": {"time": ["2024-03-15T12:00", "2024-03-15T13:00"], "temperature_2m": [5.0, 5.0]}})
     stg_w = P.stg_weather(P.with_ingest_metadata(P.weather_rows(spark.createDataFrame([("nyc", payload)], "city string, value string")), "w", "2024-03-16"))
     reqs = [dict(BASE, unique_key=str(i), created_date=t) for i, t in enumerate(["2024-03-14T23:00:00.000", "2024-03-15T08:10:00.000", "2024-03-15T08:50:00.000"])]
-    stg311 = P.stg_nyc_311(P.with_ingest_metadata(P.raw_requests(spark.createDataFrame([(json.dumps(r),) for r in reqs], "value string")), "r", "2024-03-16"))
+    stg311 = P.stg_nyc_311(P.with_ingest_metadata(P.raw_requests(spark.createDataFrame([(json.dumps(r),) for r in reqs], "value string")), "r", "2024-03-16"), SALT)
     crime = {"cmplnt_num": "1", "cmplnt_fr_dt": "03/16/2024", "cmplnt_fr_tm": "23:30:00", "law_cat_cd": "FELONY"}
     stg_crime = P.stg_nyc_crime(P.with_ingest_metadata(P.raw_incidents(spark.createDataFrame([(json.dumps(crime),)], "value string")), "c", "2024-03-17"))
     eps = P.disruption_episodes(P.stg_tfl_line_status(_ntz(spark.createDataFrame(
@@ -476,7 +479,7 @@ def test_quarantine_and_staging_share_the_input(spark):
     recs = [dict(BASE), dict(BASE, unique_key="2", agency=None), dict(BASE, unique_key="3", status=" "), dict(BASE, unique_key=None)]
     raw = P.with_ingest_metadata(P.raw_requests(spark.createDataFrame([(json.dumps(r),) for r in recs], "value string")), "r", "2024-03-16")
     reasons = sorted(r.quarantine_reason for r in P.quarantine_requests(raw).collect())
-    assert reasons == ["contract", "missing agency", "missing status"] and P.stg_nyc_311(raw).count() == 1
+    assert reasons == ["contract", "missing agency", "missing status"] and P.stg_nyc_311(raw, SALT).count() == 1
     base = {"DateObserved": "2024-03-15", "HourObserved": 3, "LocalTimeZone": "EST", "ReportingArea": "London", "ParameterName": "O3", "AQI": 5}
     airs = [base, dict(base, LocalTimeZone="XYZ"), dict(base, ReportingArea="Northeast New Jersey"), dict(base, DateObserved="soon")]
     raw = P.with_ingest_metadata(P.raw_air(spark.createDataFrame([(json.dumps(r),) for r in airs], "value string")), "a", "2024-03-16")

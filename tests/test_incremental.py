@@ -7,7 +7,11 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from metroframe.operators import snapshots as H
+from metroframe.operators import staging as S
 from metroframe.operators import timeline as TL
+from metroframe.operators import upsert as U
+from metroframe.sources.progress import unread_files
 
 
 def polls(seed: int, lines: int = 4, n: int = 400, hours: int = 200):
@@ -76,3 +80,191 @@ def test_lines_per_hour_equal_a_plain_loop(spark):
     counts = TL.line_counts_per_hour(df, "line").collect()
     assert {r.event_hour: r.disrupted_lines for r in counts} == {h: len(s) for h, s in want.items()} and len(counts) == len(want)
     assert TL.lines_per_hour(df.limit(0), "line").count() == 0 and TL.line_counts_per_hour(df.limit(0), "line").count() == 0
+
+
+# ---- upsert into buckets
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, "k string, v string, at timestamp_ntz, x int")
+
+
+def day(n, h=0):
+    return dt.datetime(2024, 1, 1) + dt.timedelta(days=n, hours=h)
+
+
+def files(path):
+    return {str(f.relative_to(path)) for f in path.rglob("*.parquet")}
+
+
+def test_upsert_equals_full_dedup_and_touches_few_buckets(spark, tmp_path):
+    rng = random.Random(7)
+    path = tmp_path / "stg"
+    first = [(f"k{rng.randrange(200)}", f"v{i}", day(0, rng.randrange(24)), i) for i in range(500)]
+    later = [(f"k{rng.randrange(10)}", f"w{i}", day(rng.choice([-1, 1]), rng.randrange(24)), i) for i in range(60)] + [("new", "n", day(1), 1), (None, "null key", day(1), 1)]
+    assert U.upsert_latest(spark, str(path), frame(spark, first[:0]), ["k"], ["at"], buckets=32) == {"buckets": 32, "rewritten": 0}
+    done = U.upsert_latest(spark, str(path), frame(spark, first), ["k"], ["at"], buckets=32)
+    assert done["rewritten"] > 25
+    before = files(path)
+    done = U.upsert_latest(spark, str(path), frame(spark, later), ["k"], ["at"], buckets=32)
+    assert 0 < done["rewritten"] <= 12 and len(before & files(path)) >= 20  # untouched buckets keep their files
+    want = S.dedup_latest(frame(spark, first + later), ["k"], ["at"])
+    columns = want.columns
+    assert sorted(map(str, U.read_buckets(spark, str(path)).select(columns).collect())) == sorted(map(str, want.collect()))
+    for again in (later, first):  # repeated and late batches change nothing
+        U.upsert_latest(spark, str(path), frame(spark, again), ["k"], ["at"], buckets=32)
+        assert sorted(map(str, U.read_buckets(spark, str(path)).select(columns).collect())) == sorted(map(str, want.collect()))
+    with pytest.raises(ValueError, match="another number"):
+        U.upsert_latest(spark, str(path), frame(spark, later), ["k"], ["at"], buckets=16)
+
+
+@pytest.mark.parametrize("breaks_at", ["first", "middle"])
+def test_broken_upsert_is_finished_by_the_next(spark, tmp_path, monkeypatch, breaks_at):
+    path = str(tmp_path / "stg")
+    first, later = [(f"k{i}", "old", day(0), i) for i in range(40)], [(f"k{i}", "new", day(1), i) for i in range(20)]
+    U.upsert_latest(spark, path, frame(spark, first), ["k"], ["at"], buckets=8)
+    real, calls = U._children, []
+
+    def broken(s, p):
+        calls.append(p)
+        out = real(s, p)
+        if "_buckets=" in p and "pending" in p:
+            raise RuntimeError("lost") if breaks_at == "first" else None
+            for folder in out[:2]:  # some buckets are in place, one is gone already, then the driver dies
+                fs, target = U._folder(s, f"{path}/_buckets=8/{folder.rsplit('/', 1)[1]}")
+                fs.delete(target, True)
+                if folder != out[1]:
+                    fs.rename(U._folder(s, folder)[1], target)
+            raise RuntimeError("lost")
+        return out
+
+    monkeypatch.setattr(U, "_children", broken)
+    with pytest.raises((RuntimeError, TypeError)):
+        U.upsert_latest(spark, path, frame(spark, later), ["k"], ["at"], buckets=8)
+    monkeypatch.undo()
+    U.upsert_latest(spark, path, frame(spark, later[:1]), ["k"], ["at"], buckets=8)
+    assert {r.k: r.v for r in U.read_buckets(spark, path).collect()} == {f"k{i}": "new" if i < 20 else "old" for i in range(40)}
+
+
+# ---- SCD2: late rows, any order of batches
+
+def seen(spark, rows):
+    return spark.createDataFrame(rows, "k string, s string, t timestamp_ntz")
+
+
+def plain(df):
+    return sorted((r.k, r.s, r.valid_from, str(r.valid_to), r.is_current) for r in df.collect())
+
+
+def test_late_row_splits_the_version_that_holds_its_time(spark):
+    history = H.scd2_history(seen(spark, [("u", "a", day(0)), ("u", "b", day(9)), ("w", "z", day(3))]), "k", ["s"], "t")
+    got = plain(H.scd2_merge(history, seen(spark, [("u", "c", day(4))]), "k", ["s"], "t"))
+    assert got == [("u", "a", day(0), str(day(4)), False), ("u", "b", day(9), "None", True), ("u", "c", day(4), str(day(9)), False), ("w", "z", day(3), "None", True)]
+
+
+@pytest.mark.parametrize("order", [[0, 1, 2], [2, 0, 1], [1, 2, 0]])
+def test_scd_table_equals_full_build_in_any_order(spark, tmp_path, order):
+    rng = random.Random(11)
+    rows = list({r[::2]: r for r in ((f"u{rng.randrange(12)}", rng.choice("abc"), day(rng.randrange(30), rng.randrange(24))) for _ in range(260))}.values())
+    rng.shuffle(rows)
+    parts = [rows[:150], [r for r in rows[150:200] if r[0] in ("u1", "u2", "u3")], rows[200:]]
+    full = H.scd2_history(seen(spark, [r for p in parts for r in p]), "k", ["s"], "t")
+    path = str(tmp_path / "scd")
+    start = seen(spark, parts[order[0]])
+    H.write_scd2_table(H.scd2_history(start, "k", ["s"], "t"), path, start, "t", buckets=16)
+    for i in order[1:]:
+        for _ in range(2):
+            done = H.merge_scd2_table(spark, path, seen(spark, parts[i]), "k", ["s"], "t", batch_id=f"b{i}")
+            assert done["late_keys"] > 0 and (i != 1 or done["rewritten"] <= 3)
+    assert plain(H.read_scd2_table(spark, path)) == plain(full)
+    ids = lambda df: sorted(r.scd_id for r in df.collect())
+    assert ids(H.read_scd2_table(spark, path)) == ids(full)
+
+
+def test_scd_table_deletes_and_reopens(spark, tmp_path):
+    path = str(tmp_path / "scd")
+    start = seen(spark, [("u", "a", day(0)), ("v", "a", day(0)), ("w", "a", day(0))])
+    H.write_scd2_table(H.scd2_history(start, "k", ["s"], "t"), path, start, "t", buckets=4)
+    gone = lambda rows: spark.createDataFrame(rows, "k string, t timestamp_ntz")
+    H.merge_scd2_table(spark, path, start.limit(0), "k", ["s"], "t", deletes=gone([("u", day(5)), ("u", day(6)), ("v", day(5))]))
+    H.merge_scd2_table(spark, path, seen(spark, [("u", "a", day(8)), ("v", "b", day(2)), (None, "a", day(1)), ("w", "b", None)]), "k", ["s"], "t")
+    got = sorted((r.k, r.s, r.valid_from, str(r.valid_to), r.is_current, r.is_deleted) for r in H.read_scd2_table(spark, path).collect())
+    assert got == [("u", "a", day(0), str(day(5)), False, True), ("u", "a", day(8), "None", True, False), ("v", "a", day(0), str(day(2)), False, False),
+                   ("v", "b", day(2), str(day(5)), False, True), ("w", "a", day(0), "None", True, False)]
+    assert H.merge_scd2_table(spark, path, start.limit(0), "k", ["s"], "t")["rewritten"] == 0
+
+
+# ---- reading each landed file once (A3), and the nightly job on top of it
+
+def land(spark, path, rows, date):
+    df = spark.createDataFrame(rows, "k string, v string, at timestamp_ntz, x int")
+    df.withColumn("_ingestion_date", F.lit(date).cast("date")).write.mode("append").partitionBy("_ingestion_date").parquet(path)
+
+
+def test_each_file_is_read_once(spark, tmp_path):
+    raw, log = str(tmp_path / "raw"), str(tmp_path / "log")
+    land(spark, raw, [("a", "1", day(0), 1)], "2024-01-01")
+    land(spark, raw, [("b", "1", day(1), 1)], "2024-01-20")
+    first = unread_files(spark, raw, log)
+    assert sorted(r.k for r in first.rows.collect()) == ["a", "b"]
+    assert unread_files(spark, raw, log).batch_id == first.batch_id  # not done: the same batch again
+    first.done()
+    assert unread_files(spark, raw, log).files == () and unread_files(spark, raw, log).rows.count() == 0
+    land(spark, raw, [("c", "1", day(2), 1)], "2024-01-18")  # late, within the lookback
+    land(spark, raw, [("d", "1", day(2), 1)], "2024-01-21")
+    land(spark, raw, [("e", "1", day(2), 1)], "2024-01-02")  # before the mark
+    second = unread_files(spark, raw, log)
+    assert sorted((r.k, str(r._ingestion_date)) for r in second.rows.collect()) == [("c", "2024-01-18"), ("d", "2024-01-21")]
+    assert "PartitionFilters: [isnotnull(_ingestion_date" in second.rows._jdf.queryExecution().executedPlan().toString()
+    second.done()
+    third = unread_files(spark, raw, log, days=None)
+    assert [r.k for r in third.rows.collect()] == ["e"] and len({*first.files, *second.files, *third.files}) == len(first.files + second.files + third.files)
+    third.done()
+    assert unread_files(spark, raw, log, days=None).files == ()
+
+
+def test_nightly_job_reads_new_files_and_equals_a_full_rebuild(spark, tmp_path):
+    import json
+
+    from metroframe.plans import city_pipeline as P
+
+    def request(i, **more):
+        return {"unique_key": str(i), "created_date": "2024-03-15T08:00:00.000", "closed_date": None, "agency": "HPD", "complaint_type": "Rodent",
+                "incident_zip": "10301", "incident_address": f"{i} MAIN STREET", "status": "Open", **more}
+
+    def ingest(base, requests, n):
+        raw = P.raw_requests(spark.createDataFrame([(json.dumps(r),) for r in requests], "value string"))
+        P.ingest_batch(raw, f"{base}/r", f"r{n}", f"2024-03-{15 + n} 10:00:00", "nyc_311")
+        hours = json.dumps({"hourly": {"time": [f"2024-03-{14 + n}T{h:02d}:00" for h in range(24)], "precipitation": [float(n)] * 24, "weather_code": [61] * 24}})
+        P.ingest_batch(P.weather_rows(spark.createDataFrame([("nyc", hours)], "city string, value string")), f"{base}/w", f"w{n}", f"2024-03-{15 + n} 00:05:00", "weather")
+        air = [{"DateObserved": f"2024-03-{14 + n}", "HourObserved": h, "LocalTimeZone": "EDT", "ReportingArea": "NYC", "ParameterName": "PM2.5", "AQI": 40 + h} for h in range(3)]
+        P.ingest_batch(P.raw_air(spark.createDataFrame([(json.dumps(a),) for a in air], "value string")), f"{base}/a", f"a{n}", f"2024-03-{15 + n} 00:10:00", "airnow")
+
+    base = str(tmp_path / "raw")
+    run = lambda out: P.run_sla_job(spark, f"{base}/r", f"{base}/w", f"{base}/a", str(tmp_path / out), "salt", buckets=16)
+    ingest(base, [request(i) for i in range(30)] + [request(99, agency=None)], 1)
+    paths = run("kept")
+    before = files(tmp_path / "kept" / "latest_nyc_311")
+    ingest(base, [request(3, status="Closed", closed_date="2024-03-15T12:00:00.000"), request(40), request(98, status=None)], 2)
+    again = run("kept")
+    assert again == paths and len(before & files(tmp_path / "kept" / "latest_nyc_311")) >= 8
+    untouched = files(tmp_path / "kept" / "latest_nyc_311")
+    run("kept")  # nothing new: nothing merged
+    assert files(tmp_path / "kept" / "latest_nyc_311") == untouched
+    full = run("rebuilt")
+    for name in ("stg_nyc_311", "stg_weather", "stg_airnow", "mart_complaint_sla", "sla_by_borough"):
+        a, b = spark.read.parquet(paths[name]), spark.read.parquet(full[name])
+        assert sorted(map(str, a.select(sorted(a.columns)).collect())) == sorted(map(str, b.select(sorted(b.columns)).collect())), name
+    reasons = lambda p: sorted(r.quarantine_reason for r in spark.read.parquet(p["quarantine_requests"]).collect())
+    assert reasons(paths) == reasons(full) == ["missing agency", "missing status"]
+    for salt in ("", None):
+        with pytest.raises(ValueError, match="salt"):
+            P.run_sla_job(spark, f"{base}/r", f"{base}/w", f"{base}/a", str(tmp_path / "x"), salt)
+
+
+def test_ids_tell_records_apart(spark):
+    from metroframe.sources import raw as R
+    rows = [(1, 1, "a", day(0), 1.0, "{}"), (1, 1, "a", day(1), 1.0, "{}"), (1, 1, "a", day(0), 2.0, "{}"), (1, 1, "a", day(0), 1.0, "{1}"), (1, 1, "a", day(0), None, "{}")]
+    df = spark.createDataFrame(rows, "event_id long, user_id long, event_type string, ts timestamp_ntz, value double, props string")
+    df.write.parquet(path := U.cut_lineage(df, spark, "ids").inputFiles()[0].rsplit("/", 1)[0] + "-copy")
+    ids = [r._ingestion_id for r in R.ingest_metadata(spark.read.parquet(path), "r", "2024-01-01 00:00:00").collect()]
+    assert len(set(ids)) == len(rows)
