@@ -7,6 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from metroframe.operators import quality as Q
 from metroframe.operators import snapshots as H
 from metroframe.operators import staging as S
 from metroframe.operators import timeline as TL
@@ -268,3 +269,42 @@ def test_ids_tell_records_apart(spark):
     df.write.parquet(path := U.cut_lineage(df, spark, "ids").inputFiles()[0].rsplit("/", 1)[0] + "-copy")
     ids = [r._ingestion_id for r in R.ingest_metadata(spark.read.parquet(path), "r", "2024-01-01 00:00:00").collect()]
     assert len(set(ids)) == len(rows)
+
+
+# ---- JSON profiles: no line lost, days merge
+
+def test_every_line_is_profiled_or_counted(spark):
+    deep = '{"a":' * 20_000 + "1" + "}" * 20_000
+    lines = ['{"a": 1}', deep, "{bad", "[1]", "5", None, "", '{"a": 1}', "{}"]
+    df = spark.createDataFrame([(x,) for x in lines], "line string")
+    got = {r.outcome: r.n_lines for r in Q.json_line_counts(df, "line").collect()}
+    assert got == {"profiled": 3, "too_deep": 1, "invalid": 2, "not_object": 2, "missing": 1} and sum(got.values()) == len(lines)
+    assert [tuple(r) for r in Q.json_profile(df, "line").collect()] == [("a", "integer", 2, 0, "1")]
+    assert Q.json_line_counts(df.limit(0), "line").count() == 0
+
+
+@pytest.mark.parametrize("value, name", [
+    ("1", "integer"), ("-1", "integer"), ("2.00", "float"), ("1e5", "float"), ("true", "boolean"), ("null", "null"), ('"x"', "string"), ('"[x"', "string"), ('""', "string"),
+    ('"2024-01-02"', "timestamp_string"), ('"2024-01-0"', "string"), ('"null"', "string"), ("[]", "array[empty]"), ('["[a"]', "array[string]"), ("[[1.5]]", "array[array[float]]"),
+    ("[[]]", "array[array[empty]]"), ('[{"a":1}]', "array[object]"), ('["2024-01-02T00"]', "array[timestamp_string]"), ("[null, 1]", "array[null]"), ('"a\\nb-cd-ef"', "string"),
+    ('"a\\nbc-de-fg"', "timestamp_string")])
+def test_type_names(spark, value, name):
+    df = spark.createDataFrame([(f'{{"k": {value}}}',)], "line string")
+    assert Q.json_profile(df, "line").first().types == name
+
+
+def test_daily_profiles_merge_and_drift_reads_two(spark, tmp_path):
+    path, days = str(tmp_path / "profiles"), {"2024-01-01": ['{"a": 1, "b": "x"}', '{"a": null}', "{bad"], "2024-01-02": ['{"a": 1.5, "c": [1]}'], "2024-01-03": ['{"a": 2}']}
+    frames = {d: spark.createDataFrame([(x,) for x in lines], "line string") for d, lines in days.items()}
+    for _ in range(2):  # a repeated day replaces its own profile
+        for d, df in frames.items():
+            Q.store_profile(df, "line", path, "requests", d)
+    Q.store_profile(frames["2024-01-03"], "line", path, "other", "2024-01-01")
+    whole = spark.createDataFrame([(x,) for lines in days.values() for x in lines], "line string")
+    columns = ["path", "types", "n_present", "n_null", "sample"]
+    merged = Q.stored_profile(spark, path, "requests", "2024-01-01", "2024-01-03").select(columns)
+    assert sorted(merged.collect()) == sorted(Q.json_profile(whole, "line").select(columns).collect())
+    drift = Q.stored_drift(spark, path, "requests", "2024-01-01", "2024-01-02")
+    assert {(r.field_name, r.change_type) for r in drift.collect()} == {("a", "type_change"), ("b", "field_removed"), ("c", "new_field")}
+    assert "PartitionFilters: [isnotnull(feed" in drift._jdf.queryExecution().executedPlan().toString()
+    assert sum(r.n_lines for r in spark.read.parquet(f"{path}/lines").where("feed = 'requests'").collect()) == 5
