@@ -122,12 +122,17 @@ def islands(df: DataFrame, key: str, ts: str, state: list[str], max_gap_seconds:
 
 
 def episodes(df: DataFrame, key: str, ts: str, flag: str, extra_state: list[str] | None = None,
-             max_gap_seconds: int | None = None, bucket: str = "day", carry: list[str] | None = None) -> DataFrame:
+             max_gap_seconds: int | None = None, bucket: str = "day", carry: list[str] | None = None, as_of: Column | None = None) -> DataFrame:
     """Disruption episodes (F3): runs where ``flag`` is true. A change of any
     ``extra_state`` column (severity) starts a new episode (D20); ``carry``
-    keeps attributes of the first poll (reason)."""
+    keeps attributes of the first poll (reason). With ``as_of``, the time the
+    feed has reached, the open episode of a line that has been silent for longer
+    than ``max_gap_seconds`` ends at its last poll."""
     state = [flag] + (extra_state or [])
     runs = islands(df, key, ts, state, max_gap_seconds, bucket, carry=carry)
+    if as_of is not None and max_gap_seconds is not None:
+        silent = epoch_seconds(as_of) - epoch_seconds("last_seen_at") > F.lit(max_gap_seconds)
+        runs = runs.withColumn("ended_at", F.coalesce("ended_at", F.when(silent, F.col("last_seen_at"))))
     return (runs.filter(F.col(flag)).drop(flag)
             .withColumn("duration_minutes", minutes_floor("started_at", "ended_at")))
 

@@ -741,9 +741,13 @@ def run_poll_stream(spark: SparkSession, landing: str, out_base: str, max_files_
     polls = _with_disruption(rows).select("line_id", F.col("observed_at").cast("timestamp").alias("ts"),
                                           F.col("is_disrupted").alias("disrupted"),
                                           F.col("status_severity").alias("severity"))
-    ep_path = P.run_to_parquet(P.stream_episodes(polls, key="line_id", max_gap_seconds=max_gap_seconds), "episodes",
-                               path=f"{out}/episodes")
-    return {"raw_line_status": raw_path, "episodes": ep_path}
+    events = P.run_to_parquet(P.episode_events(polls, key="line_id", max_gap_seconds=max_gap_seconds), "episodes",
+                              path=f"{out}/episode_events", partition_by=["kind"])
+    paths = {"episodes": f"{events}/kind=episode", "late_polls": f"{events}/kind=late"}
+    for path in paths.values():  # a feed without late polls has an empty table of them
+        if not U.exists(spark, path):
+            spark.createDataFrame([], P.event_schema(polls.schema["line_id"].dataType)).drop("kind").write.parquet(path)
+    return {"raw_line_status": raw_path, **paths}
 
 
 # ---------------------------------------------------------------------------

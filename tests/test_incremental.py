@@ -7,12 +7,14 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from metroframe.operators import corrections as X
 from metroframe.operators import quality as Q
 from metroframe.operators import snapshots as H
 from metroframe.operators import staging as S
 from metroframe.operators import timeline as TL
 from metroframe.operators import upsert as U
 from metroframe.sources.progress import unread_files
+from metroframe.streaming import polls as PS
 
 
 def polls(seed: int, lines: int = 4, n: int = 400, hours: int = 200):
@@ -308,3 +310,53 @@ def test_daily_profiles_merge_and_drift_reads_two(spark, tmp_path):
     assert {(r.field_name, r.change_type) for r in drift.collect()} == {("a", "type_change"), ("b", "field_removed"), ("c", "new_field")}
     assert "PartitionFilters: [isnotnull(feed" in drift._jdf.queryExecution().executedPlan().toString()
     assert sum(r.n_lines for r in spark.read.parquet(f"{path}/lines").where("feed = 'requests'").collect()) == 5
+
+
+# ---- poll stream: silent lines, late polls, corrections
+
+def poll_files(spark, landing, batches):
+    for rows in batches:
+        spark.createDataFrame(rows, "line_id string, ts timestamp_ntz, disrupted boolean, severity int").coalesce(1).write.mode("append").parquet(str(landing))
+    return PS.poll_stream(spark, str(landing), spark.read.parquet(str(landing)).schema, max_files_per_trigger=1, event_time="ts")
+
+
+def minute(n):
+    return dt.datetime(2024, 3, 1) + dt.timedelta(minutes=n)
+
+
+def closed(df):
+    return sorted((r.line_id, r[1], str(r.started_at), str(r.ended_at)) for r in df.collect() if r.ended_at is not None)
+
+
+def test_a_silent_line_has_its_episode_closed(spark, tmp_path):
+    batches = [[("a", minute(0), True, 6), ("b", minute(0), True, 9)], [("a", minute(1), True, 6), ("b", minute(1), True, 9), ("c", minute(1), True, 3)],
+               [("b", minute(n), n % 7 != 0, 9) for n in range(2, 40)], [("b", minute(41), True, 9), ("c", minute(41), False, 10)]]
+    stream = poll_files(spark, tmp_path / "in", batches)
+    got = spark.read.parquet(PS.run_to_parquet(PS.stream_episodes(stream, max_gap_seconds=600, delay="1 minute"), "silent"))
+    polls = spark.createDataFrame([r for b in batches for r in b], "line_id string, ts timestamp_ntz, disrupted boolean, severity int")
+    want = TL.episodes(polls, "line_id", "ts", "disrupted", ["severity"], 600, as_of=F.lit(minute(40)).cast("timestamp_ntz"))
+    assert closed(got.select("line_id", "severity_level", "started_at", "ended_at")) == closed(want.select("line_id", "severity", "started_at", "ended_at"))
+    assert ("a", 6, str(minute(0)), str(minute(1))) in closed(got)
+
+
+def test_late_polls_are_rows_and_corrections_equal_the_batch_build(spark, tmp_path):
+    rng = random.Random(3)
+    polls = sorted({(f"l{rng.randrange(9)}", minute(n)): (f"l{rng.randrange(9)}", minute(n), rng.random() < 0.5, rng.choice([6, 9])) for n in range(300)}.values(), key=lambda r: r[1])
+    late = [p for p in polls[:200] if p[0] in ("l1", "l2")][3:12]
+    on_time = [p for p in polls if p not in late]
+    stream = poll_files(spark, tmp_path / "in", [on_time[:150], on_time[150:], late])
+    events = spark.read.parquet(PS.run_to_parquet(PS.episode_events(stream), "events", partition_by=["kind"]))
+    assert sorted((r.line_id, str(r.started_at)) for r in events.where("kind = 'late'").collect()) == sorted((p[0], str(p[1])) for p in late)
+    frame_of = lambda rows: spark.createDataFrame(rows, "line_id string, ts timestamp_ntz, disrupted boolean, severity int")
+    build = lambda rows: TL.episodes(frame_of(rows), "line_id", "ts", "disrupted", ["severity"])
+    before = build(on_time)
+    assert closed(events.where("kind = 'episode'").select("line_id", "severity_level", "started_at", "ended_at")) == closed(before.select("line_id", "severity", "started_at", "ended_at"))
+    path = tmp_path / "episodes"
+    X.write_episodes(before, str(path), "line_id", buckets=32)
+    kept = files(path)
+    for _ in range(2):
+        done = X.correct_episodes(spark, str(path), frame_of(polls), events.where("kind = 'late'"), "line_id", "ts", "disrupted", ["severity"], buckets=32)
+        assert 0 < done["rewritten"] <= 2 and len(kept & files(path)) >= len(kept) - 2
+        columns = before.columns
+        assert sorted(map(str, U.read_buckets(spark, str(path)).select(columns).collect())) == sorted(map(str, build(polls).select(columns).collect()))
+    assert X.correct_episodes(spark, str(path), frame_of(polls), events.limit(0), "line_id", "ts", "disrupted", ["severity"], buckets=32)["rewritten"] == 0
