@@ -6,8 +6,8 @@ so that punctuation is a feature of its own. Unigrams and bigrams are hashed
 into 2^18 weights (all bigrams of a word with itself into one); a text is the vector of log(1 + count), scaled to length 1.
 
 The model is fitted on a bounded sample: at most ``most_per_class`` labelled
-rows of each class, those of the smallest hash of the id. That sample (a few
-tens of MB) goes through one task in hash order. The model is 2^18 doubles
+rows of each class, those of the smallest hash of the id. Their hashed
+features, no texts, go through one task in hash order. The model is 2^18 doubles
 (2 MB), whatever the input. Scoring reads each text once, without a shuffle.
 """
 
@@ -96,17 +96,19 @@ def calibration(margins: np.ndarray, labels: np.ndarray, steps: int = 50) -> tup
     return max(float(w[0]), 1e-3), float(w[1])
 
 
-def train(texts: list[bytes], labels: list[int], epochs: int = EPOCHS) -> np.ndarray:
-    """The weights, the bias last; both classes weigh the same in all. Every
-    fifth text is kept from training and calibrates the scale of the scores.
+Row = tuple[tuple[np.ndarray, np.ndarray], int]
+
+
+def train(rows: list[Row], epochs: int = EPOCHS) -> np.ndarray:
+    """The weights, the bias last, from rows of a text's features and its label;
+    both classes weigh the same in all. Every fifth text is kept from training and calibrates the scale of the scores.
     With one class only the model is near that class for every text, without
     labels 0.5."""
-    model = Ftrl()
+    model, labels = Ftrl(), [label for _, label in rows]
     if len(set(labels)) < 2:
         weights = np.zeros(len(model.z))
         weights[-1] = 0.0 if not labels else 5.0 if labels[0] else -5.0
         return weights
-    rows = [(features(t), label) for t, label in zip(texts, labels)]
     kept = rows[::5]
     learned = [r for i, r in enumerate(rows) if i % 5] if len({y for _, y in kept}) == 2 else rows
     learned = learned if len({y for _, y in learned}) == 2 else rows
@@ -127,8 +129,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         most_per_class: int = MOST_PER_CLASS) -> np.ndarray:
     """Fit on at most ``most_per_class`` labelled rows of each class, taken in
     the order of a hash of the id. Null ids and labels other than 0 and 1 are
-    left out; an id with both labels counts as 0. Trained in one task, on a
-    sample of that fixed size."""
+    left out; an id with both labels counts as 0; of several rows of an id that
+    of the smallest text hash is learned. Features are hashed where the texts
+    are read, so the one task that trains gets a numeric row per sampled id."""
     marked = labels.select(named(id_col).alias("doc_id"), named(label_col).cast("int").alias("label"))
     marked = marked.where("doc_id is not null and label in (0, 1)").groupBy("doc_id").agg(F.min("label").alias("label"))
     order = F.xxhash64("doc_id", F.lit(7))
@@ -138,15 +141,27 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         sample = part if sample is None else sample.union(part)
     # the sample has at most 2 * most_per_class rows of two numbers
     picked = texts_and_ids(docs, id_col, text_col).join(F.broadcast(sample), "doc_id")
-    picked = picked.select(order.alias("place"), F.col("text").cast("binary").alias("text"), "label")
+    picked = picked.select(order.alias("place"), F.xxhash64("text").alias("text_key"), F.col("text").cast("binary").alias("text"), "label")
+
+    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches, "text"):
+            found = [features(t) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("place"), batch.column("text_key"), batch.column("label"), pa.array([w.astype("<i4").tobytes() for w, _ in found], pa.binary()),
+                 pa.array([v.astype("<f8").tobytes() for _, v in found], pa.binary())], ["place", "text_key", "label", "where", "value"])
+
+    # an id may stand in any number of rows: that of the smallest text hash is learned
+    vector = F.min_by(F.struct("label", "where", "value"), "text_key").alias("v")
+    chosen = picked.mapInArrow(vectors, "place long, text_key long, label int, where binary, value binary").groupBy("place").agg(vector)
+    chosen = chosen.select("place", "v.label", "v.where", "v.value")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [r for b in batches for r in zip(*(b.column(k).to_pylist() for k in ("place", "text", "label")))]
-        rows.sort()
-        yield pa.RecordBatch.from_arrays([pa.array([train([r[1] for r in rows], [r[2] for r in rows]).tobytes()])], ["model"])
+        rows = sorted(r for b in batches for r in zip(*(b.column(k).to_pylist() for k in ("place", "label", "where", "value"))))
+        model = train([((np.frombuffer(where, "<i4").astype(np.int64), np.frombuffer(value, "<f8")), label) for _, label, where, value in rows])
+        yield pa.RecordBatch.from_arrays([pa.array([model.tobytes()])], ["model"])
 
-    model = picked.repartition(1).mapInArrow(run, "model binary").collect()
-    return np.frombuffer(model[0].model) if model else train([], [])
+    model = chosen.repartition(1).mapInArrow(run, "model binary").collect()
+    return np.frombuffer(model[0].model) if model else train([])
 
 
 def score(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_col: str = "text", score_col: str = "score",

@@ -278,6 +278,53 @@ def test_training_sample_is_bounded(spark):
     assert np.array_equal(quality.fit(docs, labels, most_per_class=10), quality.fit(docs.orderBy(F.desc("doc_id")), labels, most_per_class=10))
 
 
+def ftrl_brute(rows, epochs=quality.EPOCHS):
+    """FTRL-proximal by its formulas, a coordinate at a time."""
+    share = {y: sum(label == y for _, label in rows) / len(rows) for y in (0, 1)}
+    z, n = Counter(), Counter()
+    bias = 1 << quality.BUCKET_BITS
+
+    def weight(i):
+        l1 = 0.0 if i == bias else quality.L1
+        return 0.0 if abs(z[i]) <= l1 else -(z[i] - math.copysign(l1, z[i])) / ((quality.BETA + math.sqrt(n[i])) / quality.ALPHA + quality.L2)
+
+    for _ in range(epochs):
+        for (where, value), label in rows:
+            x = [*zip(where.tolist(), value.tolist()), (bias, 1.0)]
+            w = {i: weight(i) for i, _ in x}
+            p = 1 / (1 + math.exp(-sum(w[i] * v for i, v in x)))
+            for i, v in x:
+                g = 0.5 / share[label] * (p - label) * v
+                z[i] += g - (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / quality.ALPHA * w[i]
+                n[i] += g * g
+    return {i: weight(i) for i in z}
+
+
+def test_training_equals_plain_ftrl():
+    rng = random.Random(6)
+    rows = [(quality.features(" ".join(rng.choice("a b c d e f g $$ !!".split()) for _ in range(rng.randrange(1, 30))).encode()), int(rng.random() < 0.4)) for _ in range(40)]
+    model = quality.Ftrl()
+    share = {y: sum(label == y for _, label in rows) / len(rows) for y in (0, 1)}
+    for _ in range(quality.EPOCHS):
+        for (where, value), label in rows:
+            model.learn(where, value, label, 0.5 / share[label])
+    got, want = model.weights(np.arange(len(model.z))), ftrl_brute(rows)
+    assert all(got[i] == pytest.approx(w, abs=1e-9) for i, w in want.items()) and np.count_nonzero(got) <= len(want)
+    # train keeps every fifth row back, learns the others, then rescales
+    learned, trained = ftrl_brute([r for i, r in enumerate(rows) if i % 5]), quality.train(rows)
+    ratios = {round(trained[i] / w, 6) for i, w in learned.items() if abs(w) > 1e-6 and i != 1 << quality.BUCKET_BITS}
+    assert len(ratios) == 1 and ratios.pop() > 0
+
+
+def test_a_repeated_id_is_one_training_row(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"w{i % 7} $$" if i % 2 else f"v{i % 5}") for i in range(60)], "doc_id long, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"))
+    first = min(["x y z", "p q"], key=lambda t: spark.sql(f"select xxhash64('{t}')").first()[0])
+    many = docs.where("doc_id <> 7").union(spark.range(3000).selectExpr("7L", "if(id % 2 = 0, 'x y z', 'p q')"))
+    one = docs.where("doc_id <> 7").union(spark.createDataFrame([(7, first)], "doc_id long, text string"))
+    assert np.array_equal(quality.fit(many, labels), quality.fit(one, labels))
+
+
 # ---- BPE
 
 STRANGE = ["", "a" * 5000, "ab" * 700, "   \n\n  x", "🙂🙃" * 50, "été" * 300, "<|endoftext|>", "\x00\x01", "don't we'll  I'd"]
