@@ -9,6 +9,8 @@ UTC; air quality is local hour + zone label. Everything downstream is UTC.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,7 +21,7 @@ from metroframe.operators import marts as M
 from metroframe.operators import staging as S
 from metroframe.operators import timeline as TL
 from metroframe.operators import upsert as U
-from metroframe.session import configure
+from metroframe.session import configure, cut_lineage
 from metroframe.sources import raw as R
 from metroframe.sources.progress import LOOKBACK_DAYS, Unread, unread_files
 from metroframe.sources.seeds import seed
@@ -426,6 +428,31 @@ def ingest_batch(annotated: DataFrame, out_path: str, run_id: str, run_ts: str,
     return log
 
 
+def replay_quarantine(spark: SparkSession, raw_path: str, contract: Callable[[DataFrame], DataFrame],
+                      since: str | None = None) -> dict[str, int]:
+    """Quarantined rows of a raw table, from ingestion date ``since`` on, through
+    a corrected ``contract`` (rows in, the same rows with ``is_valid`` and
+    ``validation_errors`` out; it may mend columns too) (C6). Those that pass are
+    appended to the valid route under their own ingestion ids and dates; the
+    quarantine keeps its rows as they came. A row whose id is valid already is
+    left alone, so replaying twice, or after a broken replay, adds nothing.
+    Returns quarantined = accepted (by this or an earlier replay) + still_rejected,
+    and how many rows were added."""
+    table = spark.read.parquet(raw_path)
+    if since is not None:
+        table = table.where(F.col("_ingestion_date") >= F.lit(since).cast("date"))
+    held = table.where("_route = 'quarantine'")
+    judged = cut_lineage(contract(held.drop("validation_errors", "is_valid", "_route")), spark, "replay")
+    known = table.where("_route = 'valid'").select("_ingestion_id")
+    fresh = cut_lineage(judged.where("is_valid").join(known, "_ingestion_id", "left_anti"), spark, "replayed")
+    counts = judged.agg(F.count(F.lit(1)).alias("quarantined"), F.count_if("is_valid").alias("accepted")).first()
+    added = fresh.count()
+    columns = [c for c in table.columns if c in fresh.columns]
+    if added:
+        fresh.select(columns).withColumn("_route", F.lit("valid")).write.mode("append").partitionBy("_route", "_ingestion_date").parquet(raw_path)
+    return {"quarantined": counts.quarantined, "accepted": counts.accepted, "still_rejected": counts.quarantined - counts.accepted, "added": added}
+
+
 def _persist(df: DataFrame, path: str) -> DataFrame:
     """Persist point: write the table and continue from the files, so every
     consumer reads it once instead of recomputing its lineage (and a lost

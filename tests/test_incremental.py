@@ -360,3 +360,33 @@ def test_late_polls_are_rows_and_corrections_equal_the_batch_build(spark, tmp_pa
         columns = before.columns
         assert sorted(map(str, U.read_buckets(spark, str(path)).select(columns).collect())) == sorted(map(str, build(polls).select(columns).collect()))
     assert X.correct_episodes(spark, str(path), frame_of(polls), events.limit(0), "line_id", "ts", "disrupted", ["severity"], buckets=32)["rewritten"] == 0
+
+
+# ---- replay of the quarantine
+
+def test_replay_adds_what_the_corrected_contract_takes_once(spark, tmp_path):
+    import json
+
+    from metroframe.operators import contracts as K
+    from metroframe.plans import city_pipeline as P
+
+    def request(i, **more):
+        return {"unique_key": str(i), "created_date": "2024-03-15T08:00:00.000", "agency": "HPD", "complaint_type": "Rodent", "status": "Open", **more}
+
+    rows = [request(1), request(2, created_date=None, closed_date="2024-03-15T09:00:00.000"), request(3, created_date=None), request(4, unique_key=None)]
+    path = str(tmp_path / "raw")
+    P.ingest_batch(P.raw_requests(spark.createDataFrame([(json.dumps(r),) for r in rows], "value string")), path, "r1", "2024-03-16 10:00:00", "nyc_311")
+    before = {r.unique_key: r._ingestion_id for r in spark.read.parquet(path).where("_route = 'quarantine'").collect()}
+    assert set(before) == {"2", "3", None}
+
+    def mended(held):  # a request that only tells when it was closed counts from then
+        return K.validate_requests(held.withColumn("created_date", F.coalesce("created_date", "closed_date")))
+
+    assert P.replay_quarantine(spark, path, mended) == {"quarantined": 3, "accepted": 1, "still_rejected": 2, "added": 1}
+    for since in (None, "2024-03-16"):
+        assert P.replay_quarantine(spark, path, mended, since)["added"] == 0
+    assert P.replay_quarantine(spark, path, mended, "2024-03-17") == {"quarantined": 0, "accepted": 0, "still_rejected": 0, "added": 0}
+    valid = {r.unique_key: r for r in spark.read.parquet(path).where("_route = 'valid'").collect()}
+    assert set(valid) == {"1", "2"} and valid["2"]._ingestion_id == before["2"] and str(valid["2"]._ingestion_date) == "2024-03-16"
+    assert valid["2"].is_valid and valid["2"].created_date == "2024-03-15T09:00:00.000"
+    assert spark.read.parquet(path).where("_route = 'quarantine'").count() == 3
