@@ -57,6 +57,57 @@ def sla_summary(df: DataFrame, group_cols: list[str]) -> DataFrame:
                         F.when(F.col("n_evaluated") > 0, F.col("n_met") / F.col("n_evaluated"))))
 
 
+#: size parameter of the quantile sketches of a day
+SKETCH_SIZE = 800
+
+
+def sketch_rank_error(size: int = SKETCH_SIZE) -> float:
+    """How far the rank of a sketched quantile may be off, as a share of the
+    values, with 99 % confidence (published for KLL sketches; merging keeps it)."""
+    return 2.296 / size ** 0.9723
+
+
+def sla_days(df: DataFrame, day_col: str, group_cols: list[str], size: int = SKETCH_SIZE) -> DataFrame:
+    """What a day adds to the SLA summary of each group (G5): counts, the sum
+    of the hours in ten-thousandths (exact, in any order) and a quantile sketch
+    of a few KB. Rows of any days merge with ``merge_sla_days``, so a summary
+    does not read closed requests again. Sketches are built before the shuffle."""
+    return (df.groupBy(day_col, *group_cols)
+            .agg(F.count(F.lit(1)).alias("n_requests"), F.count_if("is_open").alias("n_open"),
+                 F.count("met_sla").alias("n_evaluated"), F.count_if("met_sla").alias("n_met"),
+                 F.count("hours_to_close").alias("n_hours"),
+                 F.sum(F.round(F.col("hours_to_close") * 10_000).cast("bigint")).alias("hours_e4"),
+                 F.kll_sketch_agg_double(F.col("hours_to_close").cast("double"), size).alias("hours_sketch")))
+
+
+def merge_sla_days(days: DataFrame, group_cols: list[str]) -> DataFrame:
+    """The columns of ``sla_summary`` from rows of ``sla_days``. The median is a
+    value whose rank is within ``sketch_rank_error`` of the middle, null without
+    a closed request."""
+    counts = ["n_requests", "n_open", "n_evaluated", "n_met", "n_hours", "hours_e4"]
+    merged = days.groupBy(*group_cols).agg(*[F.sum(c).alias(c) for c in counts],
+                                           F.kll_merge_agg_double("hours_sketch").alias("hours_sketch"))
+    some = F.col("n_hours") > 0
+    return merged.select(
+        *group_cols, *counts[:4],
+        F.when(some, F.col("hours_e4") / F.lit(10_000) / F.col("n_hours")).alias("avg_hours_to_close"),
+        F.when(some, F.kll_sketch_get_quantile_double("hours_sketch", F.lit(0.5))).alias("median_hours_to_close"),
+        F.when(F.col("n_evaluated") > 0, F.col("n_met") / F.col("n_evaluated")).alias("sla_compliance"))
+
+
+def refresh_sla_days(mart: DataFrame, path: str, day_col: str, group_cols: list[str], days: list | None = None) -> DataFrame:
+    """Write the rows of ``sla_days`` to ``path``, a folder per day, and return
+    the whole table. With ``days`` only these days of ``mart`` are read, and
+    their folders alone are replaced; the folder of a day that has no request
+    left stays, so such a day needs a rebuild (``days=None``)."""
+    spark = mart.sparkSession
+    part = mart if days is None else mart.filter(F.col(day_col).isin(days))
+    mode = "static" if days is None else "dynamic"
+    (sla_days(part, day_col, group_cols).repartition(F.col(day_col)).write.mode("overwrite").option("partitionOverwriteMode", mode)
+     .partitionBy(day_col).parquet(path))
+    return spark.read.parquet(path)
+
+
 # Health advisory by AQI (upper bounds, inclusive).
 ADVISORY_BANDS = [(100, "None"), (150, "Sensitive Groups"), (200, "All Groups")]
 ADVISORY_ABOVE = "Avoid Outdoor"

@@ -18,7 +18,7 @@ from metroframe.plans.bind_timeline import (AO, EP, EPW, EV, RC, REQ, SP, WH, ai
                                             episodes_with_weather, hourly_all, line_episodes, line_polls,
                                             order_requests, with_ctes)
 from metroframe.plans.registry import normalize, register
-from metroframe.session import work_path
+from metroframe.session import cut_lineage, work_path
 from metroframe.sources.seeds import values_sql
 
 BAD_AIR_AQI = 450
@@ -213,13 +213,43 @@ SELECT r_name AS borough, count(*) AS n_requests, count(*) FILTER (WHERE is_open
 FROM sla JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
 JOIN region ON n_regionkey = r_regionkey GROUP BY r_name""")
 def sla_by_borough(spark, d):
+    return M.sla_summary(placed_requests(spark, d), ["borough"])
+
+
+def placed_requests(spark, d) -> DataFrame:
+    """Requests with their SLA and borough."""
     sla = sla_frame(spark, d)
     cust = tbl(spark, d, "customer").select("c_custkey", "c_nationkey")
     geo = (tbl(spark, d, "nation").join(tbl(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
            .select("n_nationkey", F.col("r_name").alias("borough")))
-    placed = (sla.join(cust, sla["o_custkey"] == cust["c_custkey"])
-              .join(geo, F.col("c_nationkey") == F.col("n_nationkey")))
-    return M.sla_summary(placed, ["borough"])
+    return (sla.join(cust, sla["o_custkey"] == cust["c_custkey"])
+            .join(geo, F.col("c_nationkey") == F.col("n_nationkey")))
+
+
+@register("sla_by_borough_from_days", with_ctes(REQ) + SLA + """
+SELECT r_name AS borough, count(*) AS n_requests, count(*) FILTER (WHERE is_open) AS n_open,
+  count(met_sla) AS n_evaluated, count(*) FILTER (WHERE met_sla) AS n_met,
+  CASE WHEN count(hours_to_close) > 0
+    THEN sum(CAST(round(hours_to_close * 10000) AS BIGINT))::BIGINT / 10000 / count(hours_to_close) END AS avg_hours_to_close,
+  CASE WHEN count(met_sla) > 0 THEN count(*) FILTER (WHERE met_sla) / count(met_sla) END AS sla_compliance,
+  count(hours_to_close) > 0 AS median_within_error
+FROM sla JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+JOIN region ON n_regionkey = r_regionkey GROUP BY r_name""")
+def sla_by_borough_from_days(spark, d):
+    """The summary merged from daily sketches; the sketched median itself
+    differs from run to run within its error, so its rank among all hours is
+    returned as right or wrong."""
+    placed = placed_requests(spark, d)
+    days = cut_lineage(M.sla_days(placed.withColumn("day", F.to_date("created_at")), "day", ["borough"]), name="sla-days")
+    merged = M.merge_sla_days(days, ["borough"])
+    hours, median = F.col("hours_to_close"), F.col("median_hours_to_close")
+    # one row per region
+    ranks = (placed.select("borough", "hours_to_close").join(F.broadcast(merged.select("borough", "median_hours_to_close")), "borough")
+             .groupBy("borough").agg(F.count("hours_to_close").alias("n"), F.count_if(hours < median).alias("below"),
+                                     F.count_if(hours <= median).alias("up_to")))
+    error = M.sketch_rank_error()
+    near = (F.col("below") <= (0.5 + error) * F.col("n")) & (F.col("up_to") >= (0.5 - error) * F.col("n")) & (F.col("n") > 0)
+    return merged.drop("median_hours_to_close").join(ranks.select("borough", near.alias("median_within_error")), "borough")
 
 
 # ---------------------------------------------------------------------------

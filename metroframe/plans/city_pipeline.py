@@ -369,10 +369,13 @@ def mart_complaint_sla(enriched: DataFrame, sla: DataFrame | None = None) -> Dat
     return S.assert_no_pii(out.withColumn("is_overdue_when_open", overdue))
 
 
+SLA_GROUPS = ["borough", "is_wet"]
+
+
 def sla_by_borough(mart: DataFrame, split_wet: bool = True) -> DataFrame:
     """The README question: which boroughs miss SLAs, and does weather
     explain it? (G5)."""
-    return M.sla_summary(mart, ["borough", "is_wet"] if split_wet else ["borough"])
+    return M.sla_summary(mart, SLA_GROUPS if split_wet else ["borough"])
 
 
 def disruption_episodes(stg_status: DataFrame, max_gap_seconds: int | None = MAX_GAP_SECONDS) -> DataFrame:
@@ -469,14 +472,15 @@ def run_sla_job(spark: SparkSession, raw_requests_path: str, raw_weather_path: s
     are rewritten (E1), and rows that staging does not take go to the
     quarantine tables under the batch's name. Staging is persisted from there,
     enrichment stays lazy, the mart is written partitioned by complaint date
-    and clustered by borough and type. The files count as read once all is
+    and clustered by borough and type. ``sla_days`` keeps what each day adds to
+    the borough summary, which is merged from there. The files count as read once all is
     written; repeating a broken run gives the same tables. ``salt`` is the
     secret of the address tokens. Returns the written table paths."""
     configure(spark)
     out = out_base.rstrip("/")
     paths = {name: f"{out}/{name}" for name in
              ["latest_nyc_311", "latest_weather", "latest_airnow", "stg_nyc_311", "stg_weather", "stg_airnow", "mart_complaint_sla",
-              "sla_by_borough", "quarantine_requests", "quarantine_air"]}
+              "sla_days", "sla_by_borough", "quarantine_requests", "quarantine_air"]}
 
     def merge(raw_path: str, name: str, rows, keys: list[str], quarantine=None, quarantine_name: str = "") -> Unread:
         new = unread_files(spark, raw_path, f"{out}/read_{name}", days=lookback_days)
@@ -498,7 +502,8 @@ def run_sla_job(spark: SparkSession, raw_requests_path: str, raw_weather_path: s
     stg_a = _persist(staged_air(U.read_buckets(spark, paths["latest_airnow"])), paths["stg_airnow"])
     mart = mart_complaint_sla(int_complaints_enriched(stg_311, stg_w, stg_a))
     R.write_mart(mart, paths["mart_complaint_sla"], "complaint_date", ["borough", "complaint_type"], rebuild=True)
-    summary = sla_by_borough(spark.read.parquet(paths["mart_complaint_sla"]))
+    days = M.refresh_sla_days(spark.read.parquet(paths["mart_complaint_sla"]), paths["sla_days"], "complaint_date", SLA_GROUPS)
+    summary = M.merge_sla_days(days, SLA_GROUPS)
     summary.write.mode("overwrite").parquet(paths["sla_by_borough"])
     for new in read:
         new.done()

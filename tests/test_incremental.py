@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from metroframe.operators import corrections as X
+from metroframe.operators import marts as M
 from metroframe.operators import quality as Q
 from metroframe.operators import snapshots as H
 from metroframe.operators import staging as S
@@ -390,3 +391,57 @@ def test_replay_adds_what_the_corrected_contract_takes_once(spark, tmp_path):
     assert set(valid) == {"1", "2"} and valid["2"]._ingestion_id == before["2"] and str(valid["2"]._ingestion_date) == "2024-03-16"
     assert valid["2"].is_valid and valid["2"].created_date == "2024-03-15T09:00:00.000"
     assert spark.read.parquet(path).where("_route = 'quarantine'").count() == 3
+
+
+# ---- SLA summaries merged from days
+
+def requests(seed: int, n: int = 6000, days: int = 20):
+    """One borough holds most rows; some are open, some have no target."""
+    rng = random.Random(seed)
+    rows = []
+    for _ in range(n):
+        hours = None if rng.random() < 0.2 else round(rng.expovariate(0.05), 4)
+        borough = rng.choice(["BRONX", "QUEENS", None]) if rng.random() < 0.3 else "BROOKLYN"
+        rows.append((dt.date(2024, 1, 1) + dt.timedelta(days=rng.randrange(days)), borough, hours, hours is None,
+                     None if hours is None or rng.random() < 0.1 else hours <= 24))
+    return rows + [(dt.date(2024, 1, 3), "OPEN ONLY", None, True, None)]
+
+
+REQUESTS = "day date, borough string, hours_to_close double, is_open boolean, met_sla boolean"
+
+
+def check_summary(days, rows):
+    got = {r.borough: r for r in M.merge_sla_days(days, ["borough"]).collect()}
+    assert set(got) == {r[1] for r in rows}
+    for borough, r in got.items():
+        mine = [x for x in rows if x[1] == borough]
+        hours = sorted(x[2] for x in mine if x[2] is not None)
+        met = [x[4] for x in mine if x[4] is not None]
+        assert (r.n_requests, r.n_open, r.n_evaluated, r.n_met) == (len(mine), sum(x[3] for x in mine), len(met), sum(met))
+        assert r.sla_compliance == (sum(met) / len(met) if met else None)
+        if not hours:
+            assert r.avg_hours_to_close is None and r.median_hours_to_close is None
+            continue
+        assert r.avg_hours_to_close == pytest.approx(sum(hours) / len(hours))
+        error = M.sketch_rank_error() * len(hours) + 1
+        below, up_to = sum(h < r.median_hours_to_close for h in hours), sum(h <= r.median_hours_to_close for h in hours)
+        assert below <= len(hours) / 2 + error and up_to >= len(hours) / 2 - error
+
+
+def test_summary_from_merged_days(spark, tmp_path):
+    rows = requests(1)
+    df = spark.createDataFrame(rows, REQUESTS)
+    path = str(tmp_path / "days")
+    check_summary(M.refresh_sla_days(df, path, "day", ["borough"]), rows)
+    # two days change: their folders alone are rewritten
+    changed = [dt.date(2024, 1, 3), dt.date(2024, 1, 5)]
+    rows = [r for r in rows if r[0] not in changed] + [r for r in requests(2) if r[0] in changed]
+    before = {f: f.stat().st_mtime_ns for f in tmp_path.rglob("*.parquet")}
+    check_summary(M.refresh_sla_days(spark.createDataFrame(rows, REQUESTS), path, "day", ["borough"], changed), rows)
+    after = {f: f.stat().st_mtime_ns for f in tmp_path.rglob("*.parquet")}
+    kept = {f for f in before if f.parent.name not in {f"day={d}" for d in changed}}
+    assert len(kept) == 18 and all(after[f] == before[f] for f in kept) and {f.parent.name for f in after if f not in kept} == {f"day={d}" for d in changed}
+    assert M.sla_days(df.limit(0), "day", ["borough"]).count() == 0
+    # a day alone, and no day
+    check_summary(M.sla_days(df, "day", ["borough"]).filter(F.col("day") == changed[0]), [r for r in requests(1) if r[0] == changed[0]])
+    assert M.merge_sla_days(M.sla_days(df.limit(0), "day", ["borough"]), ["borough"]).count() == 0
