@@ -1,21 +1,21 @@
-"""License scan: exact phrases, diagonal voting against notice templates, and
-word edits for notices whose groups of words are broken up.
+"""License scan: exact phrases, and notices found by diagonal voting.
 
 All rolling k-word groups of every text are joined to the positions of the
-templates' groups (a few hundred rows, broadcast). A hit votes for its
+templates' groups (about a thousand rows, broadcast). A hit votes for its
 diagonal, the offset between its place in the text and in the template.
-Neighbouring diagonals, which insertions and deletions make, are merged, and a
-merged span is verified: it must cover most of the template and little else.
+Neighbouring diagonals, which insertions and deletions make, are merged. A
+merged span with enough votes proposes a place, and the words there are aligned
+with the template: a notice is found when few words are edited. Words that tell
+licenses apart must not be.
 
-A changed word breaks up to k groups, most of a short template's. So every text
-is also searched for spans within a few word edits of a template. Of a template
-of n words, a span within e edits keeps one of any e + 1 words; these anchors
-propose the places, and the words around them are aligned with the template.
-Words that tell licenses apart must not be edited.
+No notice is missed by the vote: an edited word breaks at most k groups, so of a
+template of n words at least n - k + 1 - k * e groups are left by e edits, on
+diagonals at most e apart. With pairs of words and three edits in ten words some
+are left of every template of four words and more.
 
 Everything is DataFrame expressions. Groups that hit no template end in the
-join, in the task that read them; only hits are shuffled. Alignments stay in
-the task that has the text.
+join, in the task that read them; only votes are shuffled, and the places they
+propose go back to their texts.
 """
 
 from __future__ import annotations
@@ -47,15 +47,30 @@ TEMPLATES = [
     ("this program is free software you can redistribute it and or modify it under the terms of the gnu general public license", "gpl"),
     ("redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met", "bsd"),
     ("this source code form is subject to the terms of the mozilla public license v 2 0", "mpl-2"),
+    ("spdx license identifier mit", "mit"),
+    ("spdx license identifier apache 2 0", "apache-2"),
+    ("spdx license identifier gpl 3 0", "gpl-3"),
+    ("spdx license identifier mpl 2 0", "mpl-2"),
+    ("the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software", "mit"),
+    ("to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute "
+     "sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so", "mit"),
+    ("the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of "
+     "merchantability fitness for a particular purpose and noninfringement", "mit"),
+    ("unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis "
+     "without warranties or conditions of any kind either express or implied", "apache-2"),
+    ("this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of "
+     "merchantability or fitness for a particular purpose", "gpl"),
+    ("neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from "
+     "this software without specific prior written permission", "bsd"),
 ]
-K = 3
-#: diagonals up to this far apart are one span
-DRIFT = 4
-#: the least share of the template that a span covers, and of the span that votes
-COVERAGE, DENSITY = 0.7, 0.6
+K = 2
+#: the largest share of a template's words that may be edited
+EDITED = 0.3
 #: words that tell licenses apart: an edited notice holds those of its template and no others
 NAMES = ["mit", "bsd", "apache", "mozilla", "eclipse", "gnu", "lesser", "lgpl", "affero", "agpl", "creative", "commons", "cc", "nc",
          "noncommercial", "commercial", "sharealike", "sa", "noderivatives", "nd"]
+#: a number may stand as v2
+VERSION = r"^v(?=[0-9]+$)"
 KELVIN, LIKE_KELVIN = "K", "ĸ"
 
 
@@ -75,88 +90,88 @@ def word_groups(df: DataFrame, *keep: str) -> DataFrame:
     return rows.select(*keep, "pos", *(F.col(f"g.g{i}").alias(f"g{i}") for i in range(K)))
 
 
-def template_table(spark: SparkSession, templates: list[tuple[str, str]]) -> DataFrame:
-    """(t, label, size, t_pos, hash, t0 ...): the templates' word groups."""
-    listed = F.array(*(F.struct(F.lit(i).alias("t"), F.lit(label).alias("label"), F.lit(text).alias("text")) for i, (text, label) in enumerate(templates)))
-    rows = spark.range(1).select(F.inline(listed)).select("t", "label", words(F.col("text")).alias("words"))
-    rows = word_groups(rows.withColumn("size", F.size("words") - (K - 1)), "t", "label", "size")
-    return rows.select("t", "label", "size", F.col("pos").alias("t_pos"), F.xxhash64(*(f"g{i}" for i in range(K))).alias("hash"),
-                       *(F.col(f"g{i}").alias(f"t{i}") for i in range(K)))
+def unversioned(word: Column) -> Column:
+    return F.when(word.startswith("v"), F.regexp_replace(word, VERSION, "")).otherwise(word)
 
 
-def spans(texts: DataFrame, templates: list[tuple[str, str]]) -> DataFrame:
-    """(doc_id, text_key, label, start, stop, coverage) of the verified spans
-    of ``texts`` (doc_id, text_key, text); start and stop count words."""
+class Notice:
+    """A template as it is looked for: its words, the most edits, what losing
+    each word costs, and the fewest votes that so many edits leave."""
+
+    def __init__(self, text: str, label: str, names: list[str]) -> None:
+        self.label, self.words = label, [re.sub(VERSION, "", w) for w in template_words(text)]
+        n = len(self.words)
+        self.most = int(EDITED * n + 1e-9)
+        self.votes = max(1, n - K + 1 - K * self.most)
+        kept = {*names, *label.split("-")}
+        self.cost = [n + 1 if w in kept else 1 for w in self.words]
+
+    def column(self) -> Column:
+        listed = [F.struct(F.lit(w).alias("word"), F.lit(c).alias("cost"), F.lit(i).alias("i")) for i, (w, c) in enumerate(zip(self.words, self.cost))]
+        # last, after what the words so far cost if all are lost, stands the least cost of any span
+        lost = [sum(self.cost[:i]) for i in range(len(listed) + 1)]
+        return F.struct(F.lit(self.label).alias("label"), F.lit(len(listed)).alias("n"), F.lit(self.most).alias("most"), F.array(*listed).alias("words"),
+                        F.array(*map(F.lit, [*lost, lost[-1]])).alias("lost"))
+
+
+def template_table(spark: SparkSession, notices: list[Notice]) -> DataFrame:
+    """(t, most, least, t_pos, hash, t0 ...): the templates' word groups."""
+    rows = [F.struct(F.lit(t).alias("t"), F.lit(x.most).alias("most"), F.lit(x.votes).alias("least"), F.array(*map(F.lit, x.words)).alias("words"))
+            for t, x in enumerate(notices)]
+    groups = word_groups(spark.range(1).select(F.inline(F.array(*rows))), "t", "most", "least")
+    return groups.select("t", "most", "least", F.col("pos").alias("t_pos"), F.xxhash64(*(f"g{i}" for i in range(K))).alias("hash"),
+                         *(F.col(f"g{i}").alias(f"t{i}") for i in range(K)))
+
+
+def proposals(texts: DataFrame, notices: list[Notice]) -> DataFrame:
+    """(doc_id, text_key, t, low, high): merged diagonals of ``texts`` (doc_id,
+    text_key, text) with votes enough for template t. Equal rows vote together."""
     grams = word_groups(texts.select("doc_id", "text_key", words(F.col("text")).alias("words")), "doc_id", "text_key")
+    grams = grams.select("doc_id", "text_key", "pos", *(unversioned(F.col(f"g{i}")).alias(f"g{i}") for i in range(K)))
     grams = grams.withColumn("hash", F.xxhash64(*(f"g{i}" for i in range(K))))
-    # templates are a parameter list of the caller, here 11 notices of under 200 groups
-    hits = grams.join(F.broadcast(template_table(texts.sparkSession, templates)), "hash")
+    # templates are a parameter list of the caller, here 21 notices of under 500 groups
+    hits = grams.join(F.broadcast(template_table(texts.sparkSession, notices)), "hash")
     hits = hits.where(reduce(Column.__and__, (F.col(f"g{i}") == F.col(f"t{i}") for i in range(K))))
-    hits = hits.select("doc_id", "text_key", "t", "label", "size", "t_pos", "pos", (F.col("pos") - F.col("t_pos")).alias("diagonal")).distinct()
-    doc = ["doc_id", "text_key", "t", "label", "size"]
-    votes = hits.groupBy(*doc, "diagonal").agg(F.count(F.lit(1)).alias("votes"), F.min("pos").alias("start"), F.max("pos").alias("stop"),
-                                               F.collect_set("t_pos").alias("covered"))
+    doc = ["doc_id", "text_key", "t", "most", "least"]
+    votes = hits.groupBy(*doc, (F.col("pos") - F.col("t_pos")).alias("diagonal")).agg(F.count(F.lit(1)).alias("votes"))
     order = Window.partitionBy(*doc).orderBy("diagonal")
-    apart = F.col("diagonal") - F.lag("diagonal").over(order) > DRIFT
+    apart = F.col("diagonal") - F.lag("diagonal").over(order) > F.col("most")
     marked = votes.withColumn("first", F.coalesce(apart, F.lit(True)).cast("int")).withColumn("group", F.sum("first").over(order))
-    merged = marked.groupBy(*doc, "group").agg(F.sum("votes").alias("votes"), F.min("start").alias("start"), (F.max("stop") + K).alias("stop"),
-                                               F.size(F.array_distinct(F.flatten(F.collect_list("covered")))).alias("covered"))
-    length = F.col("stop") - F.col("start") - (K - 1)
-    merged = merged.withColumn("coverage", F.col("covered") / F.col("size")).withColumn("density", F.col("covered") / length)
-    return merged.where((F.col("coverage") >= COVERAGE) & (F.col("density") >= DENSITY)).select("doc_id", "text_key", "label", "start", "stop", "coverage")
-
-
-def edits(around: Column, listed: list[str], cost: list[int], names: list[str]) -> Column:
-    """The least cost of word edits between the words ``listed`` and any span of
-    the array ``around``. ``cost`` is that of losing each listed word; a name
-    that is not listed there costs too much to be passed over."""
-    most = len(listed) + 1
-    lost = [sum(cost[:i]) for i in range(most)]
-    table = F.array(*(F.struct(F.lit(w).alias("word"), F.lit(c).alias("cost"), F.lit(i).alias("i")) for i, (w, c) in enumerate(zip(listed, cost))))
-    weighed = F.transform(around, lambda w: F.struct(w.alias("word"), F.when(w.isin(names), most).otherwise(1).alias("cost")))
-
-    def row(old: Column, w: Column) -> Column:
+    merged = marked.groupBy(*doc, "group").agg(F.sum("votes").alias("votes"), F.min("diagonal").alias("low"), F.max("diagonal").alias("high"))
+    return merged.where(F.col("votes") >= F.col("least")).select("doc_id", "text_key", "t", "low", "high")
+
+
+def edits(around: Column, template: Column, names: list[str]) -> Column:
+    """The least cost of word edits between a template and any span of the
+    words ``around``; a name that is not listed there costs too much to be
+    passed over."""
+    weighed = F.transform(around, lambda w: F.struct(unversioned(w).alias("word"), F.when(w.isin(names), template["n"] + 1).otherwise(1).alias("cost")))
+
+    def step(old: Column, w: Column) -> Column:
         def cell(new: Column, t: Column) -> Column:
             other = F.when(t["word"] == w["word"], 0).otherwise(F.greatest(t["cost"], w["cost"]))
             return F.concat(new, F.array(F.least(F.get(old, t["i"] + 1) + w["cost"], F.element_at(new, -1) + t["cost"], F.get(old, t["i"]) + other)))
 
-        return F.aggregate(table, F.array(F.lit(0)), cell)
-
-    def step(held: Column, w: Column) -> Column:
-        new = row(held["row"], w)
-        return F.struct(new.alias("row"), F.least(held["least"], F.element_at(new, -1)).alias("least"))
-
-    start = F.struct(F.array(*map(F.lit, lost)).alias("row"), F.lit(lost[-1]).alias("least"))
-    return F.aggregate(weighed, start, step, lambda held: held["least"])
-
-
-def agreement(template: str, label: str, names: list[str]) -> Column:
-    """1 less the share of the template's words that are edited in the span of
-    ``words`` closest to it; null below COVERAGE. ``known`` holds the words that
-    the text shares with any template."""
-    listed = template_words(template)
-    n, most = len(listed), int((1 - COVERAGE) * len(listed) + 1e-9)
-    if not n:
-        return F.lit(None).cast("double")
-    number = re.search(r"-([0-9]+)$", label)
-    kept = {*names, *(number.groups() if number else ())}
-    named_words = [w for w in listed if w in names]
-    anchors = named_words[:1] or sorted({w for w in listed if not w.isdigit()} or set(listed), key=lambda w: (-len(w), w))[:most + 1]
-    # a number may stand as v2
-    plain = sorted({w for w in listed if not w.isdigit()})
-    likely = F.size(F.array_intersect("known", F.array(*map(F.lit, plain)).cast("array<string>"))) >= len(plain) - most
-    for w in sorted(set(named_words)):
-        likely = likely & F.array_contains("known", w)
-    at = F.array(*(F.struct(F.lit(w).alias("word"), F.lit(i).alias("i")) for i, w in enumerate(listed) if w in anchors))
-    found = F.filter(F.sequence(F.lit(0), F.size("words") - 1), lambda i: F.get("words", i).isin(anchors))
-    starts = F.array_distinct(F.flatten(F.transform(found, lambda i: F.transform(F.filter(at, lambda a: a["word"] == F.get("words", i)), lambda a: i - a["i"]))))
-    windows = F.transform(starts, lambda d: F.slice("words", F.greatest(d - most, F.lit(0)) + 1, F.greatest(n + 2 * most + F.least(d - most, F.lit(0)), F.lit(0))))
-    windows = F.transform(windows, lambda around: F.transform(around, lambda w: F.regexp_replace(w, r"^v(?=[0-9]+$)", "")))
-    distinct = F.array(*map(F.lit, sorted(set(listed))))
-    windows = F.filter(windows, lambda around: F.size(F.array_intersect(around, distinct)) >= len(set(listed)) - most)
-    cost = [n + 1 if w in kept else 1 for w in listed]
-    least = F.array_min(F.transform(F.array_distinct(windows), lambda around: edits(around, listed, cost, names)))
-    return F.when(likely & (F.size("words") > 0), F.when(least <= most, 1 - least / n)).otherwise(F.lit(None))
+        return F.aggregate(template["words"], F.array(F.lit(0)), cell,
+                           lambda new: F.concat(new, F.array(F.least(F.element_at(old, -1), F.element_at(new, -1)))))
+
+    return F.aggregate(weighed, template["lost"], step, lambda last: F.element_at(last, -1))
+
+
+def notices_at(places: Column, notices: list[Notice], names: list[str]) -> Column:
+    """array<(label, score)>: of the proposed ``places`` those where the column
+    ``words`` holds a notice; the score is 1 less the share of edited words."""
+    listed = F.array(*(x.column() for x in notices))
+
+    def aligned(at: Column) -> Column:
+        template = F.get(listed, at["t"])
+        start = F.greatest(at["low"] - template["most"], F.lit(0))
+        stop = at["high"] + template["n"] + template["most"]
+        return F.struct(template["label"].alias("label"), template["n"].alias("n"), template["most"].alias("most"),
+                        edits(F.slice("words", start + 1, F.greatest(stop - start, F.lit(0))), template, names).alias("edits"))
+
+    near = F.filter(F.transform(places, aligned), lambda x: x["edits"] <= x["most"])
+    return F.transform(near, lambda x: F.struct(x["label"].alias("label"), (1 - x["edits"] / x["n"]).alias("score")))
 
 
 def template_words(template: str) -> list[str]:
@@ -185,29 +200,29 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrases:
 
     n_base counts all places of the phrases, first_word and last_word are the
     smallest and largest word number where one starts (null without any);
-    labels adds those of verified template spans and of notices within a few
-    word edits of a template. score is 1 with a phrase, else the largest share
-    of a template that a span covers, else the largest share of a template that
-    is not edited, 0 without either.
+    labels adds those of the notices found. score is 1 with a phrase, else the
+    largest share of a template that is not edited, 0 without either. Templates
+    of fewer than K words are not found.
     Null and empty texts have no words; rows equal in id and text get equal
     results, null ids too; an empty table gives an empty one. Other columns are
     not read."""
     texts = texts_and_ids(df, id_col, text_col).withColumn("text_key", F.xxhash64("text"))
-    found = stored(spans(texts, templates).groupBy("doc_id", "text_key").agg(F.collect_set("label").alias("more"), F.max("coverage").alias("coverage")), "license-spans")
-    base = texts.select("doc_id", "text_key", words(F.col("text")).alias("words"))
-    listed = sorted({w for t, _ in templates for w in template_words(t)})
-    base = base.withColumn("known", F.array_intersect("words", F.array(*map(F.lit, listed)).cast("array<string>")))
-    close = F.array(*(F.struct(F.lit(x).alias("label"), agreement(t, x, names).alias("score")) for t, x in templates))
-    base = base.select("doc_id", "text_key", F.size("words").cast("long").alias("n_words"), F.array(*(places(p) for p, _ in phrases)).alias("places"),
-                       F.filter(close, lambda x: x["score"].isNotNull()).alias("close"))
+    notices = [Notice(text, label, names) for text, label in templates]
+    if notices:
+        found = proposals(texts, notices).groupBy(F.col("doc_id").alias("id"), F.col("text_key").alias("key"))
+        found = stored(found.agg(F.collect_list(F.struct("t", "low", "high")).alias("proposed")), "license-places")
+        base = texts.join(found, F.expr("text_key = key and doc_id <=> id"), "left").withColumn("words", words(F.col("text")))
+        close = F.when(F.col("proposed").isNotNull(), notices_at(F.col("proposed"), notices, names))
+    else:
+        base, close = texts.withColumn("words", words(F.col("text"))), F.lit(None)
+    base = base.select("doc_id", F.size("words").cast("long").alias("n_words"), F.array(*(places(p) for p, _ in phrases)).alias("places"),
+                       F.coalesce(close, F.array().cast("array<struct<label:string,score:double>>")).alias("close"))
     label = F.array(*(F.lit(x) for _, x in phrases))
     hit = F.filter(F.arrays_zip(F.col("places"), label.alias("label")), lambda x: F.size(x["places"]) > 0)
-    base = base.select("doc_id", "text_key", "n_words", "close", F.flatten("places").alias("at"), F.array_distinct(F.transform(hit, lambda x: x["label"])).alias("base"))
-    other = found.select(F.col("doc_id").alias("id"), F.col("text_key").alias("key"), "more", "coverage")
-    joined = base.join(other, F.expr("text_key = key and doc_id <=> id"), "left")
-    every = F.array_distinct(F.concat("base", F.coalesce("more", F.array().cast("array<string>")), F.col("close.label")))
-    return joined.select(
+    base = base.select("doc_id", "n_words", "close", F.flatten("places").alias("at"), F.array_distinct(F.transform(hit, lambda x: x["label"])).alias("base"))
+    every = F.array_union("base", F.col("close.label"))
+    return base.select(
         "doc_id", "n_words", F.size("at").cast("long").alias("n_base"), F.array_min("at").cast("long").alias("first_word"),
         F.array_max("at").cast("long").alias("last_word"), F.array_join(F.sort_array("base"), ",").alias("base_labels"),
         F.array_join(F.sort_array(every), ",").alias("labels"),
-        F.when(F.size("at") > 0, 1.0).otherwise(F.coalesce("coverage", F.array_max("close.score"), F.lit(0.0))).alias("score"))
+        F.when(F.size("at") > 0, 1.0).otherwise(F.coalesce(F.array_max("close.score"), F.lit(0.0))).alias("score"))
