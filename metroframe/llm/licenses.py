@@ -20,6 +20,7 @@ propose go back to their texts.
 
 from __future__ import annotations
 
+import json
 import re
 from functools import reduce
 
@@ -106,19 +107,23 @@ class Notice:
         kept = {*names, *label.split("-")}
         self.cost = [n + 1 if w in kept else 1 for w in self.words]
 
-    def column(self) -> Column:
-        listed = [F.struct(F.lit(w).alias("word"), F.lit(c).alias("cost"), F.lit(i).alias("i")) for i, (w, c) in enumerate(zip(self.words, self.cost))]
+    def row(self) -> dict:
         # last, after what the words so far cost if all are lost, stands the least cost of any span
-        lost = [sum(self.cost[:i]) for i in range(len(listed) + 1)]
-        return F.struct(F.lit(self.label).alias("label"), F.lit(len(listed)).alias("n"), F.lit(self.most).alias("most"), F.array(*listed).alias("words"),
-                        F.array(*map(F.lit, [*lost, lost[-1]])).alias("lost"))
+        lost = [sum(self.cost[:i]) for i in range(len(self.words) + 1)]
+        return {"label": self.label, "n": len(self.words), "most": self.most, "lost": [*lost, lost[-1]],
+                "words": [{"word": w, "cost": c, "i": i} for i, (w, c) in enumerate(zip(self.words, self.cost))]}
+
+
+def literal(value: object, schema: str) -> Column:
+    """A nested value as one literal rather than thousands of columns."""
+    return F.from_json(F.lit(json.dumps(value)), schema)
 
 
 def template_table(spark: SparkSession, notices: list[Notice]) -> DataFrame:
     """(t, most, least, t_pos, hash, t0 ...): the templates' word groups."""
-    rows = [F.struct(F.lit(t).alias("t"), F.lit(x.most).alias("most"), F.lit(x.votes).alias("least"), F.array(*map(F.lit, x.words)).alias("words"))
-            for t, x in enumerate(notices)]
-    groups = word_groups(spark.range(1).select(F.inline(F.array(*rows))), "t", "most", "least")
+    rows = [{"t": t, "most": x.most, "least": x.votes, "words": x.words} for t, x in enumerate(notices)]
+    listed = literal(rows, "array<struct<t:int,most:int,least:int,words:array<string>>>")
+    groups = word_groups(spark.range(1).select(F.inline(listed)), "t", "most", "least")
     return groups.select("t", "most", "least", F.col("pos").alias("t_pos"), F.xxhash64(*(f"g{i}" for i in range(K))).alias("hash"),
                          *(F.col(f"g{i}").alias(f"t{i}") for i in range(K)))
 
@@ -161,7 +166,7 @@ def edits(around: Column, template: Column, names: list[str]) -> Column:
 def notices_at(places: Column, notices: list[Notice], names: list[str]) -> Column:
     """array<(label, score)>: of the proposed ``places`` those where the column
     ``words`` holds a notice; the score is 1 less the share of edited words."""
-    listed = F.array(*(x.column() for x in notices))
+    listed = literal([x.row() for x in notices], "array<struct<label:string,n:int,most:int,lost:array<int>,words:array<struct<word:string,cost:int,i:int>>>>")
 
     def aligned(at: Column) -> Column:
         template = F.get(listed, at["t"])
