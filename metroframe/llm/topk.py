@@ -6,12 +6,13 @@ query reads all its lists from the good end, in steps of growing depth. What
 it has read of a candidate gives a lower bound (unread coordinates at their
 list's worst value) and an upper bound (unread ones at the last value read).
 When no candidate outside those seen can still reach the k-th best lower
-bound and few of those seen can, reading stops, and these get their final
-scores. After each step the most promising candidates are resolved
-already, which raises the bound to beat.
+bound and few of those seen can, reading stops, and only then these get their
+final scores.
 
 Queries are dealt into blocks too; a task handles one pair of blocks, so memory
-is bounded by the two block sizes, and leaves k rows per query.
+is bounded by the two block sizes, and leaves k rows per query. Every query first
+meets one block of candidates. Its k-th best score there is the bound to beat in
+all others, where reading stops as soon as nobody can.
 """
 
 from __future__ import annotations
@@ -60,25 +61,23 @@ class Lists:
             self.read_to[depth] = (np.where(read, self.both - self.value[depth - 1], 0.0), np.where(read, self.both - self.value[-1], 0.0))
         return self.read_to[depth]
 
-    def top(self, queries: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    def top(self, queries: np.ndarray, k: int, reach: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each query (candidate, score) of all that may be among its k
-        best: the k best and their ties, and at times more."""
+        best and have a score of at least ``reach``, and at times more."""
         n, dims = self.vectors.shape
-        if k >= n or self.largest * float(np.abs(queries).max(initial=0)) * dims >= EXACT:
+        if self.largest * float(np.abs(queries).max(initial=0)) * dims >= EXACT:
             return [(np.arange(n), self.vectors @ q) for q in queries]
         out: list = [None] * len(queries)
         parts = np.concatenate([np.maximum(queries, 0), np.minimum(queries, 0)], axis=1).astype(np.float64)
-        reach = np.full(len(queries), -np.inf)
+        reach = reach.copy()
         left = np.arange(len(queries))
         for depth in self.depths:
             over_last, over_worst = self.gains(depth)
             outside = parts[left] @ self.value[depth - 1]  # no candidate that no list has shown can have more
             upper = outside[:, None] + parts[left] @ over_last.T
-            lower = (parts[left] @ self.value[-1])[:, None] + parts[left] @ over_worst.T
-            likely = np.argpartition(-upper, k - 1, axis=1)[:, :k]
-            exact = np.einsum("qkd,qd->qk", self.vectors[likely], queries[left])
-            np.put_along_axis(lower, likely, exact.astype(np.float64), 1)
-            reach[left] = np.maximum(reach[left], np.partition(lower, n - k, axis=1)[:, n - k])
+            if n > k:
+                lower = (parts[left] @ self.value[-1])[:, None] + parts[left] @ over_worst.T
+                reach[left] = np.maximum(reach[left], np.partition(lower, n - k, axis=1)[:, n - k])
             open_ = upper >= reach[left][:, None]  # an unseen candidate's upper bound is `outside`
             stop = (outside < reach[left]) & (open_.sum(axis=1) <= n // FEW) | (depth == n)
             for at in np.flatnonzero(stop):
@@ -119,8 +118,8 @@ def top_k(df: DataFrame, is_query: Column, k: int = 5, scale: int = 256, id_col:
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
 
     candidates = rows.select(F.pmod("row_key", F.lit(blocks)).cast("int").alias("block"), numbers(query_blocks).alias("query_block"), "vec_id", "vector")
-    queries = (rows.where("asks").select(numbers(blocks).alias("block"), F.pmod(F.xxhash64("row_key"), F.lit(query_blocks)).cast("int").alias("query_block"),
-                                         "vec_id", "vector", "row_key"))
+    asking = rows.where("asks").select(F.pmod(F.xxhash64("row_key"), F.lit(query_blocks)).cast("int").alias("query_block"), "vec_id", "vector", "row_key")
+    is_first = F.col("block") == F.pmod("query_block", F.lit(blocks))
     id_type = rows.schema["vec_id"].dataType.simpleString()
 
     def matrices(t: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -133,6 +132,7 @@ def top_k(df: DataFrame, is_query: Column, k: int = 5, scale: int = 256, id_col:
 
     def search(asked: pa.Table, offered: pa.Table) -> pa.Table:
         of_length = {m.shape[1]: (at, Lists(m)) for at, m in matrices(offered)} if asked.num_rows else {}
+        bounds = asked.column("bound").cast(pa.float64()).fill_null(-np.inf).to_numpy()
         asked_ids, offered_ids = asked.column("vec_id").to_numpy(), offered.column("vec_id").to_numpy()
         found = []
         for at, matrix in matrices(asked):
@@ -145,7 +145,7 @@ def top_k(df: DataFrame, is_query: Column, k: int = 5, scale: int = 256, id_col:
             own = int((right - left).max())  # rows of a query's own id, left out below
             for start in range(0, len(at), 128):
                 some = at[start:start + 128]
-                for row, (who, score) in zip(some.tolist(), lists.top(matrix[start:start + 128], k + own)):
+                for row, (who, score) in zip(some.tolist(), lists.top(matrix[start:start + 128], k + own, bounds[some])):
                     other = ids[who] != asked_ids[row]
                     who, score = who[other], score[other]
                     if len(who) > k:
@@ -157,7 +157,18 @@ def top_k(df: DataFrame, is_query: Column, k: int = 5, scale: int = 256, id_col:
         return pa.table({"query_id": asked.column("vec_id").take(pa.array(q, pa.int64())), "query_key": asked.column("row_key").take(pa.array(q, pa.int64())),
                          "vec_id": offered.column("vec_id").take(pa.array(c, pa.int64())), "score": pa.array(s, pa.int64())})
 
-    near = (queries.groupBy("block", "query_block").cogroup(candidates.groupBy("block", "query_block"))
-            .applyInArrow(search, f"query_id {id_type}, query_key long, vec_id {id_type}, score long"))
+    def meet(queries: DataFrame, candidates: DataFrame) -> DataFrame:
+        queries, candidates = (x.select(*(F.col(c).alias(c) for c in x.columns)) for x in (queries, candidates))
+        return (queries.groupBy("block", "query_block").cogroup(candidates.groupBy("block", "query_block"))
+                .applyInArrow(search, f"query_id {id_type}, query_key long, vec_id {id_type}, score long"))
+
+    everywhere = asking.withColumn("block", numbers(blocks))
+    near = meet(everywhere.where(is_first).withColumn("bound", F.lit(None).cast("long")), candidates.where(is_first))
+    if blocks > 1:
+        near = stored(near, "top-k-first")
+        bound = near.groupBy("query_id", "query_key").agg(F.min("score").alias("bound"), F.count(F.lit(1)).alias("n")).where(F.col("n") >= k)
+        bounded = asking.join(bound, (F.col("vec_id") == F.col("query_id")) & (F.col("row_key") == F.col("query_key")), "left")
+        others = bounded.select("query_block", "vec_id", "vector", "row_key", "bound", numbers(blocks).alias("block")).where(~is_first)
+        near = near.unionByName(meet(others, candidates.where(~is_first)))
     order = Window.partitionBy("query_id", "query_key").orderBy(F.desc("score"), "vec_id")
     return (near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"))
