@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from metroframe.functions.columns import hours_between
 from metroframe.operators.staging import AQI_BANDS
+from metroframe.operators.upsert import _folder
 
 
 def _c(c) -> Column:
@@ -98,13 +99,17 @@ def merge_sla_days(days: DataFrame, group_cols: list[str]) -> DataFrame:
 def refresh_sla_days(mart: DataFrame, path: str, day_col: str, group_cols: list[str], days: list | None = None) -> DataFrame:
     """Write the rows of ``sla_days`` to ``path``, a folder per day, and return
     the whole table. With ``days`` only these days of ``mart`` are read, and
-    their folders alone are replaced; the folder of a day that has no request
-    left stays, so such a day needs a rebuild (``days=None``)."""
+    their folders alone are replaced, or removed if no request of the day is left."""
     spark = mart.sparkSession
     part = mart if days is None else mart.filter(F.col(day_col).isin(days))
     mode = "static" if days is None else "dynamic"
     (sla_days(part, day_col, group_cols).repartition(F.col(day_col)).write.mode("overwrite").option("partitionOverwriteMode", mode)
      .partitionBy(day_col).parquet(path))
+    if days is not None:
+        left = {str(r[0]) for r in part.select(day_col).distinct().collect()}  # at most the days asked for
+        for day in {str(d) for d in days} - left:
+            fs, folder = _folder(spark, f"{path.rstrip('/')}/{day_col}={day}")
+            fs.delete(folder, True)
     return spark.read.parquet(path)
 
 

@@ -441,6 +441,9 @@ def test_summary_from_merged_days(spark, tmp_path):
     after = {f: f.stat().st_mtime_ns for f in tmp_path.rglob("*.parquet")}
     kept = {f for f in before if f.parent.name not in {f"day={d}" for d in changed}}
     assert len(kept) == 18 and all(after[f] == before[f] for f in kept) and {f.parent.name for f in after if f not in kept} == {f"day={d}" for d in changed}
+    # a day loses all its requests
+    rows = [r for r in rows if r[0] != changed[0]]
+    check_summary(M.refresh_sla_days(spark.createDataFrame(rows, REQUESTS), path, "day", ["borough"], changed), rows)
     assert M.sla_days(df.limit(0), "day", ["borough"]).count() == 0
     # a day alone, and no day
     check_summary(M.sla_days(df, "day", ["borough"]).filter(F.col("day") == changed[0]), [r for r in requests(1) if r[0] == changed[0]])
